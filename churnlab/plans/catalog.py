@@ -76,3 +76,201 @@ def customer_features(spark: SparkSession, root: str) -> DataFrame:
 @query("customer_features")
 def q_customer_features(spark, root):
     return customer_features(spark, root)
+
+
+# --- scoring, explanations, reports ----------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from churnlab.functions.constants import QUOTA_REST_BAND, QUOTA_SHARES  # noqa: E402
+from churnlab.operators import explain, metrics, ml, ranking, scoring  # noqa: E402
+from churnlab.plans import reports  # noqa: E402
+
+DETAIL_CUSTOMER_ID = 42
+DEMO_ROW_COUNT = 500
+
+
+def risk_scores(spark: SparkSession, root: str, sort: bool = False) -> DataFrame:
+    """Score table with the fixed scorecard probability (stands in for a model)."""
+    return scoring.score_customers(
+        customer_features(spark, root), scoring.scorecard_probability(), sort=sort
+    )
+
+
+def explanations(spark: SparkSession, root: str, features: DataFrame | None = None) -> DataFrame:
+    features = features if features is not None else customer_features(spark, root)
+    background = explain.linear_background(features, scoring.SCORECARD)
+    return explain.explanation_table(
+        features,
+        scoring.scorecard_probability(),
+        explain.linear_impacts(features, scoring.SCORECARD, background),
+    )
+
+
+@query("risk_scores")
+def q_risk_scores(spark, root):
+    return risk_scores(spark, root, sort=True)
+
+
+@query("priority_quartiles")
+def q_priority_quartiles(spark, root):
+    return reports.value_counts(risk_scores(spark, root), "retention_priority")
+
+
+@query("risk_band_counts")
+def q_risk_band_counts(spark, root):
+    return reports.value_counts(risk_scores(spark, root), "risk_category")
+
+
+@query("action_counts")
+def q_action_counts(spark, root):
+    return reports.top_actions(risk_scores(spark, root), 10)
+
+
+def customer_scores(spark: SparkSession, root: str) -> DataFrame:
+    features = customer_features(spark, root)
+    scores = scoring.score_customers(features, scoring.scorecard_probability(), sort=False)
+    return reports.customer_scores(features, scores)
+
+
+@query("executive_tiles")
+def q_executive_tiles(spark, root):
+    return reports.executive_tiles(customer_scores(spark, root))
+
+
+@query("top25_at_risk")
+def q_top25_at_risk(spark, root):
+    return reports.top_at_risk(customer_scores(spark, root), 25)
+
+
+@query("customer_detail")
+def q_customer_detail(spark, root):
+    features = customer_features(spark, root)
+    scores = scoring.score_customers(features, scoring.scorecard_probability(), sort=False)
+    c360 = reports.with_explanations(
+        reports.customer_scores(features, scores), explanations(spark, root, features)
+    )
+    return reports.customer_detail(c360, DETAIL_CUSTOMER_ID)
+
+
+@query("explanations_linear")
+def q_explanations_linear(spark, root):
+    return explanations(spark, root)
+
+
+@query("driver_rows")
+def q_driver_rows(spark, root):
+    return explain.driver_rows(explanations(spark, root))
+
+
+@query("feature_labels")
+def q_feature_labels(spark, root):
+    """Business label of every one-hot slot seen in the data and every numeric input."""
+    features = customer_features(spark, root)
+    columns, _ = ml.split_features_target(features)
+    categorical, numeric = ml.column_groups(features, columns)
+    levels = features.select(
+        F.explode(
+            F.array(
+                *[
+                    F.struct(F.lit(c).alias("column"), F.col(c).alias("level"))
+                    for c in categorical
+                ]
+            )
+        ).alias("_l")
+    ).select("_l.column", "_l.level").distinct()
+    slot_names = levels.select(
+        F.concat(F.lit("categorical__"), "column", F.lit("_"), "level").alias("feature_name")
+    )
+    numeric_names = spark.createDataFrame([(f"numeric__{c}",) for c in numeric], "feature_name string")
+    names = slot_names.unionByName(numeric_names)
+    return names.select("feature_name", explain.clean_feature_name("feature_name").alias("label"))
+
+
+@query("class_weights")
+def q_class_weights(spark, root):
+    features = customer_features(spark, root).select("customer_id", "churned")
+    return ml.class_weights(features, "churned")
+
+
+STANDARDIZED_COLUMNS = [
+    "tenure_months",
+    "monthly_charges",
+    "total_mrr",
+    "support_ticket_count",
+    "network_incident_count",
+    "late_payment_count",
+]
+
+
+@query("standardized_features")
+def q_standardized_features(spark, root):
+    features = customer_features(spark, root).select("customer_id", *STANDARDIZED_COLUMNS)
+    stats = ml.standardization_stats(features, STANDARDIZED_COLUMNS, exact_scale=2).first().asDict()
+    return ml.standardize_with(features, stats, STANDARDIZED_COLUMNS)
+
+
+def _split(spark, root):
+    features = customer_features(spark, root).select(
+        "customer_id", "churned", scoring.scorecard_probability().alias("churn_probability")
+    )
+    return ranking.stratified_split(features, "customer_id", "churned", 0.2, 42)
+
+
+@query("stratified_split")
+def q_stratified_split(spark, root):
+    return _split(spark, root).select("customer_id", "churned", "split")
+
+
+@query("eval_metrics")
+def q_eval_metrics(spark, root):
+    return metrics.evaluate_predictions(_split(spark, root).filter(F.col("split") == "test"))
+
+
+@query("fraction_sample")
+def q_fraction_sample(spark, root):
+    """Retention-campaign targets: 45 % of eligible customers (churned or on a
+    month-to-month contract), exact size, seeded."""
+    customers = roles.customers(spark, root)
+    eligible = customers.filter(F.col("churned") | (F.col("contract_type") == "month_to_month"))
+    return ranking.exact_fraction_sample(eligible.select("customer_id"), "customer_id", 0.45, 42)
+
+
+def demo_quotas(row_count: int = DEMO_ROW_COUNT) -> dict[str, int]:
+    quotas = {band: int(row_count * share) for band, share in QUOTA_SHARES}
+    quotas[QUOTA_REST_BAND] = row_count - sum(quotas.values())
+    return quotas
+
+
+def quota_sample(scores: DataFrame, row_count: int = DEMO_ROW_COUNT) -> DataFrame:
+    return ranking.quota_top_k(
+        scores,
+        "risk_category",
+        demo_quotas(row_count),
+        [F.col("estimated_monthly_revenue_at_risk").desc(), F.col("customer_id").asc()],
+    )
+
+
+@query("quota_sample")
+def q_quota_sample(spark, root):
+    return quota_sample(risk_scores(spark, root)).select(
+        "customer_id", "risk_category", "estimated_monthly_revenue_at_risk"
+    )
+
+
+@query("quota_features")
+def q_quota_features(spark, root):
+    features = customer_features(spark, root)
+    scores = scoring.score_customers(features, scoring.scorecard_probability(), sort=False)
+    picked = quota_sample(scores).select("customer_id")
+    return features.join(picked, "customer_id", "left_semi").orderBy("customer_id")
+
+
+@query("demo_subset")
+def q_demo_subset(spark, root):
+    features = customer_features(spark, root)
+    scores = scoring.score_customers(features, scoring.scorecard_probability(), sort=False)
+    picked = quota_sample(scores).select("customer_id")
+    return explanations(spark, root, features).join(picked, "customer_id", "left_semi").orderBy(
+        "customer_id"
+    )
