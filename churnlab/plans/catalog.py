@@ -274,3 +274,234 @@ def q_demo_subset(spark, root):
     return explanations(spark, root, features).join(picked, "customer_id", "left_semi").orderBy(
         "customer_id"
     )
+
+
+# --- quality and profiling ---------------------------------------------------
+
+from churnlab.functions.scalar import snake_case  # noqa: E402
+from churnlab.operators import complaints, enrich, quality  # noqa: E402
+from churnlab.sources import schemas  # noqa: E402
+from churnlab.sources.io import file_fingerprints  # noqa: E402
+
+
+@query("key_audit")
+def q_key_audit(spark, root):
+    return quality.key_audit(tables(spark, root), schemas.PRIMARY_KEYS)
+
+
+@query("fk_orphans")
+def q_fk_orphans(spark, root):
+    return quality.fk_orphans(tables(spark, root), schemas.FOREIGN_KEYS)
+
+
+@query("range_audit")
+def q_range_audit(spark, root):
+    return quality.range_audit(tables(spark, root), schemas.RANGE_RULES)
+
+
+@query("null_audit")
+def q_null_audit(spark, root):
+    return quality.null_audit(tables(spark, root))
+
+
+@query("profile_columns")
+def q_profile_columns(spark, root):
+    """Profile of the raw customer source table."""
+    return quality.profile_columns(roles.driver(spark, root, "customer"))
+
+
+@query("profile_labels")
+def q_profile_labels(spark, root):
+    label = F.when(F.col("churned"), "Yes").otherwise("No")
+    return quality.label_distribution(roles.customers(spark, root), label, "churn_label")
+
+
+@query("duplicate_report")
+def q_duplicate_report(spark, root):
+    return quality.duplicate_report(roles.monthly_usage(spark, root), "usage_id")
+
+
+@query("snake_case")
+def q_snake_case(spark, root):
+    sources = [
+        ("part", "p_type"),
+        ("orders", "o_orderpriority"),
+        ("customer", "c_mktsegment"),
+    ]
+    parts = [
+        roles.driver(spark, root, table)
+        .select(F.lit(column).alias("column_name"), F.col(column).alias("raw_value"))
+        .distinct()
+        for table, column in sources
+    ]
+    out = parts[0]
+    for more in parts[1:]:
+        out = out.unionByName(more)
+    return out.select("column_name", "raw_value", snake_case("raw_value").alias("snake_value"))
+
+
+# --- enrichment steps ----------------------------------------------------------
+
+
+@query("month_grid")
+def q_month_grid(spark, root):
+    return enrich.month_grid(roles.customers(spark, root))
+
+
+@query("service_usage_union")
+def q_service_usage_union(spark, root):
+    return enrich.service_usage_grid(
+        roles.customers(spark, root),
+        roles.fixed_subscriptions(spark, root),
+        roles.mobile_subscriptions(spark, root),
+    )
+
+
+@query("plan_mapping")
+def q_plan_mapping(spark, root):
+    fixed = roles.fixed_subscriptions(spark, root).select(
+        F.col("fixed_subscription_id").alias("subscription_id"),
+        "customer_id",
+        "plan_name",
+        F.col("download_speed_mbps").cast("bigint").alias("download_speed_mbps"),
+        F.col("monthly_recurring_revenue").cast("double").alias("monthly_price"),
+        "subscription_status",
+    )
+    mobile = roles.mobile_subscriptions(spark, root).select(
+        F.col("mobile_subscription_id").cast("string").alias("subscription_id"),
+        "customer_id",
+        "plan_name",
+        F.lit(None).cast("bigint").alias("download_speed_mbps"),
+        enrich.plan_price("plan_name").alias("monthly_price"),
+        "subscription_status",
+    )
+    return fixed.unionByName(mobile)
+
+
+@query("surrogate_ids")
+def q_surrogate_ids(spark, root):
+    """Invoice numbers inv_00000001.. in (customer, month, order) order."""
+    billing = roles.billing_history(spark, root).select("invoice_id", "customer_id", "billing_month")
+    ranked = ranking.global_rank(
+        billing,
+        [F.col("customer_id").asc(), F.col("billing_month").asc(), F.col("invoice_id").asc()],
+        rank_col="_n",
+        total_col=None,
+    )
+    return ranked.select("invoice_id", enrich.padded_id("inv_", "_n", 8).alias("invoice_number"))
+
+
+@query("clip_values")
+def q_clip_values(spark, root):
+    events = roles.driver(spark, root, "events")
+    return events.select(
+        "event_id",
+        enrich.clip_round("value", 5.0, 720.0, None).alias("incident_minutes"),
+        enrich.clip_round("value", 1.0, 168.0, 2).alias("resolution_hours"),
+        enrich.clip_round("value", 25.0, 1200.0, 2).alias("fixed_data_gb"),
+    )
+
+
+# --- complaints -----------------------------------------------------------------
+
+
+def classified_tickets(spark: SparkSession, root: str) -> DataFrame:
+    return complaints.classify_support_tickets(
+        roles.ticket_texts(spark, root), complaints.COMMON_WORD_LEXICON
+    )
+
+
+@query("complaints_classified")
+def q_complaints_classified(spark, root):
+    return classified_tickets(spark, root)
+
+
+@query("complaints_udf")
+def q_complaints_udf(spark, root):
+    lexicon = complaints.COMMON_WORD_LEXICON
+    return complaints.classify_with(
+        roles.ticket_texts(spark, root), lambda: complaints.LexiconClassifier(lexicon)
+    )
+
+
+@query("complaint_tiles")
+def q_complaint_tiles(spark, root):
+    return complaints.complaint_tiles(classified_tickets(spark, root))
+
+
+@query("complaint_counts")
+def q_complaint_counts(spark, root):
+    return reports.value_counts(
+        classified_tickets(spark, root), "complaint_category_predicted", "ticket_count"
+    )
+
+
+@query("complaint_score_box")
+def q_complaint_score_box(spark, root):
+    return reports.score_distribution(
+        classified_tickets(spark, root), "complaint_category_predicted", "complaint_category_score"
+    )
+
+
+@query("complaint_samples")
+def q_complaint_samples(spark, root):
+    return (
+        classified_tickets(spark, root)
+        .orderBy("ticket_id")
+        .limit(100)
+        .select(
+            "ticket_id",
+            "customer_id",
+            "complaint_category_seed",
+            "complaint_category_predicted",
+            "complaint_category_score",
+            "complaint_category_matches_seed",
+            "ticket_text",
+        )
+    )
+
+
+# --- run summaries ------------------------------------------------------------------
+
+
+@query("run_summary")
+def q_run_summary(spark, root):
+    """The figures each batch step prints, as (metric, value) rows."""
+    features = customer_features(spark, root)
+    scores = scoring.score_customers(features, scoring.scorecard_probability(), sort=False)
+    feature_stats = features.agg(
+        F.count(F.lit(1)).cast("double").alias("feature_rows"),
+        reports.boolean_rate("churned").alias("churn_rate"),
+        reports.money_sum("monthly_revenue_at_risk").alias("monthly_revenue_at_risk"),
+    )
+    metrics_long = feature_stats.select(
+        F.explode(
+            F.array(
+                *[
+                    F.struct(F.lit(c).alias("metric"), F.col(c).alias("value"))
+                    for c in feature_stats.columns
+                ]
+            )
+        ).alias("_m")
+    ).select("_m.metric", "_m.value")
+    band_counts = scores.groupBy("risk_category").agg(F.count(F.lit(1)).cast("double").alias("value"))
+    action_counts = scores.groupBy("recommended_action").agg(
+        F.count(F.lit(1)).cast("double").alias("value")
+    )
+    return (
+        metrics_long.unionByName(
+            band_counts.select(F.concat(F.lit("risk_category:"), "risk_category").alias("metric"), "value")
+        ).unionByName(
+            action_counts.select(
+                F.concat(F.lit("recommended_action:"), "recommended_action").alias("metric"), "value"
+            )
+        )
+    )
+
+
+@query("file_fingerprints")
+def q_file_fingerprints(spark, root):
+    """SHA-256 of every driver table file, one row per file."""
+    return file_fingerprints(spark, f"{root.rstrip('/')}/*.parquet").select(
+        F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), "length", "sha256"
+    )

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from churnlab.functions.scalar import round_half_up
+
 SCORE_JOIN_COLUMNS = [
     "customer_id",
     "churn_probability",
@@ -133,8 +135,17 @@ def customer_detail(c360: DataFrame, customer_id) -> DataFrame:
     return c360.filter(F.col("customer_id") == F.lit(customer_id)).select(*cols)
 
 
+# Interpolated quartiles of 6-decimal scores have at most 8 decimals; rounding
+# to 9 removes last-bit differences between interpolation formulas.
+QUANTILE_DIGITS = 9
+
+
 def score_distribution(df: DataFrame, group_col: str, score_col: str) -> DataFrame:
-    """Min, quartiles (linear interpolation) and max per group."""
+    """Min, quartiles (linear interpolation) and max per group.
+
+    Exact ``percentile`` keeps a value -> count map per group; scores carry 6
+    decimals in [0, 1], so that map has at most 1,000,001 entries whatever the
+    table size."""
     q = F.percentile(F.col(score_col), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
     return (
         df.filter(F.col(group_col).isNotNull() & F.col(score_col).isNotNull())
@@ -143,9 +154,9 @@ def score_distribution(df: DataFrame, group_col: str, score_col: str) -> DataFra
         .select(
             group_col,
             "min_score",
-            F.col("_q")[0].alias("q1_score"),
-            F.col("_q")[1].alias("median_score"),
-            F.col("_q")[2].alias("q3_score"),
+            round_half_up(F.col("_q")[0], QUANTILE_DIGITS).alias("q1_score"),
+            round_half_up(F.col("_q")[1], QUANTILE_DIGITS).alias("median_score"),
+            round_half_up(F.col("_q")[2], QUANTILE_DIGITS).alias("q3_score"),
             "max_score",
         )
     )

@@ -43,9 +43,35 @@ def build_session(
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``churnlab`` importable in Python workers (``addPyFile`` of a zip).
+
+    Needed by the few Python stages (``mapInPandas``); done once per context.
+    """
+    sc = spark.sparkContext
+    if id(sc) in _SHIPPED:
+        return
+    import shutil
+
+    package_dir = os.path.dirname(os.path.abspath(__file__))
+    out_dir = tempfile.mkdtemp(prefix="churnlab-pkg-")
+    archive = shutil.make_archive(
+        os.path.join(out_dir, "churnlab"),
+        "zip",
+        root_dir=os.path.dirname(package_dir),
+        base_dir=os.path.basename(package_dir),
+    )
+    sc.addPyFile(archive)
+    _SHIPPED.add(id(sc))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting it on the context if needed.
 
