@@ -74,33 +74,110 @@ def lexicon_counts(text: str | Column, lexicon: Sequence[Sequence[str]] = DOMAIN
     return [F.regexp_count(t, F.lit(word_pattern(words))) for words in lexicon]
 
 
-def pick_label(counts: Sequence[Column], labels: Sequence[str] = COMPLAINT_LABELS) -> Column:
+def pick_label(
+    counts: Sequence[Column], labels: Sequence[str] = COMPLAINT_LABELS, present: Column | None = None
+) -> Column:
     """struct<label, score>: best label (ties by label order) and its share of
-    all hits; no hit gives the first label with score 0; null counts (null
-    text) give a null struct."""
-    best = F.greatest(*counts)
-    total = counts[0]
-    for c in counts[1:]:
-        total = total + c
-    label = None
-    for i, c in enumerate(counts):
-        lab = normalize_label(F.lit(labels[i]))
-        label = F.when(c == best, lab) if label is None else label.when(c == best, lab)
-    score = F.when(total > 0, best.cast("double") / total.cast("double")).otherwise(F.lit(0.0))
-    return F.when(
-        counts[0].isNotNull(),
-        F.struct(label.alias("label"), round_half_up(score, 6).alias("score")),
+    all hits; no hit gives the first label with score 0.  Null when
+    ``present`` is false (a null text).
+
+    The counts are folded in one ``aggregate`` over an array, so every count
+    expression appears exactly once: if the optimizer inlines this column into
+    a pushed-down filter, the regex scans are not multiplied.
+    """
+    names = F.array(*[normalize_label(F.lit(label)) for label in labels])
+    start = F.struct(
+        F.lit(-1).alias("best"), F.lit(0).alias("idx"), F.lit(0).alias("total"), F.lit(0).alias("i")
     )
 
+    def step(acc, x):
+        better = x > acc["best"]
+        return F.struct(
+            F.when(better, x).otherwise(acc["best"]).alias("best"),
+            F.when(better, acc["i"]).otherwise(acc["idx"]).alias("idx"),
+            (acc["total"] + x).alias("total"),
+            (acc["i"] + 1).alias("i"),
+        )
+
+    def finish(acc):
+        score = F.when(
+            acc["total"] > 0, acc["best"].cast("double") / acc["total"].cast("double")
+        ).otherwise(F.lit(0.0))
+        return F.struct(
+            F.element_at(names, acc["idx"] + 1).alias("label"),
+            round_half_up(score, 6).alias("score"),
+        )
+
+    result = F.aggregate(F.array(*counts), start, step, finish)
+    return result if present is None else F.when(present, result)
+
 
 def lexicon_classify(
     text: str | Column,
     lexicon: Sequence[Sequence[str]] = DOMAIN_LEXICON,
     labels: Sequence[str] = COMPLAINT_LABELS,
 ) -> Column:
-    """Single-expression form of the built-in classifier (see
-    :func:`classify_support_tickets` for the form that counts each label once)."""
-    return pick_label(lexicon_counts(text, lexicon), labels)
+    """The built-in classifier as one column expression: struct<label, score>.
+
+    One regex pass over the whole text extracts every token that is a lexicon
+    word; one fold over those matches counts hits per label (a word may count
+    for several labels) and picks the best.  Null text gives null.
+    """
+    t = F.col(text) if isinstance(text, str) else text
+    all_words = sorted({w for words in lexicon for w in words})
+    matches = F.regexp_extract_all(t, F.lit(word_pattern(all_words)), F.lit(0))
+    word_labels = F.create_map(
+        *[
+            x
+            for w in all_words
+            for x in (
+                F.lit(w),
+                F.array(*[F.lit(i) for i, words in enumerate(lexicon) if w in words]),
+            )
+        ]
+    )
+    k = len(lexicon)
+    names = F.array(*[normalize_label(F.lit(label)) for label in labels])
+    start = F.struct(*[F.lit(0).alias(f"c{i}") for i in range(k)])
+
+    def step(acc, m):
+        ids = F.element_at(word_labels, F.lower(m))
+        return F.struct(
+            *[
+                (acc[f"c{i}"] + F.when(F.array_contains(ids, F.lit(i)), 1).otherwise(0)).alias(f"c{i}")
+                for i in range(k)
+            ]
+        )
+
+    def finish(acc):
+        counts = [acc[f"c{i}"] for i in range(k)]
+        best = F.greatest(*counts)
+        total = counts[0]
+        for c in counts[1:]:
+            total = total + c
+        idx = None
+        for i, c in enumerate(counts):
+            idx = F.when(c == best, F.lit(i)) if idx is None else idx.when(c == best, F.lit(i))
+        score = F.when(total > 0, best.cast("double") / total.cast("double")).otherwise(F.lit(0.0))
+        return F.struct(
+            F.element_at(names, idx + 1).alias("label"), round_half_up(score, 6).alias("score")
+        )
+
+    return F.when(t.isNotNull(), F.aggregate(matches, start, step, finish))
+
+
+def spread_for_cpu(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over the cluster's cores when the input has fewer
+    partitions than that (e.g. a few large single-row-group files).
+
+    Classifying text costs far more CPU per byte than reading it, so a scan of
+    one big file should not leave the work to one task.  With the many input
+    splits of a large table this adds nothing.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
 
 
 def classify_support_tickets(
@@ -108,15 +185,9 @@ def classify_support_tickets(
     lexicon: Sequence[Sequence[str]] = DOMAIN_LEXICON,
     text_col: str = "ticket_text",
 ) -> DataFrame:
-    """N2 + N3 with the built-in classifier: three columns added in place.
-
-    The per-label counts are their own projection, so each regex runs once per
-    text (a count referenced inside CASE branches would be re-evaluated)."""
-    names = [f"_hits{i}" for i in range(len(lexicon))]
-    counts = lexicon_counts(text_col, lexicon)
-    counted = tickets.select("*", *[c.alias(n) for c, n in zip(counts, names)])
-    labelled = counted.withColumn("_res", pick_label([F.col(n) for n in names])).drop(*names)
-    return _attach(labelled)
+    """N2 + N3 with the built-in classifier: three columns added in place."""
+    spread = spread_for_cpu(tickets)
+    return _attach(spread.withColumn("_res", lexicon_classify(text_col, lexicon)))
 
 
 def _attach(df: DataFrame) -> DataFrame:
@@ -145,7 +216,7 @@ def classify_with(
     ``classifier_factory`` is called once per Python worker (it may load a
     model); the classifier itself gets one text at a time.
     """
-    keyed = tickets.withColumn("_text_key", F.sha2(F.col(text_col), 256))
+    keyed = spread_for_cpu(tickets).withColumn("_text_key", F.sha2(F.col(text_col), 256))
     distinct_texts = (
         keyed.filter(F.col(text_col).isNotNull())  # L7
         .select("_text_key", text_col)
