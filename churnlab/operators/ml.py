@@ -14,6 +14,7 @@ on executors; the driver only holds model parameters.  The preprocessing is a
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -179,8 +180,7 @@ def feature_stages(train: DataFrame, columns: list[str]):
             OneHotEncoder(
                 inputCols=[f"{c}__idx" for c in categorical],
                 outputCols=[f"categorical__{c}" for c in categorical],
-                dropLast=True,
-                handleInvalid="keep",
+                dropLast=True,  # the last slot is the indexer's unseen-value bucket
             )
         )
     stages.append(
@@ -242,11 +242,11 @@ def prepare_training_frame(features: DataFrame) -> DataFrame:
 def train_and_evaluate(
     features: DataFrame,
     config: TrainConfig | None = None,
-) -> tuple[str, DataFrame, dict]:
+) -> tuple[str, list, dict]:
     """M8: fit every candidate on the stratified 80 %, score the 20 % hold-out,
     keep the best ROC AUC (the first listed wins ties).
 
-    Returns (best name, metrics frame with one row per model, fitted models).
+    Returns (best name, metric rows - one per model, fitted models).
     """
     from pyspark.ml import Pipeline
 
@@ -261,17 +261,24 @@ def train_and_evaluate(
     test = split.filter(F.col("split") == "test")
     stages, _, _ = feature_stages(train, columns)
     n_rows = train.count()
-    fitted, rows = {}, []
-    for name, estimator in candidate_estimators(config, n_rows).items():
-        model = Pipeline(stages=[*stages, estimator]).fit(train)
+
+    def fit_and_score(item):
         from pyspark.ml.functions import vector_to_array
 
+        name, estimator = item
+        model = Pipeline(stages=[*stages, estimator]).fit(train)
         scored = model.transform(test).withColumn(
             "churn_probability", vector_to_array(F.col("probability"))[1]
         )
-        metrics = evaluate_predictions(scored).withColumn("model_name", F.lit(name))
-        rows.append(metrics)
-        fitted[name] = model
+        return name, model, evaluate_predictions(scored).withColumn("model_name", F.lit(name))
+
+    # The candidate fits are independent distributed jobs: submit them from
+    # parallel driver threads so small fits do not leave executors idle.
+    candidates = list(candidate_estimators(config, n_rows).items())
+    with ThreadPoolExecutor(max_workers=len(candidates)) as pool:
+        results = list(pool.map(fit_and_score, candidates))
+    fitted = {name: model for name, model, _ in results}
+    rows = [metrics for _, _, metrics in results]
     table = rows[0]
     for more in rows[1:]:
         table = table.unionByName(more)
@@ -281,7 +288,7 @@ def train_and_evaluate(
         if best is None or row["roc_auc"] > best["roc_auc"]:
             best = row
     split.unpersist()
-    return best["model_name"], table, fitted
+    return best["model_name"], collected, fitted
 
 
 def transformed_feature_names(model, sample: DataFrame) -> list[str]:

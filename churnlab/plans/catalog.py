@@ -505,3 +505,63 @@ def q_file_fingerprints(spark, root):
     return file_fingerprints(spark, f"{root.rstrip('/')}/*.parquet").select(
         F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), "length", "sha256"
     )
+
+
+# --- model training, scoring and tree explanations (rows-only checks) --------
+
+from churnlab.operators import tree_explain  # noqa: E402
+from churnlab.session import ensure_checkpoint_dir  # noqa: E402
+
+# Fitted models of this driver process, keyed by input folder and settings, so
+# the three model queries train once per session.  Holds model objects only.
+_TRAINED: dict[tuple, tuple] = {}
+
+
+def train_config() -> ml.TrainConfig:
+    """The original tool's hyper-parameters (300 trees, 300 boosting rounds, ...)."""
+    return ml.TrainConfig()
+
+
+def trained_models(spark: SparkSession, root: str, config: ml.TrainConfig | None = None):
+    config = config or train_config()
+    key = (root, repr(config))
+    if key not in _TRAINED:
+        features = customer_features(spark, root).persist()
+        best, rows, models = ml.train_and_evaluate(features, config)
+        _TRAINED[key] = (best, rows, models, features)
+    return _TRAINED[key]
+
+
+@query("model_selection")
+def q_model_selection(spark, root):
+    best, rows, _models, _features = trained_models(spark, root)
+    return spark.createDataFrame(rows).select(
+        "model_name",
+        (F.col("model_name") == F.lit(best)).alias("selected"),
+        "roc_auc",
+        "average_precision",
+        "accuracy",
+        "precision",
+        "recall",
+        "f1",
+    )
+
+
+@query("model_scores")
+def q_model_scores(spark, root):
+    best, _rows, models, features = trained_models(spark, root)
+    scored = scoring.model_probability(models[best], features)
+    return scoring.score_customers(scored, "churn_probability", sort=True)
+
+
+@query("explanations_tree")
+def q_explanations_tree(spark, root):
+    _best, _rows, models, features = trained_models(spark, root)
+    model = models["gradient_boosted_trees"]
+    transformed = model.transform(features)
+    names = ml.transformed_feature_names(model, features)
+    attributions = tree_explain.explain_trees(
+        transformed, model.stages[-1], names, ensure_checkpoint_dir(spark)
+    )
+    probability = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("model_output")))
+    return explain.explanation_table(attributions, probability, F.col("impacts"))

@@ -68,7 +68,10 @@ def customers(spark: SparkSession, root: str) -> DataFrame:
         internet.alias("internet_service"),
         F.col("c_mktsegment"),
         monthly.alias("monthly_charges"),
-        (F.col("c_acctbal") < 1500).alias("churned"),
+        # low balance churns, with one label in eight flipped by a key hash so
+        # the label is not a function of the charges alone
+        ((F.col("c_acctbal") < 1500) != F.substring(F.md5(key.cast("string")), 1, 1).isin("0", "1"))
+        .alias("churned"),
     )
     return base.select(
         "customer_id",
