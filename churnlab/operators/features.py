@@ -61,18 +61,23 @@ DERIVED_COLUMNS = [
 ]
 
 
-def build_customer_features(tables: dict[str, DataFrame], as_of_month: str | None = None) -> DataFrame:
+def build_customer_features(
+    tables: dict[str, DataFrame],
+    as_of_month: str | None = None,
+    overrides: dict[str, DataFrame] | None = None,
+) -> DataFrame:
     """Wide feature row per customer.
 
     ``as_of_month`` ('YYYY-MM'), when given, keeps only fact rows dated on or
     before that month (the point-in-time rule); the filter is pushed into each
-    scan that carries a month column.
+    scan that carries a month column.  ``overrides`` supplies precomputed
+    summaries by fact-table name (not filtered by ``as_of_month``).
     """
     tables = dict(tables)
     if as_of_month is not None:
         tables = _as_of(tables, as_of_month)
     customers = tables["customers"]
-    joined = left_join_all(customers, all_summaries(tables, "features"))
+    joined = left_join_all(customers, all_summaries(tables, "features", overrides))
 
     mrr_total = F.coalesce(F.col("fixed_mrr"), F.lit(0)) + F.coalesce(
         F.col("mobile_mrr"), F.lit(0)

@@ -154,9 +154,39 @@ SUMMARIES = {
 }
 
 
-def all_summaries(tables: dict[str, DataFrame], track: str = "features") -> list[DataFrame]:
-    """The eight summaries in join order."""
-    return [build(tables[name], track) for name, build in SUMMARIES.items()]
+def all_summaries(
+    tables: dict[str, DataFrame],
+    track: str = "features",
+    overrides: dict[str, DataFrame] | None = None,
+) -> list[DataFrame]:
+    """The eight summaries in join order.
+
+    ``overrides`` maps a fact-table name to an already computed summary with the
+    same columns (e.g. one pre-aggregated closer to its source).
+    """
+    overrides = overrides or {}
+    return [
+        overrides[name] if name in overrides else build(tables[name], track)
+        for name, build in SUMMARIES.items()
+    ]
+
+
+def summarize_usage_partials(partials: DataFrame, track: str = "features") -> DataFrame:
+    """A4 from partial sums (``data_gb_sum``, ``data_gb_n``, ``voice_sum``,
+    ``sms_sum`` per customer and any finer key): sums of sums, so the result
+    equals :func:`summarize_usage` over the underlying rows."""
+    aggs = [F.sum("data_gb_sum").alias("total_data_gb")]
+    if track == "features":
+        aggs.append(
+            (F.sum("data_gb_sum").cast("double") / F.sum("data_gb_n").cast("double")).alias(
+                "avg_monthly_data_gb"
+            )
+        )
+    aggs += [
+        F.sum("voice_sum").cast("bigint").alias("total_voice_minutes"),
+        F.sum("sms_sum").cast("bigint").alias("total_sms_count"),
+    ]
+    return partials.groupBy(KEY).agg(*aggs)
 
 
 def left_join_all(spine: DataFrame, summaries: list[DataFrame]) -> DataFrame:

@@ -59,14 +59,19 @@ SUMMARY_COLUMNS_360 = [
 ]
 
 
-def customer_360(tables: dict[str, DataFrame], exact: bool = False) -> DataFrame:
+def customer_360(
+    tables: dict[str, DataFrame],
+    exact: bool = False,
+    overrides: dict[str, DataFrame] | None = None,
+) -> DataFrame:
     """The customer_360 view.
 
     ``exact=True`` keeps money as decimal (for further SQL-track aggregation);
     otherwise decimals become double and integer counts bigint at the edge.
+    ``overrides`` supplies precomputed summaries by fact-table name.
     """
     customers = tables["customers"].select(*CUSTOMER_COLUMNS_360)
-    joined = left_join_all(customers, all_summaries(tables, "sql"))
+    joined = left_join_all(customers, all_summaries(tables, "sql", overrides))
     cols = [F.col(c) for c in CUSTOMER_COLUMNS_360]
     for name, default in SUMMARY_COLUMNS_360:
         cols.append(

@@ -38,12 +38,14 @@ def tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 @query("kpi_summary")
 def q_kpi_summary(spark, root):
-    return views.kpi_summary(views.customer_360(tables(spark, root), exact=True))
+    return views.kpi_summary(
+        views.customer_360(tables(spark, root), exact=True, overrides=roles.summary_overrides(spark, root, "sql"))
+    )
 
 
 @query("customer_360")
 def q_customer_360(spark, root):
-    return views.customer_360(tables(spark, root))
+    return views.customer_360(tables(spark, root), overrides=roles.summary_overrides(spark, root, "sql"))
 
 
 def _summary_query(table: str, build) -> QueryFn:
@@ -70,7 +72,9 @@ for _name, _table, _build in [
 
 
 def customer_features(spark: SparkSession, root: str) -> DataFrame:
-    return feat.build_customer_features(tables(spark, root))
+    return feat.build_customer_features(
+        tables(spark, root), overrides=roles.summary_overrides(spark, root, "features")
+    )
 
 
 @query("customer_features")
