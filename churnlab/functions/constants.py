@@ -75,6 +75,9 @@ MOBILE_PLAN_PRICES: dict[str, float] = {
     "Premium 5G": 85.0,
 }
 
+# --- fixed values: provenance label written on every cleaned customer row
+SOURCE_SYSTEM = "ibm_telco_sample"
+
 # --- fixed values: columns never used as model inputs
 TARGET_COLUMN = "churned"
 ID_COLUMNS: list[str] = ["customer_id"]

@@ -11,13 +11,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from churnlab.functions.constants import SOURCE_SYSTEM
 from churnlab.functions.scalar import snake_case, text_to_double, yes_no_to_boolean
 from churnlab.operators.quality import key_stats, validate_columns
 from churnlab.sources.schemas import RAW_CUSTOMER_COLUMNS
 
 YES_NO_COLUMNS = ["Partner", "Dependents", "PhoneService", "PaperlessBilling", "Churn"]
 BAD_VALUE_SAMPLE = 20
-SOURCE_SYSTEM = "ibm_telco_sample"
 
 
 def validate_source(raw: DataFrame) -> None:

@@ -174,6 +174,8 @@ def spread_for_cpu(df: DataFrame) -> DataFrame:
     one big file should not leave the work to one task.  With the many input
     splits of a large table this adds nothing.
     """
+    if df.isStreaming:
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < cores:
         return df.repartition(cores)
