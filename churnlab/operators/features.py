@@ -49,6 +49,20 @@ AMOUNT_COLUMNS = [
     "avg_offer_value",
 ]
 
+# Output order of the summary columns (the original roll-up order).
+SUMMARY_COLUMNS = [
+    "fixed_subscription_count", "fixed_mrr", "max_download_speed_mbps",
+    "mobile_subscription_count", "mobile_line_count", "mobile_mrr", "has_5g",
+    "byod_device_count", "avg_byod_device_age_months",
+    "total_data_gb", "avg_monthly_data_gb", "total_voice_minutes", "total_sms_count",
+    "invoice_count", "total_invoice_amount", "avg_invoice_amount", "late_payment_count",
+    "avg_days_late",
+    "network_incident_count", "total_incident_minutes", "avg_incident_minutes",
+    "support_ticket_count", "avg_resolution_hours", "cancellation_request_count",
+    "billing_complaint_count", "network_complaint_count",
+    "retention_offer_count", "accepted_offer_count", "avg_offer_value",
+]
+
 DERIVED_COLUMNS = [
     "total_mrr",
     "monthly_revenue_at_risk",
@@ -95,8 +109,7 @@ def build_customer_features(
             else F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c)
             if c in AMOUNT_COLUMNS
             else F.coalesce(F.col(c), F.lit(False)).alias(c)
-            for c in joined.columns
-            if c not in customers.columns
+            for c in SUMMARY_COLUMNS
         ],
         mrr_total.cast("double").alias("total_mrr"),
     )

@@ -12,7 +12,7 @@ use.  Types follow :mod:`churnlab.sources.schemas` (money as decimal).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnlab.functions.constants import COMPLAINT_LABELS, MOBILE_PLAN_PRICES
@@ -155,20 +155,96 @@ def _events(spark: SparkSession, root: str, event_type: str) -> DataFrame:
     return driver(spark, root, "events").filter(F.col("event_type") == event_type)
 
 
-def byod_devices(spark: SparkSession, root: str) -> DataFrame:
-    e = _events(spark, root, "view")
-    return e.select(
-        F.col("event_id").alias("device_id"),
-        F.col("user_id").alias("customer_id"),
-        F.lit("byod").alias("device_ownership"),
-        F.when(F.col("event_id") % 2 == 0, "ios").otherwise("android").alias("device_os"),
-        (F.lit(1) + F.regexp_extract("props", "([0-9]+)", 1).cast("int") % 48)
-        .cast("int")
-        .alias("device_age_months"),
-        F.lit(True).alias("is_synthetic"),
+# Column definitions of the four event roles over an ``events`` row, shared by
+# the per-role views and the one-pass combined summary (``event_facts``).
+def _byod_columns() -> dict[str, Column]:
+    return {
+        "device_id": F.col("event_id"),
+        "customer_id": F.col("user_id"),
+        "device_ownership": F.lit("byod"),
+        "device_os": F.when(F.col("event_id") % 2 == 0, "ios").otherwise("android"),
+        "device_age_months": (
+            F.lit(1) + F.regexp_extract("props", "([0-9]+)", 1).cast("int") % 48
+        ).cast("int"),
+        "is_synthetic": F.lit(True),
+    }
+
+
+def _network_columns() -> dict[str, Column]:
+    kinds = F.array(F.lit("outage"), F.lit("degraded_service"), F.lit("maintenance"))
+    return {
+        "incident_id": F.col("event_id"),
+        "customer_id": F.col("user_id"),
+        "incident_month": _month("ts"),
+        "incident_type": F.element_at(kinds, (F.col("event_id") % 3 + 1).cast("int")),
+        "duration_minutes": F.floor("value").cast("int"),
+        "service_affected": F.when(F.col("event_id") % 2 == 0, "fixed_broadband").otherwise(
+            "mobile"
+        ),
+        "is_synthetic": F.lit(True),
+    }
+
+
+def _support_columns() -> dict[str, Column]:
+    labels = F.array(*[normalize_label(F.lit(label)) for label in COMPLAINT_LABELS])
+    return {
+        "ticket_id": F.col("event_id"),
+        "customer_id": F.col("user_id"),
+        "ticket_month": _month("ts"),
+        "complaint_category_seed": F.element_at(labels, (F.col("event_id") % 7 + 1).cast("int")),
+        "priority": F.when(F.col("value") >= 300, "high")
+        .when(F.col("value") >= 100, "medium")
+        .otherwise("low"),
+        "resolution_hours": F.col("value").cast(MONEY),
+        "is_synthetic": F.lit(True),
+    }
+
+
+def _retention_columns() -> dict[str, Column]:
+    offers = F.array(F.lit("discount"), F.lit("bill_credit"), F.lit("device_upgrade"))
+    return {
+        "campaign_id": F.col("event_id"),
+        "customer_id": F.col("user_id"),
+        "campaign_month": _month("ts"),
+        "offer_type": F.element_at(offers, (F.col("event_id") % 3 + 1).cast("int")),
+        "offer_value": (F.lit(10) + F.lit(5) * (F.col("event_id") % 5)).cast(MONEY),
+        "accepted_offer": F.col("value") > 50,
+        "is_synthetic": F.lit(True),
+    }
+
+
+EVENT_ROLES = {
+    # role table: (event type, column builder)
+    "byod_devices": ("view", _byod_columns),
+    "network_incidents": ("error", _network_columns),
+    "support_tickets": ("click", _support_columns),
+    "retention_campaigns": ("signup", _retention_columns),
+}
+
+
+def _event_role(spark: SparkSession, root: str, table: str) -> DataFrame:
+    event_type, columns = EVENT_ROLES[table]
+    return _events(spark, root, event_type).select(
+        *[c.alias(name) for name, c in columns().items()]
     )
 
 
+def byod_devices(spark: SparkSession, root: str) -> DataFrame:
+    return _event_role(spark, root, "byod_devices")
+
+
+def event_facts(spark: SparkSession, root: str) -> DataFrame:
+    """All four event roles in one pass over ``events``: one row per event with
+    every role column, null unless the event has that role's type."""
+    cols = [F.col("user_id").alias("customer_id")]
+    for event_type, builder in EVENT_ROLES.values():
+        is_type = F.col("event_type") == event_type
+        for name, c in builder().items():
+            if name not in ("customer_id", "is_synthetic"):
+                cols.append(F.when(is_type, c).alias(name))
+    return driver(spark, root, "events").select(*cols)
+
+
 def monthly_usage(spark: SparkSession, root: str) -> DataFrame:
     li = driver(spark, root, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate"
@@ -208,11 +284,16 @@ def usage_partials(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def summary_overrides(spark: SparkSession, root: str, track: str = "features") -> dict[str, DataFrame]:
-    """Summaries computed closer to the driver tables than the role rows allow."""
-    from churnlab.operators.summaries import summarize_usage_partials
+def summary_overrides(spark: SparkSession, root: str, track: str = "features") -> dict:
+    """Summaries computed closer to the driver tables than the role rows allow:
+    line items pre-aggregated per order, and the four event roles summarised
+    in one scan and one shuffle of ``events``."""
+    from churnlab.operators.summaries import summarize_event_facts, summarize_usage_partials
 
-    return {"monthly_usage": summarize_usage_partials(usage_partials(spark, root), track)}
+    return {
+        "monthly_usage": summarize_usage_partials(usage_partials(spark, root), track),
+        tuple(EVENT_ROLES): summarize_event_facts(event_facts(spark, root), track),
+    }
 
 
 def billing_history(spark: SparkSession, root: str) -> DataFrame:
@@ -232,56 +313,15 @@ def billing_history(spark: SparkSession, root: str) -> DataFrame:
 
 
 def network_incidents(spark: SparkSession, root: str) -> DataFrame:
-    e = _events(spark, root, "error")
-    return e.select(
-        F.col("event_id").alias("incident_id"),
-        F.col("user_id").alias("customer_id"),
-        _month("ts").alias("incident_month"),
-        F.element_at(
-            F.array(F.lit("outage"), F.lit("degraded_service"), F.lit("maintenance")),
-            (F.col("event_id") % 3 + 1).cast("int"),
-        ).alias("incident_type"),
-        F.floor("value").cast("int").alias("duration_minutes"),
-        F.when(F.col("event_id") % 2 == 0, "fixed_broadband")
-        .otherwise("mobile")
-        .alias("service_affected"),
-        F.lit(True).alias("is_synthetic"),
-    )
+    return _event_role(spark, root, "network_incidents")
 
 
 def support_tickets(spark: SparkSession, root: str) -> DataFrame:
-    e = _events(spark, root, "click")
-    labels = F.array(*[normalize_label(F.lit(label)) for label in COMPLAINT_LABELS])
-    return e.select(
-        F.col("event_id").alias("ticket_id"),
-        F.col("user_id").alias("customer_id"),
-        _month("ts").alias("ticket_month"),
-        F.element_at(labels, (F.col("event_id") % 7 + 1).cast("int")).alias(
-            "complaint_category_seed"
-        ),
-        F.when(F.col("value") >= 300, "high")
-        .when(F.col("value") >= 100, "medium")
-        .otherwise("low")
-        .alias("priority"),
-        F.col("value").cast(MONEY).alias("resolution_hours"),
-        F.lit(True).alias("is_synthetic"),
-    )
+    return _event_role(spark, root, "support_tickets")
 
 
 def retention_campaigns(spark: SparkSession, root: str) -> DataFrame:
-    e = _events(spark, root, "signup")
-    return e.select(
-        F.col("event_id").alias("campaign_id"),
-        F.col("user_id").alias("customer_id"),
-        _month("ts").alias("campaign_month"),
-        F.element_at(
-            F.array(F.lit("discount"), F.lit("bill_credit"), F.lit("device_upgrade")),
-            (F.col("event_id") % 3 + 1).cast("int"),
-        ).alias("offer_type"),
-        (F.lit(10) + F.lit(5) * (F.col("event_id") % 5)).cast(MONEY).alias("offer_value"),
-        (F.col("value") > 50).alias("accepted_offer"),
-        F.lit(True).alias("is_synthetic"),
-    )
+    return _event_role(spark, root, "retention_campaigns")
 
 
 def ticket_texts(spark: SparkSession, root: str) -> DataFrame:
