@@ -149,6 +149,19 @@ def explanation_table(
     return tops.select(*cols)
 
 
+def with_explanation_columns(df: DataFrame, impacts: Column, n: int = TOP_FACTOR_COUNT) -> DataFrame:
+    """J3 without a join: the n (top_factor_i, top_factor_i_impact) columns added
+    to rows that already carry the model inputs."""
+    tops = df.withColumn("_top", top_drivers(impacts, n))
+    cols = []
+    for i in range(n):
+        cols += [
+            F.col("_top")[i]["name"].alias(f"top_factor_{i + 1}"),
+            F.col("_top")[i]["impact"].alias(f"top_factor_{i + 1}_impact"),
+        ]
+    return tops.select(*df.columns, *cols)
+
+
 def driver_rows(explanations: DataFrame, key: str = "customer_id", n: int = TOP_FACTOR_COUNT) -> DataFrame:
     """One row per (customer, rank) with factor and impact (unpivot)."""
     stacked = F.explode(

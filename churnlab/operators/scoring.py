@@ -83,15 +83,22 @@ def score_customers(
     features: DataFrame,
     probability: Column | str = "churn_probability",
     sort: bool = True,
+    keep_features: bool = False,
 ) -> DataFrame:
     """The risk score table.
 
     Carried columns + probability, risk band (P18), money at risk (P19),
     retention priority quartile (P21 + W1 + W2), recommended action (P20);
     sorted by priority text ascending then money at risk descending (T1).
+
+    ``keep_features=True`` carries every feature column instead of the 13
+    score columns: the features joined to their scores (J2) without running
+    the feature plan a second time for a join.
     """
     p = F.col(probability) if isinstance(probability, str) else probability
-    base = features.select(*SCORE_COLUMNS, p.cast("double").alias("churn_probability"))
+    carried = features.columns if keep_features else SCORE_COLUMNS
+    carried = [c for c in carried if c != "churn_probability"]
+    base = features.select(*carried, p.cast("double").alias("churn_probability"))
     scored = base.select(
         "*",
         risk_category("churn_probability").alias("risk_category"),

@@ -132,9 +132,11 @@ def q_action_counts(spark, root):
 
 
 def customer_scores(spark: SparkSession, root: str) -> DataFrame:
+    """Every feature column plus the score columns, scored in one pass."""
     features = customer_features(spark, root)
-    scores = scoring.score_customers(features, scoring.scorecard_probability(), sort=False)
-    return reports.customer_scores(features, scores)
+    return scoring.score_customers(
+        features, scoring.scorecard_probability(), sort=False, keep_features=True
+    )
 
 
 @query("executive_tiles")
@@ -149,12 +151,16 @@ def q_top25_at_risk(spark, root):
 
 @query("customer_detail")
 def q_customer_detail(spark, root):
+    """One customer's features, scores and drivers (J2 + J3 + L6)."""
     features = customer_features(spark, root)
-    scores = scoring.score_customers(features, scoring.scorecard_probability(), sort=False)
-    c360 = reports.with_explanations(
-        reports.customer_scores(features, scores), explanations(spark, root, features)
+    background = explain.linear_background(features, scoring.SCORECARD)
+    c360 = scoring.score_customers(
+        features, scoring.scorecard_probability(), sort=False, keep_features=True
     )
-    return reports.customer_detail(c360, DETAIL_CUSTOMER_ID)
+    with_drivers = explain.with_explanation_columns(
+        c360, explain.linear_impacts(c360, scoring.SCORECARD, background)
+    )
+    return reports.customer_detail(with_drivers, DETAIL_CUSTOMER_ID)
 
 
 @query("explanations_linear")
@@ -264,19 +270,34 @@ def q_quota_sample(spark, root):
 
 @query("quota_features")
 def q_quota_features(spark, root):
+    """The features of the quota-sampled customers, by id.  Scores carry the
+    feature columns, so the sample and its features come from one scored pass."""
     features = customer_features(spark, root)
-    scores = scoring.score_customers(features, scoring.scorecard_probability(), sort=False)
-    picked = quota_sample(scores).select("customer_id")
-    return features.join(picked, "customer_id", "left_semi").orderBy("customer_id")
+    full = customer_scores_from(features)
+    picked = quota_sample(full).select("customer_id")
+    return (
+        full.join(picked, "customer_id", "left_semi")
+        .select(*features.columns)
+        .orderBy("customer_id")
+    )
 
 
 @query("demo_subset")
 def q_demo_subset(spark, root):
+    """The explanations of the quota-sampled customers, by id."""
     features = customer_features(spark, root)
-    scores = scoring.score_customers(features, scoring.scorecard_probability(), sort=False)
-    picked = quota_sample(scores).select("customer_id")
-    return explanations(spark, root, features).join(picked, "customer_id", "left_semi").orderBy(
-        "customer_id"
+    background = explain.linear_background(features, scoring.SCORECARD)
+    full = customer_scores_from(features)
+    picked = quota_sample(full).select("customer_id")
+    explained = explain.explanation_table(
+        full, F.col("churn_probability"), explain.linear_impacts(full, scoring.SCORECARD, background)
+    )
+    return explained.join(picked, "customer_id", "left_semi").orderBy("customer_id")
+
+
+def customer_scores_from(features: DataFrame) -> DataFrame:
+    return scoring.score_customers(
+        features, scoring.scorecard_probability(), sort=False, keep_features=True
     )
 
 
@@ -471,9 +492,8 @@ def q_complaint_samples(spark, root):
 @query("run_summary")
 def q_run_summary(spark, root):
     """The figures each batch step prints, as (metric, value) rows."""
-    features = customer_features(spark, root)
-    scores = scoring.score_customers(features, scoring.scorecard_probability(), sort=False)
-    feature_stats = features.agg(
+    scores = customer_scores(spark, root)  # features and scores, one pass
+    feature_stats = scores.agg(
         F.count(F.lit(1)).cast("double").alias("feature_rows"),
         reports.boolean_rate("churned").alias("churn_rate"),
         reports.money_sum("monthly_revenue_at_risk").alias("monthly_revenue_at_risk"),

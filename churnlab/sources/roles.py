@@ -26,8 +26,17 @@ DRIVER_TABLES = (
 ).split()
 
 
+# Driver tables read in this session: one file listing and footer read per
+# table, and one relation instance, so plans that use a table several times
+# are built quickly and can share exchanges.
+_READS: dict[tuple[int, str, str], DataFrame] = {}
+
+
 def driver(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return read_table(spark, root, name)
+    key = (id(spark), root.rstrip("/"), name)
+    if key not in _READS:
+        _READS[key] = read_table(spark, root, name)
+    return _READS[key]
 
 
 def _month(ts_col: str):
