@@ -87,7 +87,6 @@ def build_customer_features(
     scan that carries a month column.  ``overrides`` supplies precomputed
     summaries by fact-table name (not filtered by ``as_of_month``).
     """
-    tables = dict(tables)
     if as_of_month is not None:
         tables = _as_of(tables, as_of_month)
     customers = tables["customers"]

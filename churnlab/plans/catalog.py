@@ -71,6 +71,7 @@ for _name, _table, _build in [
 # --- feature track ---------------------------------------------------------
 
 
+@roles.session_plan
 def customer_features(spark: SparkSession, root: str) -> DataFrame:
     return feat.build_customer_features(
         tables(spark, root), overrides=roles.summary_overrides(spark, root, "features")
@@ -548,7 +549,7 @@ def train_config() -> ml.TrainConfig:
 
 def trained_models(spark: SparkSession, root: str, config: ml.TrainConfig | None = None):
     config = config or train_config()
-    key = (root, repr(config))
+    key = (spark.sparkContext.applicationId, root, repr(config))
     if key not in _TRAINED:
         features = customer_features(spark, root).persist()
         best, rows, models = ml.train_and_evaluate(features, config)

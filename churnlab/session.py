@@ -47,7 +47,7 @@ def build_session(
     return spark
 
 
-_SHIPPED: set[int] = set()
+_SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -56,7 +56,7 @@ def ship_package(spark: SparkSession) -> None:
     Needed by the few Python stages (``mapInPandas``); done once per context.
     """
     sc = spark.sparkContext
-    if id(sc) in _SHIPPED:
+    if sc.applicationId in _SHIPPED:
         return
     import shutil
 
@@ -69,7 +69,7 @@ def ship_package(spark: SparkSession) -> None:
         base_dir=os.path.basename(package_dir),
     )
     sc.addPyFile(archive)
-    _SHIPPED.add(id(sc))
+    _SHIPPED.add(sc.applicationId)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:

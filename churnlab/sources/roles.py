@@ -12,6 +12,9 @@ use.  Types follow :mod:`churnlab.sources.schemas` (money as decimal).
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,20 +32,39 @@ DRIVER_TABLES = (
 # Driver tables read in this session: one file listing and footer read per
 # table, and one relation instance, so plans that use a table several times
 # are built quickly and can share exchanges.
-_READS: dict[tuple[int, str, str], DataFrame] = {}
+_READS: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def driver(spark: SparkSession, root: str, name: str) -> DataFrame:
-    key = (id(spark), root.rstrip("/"), name)
+    key = (spark.sparkContext.applicationId, root.rstrip("/"), name)
     if key not in _READS:
         _READS[key] = read_table(spark, root, name)
     return _READS[key]
 
 
+_PLANS: dict[tuple, DataFrame] = {}
+
+
+def session_plan(build):
+    """Memoise a lazy DataFrame builder ``build(spark, root)`` per session and
+    root.  Only the plan object is kept (DataFrames are immutable); nothing is
+    computed or cached in memory by this."""
+
+    @functools.wraps(build)
+    def wrapper(spark: SparkSession, root: str) -> DataFrame:
+        key = (build.__module__, build.__qualname__, spark.sparkContext.applicationId, root.rstrip("/"))
+        if key not in _PLANS:
+            _PLANS[key] = build(spark, root)
+        return _PLANS[key]
+
+    return wrapper
+
+
 def _month(ts_col: str):
     return F.date_format(F.col(ts_col), "yyyy-MM")
 
 
+@session_plan
 def customers(spark: SparkSession, root: str) -> DataFrame:
     c = driver(spark, root, "customer")
     n = driver(spark, root, "nation").select("n_nationkey", "n_regionkey")
@@ -127,12 +149,14 @@ def customers(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+@session_plan
 def fixed_subscriptions(spark: SparkSession, root: str) -> DataFrame:
     from churnlab.operators.enrich import fixed_subscriptions_from_customers
 
     return fixed_subscriptions_from_customers(customers(spark, root))
 
 
+@session_plan
 def mobile_subscriptions(spark: SparkSession, root: str) -> DataFrame:
     o = driver(spark, root, "orders").filter(F.col("o_orderstatus") == "P")
     digit = F.substring(F.col("o_orderpriority"), 1, 1)
@@ -238,10 +262,12 @@ def _event_role(spark: SparkSession, root: str, table: str) -> DataFrame:
     )
 
 
+@session_plan
 def byod_devices(spark: SparkSession, root: str) -> DataFrame:
     return _event_role(spark, root, "byod_devices")
 
 
+@session_plan
 def event_facts(spark: SparkSession, root: str) -> DataFrame:
     """All four event roles in one pass over ``events``: one row per event with
     every role column, null unless the event has that role's type."""
@@ -254,6 +280,7 @@ def event_facts(spark: SparkSession, root: str) -> DataFrame:
     return driver(spark, root, "events").select(*cols)
 
 
+@session_plan
 def monthly_usage(spark: SparkSession, root: str) -> DataFrame:
     li = driver(spark, root, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate"
@@ -272,6 +299,7 @@ def monthly_usage(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+@session_plan
 def usage_partials(spark: SparkSession, root: str) -> DataFrame:
     """Usage measures pre-aggregated per order before the join with orders.
 
@@ -305,6 +333,7 @@ def summary_overrides(spark: SparkSession, root: str, track: str = "features") -
     }
 
 
+@session_plan
 def billing_history(spark: SparkSession, root: str) -> DataFrame:
     o = driver(spark, root, "orders")
     late = F.col("o_orderpriority") == "5-LOW"
@@ -321,18 +350,22 @@ def billing_history(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+@session_plan
 def network_incidents(spark: SparkSession, root: str) -> DataFrame:
     return _event_role(spark, root, "network_incidents")
 
 
+@session_plan
 def support_tickets(spark: SparkSession, root: str) -> DataFrame:
     return _event_role(spark, root, "support_tickets")
 
 
+@session_plan
 def retention_campaigns(spark: SparkSession, root: str) -> DataFrame:
     return _event_role(spark, root, "retention_campaigns")
 
 
+@session_plan
 def ticket_texts(spark: SparkSession, root: str) -> DataFrame:
     """Complaint tickets with free text: documents, seeded from their labels."""
     d = driver(spark, root, "documents").select("doc_id", "text")
@@ -363,14 +396,33 @@ ROLES = {
 }
 
 
-def domain_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """All nine role tables, keyed by their schema name."""
-    return {name: build(spark, root) for name, build in ROLES.items()}
+class DomainTables(Mapping):
+    """The nine role tables, keyed by schema name, each built on first use
+    (a query that replaces a summary never builds that role's rows)."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self._spark, self._root, self._built = spark, root, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = ROLES[name](self._spark, self._root)
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(ROLES)
+
+    def __len__(self) -> int:
+        return len(ROLES)
+
+
+def domain_tables(spark: SparkSession, root: str) -> DomainTables:
+    """All nine role tables, keyed by their schema name (built lazily)."""
+    return DomainTables(spark, root)
 
 
 def register_views(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """Register the role tables as temp views (S9) and return them."""
-    tables = domain_tables(spark, root)
+    tables = dict(domain_tables(spark, root))
     tables["ticket_texts"] = ticket_texts(spark, root)
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
