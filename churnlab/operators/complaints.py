@@ -193,15 +193,22 @@ def classify_support_tickets(
 
 
 def _attach(df: DataFrame) -> DataFrame:
+    """Predicted label, score and seed match from the ``_res`` struct.
+
+    The three columns come out of an ``inline`` generator: filters on them
+    (e.g. dropping null categories before an aggregate) then stay above the
+    generator instead of being pushed into the projection, where they would
+    re-run the whole-text classification once per reference.
+    """
     predicted = F.col("_res")["label"]
-    return df.select(
-        *[c for c in df.columns if c != "_res"],
+    outputs = F.struct(
         predicted.alias("complaint_category_predicted"),
         F.col("_res")["score"].alias("complaint_category_score"),
         F.coalesce(predicted == F.col("complaint_category_seed"), F.lit(False)).alias(
             "complaint_category_matches_seed"
         ),
     )
+    return df.select(*[c for c in df.columns if c != "_res"], F.inline(F.array(outputs)))
 
 
 # --- pluggable classifier on distinct texts ----------------------------------
