@@ -160,3 +160,31 @@ def score_distribution(df: DataFrame, group_col: str, score_col: str) -> DataFra
             "max_score",
         )
     )
+
+
+# --- P32: display text (report layer only) -----------------------------------
+
+
+def format_currency(c: str | Column, decimals: int = 0) -> Column:
+    """'$1,234' style text of a money column (rounded on the binary value, as Python's format)."""
+    x = F.col(c) if isinstance(c, str) else c
+    text = F.format_number(F.abs(x), decimals)
+    return F.when(x.isNull(), F.lit(None)).when(
+        x < 0, F.concat(F.lit("-$"), text)
+    ).otherwise(F.concat(F.lit("$"), text))
+
+
+def format_percent(c: str | Column, decimals: int = 1) -> Column:
+    """'23.4%' style text of a rate in [0, 1]."""
+    x = F.col(c) if isinstance(c, str) else c
+    return F.concat(F.format_number(x * F.lit(100.0), decimals), F.lit("%"))
+
+
+def executive_tiles_text(tiles: DataFrame) -> DataFrame:
+    """R1 as the dashboard shows it: counts with separators, rate and money as text."""
+    return tiles.select(
+        F.format_number(F.col("customers"), 0).alias("customers"),
+        format_percent("churn_rate", 1).alias("observed_churn_rate"),
+        format_currency("total_mrr", 0).alias("monthly_recurring_revenue"),
+        format_currency("expected_revenue_at_risk", 0).alias("expected_monthly_revenue_at_risk"),
+    )
