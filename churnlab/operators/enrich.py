@@ -68,6 +68,19 @@ def fixed_subscriptions_from_customers(customers: DataFrame) -> DataFrame:
     )
 
 
+def fixed_summary_columns(spine: DataFrame) -> list[Column]:
+    """A1 for the one-fixed-line-per-customer rule, as columns of the customer
+    row itself: count 1, MRR = monthly charges, speed from the plan mapping.
+
+    Equal to summarising :func:`fixed_subscriptions_from_customers` when each
+    customer id appears once (the cleaned table's key rule)."""
+    return [
+        F.lit(1).cast("bigint").alias("fixed_subscription_count"),
+        F.col("monthly_charges").alias("fixed_mrr"),
+        fixed_plan_speed().alias("max_download_speed_mbps"),
+    ]
+
+
 def month_grid(customers: DataFrame, start: str = "2024-01", end: str = "2024-12") -> DataFrame:
     """Every customer x every month in [start, end], months as 'YYYY-MM'.
 

@@ -56,9 +56,15 @@ def range_tagged(
 
 
 def _join_small(big: DataFrame, small: DataFrame, keys: list[str], rows: int) -> DataFrame:
-    if rows <= BROADCAST_ROW_LIMIT:
-        return big.join(F.broadcast(small), keys, "inner")
-    return big.join(small, keys, "inner")
+    """Inner join on ``keys`` with null-safe equality (a NULL group is a group),
+    broadcasting ``small`` only under the checked row count."""
+    renamed = small.select(*[F.col(c).alias(f"_s_{c}") if c in keys else F.col(c) for c in small.columns])
+    cond = None
+    for k in keys:
+        term = big[k].eqNullSafe(renamed[f"_s_{k}"])
+        cond = term if cond is None else cond & term
+    right = F.broadcast(renamed) if rows <= BROADCAST_ROW_LIMIT else renamed
+    return big.join(right, cond, "inner").drop(*[f"_s_{k}" for k in keys])
 
 
 def global_rank(

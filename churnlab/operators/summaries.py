@@ -163,7 +163,8 @@ def all_summaries(
 
     ``overrides`` maps a fact-table name - or a tuple of names - to an already
     computed summary with the same columns (e.g. one pre-aggregated closer to
-    its source, or several summaries computed in one pass).
+    its source, or several summaries computed in one pass), or to a function of
+    the customer spine returning those columns.
     """
     overrides = overrides or {}
     covered = {name: key for key in overrides for name in (key if isinstance(key, tuple) else (key,))}
@@ -196,17 +197,22 @@ def summarize_usage_partials(partials: DataFrame, track: str = "features") -> Da
     return partials.groupBy(KEY).agg(*aggs)
 
 
-def left_join_all(spine: DataFrame, summaries: list[DataFrame]) -> DataFrame:
+def left_join_all(spine: DataFrame, summaries: list) -> DataFrame:
     """Spine left-joined to every summary on ``customer_id``.
 
     Summaries are unique per key, so the spine's row count is kept.  With
     sort-merge joins the spine is exchanged once and its hash partitioning is
     reused by every later join; AQE broadcasts a summary only when its measured
-    size is under the broadcast threshold.
+    size is under the broadcast threshold.  A summary given as a function of the
+    spine (one fact row per customer, derived from the customer row) is added
+    as columns, with no aggregate and no join.
     """
     out = spine
     for summary in summaries:
-        out = out.join(summary, KEY, "left")
+        if callable(summary):
+            out = out.select("*", *summary(out))
+        else:
+            out = out.join(summary, KEY, "left")
     return out
 
 

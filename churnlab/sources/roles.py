@@ -323,11 +323,14 @@ def usage_partials(spark: SparkSession, root: str) -> DataFrame:
 
 def summary_overrides(spark: SparkSession, root: str, track: str = "features") -> dict:
     """Summaries computed closer to the driver tables than the role rows allow:
-    line items pre-aggregated per order, and the four event roles summarised
-    in one scan and one shuffle of ``events``."""
+    the fixed line as columns of the customer row (one per customer), line
+    items pre-aggregated per order, and the four event roles summarised in one
+    scan and one shuffle of ``events``."""
+    from churnlab.operators.enrich import fixed_summary_columns
     from churnlab.operators.summaries import summarize_event_facts, summarize_usage_partials
 
     return {
+        "fixed_subscriptions": fixed_summary_columns,
         "monthly_usage": summarize_usage_partials(usage_partials(spark, root), track),
         tuple(EVENT_ROLES): summarize_event_facts(event_facts(spark, root), track),
     }

@@ -68,3 +68,11 @@ def test_rank_property(spark, values):
     got = {r["k"]: r["r"] for r in ranking.global_rank(df, [F.col("s").asc(), F.col("k").asc()], "r").collect()}
     expected = {k: i + 1 for i, (_, k) in enumerate(sorted((v, k) for k, v in enumerate(values)))}
     assert got == expected
+
+
+def test_group_rank_keeps_null_group(spark):
+    df = spark.createDataFrame([(i, None if i % 3 == 0 else i % 2 == 0) for i in range(30)], "k long, g boolean")
+    got = ranking.global_rank(df, [F.col("k").asc()], "r", "n", group_cols=["g"])
+    assert got.count() == 30
+    nulls = sorted((r["k"], r["r"], r["n"]) for r in got.filter("g IS NULL").collect())
+    assert nulls == [(k, i + 1, 10) for i, k in enumerate(range(0, 30, 3))]
