@@ -31,6 +31,15 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+SPARK_TO_DUCK = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+}
+
+
 def _norm(v):
     if v is None:
         return (0, "")
@@ -61,6 +70,15 @@ def compare(spark, con, name: str, sf_dir: str, verbose: bool = True) -> dict:
         return out
     rel = con.sql(sql)
     d_cols = rel.columns
+    s_types = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
+    d_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    type_issues = {
+        c: (s_types[c], d_types[c])
+        for c in s_types
+        if c in d_types and SPARK_TO_DUCK.get(s_types[c], s_types[c].upper()) != d_types[c]
+    }
+    if type_issues:
+        out["type_issues"] = type_issues
     d_rows = rel.fetchall()
     out["oracle_rows"] = len(d_rows)
     if sorted(s_cols) != sorted(d_cols):
@@ -72,7 +90,7 @@ def compare(spark, con, name: str, sf_dir: str, verbose: bool = True) -> dict:
         return out
     a, b = _rows(s_cols, s_rows), _rows(d_cols, d_rows)
     if a == b:
-        out["status"] = "match"
+        out["status"] = "match" if not type_issues else "types"
         return out
     out["status"] = "values"
     names = sorted(s_cols)
