@@ -41,3 +41,29 @@ def test_cluster_conf_sizes_partitions():
     assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 1024**4 // (256 * 1024**2)
     small = cluster_conf(10 * 1024**2, 8)
     assert small["spark.sql.shuffle.partitions"] == "16"
+
+
+ROW_LEVEL_QUERIES = [
+    "customer_features", "customer_360", "kpi_summary", "risk_scores", "explanations_linear",
+    "eval_metrics", "stratified_split", "fraction_sample", "quota_sample", "surrogate_ids",
+    "top25_at_risk", "complaints_classified", "key_audit", "profile_columns",
+]
+
+
+def test_no_row_level_data_in_a_single_partition(spark):
+    """Every SinglePartition exchange sits above a global partial aggregate (one
+    row per task) or above a per-partition offset table (one row per range
+    partition): never above customer-level rows."""
+    import __spark_entry__ as entry
+    from tests.conftest import SF_SMALL
+
+    queries = entry.queries()
+    for name in ROW_LEVEL_QUERIES:
+        lines = queries[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString().splitlines()
+        for i, line in enumerate(lines):
+            if "Exchange SinglePartition" not in line:
+                continue
+            below = lines[i + 1]
+            global_partial = "HashAggregate(keys=[]" in below and "partial_" in below
+            offsets = "HashAggregate(keys=[_pid" in below
+            assert global_partial or offsets, (name, line.strip(), below.strip())
