@@ -167,18 +167,18 @@ def lexicon_classify(
 
 
 def spread_for_cpu(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over the cluster's cores when the input would keep
-    fewer than a quarter of them busy (e.g. a few large single-row-group files).
+    """Round-robin the rows over the cluster's cores when the input has fewer
+    partitions than cores (e.g. a few large single-row-group files).
 
-    Classifying text costs far more CPU per byte than reading it, so a scan of
-    one big file should not leave the work to one task.  An input that already
-    has many splits is left alone: shuffling every text to gain a little
-    parallelism would cost more than it saves.
+    Classifying text costs far more CPU per byte than moving it (the regex
+    scan runs at a few MB/s per core; a shuffle moves hundreds), so idle cores
+    cost more than one round-robin exchange of the rows.  An input with at
+    least one split per core is left as it is.
     """
     if df.isStreaming:
         return df
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() * 4 <= cores:
+    if df.rdd.getNumPartitions() < cores:
         return df.repartition(cores)
     return df
 
