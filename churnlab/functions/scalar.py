@@ -28,6 +28,12 @@ def round_half_up(c: str | Column, digits: int) -> Column:
     return F.floor(col_(c) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
 
 
+def strip_whitespace(c: str | Column) -> Column:
+    """Remove leading and trailing whitespace of any kind (tabs and newlines too,
+    not only the spaces ``trim`` removes)."""
+    return F.regexp_replace(col_(c), r"^\s+|\s+$", "")
+
+
 def snake_case(c: str | Column) -> Column:
     """Trim, lower, runs of [^a-z0-9] to '_', strip '_'; null stays null."""
     replaced = F.regexp_replace(F.lower(F.trim(col_(c))), "[^a-z0-9]+", "_")
@@ -50,7 +56,7 @@ def text_to_double(c: str | Column) -> Column:
 
     The regex guard keeps Spark from accepting forms such as '1d' or 'nan'.
     """
-    trimmed = F.trim(col_(c))
+    trimmed = strip_whitespace(c)
     return F.when(
         trimmed.rlike(NUMERIC_TEXT_PATTERN), trimmed.try_cast("double")
     )

@@ -12,7 +12,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnlab.functions.constants import SOURCE_SYSTEM
-from churnlab.functions.scalar import snake_case, text_to_double, yes_no_to_boolean
+from churnlab.functions.scalar import (
+    snake_case,
+    strip_whitespace,
+    text_to_double,
+    yes_no_to_boolean,
+)
 from churnlab.operators.quality import key_stats, validate_columns
 from churnlab.sources.schemas import RAW_CUSTOMER_COLUMNS
 
@@ -73,7 +78,7 @@ def clean_customer_data(raw: DataFrame, check: bool = True) -> DataFrame:
 
     total = F.coalesce(text_to_double("TotalCharges"), F.lit(0.0))
     cleaned = raw.select(
-        F.trim(F.col("customerID")).alias("customer_id"),
+        strip_whitespace("customerID").alias("customer_id"),
         snake_case("gender").alias("gender"),
         F.col("SeniorCitizen").cast("boolean").alias("senior_citizen"),
         yes_no_to_boolean("Partner").alias("has_partner"),

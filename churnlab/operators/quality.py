@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from churnlab.functions.scalar import text_to_double
+from churnlab.functions.scalar import strip_whitespace, text_to_double
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -59,7 +59,7 @@ def key_stats(df: DataFrame, key: str) -> DataFrame:
     k = F.col(key)
     is_string = isinstance(df.schema[key].dataType, T.StringType)
     per_key = df.groupBy(k.alias("_k")).agg(F.count(F.lit(1)).alias("_c"))
-    trimmed = F.trim(F.col("_k")) if is_string else F.col("_k")
+    trimmed = strip_whitespace(F.col("_k")) if is_string else F.col("_k")
     per_trimmed = per_key.groupBy(trimmed.alias("_t")).agg(
         F.sum("_c").alias("_c"), F.count(F.lit(1)).alias("_raw")
     )
@@ -184,7 +184,7 @@ def profile_columns(df: DataFrame, exact_distinct: bool = True) -> DataFrame:
     text_stats = long.groupBy("column_name").agg(
         F.count(F.lit(1)).alias("row_count"),
         F.count_if(F.col("value").isNull()).alias("null_count"),
-        F.count_if(F.trim(F.col("value")) == "").alias("blank_count"),
+        F.count_if(strip_whitespace("value") == "").alias("blank_count"),
         distinct.cast("bigint").alias("distinct_count"),
         F.count_if(F.col("value").isNotNull() & text_to_double("value").isNull()).alias(
             "parse_failure_count"

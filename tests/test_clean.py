@@ -108,3 +108,10 @@ def test_read_raw_csv_rejects_extra_column(spark, tmp_path):
     path.write_text(",".join(RAW_CUSTOMER_COLUMNS + ["Extra"]) + "\n")
     with pytest.raises(ValueError, match="Extra"):
         read_raw_customers(spark, str(path))
+
+
+def test_whitespace_is_stripped_like_a_string_strip(spark):
+    out = clean_customer_data(raw(spark, [dict(ROW_1, customerID="\t0001-AAAAA\n"), dict(ROW_2, TotalCharges="\t843.00 ")]))
+    rows = {r["customer_id"]: r for r in out.collect()}
+    assert set(rows) == {"0001-AAAAA", "0002-BBBBB"}
+    assert rows["0002-BBBBB"]["total_charges"] == 843.0

@@ -50,3 +50,9 @@ def test_label_distribution_drops_nulls(spark):
     df = spark.createDataFrame([("Yes",), ("No",), ("No",), (None,)], "Churn string")
     got = {r[0]: r[1] for r in quality.label_distribution(df, "Churn").collect()}
     assert got == {"Yes": 1, "No": 2}
+
+
+def test_blank_counts_any_whitespace(spark):
+    df = spark.createDataFrame([("\t",), (" \n ",), ("x",), (None,)], "s string")
+    row = quality.profile_columns(df).first()
+    assert row["blank_count"] == 2 and row["null_count"] == 1

@@ -39,3 +39,20 @@ def test_required_columns(spark):
     require_columns(df, ["ticket_id", "customer_id"])
     with pytest.raises(ValueError, match=r"\['ticket_text'\]"):
         require_columns(df, ["ticket_id", "customer_id", "ticket_text"], "Support tickets")
+
+
+def test_join_based_customer_360(spark):
+    features = spark.createDataFrame([(1, 10.0), (2, 20.0)], "customer_id long, total_mrr double")
+    scores = spark.createDataFrame(
+        [(1, 0.5, "medium", "high", "monitor", 5.0)],
+        "customer_id long, churn_probability double, risk_category string, retention_priority string, "
+        "recommended_action string, estimated_monthly_revenue_at_risk double",
+    )
+    c360 = reports.customer_scores(features, scores)
+    assert c360.count() == 2 and c360.filter("customer_id = 2").first()["risk_category"] is None
+    assert reports.with_explanations(c360, None) is c360
+    expl = spark.createDataFrame([(1, "a", 1.0, "b", 0.5, "c", 0.1)], ", ".join(
+        f"{c} {'long' if c == 'customer_id' else 'double' if c.endswith('impact') else 'string'}"
+        for c in reports.EXPLANATION_COLUMNS))
+    joined = reports.with_explanations(c360, expl)
+    assert joined.filter("customer_id = 1").first()["top_factor_1"] == "a"
