@@ -11,11 +11,28 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import functions as F
+
+from churnlab.functions.constants import QUOTA_REST_BAND, QUOTA_SHARES
+from churnlab.functions.scalar import snake_case
+from churnlab.operators import (
+    complaints,
+    enrich,
+    explain,
+    metrics,
+    ml,
+    quality,
+    ranking,
+    scoring,
+    tree_explain,
+    views,
+)
 from churnlab.operators import features as feat
 from churnlab.operators import summaries as summ
-from churnlab.operators import views
-from churnlab.sources import roles
+from churnlab.plans import reports
+from churnlab.session import ensure_checkpoint_dir
+from churnlab.sources import roles, schemas
+from churnlab.sources.io import file_fingerprints
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -85,11 +102,6 @@ def q_customer_features(spark, root):
 
 # --- scoring, explanations, reports ----------------------------------------
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from churnlab.functions.constants import QUOTA_REST_BAND, QUOTA_SHARES  # noqa: E402
-from churnlab.operators import explain, metrics, ml, ranking, scoring  # noqa: E402
-from churnlab.plans import reports  # noqa: E402
 
 DETAIL_CUSTOMER_ID = 42
 DEMO_ROW_COUNT = 500
@@ -304,11 +316,6 @@ def customer_scores_from(features: DataFrame) -> DataFrame:
 
 # --- quality and profiling ---------------------------------------------------
 
-from churnlab.functions.scalar import snake_case  # noqa: E402
-from churnlab.operators import complaints, enrich, quality  # noqa: E402
-from churnlab.sources import schemas  # noqa: E402
-from churnlab.sources.io import file_fingerprints  # noqa: E402
-
 
 @query("key_audit")
 def q_key_audit(spark, root):
@@ -534,8 +541,6 @@ def q_file_fingerprints(spark, root):
 
 # --- model training, scoring and tree explanations (rows-only checks) --------
 
-from churnlab.operators import tree_explain  # noqa: E402
-from churnlab.session import ensure_checkpoint_dir  # noqa: E402
 
 # Fitted models of this driver process, keyed by input folder and settings, so
 # the three model queries train once per session.  Holds model objects only.
