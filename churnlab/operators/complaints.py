@@ -53,8 +53,10 @@ COMMON_WORD_LEXICON: list[list[str]] = [
 
 TOKEN_SPLIT = "[^A-Za-z0-9]+"
 
-# Classifiers built in this Python worker, reused by later tasks of the job.
+# Classifiers built in this Python worker, reused by later tasks of the job;
+# only the most recent few are kept so long-lived workers do not accumulate models.
 _WORKER_CLASSIFIERS: dict[str, Callable] = {}
+_WORKER_CACHE_SIZE = 4
 
 
 def word_pattern(words: Sequence[str]) -> str:
@@ -240,6 +242,8 @@ def classify_with(
 
         classify = _WORKER_CLASSIFIERS.get(token)
         if classify is None:
+            while len(_WORKER_CLASSIFIERS) >= _WORKER_CACHE_SIZE:
+                _WORKER_CLASSIFIERS.pop(next(iter(_WORKER_CLASSIFIERS)))
             classify = _WORKER_CLASSIFIERS[token] = classifier_factory()
         for pdf in batches:
             out_labels, out_scores = [], []
