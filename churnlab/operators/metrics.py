@@ -73,13 +73,17 @@ def evaluate_predictions(
     positives = tp + fn
     negatives = fp + tn
     return both.select(
+        # undefined (NULL) when the hold-out lacks one of the classes
         round_half_up(
-            F.col("_auc_sum") / (positives.cast("double") * negatives.cast("double")),
+            F.when(
+                (positives > 0) & (negatives > 0),
+                F.col("_auc_sum") / (positives.cast("double") * negatives.cast("double")),
+            ),
             METRIC_DIGITS,
         ).alias("roc_auc"),
-        round_half_up(F.col("_ap_sum") / positives.cast("double"), METRIC_DIGITS).alias(
-            "average_precision"
-        ),
+        round_half_up(
+            F.when(positives > 0, F.col("_ap_sum") / positives.cast("double")), METRIC_DIGITS
+        ).alias("average_precision"),
         ratio(tp + tn, tp + fp + fn + tn).alias("accuracy"),
         ratio(tp, tp + fp).alias("precision"),
         ratio(tp, tp + fn).alias("recall"),

@@ -151,3 +151,10 @@ def test_model_save_load(spark, training, tmp_path):
     assert a == b
     with pytest.raises(FileNotFoundError):
         load_model(str(tmp_path / "missing"))
+
+
+def test_metrics_with_one_class(spark):
+    df = spark.createDataFrame([(False, 0.2), (False, 0.7)], "churned boolean, churn_probability double")
+    row = evaluate_predictions(df).first()
+    assert row["roc_auc"] is None and row["average_precision"] is None
+    assert row["accuracy"] == 0.5 and row["precision"] == 0.0 and row["recall"] == 0.0
