@@ -449,6 +449,14 @@ def q_complaints_classified(spark, root):
     return classified_tickets(spark, root)
 
 
+@query("conversation_complaints")
+def q_conversation_complaints(spark, root):
+    """The built-in classifier over every user turn of the chat logs."""
+    return complaints.classify_support_tickets(
+        roles.conversation_turns(spark, root), complaints.COMMON_WORD_LEXICON
+    )
+
+
 @query("complaints_udf")
 def q_complaints_udf(spark, root):
     lexicon = complaints.COMMON_WORD_LEXICON

@@ -386,6 +386,19 @@ def ticket_texts(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+@session_plan
+def conversation_turns(spark: SparkSession, root: str) -> DataFrame:
+    """Customer-written chat turns as complaint texts (a second text source):
+    one ticket per user turn, keyed conv_id * 1000 + turn, no seed label."""
+    c = driver(spark, root, "conversations").filter(F.col("role") == "user")
+    return c.select(
+        (F.col("conv_id") * 1000 + F.col("turn")).alias("ticket_id"),
+        F.col("conv_id").alias("customer_id"),
+        F.col("text").alias("ticket_text"),
+        F.lit(None).cast("string").alias("complaint_category_seed"),
+    )
+
+
 ROLES = {
     "customers": customers,
     "fixed_subscriptions": fixed_subscriptions,
