@@ -113,6 +113,8 @@ def standardizer_stage(stats_row: dict, columns: list[str], suffix: str = "__std
 
 # --- M6: balanced class weights -------------------------------------------
 
+CLASS_BROADCAST_LIMIT = 100_000
+
 
 def class_weights(df: DataFrame, label: str = TARGET_COLUMN, out_col: str = "class_weight") -> DataFrame:
     """n / (n_classes * n_label) for every row, as ``class_weight="balanced"``.
@@ -131,7 +133,9 @@ def class_weights(df: DataFrame, label: str = TARGET_COLUMN, out_col: str = "cla
         label,
         (F.col("_n").cast("double") / (F.col("_k") * F.col("_n_label")).cast("double")).alias(out_col),
     )
-    return df.join(F.broadcast(weights), label, "left")
+    # one row per class: broadcast after checking that it is small
+    small = weights.count() <= CLASS_BROADCAST_LIMIT
+    return df.join(F.broadcast(weights) if small else weights, label, "left")
 
 
 def _whole():
