@@ -58,3 +58,30 @@ def test_categorical_split():
     phi = np.zeros(1)
     tree_shap(tree, [1.0], phi)
     assert abs(phi[0] - (10.0 - 17.5)) < 1e-12
+
+
+def test_batch_matches_per_row():
+    from churnlab.operators.tree_explain import predict_batch, tree_shap_batch
+
+    rng = np.random.default_rng(0)
+    X = rng.random((200, 3))
+    X[:5] = [[0.5, 0.5, 0.5], [0.8, 0.1, 0.9], [0.2, 0.9, 0.1], [0.9, 0.1, 0.9], [0.7, 0.3, 0.9]]
+    tree = TreeArrays(LEFT, RIGHT, FEATURE, THRESHOLD, {}, VALUE, COVER)
+    batch = np.zeros((200, 3))
+    tree_shap_batch(tree, X, batch)
+    for i in range(200):
+        one = np.zeros(3)
+        tree_shap(tree, X[i], one)
+        assert np.allclose(batch[i], one, atol=1e-12)
+    outputs = predict_batch(tree, X)
+    assert np.allclose(batch.sum(axis=1) + expected_value(tree), outputs)
+
+
+def test_batch_categorical_split():
+    from churnlab.operators.tree_explain import tree_shap_batch
+
+    tree = TreeArrays(np.array([1, -1, -1]), np.array([2, -1, -1]), np.array([0, -1, -1]),
+                      np.zeros(3), {0: frozenset({1.0})}, np.array([0, 10.0, 20.0]), np.array([4, 1, 3.0]))
+    phi = np.zeros((2, 1))
+    tree_shap_batch(tree, np.array([[1.0], [0.0]]), phi)
+    assert np.allclose(phi[:, 0], [10.0 - 17.5, 20.0 - 17.5])
