@@ -47,17 +47,16 @@ def _value_checks(raw: DataFrame) -> dict:
     return raw.agg(*aggs).first().asDict()
 
 
-def _bad_values(raw: DataFrame, column: str) -> list[str]:
-    """Sorted distinct bad values of a Yes/No column (first few, for the message)."""
-    rows = (
-        raw.filter(F.col(column).isNotNull() & ~F.col(column).isin("Yes", "No"))
-        .select(column)
-        .distinct()
-        .orderBy(column)
-        .limit(BAD_VALUE_SAMPLE)
-        .collect()
-    )
-    return [r[0] for r in rows]
+def _bad_values(raw: DataFrame, column: str) -> str:
+    """Sorted distinct bad values of a Yes/No column for the error message: the
+    first few, and how many more there are (the full set is not pulled to the
+    driver)."""
+    bad = raw.filter(F.col(column).isNotNull() & ~F.col(column).isin("Yes", "No")).select(column).distinct()
+    first = [r[0] for r in bad.orderBy(column).limit(BAD_VALUE_SAMPLE).collect()]
+    if len(first) < BAD_VALUE_SAMPLE:
+        return str(first)
+    total = bad.count()
+    return f"{first} and {total - len(first)} more" if total > len(first) else str(first)
 
 
 def clean_customer_data(raw: DataFrame, check: bool = True) -> DataFrame:

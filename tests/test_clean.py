@@ -115,3 +115,9 @@ def test_whitespace_is_stripped_like_a_string_strip(spark):
     rows = {r["customer_id"]: r for r in out.collect()}
     assert set(rows) == {"0001-AAAAA", "0002-BBBBB"}
     assert rows["0002-BBBBB"]["total_charges"] == 843.0
+
+
+def test_many_bad_values_are_summarised(spark):
+    rows = [ROW_1] + [dict(ROW_2, customerID=f"id{i:03d}", Partner=f"v{i:03d}") for i in range(25)]
+    with pytest.raises(ValueError, match=r"Partner contains unexpected values: \['v000'.*'v019'\] and 5 more"):
+        clean_customer_data(raw(spark, rows))
