@@ -355,3 +355,61 @@ def explain_trees(
         "model_output",
         F.arrays_zip(names_col.alias("name"), F.col("_phi").alias("impact")).alias("impacts"),
     )
+
+
+def explain_linear_model(
+    transformed: DataFrame,
+    model,
+    feature_names: list[str],
+    key: str = "customer_id",
+    features_col: str = "features",
+) -> DataFrame:
+    """Exact Shapley values of a fitted ``LogisticRegressionModel`` in log-odds:
+    ``coef_j * (x_j - mean_j)`` over the assembled inputs, with the means taken
+    over ``transformed`` by one distributed aggregate (a vector of one number
+    per input).  Same output shape as :func:`explain_trees`.
+    """
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    means = transformed.select(Summarizer.mean(F.col(features_col)).alias("m")).first()["m"]
+    coefs = model.coefficients.toArray()
+    means = means.toArray() if means is not None else np.zeros(len(coefs))
+    base = float(model.intercept + float(np.dot(coefs, means)))
+    coef_arr = F.array(*[F.lit(float(c)) for c in coefs])
+    mean_arr = F.array(*[F.lit(float(m)) for m in means])
+    names_arr = F.array(*[F.lit(n) for n in feature_names])
+    x = vector_to_array(F.col(features_col))
+    impacts = F.transform(
+        x,
+        lambda v, i: F.struct(
+            F.element_at(names_arr, i + 1).alias("name"),
+            (F.element_at(coef_arr, i + 1) * (v - F.element_at(mean_arr, i + 1))).alias("impact"),
+        ),
+    )
+    margin = F.aggregate(impacts, F.lit(base), lambda acc, s: acc + s["impact"])
+    return transformed.select(
+        key, F.lit(base).alias("base_value"), margin.alias("model_output"), impacts.alias("impacts")
+    )
+
+
+def explain_model(
+    pipeline_model,
+    data: DataFrame,
+    work_dir: str,
+    key: str = "customer_id",
+) -> tuple[DataFrame, str]:
+    """Attributions for a fitted churn pipeline, dispatched on its final model:
+    linear (exact, log-odds) for logistic regression, TreeSHAP for forests
+    (probability) and boosted trees (log-odds).  Returns (frame, unit)."""
+    from pyspark.ml.classification import LogisticRegressionModel
+
+    from churnlab.operators.ml import transformed_feature_names
+
+    final = pipeline_model.stages[-1]
+    names = transformed_feature_names(pipeline_model, data)
+    transformed = pipeline_model.transform(data)
+    if isinstance(final, LogisticRegressionModel):
+        return explain_linear_model(transformed, final, names, key), "log_odds"
+    unit = "log_odds" if "GBT" in type(final).__name__ else "probability"
+    return explain_trees(transformed, final, names, work_dir, key), unit

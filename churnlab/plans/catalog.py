@@ -603,3 +603,14 @@ def q_explanations_tree(spark, root):
     )
     probability = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("model_output")))
     return explain.explanation_table(attributions, probability, F.col("impacts"))
+
+
+@query("explanations_model")
+def q_explanations_model(spark, root):
+    """M11 dispatched on the selected model: exact linear attributions when
+    logistic regression wins, TreeSHAP for a forest or boosted trees."""
+    best, _rows, models, features = trained_models(spark, root)
+    attributions, unit = tree_explain.explain_model(models[best], features, ensure_checkpoint_dir(spark))
+    output = F.col("model_output")
+    probability = output if unit == "probability" else F.lit(1.0) / (F.lit(1.0) + F.exp(-output))
+    return explain.explanation_table(attributions, probability, F.col("impacts"))

@@ -158,3 +158,21 @@ def test_metrics_with_one_class(spark):
     row = evaluate_predictions(df).first()
     assert row["roc_auc"] is None and row["average_precision"] is None
     assert row["accuracy"] == 0.5 and row["precision"] == 0.0 and row["recall"] == 0.0
+
+
+def test_linear_model_attributions_add_up(spark, training, tmp_path):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.functions import vector_to_array
+
+    columns, _ = ml.split_features_target(training)
+    stages, _, _ = ml.feature_stages(training, columns)
+    data = ml.prepare_training_frame(training)
+    model = Pipeline(stages=[*stages, LogisticRegression(maxIter=50)]).fit(data)
+    out, unit = tree_explain.explain_model(model, data, str(tmp_path))
+    assert unit == "log_odds"
+    scored = model.transform(data).withColumn("p", vector_to_array("probability")[1])
+    for r in out.join(scored.select("customer_id", "p"), "customer_id").collect():
+        total = r["base_value"] + sum(i["impact"] for i in r["impacts"])
+        assert abs(total - r["model_output"]) < 1e-9
+        assert abs(1 / (1 + np.exp(-r["model_output"])) - r["p"]) < 1e-9
