@@ -152,16 +152,22 @@ def priority_quartiles(
 ) -> DataFrame:
     """W1 + W2: quartile label of each row's rank by ``score`` (ties by ``key``).
 
-    Rows with a null score get 'nan' and do not count in n.
+    Rows with a null score get 'nan' and do not count in n: they form their own
+    rank group, so valid and null rows come from the same single ranked pass
+    (no second read of the input).
     """
-    scored = df.withColumn("_score", col_(score).cast("double"))
-    valid = scored.filter(F.col("_score").isNotNull())
-    nulls = scored.filter(F.col("_score").isNull())
+    scored = df.withColumn("_score", col_(score).cast("double")).withColumn(
+        "_no_score", F.col("_score").isNull()
+    )
     ranked = global_rank(
-        valid, [F.col("_score").asc(), F.col(key).asc()], rank_col="_rank", total_col="_n"
+        scored,
+        [F.col("_score").asc(), F.col(key).asc()],
+        rank_col="_rank",
+        total_col="_n",
+        group_cols=["_no_score"],
     )
-    labelled = ranked.withColumn(out_col, quartile_label("_rank", "_n")).drop("_rank", "_n")
-    return labelled.unionByName(nulls.withColumn(out_col, F.lit("nan"))).drop("_score")
+    label = F.when(F.col("_no_score"), F.lit("nan")).otherwise(quartile_label("_rank", "_n"))
+    return ranked.withColumn(out_col, label).drop("_rank", "_n", "_score", "_no_score")
 
 
 # --- W3 -------------------------------------------------------------------

@@ -67,3 +67,15 @@ def test_no_row_level_data_in_a_single_partition(spark):
             global_partial = "HashAggregate(keys=[]" in below and "partial_" in below
             offsets = "HashAggregate(keys=[_pid" in below
             assert global_partial or offsets, (name, line.strip(), below.strip())
+
+
+def test_ranked_queries_read_only_their_checkpoint(spark):
+    """After the one checkpointed rank, nothing re-reads (recomputes) the input:
+    the final plans of these queries contain no Parquet scan."""
+    import __spark_entry__ as entry
+    from tests.conftest import SF_SMALL
+
+    queries = entry.queries()
+    for name in ["risk_scores", "priority_quartiles", "quota_sample", "eval_metrics", "stratified_split"]:
+        plan = queries[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan" not in plan, name
