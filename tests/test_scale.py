@@ -76,6 +76,7 @@ def test_ranked_queries_read_only_their_checkpoint(spark):
     from tests.conftest import SF_SMALL
 
     queries = entry.queries()
-    for name in ["risk_scores", "priority_quartiles", "quota_sample", "eval_metrics", "stratified_split"]:
+    for name in ["risk_scores", "priority_quartiles", "quota_sample", "eval_metrics", "stratified_split",
+                 "fraction_sample", "surrogate_ids"]:
         plan = queries[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
         assert "FileScan" not in plan, name
