@@ -166,10 +166,11 @@ def q_top25_at_risk(spark, root):
 def q_customer_detail(spark, root):
     """One customer's features, scores and drivers (J2 + J3 + L6)."""
     features = customer_features(spark, root)
-    background = explain.linear_background(features, scoring.SCORECARD)
     c360 = scoring.score_customers(
         features, scoring.scorecard_probability(), sort=False, keep_features=True
     )
+    # background means from the checkpointed scored rows: one feature pass in all
+    background = explain.linear_background(c360, scoring.SCORECARD)
     with_drivers = explain.with_explanation_columns(
         c360, explain.linear_impacts(c360, scoring.SCORECARD, background)
     )
@@ -299,8 +300,8 @@ def q_quota_features(spark, root):
 def q_demo_subset(spark, root):
     """The explanations of the quota-sampled customers, by id."""
     features = customer_features(spark, root)
-    background = explain.linear_background(features, scoring.SCORECARD)
     full = customer_scores_from(features)
+    background = explain.linear_background(full, scoring.SCORECARD)  # from the checkpoint
     picked = quota_sample(full).select("customer_id")
     explained = explain.explanation_table(
         full, F.col("churn_probability"), explain.linear_impacts(full, scoring.SCORECARD, background)

@@ -77,6 +77,6 @@ def test_ranked_queries_read_only_their_checkpoint(spark):
 
     queries = entry.queries()
     for name in ["risk_scores", "priority_quartiles", "quota_sample", "eval_metrics", "stratified_split",
-                 "fraction_sample", "surrogate_ids"]:
+                 "fraction_sample", "surrogate_ids", "customer_detail", "demo_subset", "quota_features"]:
         plan = queries[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
         assert "FileScan" not in plan, name
