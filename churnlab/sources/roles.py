@@ -156,9 +156,8 @@ def fixed_subscriptions(spark: SparkSession, root: str) -> DataFrame:
     return fixed_subscriptions_from_customers(customers(spark, root))
 
 
-@session_plan
-def mobile_subscriptions(spark: SparkSession, root: str) -> DataFrame:
-    o = driver(spark, root, "orders").filter(F.col("o_orderstatus") == "P")
+def _mobile_columns() -> dict[str, Column]:
+    """Mobile-line role over an ``orders`` row (pending orders only)."""
     digit = F.substring(F.col("o_orderpriority"), 1, 1)
     plan = (
         F.when(digit == "1", "Premium 5G")
@@ -169,19 +168,55 @@ def mobile_subscriptions(spark: SparkSession, root: str) -> DataFrame:
     prices = F.create_map(
         *[x for name, price in MOBILE_PLAN_PRICES.items() for x in (F.lit(name), F.lit(price))]
     )
-    return o.select(
-        F.col("o_orderkey").alias("mobile_subscription_id"),
-        F.col("o_custkey").alias("customer_id"),
-        F.lit("mobile").alias("service_type"),
-        plan.alias("plan_name"),
-        digit.cast("int").alias("line_count"),
-        F.col("o_orderpriority").isin("1-URGENT", "2-HIGH").alias("is_5g_enabled"),
-    ).select(
-        "*",
-        F.element_at(prices, F.col("plan_name")).cast(MONEY).alias("monthly_recurring_revenue"),
-        F.lit("active").alias("subscription_status"),
-        F.lit(True).alias("is_synthetic"),
-    )
+    return {
+        "mobile_subscription_id": F.col("o_orderkey"),
+        "customer_id": F.col("o_custkey"),
+        "service_type": F.lit("mobile"),
+        "plan_name": plan,
+        "line_count": digit.cast("int"),
+        "is_5g_enabled": F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"),
+        "monthly_recurring_revenue": F.element_at(prices, plan).cast(MONEY),
+        "subscription_status": F.lit("active"),
+        "is_synthetic": F.lit(True),
+    }
+
+
+def _billing_columns() -> dict[str, Column]:
+    """Invoice role over an ``orders`` row (every order)."""
+    late = F.col("o_orderpriority") == "5-LOW"
+    return {
+        "invoice_id": F.col("o_orderkey"),
+        "customer_id": F.col("o_custkey"),
+        "billing_month": _month("o_orderdate"),
+        "invoice_amount": F.col("o_totalprice").cast(MONEY),
+        "payment_status": F.when(late, "late").otherwise("paid"),
+        "days_late": F.when(late, F.lit(1) + F.col("o_orderkey") % 30).otherwise(0).cast("int"),
+        "is_synthetic": F.lit(True),
+    }
+
+
+MOBILE_ORDER_STATUS = "P"
+
+
+@session_plan
+def mobile_subscriptions(spark: SparkSession, root: str) -> DataFrame:
+    o = driver(spark, root, "orders").filter(F.col("o_orderstatus") == MOBILE_ORDER_STATUS)
+    return o.select(*[c.alias(n) for n, c in _mobile_columns().items()])
+
+
+@session_plan
+def order_facts(spark: SparkSession, root: str) -> DataFrame:
+    """Mobile lines and invoices in one pass over ``orders``: every order is an
+    invoice; the mobile columns are null unless the order is pending."""
+    is_mobile = F.col("o_orderstatus") == MOBILE_ORDER_STATUS
+    cols = [F.col("o_custkey").alias("customer_id")]
+    for name, c in _mobile_columns().items():
+        if name not in ("customer_id", "is_synthetic", "service_type", "subscription_status"):
+            cols.append(F.when(is_mobile, c).alias(name))
+    for name, c in _billing_columns().items():
+        if name not in ("customer_id", "is_synthetic"):
+            cols.append(c.alias(name))
+    return driver(spark, root, "orders").select(*cols)
 
 
 def _events(spark: SparkSession, root: str, event_type: str) -> DataFrame:
@@ -323,14 +358,22 @@ def usage_partials(spark: SparkSession, root: str) -> DataFrame:
 
 def summary_overrides(spark: SparkSession, root: str, track: str = "features") -> dict:
     """Summaries computed closer to the driver tables than the role rows allow:
-    the fixed line as columns of the customer row (one per customer), line
-    items pre-aggregated per order, and the four event roles summarised in one
-    scan and one shuffle of ``events``."""
+    the fixed line as columns of the customer row (one per customer), mobile
+    lines and invoices in one scan and one shuffle of ``orders``, line items
+    pre-aggregated per order, and the four event roles in one scan and one
+    shuffle of ``events``."""
     from churnlab.operators.enrich import fixed_summary_columns
-    from churnlab.operators.summaries import summarize_event_facts, summarize_usage_partials
+    from churnlab.operators.summaries import (
+        summarize_event_facts,
+        summarize_order_facts,
+        summarize_usage_partials,
+    )
 
     return {
         "fixed_subscriptions": fixed_summary_columns,
+        ("mobile_subscriptions", "billing_history"): summarize_order_facts(
+            order_facts(spark, root), track
+        ),
         "monthly_usage": summarize_usage_partials(usage_partials(spark, root), track),
         tuple(EVENT_ROLES): summarize_event_facts(event_facts(spark, root), track),
     }
@@ -339,18 +382,7 @@ def summary_overrides(spark: SparkSession, root: str, track: str = "features") -
 @session_plan
 def billing_history(spark: SparkSession, root: str) -> DataFrame:
     o = driver(spark, root, "orders")
-    late = F.col("o_orderpriority") == "5-LOW"
-    return o.select(
-        F.col("o_orderkey").alias("invoice_id"),
-        F.col("o_custkey").alias("customer_id"),
-        _month("o_orderdate").alias("billing_month"),
-        F.col("o_totalprice").cast(MONEY).alias("invoice_amount"),
-        F.when(late, "late").otherwise("paid").alias("payment_status"),
-        F.when(late, F.lit(1) + F.col("o_orderkey") % 30).otherwise(0).cast("int").alias(
-            "days_late"
-        ),
-        F.lit(True).alias("is_synthetic"),
-    )
+    return o.select(*[c.alias(n) for n, c in _billing_columns().items()])
 
 
 @session_plan
