@@ -355,6 +355,12 @@ def q_profile_columns(spark, root):
     return quality.profile_columns(roles.driver(spark, root, "customer"))
 
 
+@query("profile_events")
+def q_profile_events(spark, root):
+    """Profile of the raw event stream (JSON-ish ``props`` text included)."""
+    return quality.profile_columns(roles.driver(spark, root, "events"))
+
+
 @query("profile_labels")
 def q_profile_labels(spark, root):
     label = F.when(F.col("churned"), "Yes").otherwise("No")

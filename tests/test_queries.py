@@ -37,7 +37,7 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_a_name_and_columns(spark):
-    assert len(entry.queries()) >= 54
+    assert len(entry.queries()) >= 56
     for name in entry.oracle_sql():
         assert name in entry.queries()
 
