@@ -98,7 +98,9 @@ def fk_orphans(
     """V6 + J8: rows whose non-null reference has no parent row, per relation.
 
     ``left_anti`` against the parent's key; Spark broadcasts the parent only
-    when its measured size is under the broadcast threshold.
+    when its measured size is under the broadcast threshold.  Relations that
+    share a parent read the same (memoised) parent plan, so its exchange is
+    built once and reused by the others (``ReusedExchange``).
     """
     parts = []
     for child, child_col, parent, parent_col in relations:
