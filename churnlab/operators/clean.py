@@ -21,6 +21,7 @@ from churnlab.functions.scalar import (
 from churnlab.operators.quality import key_stats, validate_columns
 from churnlab.sources.schemas import RAW_CUSTOMER_COLUMNS
 
+# Raw columns with a strict Yes/No domain.
 YES_NO_COLUMNS = ["Partner", "Dependents", "PhoneService", "PaperlessBilling", "Churn"]
 BAD_VALUE_SAMPLE = 20
 

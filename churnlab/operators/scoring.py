@@ -20,6 +20,7 @@ from churnlab.functions.scalar import (
 )
 from churnlab.operators.ranking import priority_quartiles
 
+# The columns the score table carries from the feature row.
 SCORE_COLUMNS = [
     "customer_id",
     "contract_type",

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from churnlab.functions.scalar import ratio_or_null
 from churnlab.operators.summaries import all_summaries, left_join_all
 
+# Customer columns of the customer_360 view, in view order.
 CUSTOMER_COLUMNS_360 = [
     "customer_id",
     "gender",
@@ -31,7 +32,8 @@ CUSTOMER_COLUMNS_360 = [
     "churned",
 ]
 
-# (output column, default when the customer has no rows; None keeps NULL)
+# Summary columns of the view in order, with the default when
+# the customer has no rows (None keeps NULL).
 SUMMARY_COLUMNS_360 = [
     ("fixed_subscription_count", 0),
     ("fixed_mrr", 0),

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from churnlab.functions.scalar import round_half_up
 
+# The score columns the dashboards join to the features.
 SCORE_JOIN_COLUMNS = [
     "customer_id",
     "churn_probability",
@@ -23,6 +24,7 @@ SCORE_JOIN_COLUMNS = [
     "estimated_monthly_revenue_at_risk",
 ]
 
+# The explanation columns the customer page joins.
 EXPLANATION_COLUMNS = [
     "customer_id",
     "top_factor_1",
@@ -81,6 +83,7 @@ def top_actions(scores: DataFrame, k: int = 10) -> DataFrame:
     return value_counts(scores, "recommended_action").limit(k)
 
 
+# Columns of the highest-value-at-risk table.
 TOP_AT_RISK_COLUMNS = [
     "customer_id",
     "risk_category",
@@ -107,6 +110,7 @@ def top_at_risk(c360: DataFrame, k: int = 25) -> DataFrame:
     )
 
 
+# Fields of the single-customer page.
 DETAIL_COLUMNS = [
     "customer_id",
     "risk_category",

@@ -18,6 +18,7 @@ def _fields(*spec: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(name, dtype, True) for name, dtype in spec])
 
 
+# The nine tables of the relational schema (names, columns, types).
 CUSTOMERS = _fields(
     ("customer_id", T.LongType()),
     ("gender", T.StringType()),
