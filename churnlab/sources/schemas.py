@@ -187,7 +187,7 @@ RANGE_RULES: list[tuple[str, str, str]] = [
     ("retention_campaigns", "offer_value_non_negative", "offer_value >= 0"),
 ]
 
-# Raw CSV contract (V1): exactly these 21 columns.
+# The raw CSV contract (V1), exactly these 21 columns.
 RAW_CUSTOMER_COLUMNS: list[str] = [
     "customerID", "gender", "SeniorCitizen", "Partner", "Dependents", "tenure",
     "PhoneService", "MultipleLines", "InternetService", "OnlineSecurity",
