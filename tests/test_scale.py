@@ -80,3 +80,20 @@ def test_ranked_queries_read_only_their_checkpoint(spark):
                  "fraction_sample", "surrogate_ids", "customer_detail", "demo_subset", "quota_features"]:
         plan = queries[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
         assert "FileScan" not in plan, name
+
+
+def test_feature_plan_shuffle_count(spark):
+    """Spine, orders (mobile + invoices), events (four roles), usage (line items
+    per order, orders for that join, per customer), plus the two nation-join
+    exchanges that a real run broadcasts: eight with broadcasts disabled."""
+    import __spark_entry__ as entry
+    from tests.conftest import SF_SMALL
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = entry.queries()["customer_features"](spark, SF_SMALL)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plan.count("Exchange hashpartitioning") <= 8, plan
