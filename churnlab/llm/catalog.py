@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import mixing, packing, sharding
+from . import mixing, packing, quality, sharding, toxicity, warc
 from .common import prepare
+from .labels import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,10 +28,45 @@ def op2_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(_table(spark, sf_dir, "documents"), shards=8)
 
 
+def op6_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    folder = warc.archive_folder(spark)
+    manifest = warc.write_archives(warc.decide_records(pages, least_bytes=1000), folder)
+    return warc.read_archives(manifest, folder).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+def _scored(docs: DataFrame, score: Column, folds: int, held_out: int) -> DataFrame:
+    return docs.select(
+        "doc_id", (remainder(F.col("doc_id"), folds) == held_out).alias("held_out"), score.alias("score")
+    ).withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+def op7_quality_qda(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = quality.fit(docs, _table(spark, sf_dir, "labels"), folds=5, held_out=0)
+    return _scored(docs, quality.score_udf(model)("text"), 5, 0)
+
+
+def op8_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"), folds=4, held_out=2)
+    return _scored(docs, toxicity.score_udf(model)("text"), 4, 2)
+
+
 def op10_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_mix_sources, op2_jump_shards, op10_length_buckets)
+    f.__name__: f
+    for f in (
+        op1_mix_sources,
+        op2_jump_shards,
+        op6_warc_round_trip,
+        op7_quality_qda,
+        op8_subword_toxicity,
+        op10_length_buckets,
+    )
 }

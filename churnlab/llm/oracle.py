@@ -105,7 +105,25 @@ SELECT s.doc_id, s.size, s.text_crc32, 'key' AS law, h.shard,
 FROM sized s JOIN shards h ON s.doc_id = h.doc_id
 """
 
+_WARC = """
+WITH p AS (
+  SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,
+         sha1(coalesce(html, '')) AS payload_digest
+  FROM pages
+),
+g AS (
+  SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest)
+                 ELSE page_id END AS last
+  FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> last THEN last END AS refers_to
+FROM g
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_mix_sources": _MIX_START + "".join(_MIX_PASS.format(n=n, m=n - 1) for n in (1, 2, 3)) + _MIX_END,
+    "op6_warc_round_trip": _WARC,
     "op2_jump_shards": _SHARDS,
 }
