@@ -107,7 +107,7 @@ def train_subwords(
     words: list[bytes],
     toxic: np.ndarray,
     clean: np.ndarray,
-    epochs: int = 40,
+    epochs: int = 25,
     decay: float = 3e-2,
     most: int = 1000,
     seed: int = 17,
