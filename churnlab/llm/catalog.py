@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, quality, sharding, toxicity, warc
+from . import jaccard, mixing, packing, quality, sharding, toxicity, warc
 from .common import prepare
 from .labels import remainder
 
@@ -28,6 +28,10 @@ def op2_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(_table(spark, sf_dir, "documents"), shards=8)
 
 
+def op3_group_matrix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similarity_classes(_table(spark, sf_dir, "documents"), width=5, percent=75)
+
+
 def op6_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
     folder = warc.archive_folder(spark)
@@ -64,6 +68,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_mix_sources,
         op2_jump_shards,
+        op3_group_matrix_join,
         op6_warc_round_trip,
         op7_quality_qda,
         op8_subword_toxicity,
