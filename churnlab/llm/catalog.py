@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, mixing, packing, quality, sharding, toxicity, warc
+from . import hyperplanes, jaccard, mixing, packing, quality, sharding, topk, toxicity, warc
 from .common import prepare
 from .labels import remainder
 
@@ -32,6 +32,11 @@ def op3_group_matrix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similarity_classes(_table(spark, sf_dir, "documents"), width=5, percent=75)
 
 
+def op4_threshold_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
+
+
 def op6_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
     folder = warc.archive_folder(spark)
@@ -59,6 +64,10 @@ def op8_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(docs, toxicity.score_udf(model)("text"), 4, 2)
 
 
+def op9_hyperplane_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hyperplanes.near_vectors(_table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
 def op10_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
@@ -69,9 +78,11 @@ QUERIES: dict[str, Query] = {
         op1_mix_sources,
         op2_jump_shards,
         op3_group_matrix_join,
+        op4_threshold_search,
         op6_warc_round_trip,
         op7_quality_qda,
         op8_subword_toxicity,
+        op9_hyperplane_dedup,
         op10_length_buckets,
     )
 }

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -65,3 +68,50 @@ def numbered(
         .withColumn(out, (F.col("_offset") + F.col("_row") - 1).cast("long"))
         .drop("_cell", "_g", "_c", "_offset", "_row")
     )
+
+
+def parts(count: Column, size: int) -> Column:
+    """Number of parts of about ``size`` that ``count`` rows make."""
+    return F.greatest(F.ceil(count / F.lit(size)), F.lit(1)).cast("long")
+
+
+def in_cells(rows: DataFrame, m: str, key: str, row_id: str, size: int) -> DataFrame:
+    """Deal the rows of each ``key`` into cells, so that any two of them meet in
+    one cell and no cell holds more than about twice ``size`` rows.
+
+    A key's ``m`` rows are cut into chunks by a hash; the cells are the pairs
+    (i, j) of chunks.  Adds ``chunk``, ``i`` and ``j``; sorted by cell.
+    """
+    chunks = parts(F.col(m), size)
+    return (
+        rows.withColumn("chunk", F.pmod(F.xxhash64(row_id), chunks))
+        .withColumn("_x", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)))
+        .withColumn("i", F.least("chunk", "_x"))
+        .withColumn("j", F.greatest("chunk", "_x"))
+        .drop("_x", m)
+        .repartition(key, "i", "j")
+        .sortWithinPartitions(key, "i", "j", row_id)
+    )
+
+
+def each_cell(
+    batches: Iterator[pd.DataFrame], columns: list[str], work: Callable[[pd.DataFrame], pd.DataFrame | None]
+) -> Iterator[pd.DataFrame]:
+    """Apply ``work`` to every run of equal ``columns`` (integers) in sorted
+    batches; a run may go on in the next batch.  Runs of one row are skipped."""
+    held = None
+    for batch in batches:
+        rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
+        if not len(rows):
+            continue
+        key = rows[columns].to_numpy()
+        starts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(axis=1)])
+        found = [work(rows.iloc[s:e]) for s, e in zip(starts[:-1], starts[1:]) if e - s > 1]
+        found = [f for f in found if f is not None]
+        held = rows.iloc[starts[-1] :]
+        if found:
+            yield pd.concat(found, ignore_index=True)
+    if held is not None and len(held) > 1:
+        last = work(held)
+        if last is not None:
+            yield last

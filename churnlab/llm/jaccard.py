@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import prepare, stage
+from .common import each_cell, in_cells, parts, prepare, stage
 from .components import connected_components
 
 BANDS, ROWS = 40, 3
@@ -133,10 +133,6 @@ def _open_blocks(percent: int):
     return run
 
 
-def _parts(count: Column, size: int) -> Column:
-    return F.ceil(count / F.lit(size)).cast("long")
-
-
 def verify(proposed: DataFrame, sets: DataFrame, percent: int, members: int = 128, queries: int = 512) -> DataFrame:
     """Links (a, b) among proposed (q, g, d): query q, a group g and a member d
     of it.
@@ -148,14 +144,14 @@ def verify(proposed: DataFrame, sets: DataFrame, percent: int, members: int = 12
     sizes = proposed.select("g", "d").distinct().groupBy("g").agg(F.count(F.lit(1)).alias("md"))
     chunked = (
         proposed.join(sizes.withColumnRenamed("g", "g1"), F.col("g") == F.col("g1"))
-        .withColumn("chunk", F.pmod(d, _parts(F.col("md"), members)))
+        .withColumn("chunk", F.pmod(d, parts(F.col("md"), members)))
         .select("q", "g", "d", "chunk")
     )
     asked = chunked.select("g", "chunk", "q").distinct().groupBy("g", "chunk").agg(F.count(F.lit(1)).alias("mq"))
     asked = asked.select(F.col("g").alias("g1"), F.col("chunk").alias("c1"), "mq")
     blocks = stage(
         chunked.join(asked, (F.col("g") == F.col("g1")) & (F.col("chunk") == F.col("c1")))
-        .withColumn("salt", F.pmod(q, _parts(F.col("mq"), queries)))
+        .withColumn("salt", F.pmod(q, parts(F.col("mq"), queries)))
         .select("q", "d", F.concat_ws(":", "g", "chunk", "salt").alias("block")),
         "blocks",
     )
@@ -176,7 +172,7 @@ def _pairs_in_cells(least: int):
     """Rows sorted by cell: pairs of a cell whose min-hashes agree in ``least``
     places, whose groups differ, and whose first shared band is the cell's."""
 
-    def pairs(cell: pd.DataFrame) -> tuple[np.ndarray, ...]:
+    def pairs(cell: pd.DataFrame) -> pd.DataFrame | None:
         sig = np.frombuffer(b"".join(cell["sig"]), dtype=np.uint16).reshape(len(cell), BANDS, ROWS)
         ids, groups = cell["rep"].to_numpy(), cell["comp"].to_numpy()
         chunk, band = cell["chunk"].to_numpy(), int(cell["band"].iloc[0])
@@ -197,25 +193,11 @@ def _pairs_in_cells(least: int):
             y = y[keep]
             found.append((np.full(len(y), ids[x]), ids[y], groups[y]))
         if not found:
-            return (np.zeros(0, dtype=np.int64),) * 3
-        return tuple(np.concatenate(f) for f in zip(*found))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None
-        for batch in batches:
-            rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
-            key = rows[["key", "i", "j"]].to_numpy()
-            starts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(axis=1)])
-            out = [pairs(rows.iloc[s:e]) for s, e in zip(starts[:-1], starts[1:]) if e - s > 1]
-            held = rows.iloc[starts[-1] :]  # the last cell may go on in the next batch
-            if out:
-                q, d, g = (np.concatenate(c) for c in zip(*out))
-                yield pd.DataFrame({"q": q, "g": g, "d": d})
-        if held is not None and len(held) > 1:
-            q, d, g = pairs(held)
-            yield pd.DataFrame({"q": q, "g": g, "d": d})
+            return None
+        q, d, g = (np.concatenate(f) for f in zip(*found))
+        return pd.DataFrame({"q": q, "g": g, "d": d})
 
-    return run
+    return lambda batches: each_cell(batches, ["key", "i", "j"], pairs)
 
 
 def _reduced(docs: DataFrame, ids: DataFrame, slots: int = 1 << 18) -> DataFrame:
@@ -309,18 +291,11 @@ def similarity_classes(
         .where("lo < hi")
         .select("k")
     )
-    chunks = _parts(F.col("m"), cell)
-    cells = (
+    cells = in_cells(
         grouped.join(open_keys, F.col("key") == F.col("k"))
         .join(unique.withColumnRenamed("rep", "r"), F.col("rep") == F.col("r"))
-        .withColumn("chunk", F.pmod(F.xxhash64("rep"), chunks))
-        .withColumn("x", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)))
-        .select(
-            "key", F.least("chunk", "x").alias("i"), F.greatest("chunk", "x").alias("j"),
-            "band", "rep", "comp", "chunk", "sig",
-        )
-        .repartition("key", "i", "j")
-        .sortWithinPartitions("key", "i", "j", "rep")
+        .select("key", "band", "rep", "m", "comp", "sig"),
+        "m", "key", "rep", cell,
     )
     second = stage(
         cells.mapInPandas(_pairs_in_cells(BANDS * ROWS // 2), "q long, g long, d long"), "second"

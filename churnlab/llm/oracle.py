@@ -122,8 +122,26 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM g
 """
 
+_TOP = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.x) = len(c.x)
+),
+r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+  FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_mix_sources": _MIX_START + "".join(_MIX_PASS.format(n=n, m=n - 1) for n in (1, 2, 3)) + _MIX_END,
+    "op4_threshold_search": _TOP,
     "op6_warc_round_trip": _WARC,
     "op2_jump_shards": _SHARDS,
 }
