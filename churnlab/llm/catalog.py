@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hyperplanes, jaccard, mixing, packing, quality, sharding, topk, toxicity, warc
+from . import hyperplanes, jaccard, mixing, packing, quality, sharding, template, topk, toxicity, warc
 from .common import prepare
 from .labels import remainder
 
@@ -37,6 +37,10 @@ def op4_threshold_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
 
 
+def op5_template_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return template.extract_main_text(_table(spark, sf_dir, "pages"))
+
+
 def op6_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
     folder = warc.archive_folder(spark)
@@ -79,6 +83,7 @@ QUERIES: dict[str, Query] = {
         op2_jump_shards,
         op3_group_matrix_join,
         op4_threshold_search,
+        op5_template_text,
         op6_warc_round_trip,
         op7_quality_qda,
         op8_subword_toxicity,
