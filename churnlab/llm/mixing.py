@@ -84,6 +84,28 @@ def _fill(rows: DataFrame, cells: int) -> DataFrame:
     return stage(marked, "mix")
 
 
+def _nearest(rows: DataFrame) -> DataFrame:
+    """Mark one more document of a source, if that comes nearer to its room:
+    the one whose size is nearest to it (of equal rows, one)."""
+    gap = F.abs(F.col("size") - F.col("_left"))
+    best = (
+        rows.where(~F.col("_extra") & (F.col("size") > 0) & (gap < F.col("_left")))
+        .groupBy(F.col("source").alias("_src"))
+        .agg(F.min(F.struct(gap.alias("gap"), "_key", "doc_id", "size")).alias("_best"))
+    )
+    equal = Window.partitionBy("source", "_cell", "_key", "doc_id", "size").orderBy("_extra")
+    this = (
+        (F.row_number().over(equal) == 1)
+        & ~F.col("_extra")
+        & (F.col("_key") == F.col("_best._key"))
+        & F.col("doc_id").eqNullSafe(F.col("_best.doc_id"))
+        & (F.col("size") == F.col("_best.size"))
+    )
+    return rows.join(best, F.col("source").eqNullSafe(F.col("_src")), "left").withColumn(
+        "_extra", F.col("_extra") | F.coalesce(this, F.lit(False))
+    )
+
+
 def mix_sources(
     docs: DataFrame,
     weights: DataFrame,
@@ -102,7 +124,8 @@ def mix_sources(
     most ``epochs``) and ``taken`` (copies x size), and the columns in
     ``carry``.  The order of the fractional sample is an MD5 of seed and
     doc_id.  A first pass takes documents in that order until one is too large;
-    each further pass fills what is left with smaller ones.
+    each further pass fills what is left with smaller ones; at last one document
+    may go beyond the target if that is nearer to it.
 
     A null or empty text has size 0 and, as a source without weight does, adds
     nothing (copies are the whole repetitions, taken is 0).  A null source is
@@ -142,6 +165,7 @@ def mix_sources(
             .withColumn("_extra", F.col("_extra") | F.col("_now"))
             .drop("_src", "_took", "_now")
         )
+    rows = _nearest(rows)
     copies = F.col("_whole") + F.col("_extra").cast("long")
     return rows.select(
         "doc_id", "source", "size", "source_size", "target", copies.alias("copies"),

@@ -56,10 +56,17 @@ pass{n} AS (
   FROM sum{n}
 )"""
 
-_MIX_END = """
+_MIX_END = """,
+last AS (
+  SELECT * EXCLUDE (extra),
+         extra OR (size > 0 AND abs(size - room) < room AND
+           row_number() OVER (PARTITION BY source ORDER BY extra, size = 0, abs(size - room), k, doc_id, size) = 1
+         ) AS extra
+  FROM pass3
+)
 SELECT doc_id, source, size, words AS source_size, target,
        whole + CAST(extra AS BIGINT) AS copies, (whole + CAST(extra AS BIGINT)) * size AS taken
-FROM pass3
+FROM last
 """
 
 # CRC-32 by its reflected polynomial: a table of eight shifts a byte value, then
