@@ -8,6 +8,8 @@ The cleaned frame itself is a single projection.
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,7 +25,7 @@ from churnlab.sources.schemas import RAW_CUSTOMER_COLUMNS
 
 # Raw columns with a strict Yes/No domain.
 YES_NO_COLUMNS = ["Partner", "Dependents", "PhoneService", "PaperlessBilling", "Churn"]
-BAD_VALUE_SAMPLE = 20
+YES_NO = ("Yes", "No")
 
 
 def validate_source(raw: DataFrame) -> None:
@@ -44,20 +46,34 @@ def _value_checks(raw: DataFrame) -> dict:
         F.count_if(~F.col("SeniorCitizen").isin(0, 1)).alias("bad_senior"),
     ]
     for c in YES_NO_COLUMNS:
-        aggs.append(F.count_if(F.col(c).isNotNull() & ~F.col(c).isin("Yes", "No")).alias(f"bad_{c}"))
+        aggs.append(F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(*YES_NO)).alias(f"bad_{c}"))
     return raw.agg(*aggs).first().asDict()
 
 
-def _bad_values(raw: DataFrame, column: str) -> str:
-    """Sorted distinct bad values of a Yes/No column for the error message: the
-    first few, and how many more there are (the full set is not pulled to the
-    driver)."""
-    bad = raw.filter(F.col(column).isNotNull() & ~F.col(column).isin("Yes", "No")).select(column).distinct()
-    first = [r[0] for r in bad.orderBy(column).limit(BAD_VALUE_SAMPLE).collect()]
-    if len(first) < BAD_VALUE_SAMPLE:
-        return str(first)
-    total = bad.count()
-    return f"{first} and {total - len(first)} more" if total > len(first) else str(first)
+def domain_audit(df: DataFrame, domains: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Every value outside its column's domain, as rows of (column_name,
+    bad_value, row_count); nulls pass.  One scan; the bad values are counted
+    map-side and stay distributed, however many there are."""
+    pairs = F.array(
+        *[
+            F.struct(
+                F.lit(c).alias("column_name"),
+                F.when(~F.col(c).isin(*allowed), F.col(c).cast("string")).alias("bad_value"),
+            )
+            for c, allowed in domains.items()
+        ]
+    )
+    return (
+        df.select(F.inline(pairs))
+        .filter(F.col("bad_value").isNotNull())
+        .groupBy("column_name", "bad_value")
+        .agg(F.count(F.lit(1)).alias("row_count"))
+    )
+
+
+def yes_no_audit(raw: DataFrame) -> DataFrame:
+    """All unexpected Yes/No values of a raw customer table."""
+    return domain_audit(raw, {c: YES_NO for c in YES_NO_COLUMNS})
 
 
 def clean_customer_data(raw: DataFrame, check: bool = True) -> DataFrame:
@@ -74,7 +90,10 @@ def clean_customer_data(raw: DataFrame, check: bool = True) -> DataFrame:
             raise ValueError(f"SeniorCitizen contains {bad['bad_senior']} values other than 0/1")
         for c in YES_NO_COLUMNS:
             if bad[f"bad_{c}"]:
-                raise ValueError(f"{c} contains unexpected values: {_bad_values(raw, c)}")
+                raise ValueError(
+                    f"{c} contains unexpected values in {bad[f'bad_{c}']} rows; "
+                    "yes_no_audit lists every value"
+                )
 
     total = F.coalesce(text_to_double("TotalCharges"), F.lit(0.0))
     cleaned = raw.select(

@@ -168,31 +168,19 @@ def lexicon_classify(
     return F.when(t.isNotNull(), F.aggregate(matches, start, step, finish))
 
 
-def spread_for_cpu(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over the cluster's cores when the input has fewer
-    partitions than cores (e.g. a few large single-row-group files).
-
-    Classifying text costs far more CPU per byte than moving it (the regex
-    scan runs at a few MB/s per core; a shuffle moves hundreds), so idle cores
-    cost more than one round-robin exchange of the rows.  An input with at
-    least one split per core is left as it is.
-    """
-    if df.isStreaming:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
-
 def classify_support_tickets(
     tickets: DataFrame,
     lexicon: Sequence[Sequence[str]] = DOMAIN_LEXICON,
     text_col: str = "ticket_text",
+    partitions: int | None = None,
 ) -> DataFrame:
-    """N2 + N3 with the built-in classifier: three columns added in place."""
-    spread = spread_for_cpu(tickets)
-    return _attach(spread.withColumn("_res", lexicon_classify(text_col, lexicon)))
+    """N2 + N3 with the built-in classifier: three columns added in place.
+
+    Classifying costs far more CPU per byte than moving text; for an input in
+    a few large splits the caller may name the ``partitions`` to deal it into.
+    """
+    dealt = tickets.repartition(partitions) if partitions else tickets
+    return _attach(dealt.withColumn("_res", lexicon_classify(text_col, lexicon)))
 
 
 def _attach(df: DataFrame) -> DataFrame:
@@ -222,17 +210,24 @@ def classify_with(
     classifier_factory: Callable[[], Callable],
     labels: Sequence[str] = COMPLAINT_LABELS,
     text_col: str = "ticket_text",
+    salts: int = 16,
 ) -> DataFrame:
     """N1 + N3 + J5 with a pluggable classifier (X3), each distinct text once.
 
     ``classifier_factory`` is called once per Python worker (it may load a
-    model); the classifier itself gets one text at a time.
+    model).  A classifier with a ``classify_batch(texts, candidate_labels,
+    multi_label)`` method, which returns one result per text, gets a whole batch
+    at a time; any other gets one text at a time.
+
+    Results come back over (text key, salt): each result is repeated ``salts``
+    times and the tickets of one text are dealt over them, so a text that a
+    third of the tickets share is not one task.  Null texts skip the join.
     """
-    keyed = spread_for_cpu(tickets).withColumn("_text_key", F.sha2(F.col(text_col), 256))
+    keyed = tickets.withColumn("_text_key", F.sha2(F.col(text_col), 256))
     distinct_texts = (
         keyed.filter(F.col(text_col).isNotNull())  # L7
-        .select("_text_key", text_col)
-        .dropDuplicates(["_text_key"])  # U3: partial dedupe per task, then one row per key
+        .groupBy("_text_key")  # U3: partial dedupe per task, then one row per key
+        .agg(F.first(text_col).alias(text_col))
     )
     label_list = list(labels)
     token = uuid.uuid4().hex  # names this classifier in each worker's cache
@@ -246,13 +241,18 @@ def classify_with(
                 _WORKER_CLASSIFIERS.pop(next(iter(_WORKER_CLASSIFIERS)))
             classify = _WORKER_CLASSIFIERS[token] = classifier_factory()
         for pdf in batches:
-            out_labels, out_scores = [], []
-            for text in pdf[text_col]:
-                result = classify(text, candidate_labels=label_list, multi_label=False)
-                out_labels.append(str(result["labels"][0]))
-                out_scores.append(float(result["scores"][0]))
+            texts = list(pdf[text_col])
+            batch = getattr(classify, "classify_batch", None)
+            if batch is not None:
+                results = list(batch(texts, candidate_labels=label_list, multi_label=False))
+            else:
+                results = [classify(t, candidate_labels=label_list, multi_label=False) for t in texts]
             yield pd.DataFrame(
-                {"_text_key": pdf["_text_key"], "_label": out_labels, "_score": out_scores}
+                {
+                    "_text_key": pdf["_text_key"],
+                    "_label": [str(r["labels"][0]) for r in results],
+                    "_score": [float(r["scores"][0]) for r in results],
+                }
             )
 
     results = distinct_texts.mapInPandas(
@@ -264,8 +264,13 @@ def classify_with(
             round_half_up(F.col("_score"), 6).alias("score"),
         ).alias("_res"),
     )
-    joined = keyed.join(results, "_text_key", "left").drop("_text_key")
-    return _attach(joined)
+    salted = results.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salt = F.pmod(F.xxhash64(*tickets.columns), F.lit(salts)).cast("int")
+    texts = keyed.filter(F.col(text_col).isNotNull()).withColumn("_salt", salt)
+    joined = texts.join(salted, ["_text_key", "_salt"], "left").select(*tickets.columns, "_res")
+    nothing = F.lit(None).cast(joined.schema["_res"].dataType)
+    nulls = tickets.filter(F.col(text_col).isNull()).withColumn("_res", nothing)
+    return _attach(joined.unionByName(nulls))
 
 
 class LexiconClassifier:
@@ -287,6 +292,9 @@ class LexiconClassifier:
         scores = [counts[i] / total if total else 0.0 for i in order]
         return {"labels": [candidate_labels[i] for i in order], "scores": scores}
 
+    def classify_batch(self, texts, candidate_labels, multi_label=False):
+        return [self(text, candidate_labels, multi_label) for text in texts]
+
 
 # --- summaries --------------------------------------------------------------
 

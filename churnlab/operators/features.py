@@ -63,18 +63,6 @@ SUMMARY_COLUMNS = [
     "retention_offer_count", "accepted_offer_count", "avg_offer_value",
 ]
 
-DERIVED_COLUMNS = [
-    "total_mrr",
-    "monthly_revenue_at_risk",
-    "has_byod",
-    "has_mobile",
-    "has_network_incident",
-    "has_support_ticket",
-    "late_payment_rate",
-    "retention_acceptance_rate",
-]
-
-
 def build_customer_features(
     tables: dict[str, DataFrame],
     as_of_month: str | None = None,
@@ -85,8 +73,11 @@ def build_customer_features(
     ``as_of_month`` ('YYYY-MM'), when given, keeps only fact rows dated on or
     before that month (the point-in-time rule); the filter is pushed into each
     scan that carries a month column.  ``overrides`` supplies precomputed
-    summaries by fact-table name (not filtered by ``as_of_month``).
+    summaries by fact-table name; they hold their own rows, so the two don't go
+    together (``roles.summary_overrides`` takes the month instead).
     """
+    if as_of_month is not None and overrides:
+        raise ValueError("as_of_month cannot filter precomputed summaries; build the overrides as of the month")
     if as_of_month is not None:
         tables = _as_of(tables, as_of_month)
     customers = tables["customers"]

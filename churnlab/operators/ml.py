@@ -60,17 +60,21 @@ def standardization_stats(
 
     With ``exact_scale`` the sums run in decimal(38, scale) (values must have at
     most that many decimals), so the statistics do not depend on the order in
-    which partitions are added; otherwise plain double sums.  A zero deviation
+    which partitions are added; otherwise ``avg`` and ``stddev_pop``, which
+    keep centred sums and stay accurate for large means.  A zero deviation
     becomes 1 (the column then standardises to 0).
     """
+    if exact_scale is None:
+        out = []
+        for c in columns:
+            x = F.col(c).cast("double")
+            std = F.stddev_pop(x)
+            out += [F.avg(x).alias(f"{c}__mean"), F.when(std > 0, std).otherwise(F.lit(1.0)).alias(f"{c}__std")]
+        return df.agg(*out)
     aggs = [F.count(F.lit(1)).alias("_n")]
     for c in columns:
-        x = F.col(c).cast("double")
-        if exact_scale is not None:
-            x = F.col(c).cast(T.DecimalType(38, exact_scale))
-            sq = (x * x).cast(T.DecimalType(38, 2 * exact_scale))
-        else:
-            sq = x * x
+        x = F.col(c).cast(T.DecimalType(38, exact_scale))
+        sq = (x * x).cast(T.DecimalType(38, 2 * exact_scale))
         aggs += [F.sum(x).alias(f"_s_{c}"), F.sum(sq).alias(f"_q_{c}")]
     sums = df.agg(*aggs)
     out = []
@@ -113,14 +117,12 @@ def standardizer_stage(stats_row: dict, columns: list[str], suffix: str = "__std
 
 # --- M6: balanced class weights -------------------------------------------
 
-CLASS_BROADCAST_LIMIT = 100_000
-
 
 def class_weights(df: DataFrame, label: str = TARGET_COLUMN, out_col: str = "class_weight") -> DataFrame:
     """n / (n_classes * n_label) for every row, as ``class_weight="balanced"``.
 
-    The per-label counts table has one row per class (two here), so it is
-    broadcast to the rows.
+    The per-label counts table has one row per class (two here); Spark's own
+    size check broadcasts it.
     """
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n_label"))
     everything = counts.select(
@@ -133,9 +135,7 @@ def class_weights(df: DataFrame, label: str = TARGET_COLUMN, out_col: str = "cla
         label,
         (F.col("_n").cast("double") / (F.col("_k") * F.col("_n_label")).cast("double")).alias(out_col),
     )
-    # one row per class: broadcast after checking that it is small
-    small = weights.count() <= CLASS_BROADCAST_LIMIT
-    return df.join(F.broadcast(weights) if small else weights, label, "left")
+    return df.join(weights, label, "left")
 
 
 def _whole():
@@ -157,6 +157,7 @@ class TrainConfig:
     boosted_step: float = 0.05
     boosted_subsample: float = 0.9
     seed: int = 42
+    max_rows: int | None = 2_000_000  # labelled rows of a fit and its hold-out; None: all
     candidates: list[str] = field(
         default_factory=lambda: ["logistic_regression", "random_forest", "gradient_boosted_trees"]
     )
@@ -255,10 +256,14 @@ def train_and_evaluate(
     from pyspark.ml import Pipeline
 
     from churnlab.operators.metrics import evaluate_predictions
-    from churnlab.operators.ranking import stratified_split
+    from churnlab.operators.ranking import hash_positions, stratified_split
 
     config = config or TrainConfig()
     columns, _ = split_features_target(features)
+    if config.max_rows is not None:
+        # trees grow with the rows they see, so a fit takes a bounded, seeded sample
+        place = hash_positions(features, "customer_id", config.seed)
+        features = place.filter(F.col("_r") <= config.max_rows).drop("_r", "_n")
     split = stratified_split(features, "customer_id", TARGET_COLUMN, 0.2, config.seed)
     split = prepare_training_frame(split).persist()
     train = split.filter(F.col("split") == "train")

@@ -97,18 +97,26 @@ def fk_orphans(
 ) -> DataFrame:
     """V6 + J8: rows whose non-null reference has no parent row, per relation.
 
-    ``left_anti`` against the parent's key; Spark broadcasts the parent only
-    when its measured size is under the broadcast threshold.  Relations that
-    share a parent read the same (memoised) parent plan, so its exchange is
-    built once and reused by the others (``ReusedExchange``).
+    Child rows are first counted per reference (map-side), so a parent that a
+    third of the rows name is one row per task.  ``left_anti`` against the
+    parent's key; Spark broadcasts the parent only when its measured size is
+    under the broadcast threshold.  Relations that share a parent read the same
+    parent plan, so its exchange is built once and reused by the others
+    (``ReusedExchange``).
     """
     parts = []
     for child, child_col, parent, parent_col in relations:
-        c = tables[child].select(F.col(child_col).alias("_fk")).filter(F.col("_fk").isNotNull())
+        c = (
+            tables[child]
+            .select(F.col(child_col).alias("_fk"))
+            .filter(F.col("_fk").isNotNull())
+            .groupBy("_fk")
+            .agg(F.count(F.lit(1)).alias("_n"))
+        )
         p = tables[parent].select(F.col(parent_col).alias("_fk"))
         orphans = c.join(p, "_fk", "left_anti")
         parts.append(
-            orphans.agg(F.count(F.lit(1)).alias("orphan_count")).select(
+            orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("orphan_count")).select(
                 F.lit(child).alias("child_table"),
                 F.lit(child_col).alias("child_column"),
                 F.lit(parent).alias("parent_table"),

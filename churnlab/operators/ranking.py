@@ -14,12 +14,15 @@ partition.  Here a total order is computed in parallel instead:
    recomputation (or a lost executor) could move rows between partitions and
    the counts of step 3 would no longer describe the rows being numbered.
 3. Per-partition counts (one row per partition) give each partition's offset;
-   that table is bounded by the partition count, so broadcasting it is safe.
-   ``rank = offset + position in partition``.
+   that table is bounded by the partition count, and Spark's own size checks
+   choose its join.  ``rank = offset + position in partition``.
 
 Per-group ranks work the same way with the group key leading the order; the
-offset table then has at most partitions + groups rows and is broadcast only
-under a checked row count.
+offset table then has at most partitions + groups rows.
+
+Samples and splits only need positions in a hash order.  They are counted per
+cell of the hash range, with one shuffle and neither sort bounds nor checkpoint
+(:func:`hash_positions`).
 """
 
 from __future__ import annotations
@@ -33,7 +36,10 @@ from churnlab.functions.scalar import col_, quartile_label
 from churnlab.session import ensure_checkpoint_dir
 
 PID, MID = "_pid", "_mid"
-BROADCAST_ROW_LIMIT = 2_000_000
+# Parts of the hash range in which positions are counted, and salts of a quota
+# group: fixed, so a plan never depends on the size of the data.
+HASH_CELLS = 4096
+QUOTA_SALTS = 64
 
 
 def _partitions(df: DataFrame, num_partitions: int | None) -> int:
@@ -55,16 +61,14 @@ def range_tagged(
     return tagged.checkpoint(eager=True)
 
 
-def _join_small(big: DataFrame, small: DataFrame, keys: list[str], rows: int) -> DataFrame:
-    """Inner join on ``keys`` with null-safe equality (a NULL group is a group),
-    broadcasting ``small`` only under the checked row count."""
+def _join_offsets(big: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on ``keys`` with null-safe equality (a NULL group is a group)."""
     renamed = small.select(*[F.col(c).alias(f"_s_{c}") if c in keys else F.col(c) for c in small.columns])
     cond = None
     for k in keys:
         term = big[k].eqNullSafe(renamed[f"_s_{k}"])
         cond = term if cond is None else cond & term
-    right = F.broadcast(renamed) if rows <= BROADCAST_ROW_LIMIT else renamed
-    return big.join(right, cond, "inner").drop(*[f"_s_{k}" for k in keys])
+    return big.join(renamed, cond, "inner").drop(*[f"_s_{k}" for k in keys])
 
 
 def global_rank(
@@ -95,8 +99,7 @@ def global_rank(
         F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_offset"),
         F.sum("_cnt").over(group_window).alias("_total"),
     )
-    n_rows = offsets.count()
-    joined = _join_small(tagged, offsets, keys, n_rows)
+    joined = _join_offsets(tagged, offsets, keys)
     out = joined.withColumn(
         rank_col, (F.col("_offset") + F.col(MID) - F.col("_first_mid") + 1).cast("bigint")
     )
@@ -127,12 +130,11 @@ def prefix_sums(
         *[F.coalesce(F.sum(f"_p_{k}").over(before), F.lit(0)).alias(f"_o_{k}") for k in measures],
         *[F.sum(f"_p_{k}").over(everything).alias(f"{k}_total") for k in measures],
     )
-    n_rows = offsets.count()
     running = Window.partitionBy(PID).orderBy(MID).rowsBetween(Window.unboundedPreceding, 0)
     inner = tagged.select(
         "*", *[F.sum(f"_m_{k}").over(running).alias(f"_r_{k}") for k in measures]
     )
-    joined = _join_small(inner, offsets, [PID], n_rows)
+    joined = _join_offsets(inner, offsets, [PID])
     out = joined.select(
         *[c for c in df.columns],
         *[(F.col(f"_o_{k}") + F.col(f"_r_{k}")).alias(k) for k in measures],
@@ -181,28 +183,28 @@ def quota_top_k(
 ) -> DataFrame:
     """Per group, the first ``quotas[g]`` rows in ``order``; no back-fill.
 
-    ``row_number() <= k`` with a literal k lets Spark insert a partial
-    WindowGroupLimit before the shuffle, so each task ships at most k rows per
-    group.  Quotas above the optimizer's limit use the distributed rank.
+    Two levels: the best rows of each (group, salt), with the group's rows
+    spread over ``QUOTA_SALTS`` salts by a hash, then the best of those.  One
+    final task gets at most salts x quota rows of a group, however many
+    partitions the table has.
     """
     if not quotas:
         return df.limit(0)
-    top = max(quotas.values())
     quota = F.create_map(*[x for g, k in quotas.items() for x in (F.lit(g), F.lit(k))])
-    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if top <= limit:
-        w = Window.partitionBy(group_col).orderBy(*order)
-        ranked = df.withColumn("_rn", F.row_number().over(w))
-        picked = ranked.filter(F.col("_rn") <= F.lit(top))
-    else:
-        picked = global_rank(
-            df.filter(F.col(group_col).isin(list(quotas))),
-            list(order),
-            rank_col="_rn",
-            total_col=None,
-            group_cols=[group_col],
-        )
-    return picked.filter(F.col("_rn") <= F.element_at(quota, F.col(group_col))).drop("_rn")
+    wanted = F.element_at(quota, F.col(group_col))
+    salt = F.pmod(F.xxhash64(*df.columns), F.lit(QUOTA_SALTS))
+    top = F.lit(max(quotas.values()))
+    parts = Window.partitionBy(group_col, "_salt").orderBy(*order)
+    whole = Window.partitionBy(group_col).orderBy(*order)
+    return (
+        df.filter(F.col(group_col).isin(list(quotas)))
+        .withColumn("_salt", salt)
+        .withColumn("_rn", F.row_number().over(parts))
+        .filter(F.col("_rn") <= top)
+        .withColumn("_rn", F.row_number().over(whole))
+        .filter((F.col("_rn") <= top) & (F.col("_rn") <= wanted))
+        .drop("_rn", "_salt")
+    )
 
 
 # --- W6 / W7 ----------------------------------------------------------------
@@ -213,6 +215,40 @@ def seeded_hash(key: str | Column, seed: int) -> Column:
     return F.md5(F.concat(col_(key).cast("string"), F.lit(f":{seed}")))
 
 
+def hash_positions(
+    df: DataFrame, key: str, seed: int, group_cols: Sequence[str] = ()
+) -> DataFrame:
+    """Add ``_r``, each row's 1-based position in seeded hash order within its
+    group, and ``_n``, the rows of the group.
+
+    Rows are shuffled once by (group, cell of the hash).  The counts per cell
+    and the positions within a cell both read that shuffle; only the counts
+    (at most ``HASH_CELLS`` rows a group) are put in order across cells.
+    """
+    groups = list(group_cols)
+    cell = F.conv(F.substring("_h", 1, 3), 16, 10).cast("int")  # 4096 values
+    rows = df.withColumn("_h", seeded_hash(key, seed)).withColumn(
+        "_cell", F.coalesce(cell % HASH_CELLS, F.lit(0))
+    )
+    dealt = rows.repartition(_partitions(df, None), *groups, "_cell")
+    group = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(1))
+    before = group.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    counts = dealt.groupBy(*groups, "_cell").agg(F.count(F.lit(1)).alias("_cnt"))
+    offsets = counts.select(
+        *groups,
+        "_cell",
+        F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_offset"),
+        F.sum("_cnt").over(group).alias("_n"),
+    )
+    within = Window.partitionBy(*groups, "_cell").orderBy(F.col("_h").asc(), F.col(key).asc())
+    numbered = dealt.withColumn("_in_cell", F.row_number().over(within))
+    return (
+        _join_offsets(numbered, offsets, [*groups, "_cell"])
+        .withColumn("_r", F.col("_offset") + F.col("_in_cell"))
+        .drop("_h", "_cell", "_offset", "_in_cell")
+    )
+
+
 def exact_fraction_sample(
     df: DataFrame, key: str, fraction: float, seed: int = 42
 ) -> DataFrame:
@@ -221,14 +257,8 @@ def exact_fraction_sample(
     Unlike ``df.sample`` (Bernoulli) the size is exact and the pick repeats for
     a seed on any cluster layout.
     """
-    ranked = global_rank(
-        df.withColumn("_h", seeded_hash(key, seed)),
-        [F.col("_h").asc(), F.col(key).asc()],
-        rank_col="_r",
-        total_col="_n",
-    )
     keep = F.bround(F.lit(fraction) * F.col("_n").cast("double"), 0)
-    return ranked.filter(F.col("_r") <= keep).drop("_h", "_r", "_n")
+    return hash_positions(df, key, seed).filter(F.col("_r") <= keep).drop("_r", "_n")
 
 
 def stratified_split(
@@ -241,14 +271,9 @@ def stratified_split(
 ) -> DataFrame:
     """Per label value, the first ceil(test_fraction * n_label) rows in seeded
     hash order are 'test', the rest 'train'."""
-    ranked = global_rank(
-        df.withColumn("_h", seeded_hash(key, seed)),
-        [F.col("_h").asc(), F.col(key).asc()],
-        rank_col="_r",
-        total_col="_n",
-        group_cols=[label],
-    )
     n_test = F.ceil(F.lit(test_fraction) * F.col("_n").cast("double"))
-    return ranked.withColumn(
-        split_col, F.when(F.col("_r") <= n_test, "test").otherwise("train")
-    ).drop("_h", "_r", "_n")
+    return (
+        hash_positions(df, key, seed, [label])
+        .withColumn(split_col, F.when(F.col("_r") <= n_test, "test").otherwise("train"))
+        .drop("_r", "_n")
+    )

@@ -80,38 +80,50 @@ def model_probability(model, features: DataFrame, out_col: str = "churn_probabil
     )
 
 
-def score_customers(
+def score_rows(
     features: DataFrame,
     probability: Column | str = "churn_probability",
-    sort: bool = True,
     keep_features: bool = False,
 ) -> DataFrame:
-    """The risk score table.
-
-    Carried columns + probability, risk band (P18), money at risk (P19),
-    retention priority quartile (P21 + W1 + W2), recommended action (P20);
-    sorted by priority text ascending then money at risk descending (T1).
+    """The row-only part of M10: carried columns, probability, risk band (P18),
+    money at risk (P19) and recommended action (P20).  A projection: no
+    shuffle, no job; columns that a query does not use are pruned.
 
     ``keep_features=True`` carries every feature column instead of the 13
-    score columns: the features joined to their scores (J2) without running
-    the feature plan a second time for a join.
+    score columns: the features joined to their scores (J2) without a join.
     """
     p = F.col(probability) if isinstance(probability, str) else probability
     carried = features.columns if keep_features else SCORE_COLUMNS
     carried = [c for c in carried if c != "churn_probability"]
     base = features.select(*carried, p.cast("double").alias("churn_probability"))
-    scored = base.select(
+    return base.select(
         "*",
         risk_category("churn_probability").alias("risk_category"),
         round_half_up(F.col("churn_probability") * F.col("total_mrr"), 2).alias(
             "estimated_monthly_revenue_at_risk"
         ),
-    )
-    ranked = priority_quartiles(scored, priority_score())
-    out = ranked.select(
-        *scored.columns,
-        "retention_priority",
-        retention_action().alias("recommended_action"),
+    ).withColumn("recommended_action", retention_action())
+
+
+def priorities(scored: DataFrame) -> DataFrame:
+    """Retention priority quartile (P21 + W1 + W2) of every scored row, as
+    (customer_id, retention_priority): only id and score are ranked."""
+    narrow = scored.select("customer_id", priority_score().alias("_priority"))
+    return priority_quartiles(narrow, "_priority").select("customer_id", "retention_priority")
+
+
+def score_customers(
+    features: DataFrame,
+    probability: Column | str = "churn_probability",
+    sort: bool = True,
+    keep_features: bool = False,
+) -> DataFrame:
+    """The risk score table, with the priority quartile joined to the rows;
+    sorted by priority text ascending then money at risk descending (T1)."""
+    scored = score_rows(features, probability, keep_features)
+    columns = [c for c in scored.columns if c != "recommended_action"]
+    out = scored.join(priorities(scored), "customer_id", "left").select(
+        *columns, "retention_priority", "recommended_action"
     )
     if sort:
         out = out.orderBy(

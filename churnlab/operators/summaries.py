@@ -218,42 +218,40 @@ def left_join_all(spine: DataFrame, summaries: list) -> DataFrame:
 
 def summarize_event_facts(facts: DataFrame, track: str = "features") -> DataFrame:
     """A3 + A6 + A7 + A8 in one aggregate over :func:`event_facts`-shaped rows
-    (every role column null outside its role).
+    (every role column null outside its role; ``role`` names it).
 
     One scan and one shuffle instead of four.  A customer with no event of a
     role gets a 0 count / NULL average here instead of no summary row, which
     the views' null policy turns into the same output.
     """
 
-    def role_count(id_col: str) -> Column:
-        # the feature track counts non-null ids; the SQL track counts role rows,
-        # and every row of a role has its id
-        return F.count(F.col(id_col))
+    def role_count(id_col: str, role: str) -> Column:
+        # the feature track counts non-null ids, the SQL track the role's rows
+        return F.count(F.col(id_col)) if track == "features" else F.count_if(F.col("role") == role)
 
     seed = F.col("complaint_category_seed")
-    in_support = F.col("ticket_id").isNotNull()
     aggs = [
-        role_count("device_id").alias("byod_device_count"),
+        role_count("device_id", "byod_devices").alias("byod_device_count"),
         exact_avg(facts, "device_age_months").alias("avg_byod_device_age_months"),
-        role_count("incident_id").alias("network_incident_count"),
+        role_count("incident_id", "network_incidents").alias("network_incident_count"),
         F.sum("duration_minutes").cast("bigint").alias("total_incident_minutes"),
     ]
     if track == "features":
         aggs.append(exact_avg(facts, "duration_minutes").alias("avg_incident_minutes"))
     aggs += [
-        role_count("ticket_id").alias("support_ticket_count"),
+        role_count("ticket_id", "support_tickets").alias("support_ticket_count"),
         exact_avg(facts, "resolution_hours").alias("avg_resolution_hours"),
-        _flag_sum(in_support & (seed == "cancellation_request")).alias("cancellation_request_count"),
+        _flag_sum(seed == "cancellation_request").alias("cancellation_request_count"),
     ]
     if track == "features":
         aggs += [
-            _flag_sum(in_support & (seed == "billing")).alias("billing_complaint_count"),
-            _flag_sum(in_support & seed.isin("network_outage", "slow_internet")).alias(
+            _flag_sum(seed == "billing").alias("billing_complaint_count"),
+            _flag_sum(seed.isin("network_outage", "slow_internet")).alias(
                 "network_complaint_count"
             ),
         ]
-    aggs.append(role_count("campaign_id").alias("retention_offer_count"))
-    aggs.append(_flag_sum(F.col("campaign_id").isNotNull() & F.col("accepted_offer")).alias("accepted_offer_count"))
+    aggs.append(role_count("campaign_id", "retention_campaigns").alias("retention_offer_count"))
+    aggs.append(_flag_sum(F.col("accepted_offer")).alias("accepted_offer_count"))
     if track == "features":
         aggs.append(exact_avg(facts, "offer_value").alias("avg_offer_value"))
     return facts.groupBy(KEY).agg(*aggs)
@@ -261,18 +259,24 @@ def summarize_event_facts(facts: DataFrame, track: str = "features") -> DataFram
 
 def summarize_order_facts(facts: DataFrame, track: str = "features") -> DataFrame:
     """A2 + A5 in one aggregate over :func:`order_facts`-shaped rows (mobile
-    columns null outside pending orders; every row an invoice).
+    columns null outside pending orders; marked by ``is_mobile``, ``is_invoice``).
 
     One scan and one shuffle of the orders instead of two.  A customer with
     invoices but no mobile line gets a 0 count / NULL sums here instead of no
     mobile row, which the views' null policy turns into the same output.
     """
     aggs = [
-        F.count(F.col("mobile_subscription_id")).alias("mobile_subscription_count"),
+        (
+            F.count(F.col("mobile_subscription_id"))
+            if track == "features"
+            else F.count_if(F.col("is_mobile"))
+        ).alias("mobile_subscription_count"),
         F.sum("line_count").cast("bigint").alias("mobile_line_count"),
         exact_sum(facts, "monthly_recurring_revenue").alias("mobile_mrr"),
         F.bool_or("is_5g_enabled").alias("has_5g"),
-        _count(facts, "invoice_id", track).alias("invoice_count"),
+        (
+            F.count(F.col("invoice_id")) if track == "features" else F.count_if(F.col("is_invoice"))
+        ).alias("invoice_count"),
         exact_sum(facts, "invoice_amount").alias("total_invoice_amount"),
     ]
     if track == "features":

@@ -7,7 +7,7 @@ with ``mapInPandas``:
 * the fitted ensemble is saved to the checkpoint folder and its node table read
   back with Spark (children, split feature / threshold or left categories, leaf
   value, training cover per node), then shipped to the workers as a broadcast
-  of plain arrays.  Its size is the model's size, checked against a limit;
+  of plain arrays.  The node count is checked against ``MAX_NODES`` first;
 * each worker walks every tree once per row (cost ~ trees x leaves x depth^2),
   so the work is spread over all partitions of the scored table.
 
@@ -24,7 +24,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_BYTES = 512 * 1024 * 1024
+# Nodes of an ensemble that are collected and shipped: about 100 bytes each.
+MAX_NODES = 4_000_000
 
 
 class TreeArrays:
@@ -37,9 +38,6 @@ class TreeArrays:
         self.threshold, self.categories = threshold, categories
         self.value, self.cover = value, cover
 
-    def nbytes(self) -> int:
-        return sum(a.nbytes for a in (self.left, self.right, self.feature, self.threshold, self.value, self.cover))
-
     def as_lists(self) -> TreeArrays:
         """The same tree with plain Python lists: scalar access in the per-row
         recursion is several times faster than indexing numpy arrays."""
@@ -59,6 +57,8 @@ def ensemble_arrays(model, work_dir: str) -> tuple[list[TreeArrays], list[float]
     from pyspark.sql import SparkSession
 
     spark = SparkSession.getActiveSession()
+    if model.totalNumNodes > MAX_NODES:
+        raise ValueError(f"the ensemble has {model.totalNumNodes} nodes; {MAX_NODES} can be shipped")
     path = f"{work_dir.rstrip('/')}/tree-model-{uuid.uuid4().hex}"
     model.write().overwrite().save(path)
     nodes = spark.read.parquet(f"{path}/data").select(
@@ -74,7 +74,9 @@ def ensemble_arrays(model, work_dir: str) -> tuple[list[TreeArrays], list[float]
         F.col("nodeData.split.numCategories").alias("num_categories"),
     )
     kind = "gbt" if isinstance(model, GBTClassificationModel) else "forest"
-    rows = nodes.orderBy("treeID", "id").collect()  # the model's own size
+    rows = nodes.orderBy("treeID", "id").collect()  # the model's own size, checked above
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
     by_tree: dict[int, list] = {}
     for r in rows:
         by_tree.setdefault(r["treeID"], []).append(r)
@@ -306,6 +308,7 @@ def explain_trees(
     work_dir: str,
     key: str = "customer_id",
     features_col: str = "features",
+    partitions: int | None = None,
 ) -> DataFrame:
     """Rows of (key, base_value, model_output, impacts array<struct<name, impact>>).
 
@@ -314,9 +317,6 @@ def explain_trees(
     from pyspark.ml.functions import vector_to_array
 
     trees, weights, kind = ensemble_arrays(model, work_dir)
-    size = sum(t.nbytes() for t in trees)
-    if size > MAX_BROADCAST_BYTES:
-        raise ValueError(f"tree ensemble of {size} bytes is over the broadcast limit")
     scale = 2.0 if kind == "gbt" else 1.0 / len(trees)
     factors = [scale * (w if kind == "gbt" else 1.0) for w in weights]
     base = float(sum(f * expected_value(t) for f, t in zip(factors, trees)))
@@ -341,11 +341,9 @@ def explain_trees(
                 {key: pdf[key], "model_output": output, "_phi": [row.tolist() for row in phi]}
             )
 
-    from churnlab.operators.complaints import spread_for_cpu
-
-    # CPU-heavy per-row work: spread the narrow (key, vector) rows over the
-    # cores when the input arrives in a few partitions
-    arrays = spread_for_cpu(scored.select(key, vector_to_array(F.col(features_col)).alias("_x")))
+    # CPU-heavy per-row work: the caller may name the partitions of the narrow rows
+    arrays = scored.select(key, vector_to_array(F.col(features_col)).alias("_x"))
+    arrays = arrays.repartition(partitions) if partitions else arrays
     key_type = scored.schema[key].dataType.simpleString()
     raw = arrays.mapInPandas(run, f"{key} {key_type}, model_output double, _phi array<double>")
     names_col = F.array(*[F.lit(n) for n in names])

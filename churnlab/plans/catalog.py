@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from churnlab.functions.constants import QUOTA_REST_BAND, QUOTA_SHARES
 from churnlab.functions.scalar import snake_case
 from churnlab.operators import (
+    clean,
     complaints,
     enrich,
     explain,
@@ -29,7 +30,7 @@ from churnlab.operators import (
 )
 from churnlab.operators import features as feat
 from churnlab.operators import summaries as summ
-from churnlab.plans import reports
+from churnlab.plans import reports, serving
 from churnlab.session import ensure_checkpoint_dir
 from churnlab.sources import roles, schemas
 from churnlab.sources.io import file_fingerprints
@@ -55,14 +56,15 @@ def tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 @query("kpi_summary")
 def q_kpi_summary(spark, root):
-    return views.kpi_summary(
-        views.customer_360(tables(spark, root), exact=True, overrides=roles.summary_overrides(spark, root, "sql"))
-    )
+    """The KPI row, read from its registered view."""
+    roles.register_views(spark, root)
+    return spark.table("kpi_summary")
 
 
 @query("customer_360")
 def q_customer_360(spark, root):
-    return views.customer_360(tables(spark, root), overrides=roles.summary_overrides(spark, root, "sql"))
+    roles.register_views(spark, root)
+    return spark.table("customer_360")
 
 
 def _summary_query(table: str, build) -> QueryFn:
@@ -88,10 +90,9 @@ for _name, _table, _build in [
 # --- feature track ---------------------------------------------------------
 
 
-@roles.session_plan
-def customer_features(spark: SparkSession, root: str) -> DataFrame:
+def customer_features(spark: SparkSession, root: str, as_of_month: str | None = None) -> DataFrame:
     return feat.build_customer_features(
-        tables(spark, root), overrides=roles.summary_overrides(spark, root, "features")
+        tables(spark, root), overrides=roles.summary_overrides(spark, root, "features", as_of_month)
     )
 
 
@@ -100,6 +101,15 @@ def q_customer_features(spark, root):
     return customer_features(spark, root)
 
 
+AS_OF_MONTH = "1996-06"
+
+
+@query("customer_features_as_of")
+def q_customer_features_as_of(spark, root):
+    """Point-in-time features: no fact dated after the month."""
+    return customer_features(spark, root, AS_OF_MONTH)
+
+
 # --- scoring, explanations, reports ----------------------------------------
 
 
@@ -147,45 +157,41 @@ def q_priority_quartiles(spark, root):
 
 @query("risk_band_counts")
 def q_risk_band_counts(spark, root):
-    return reports.value_counts(risk_scores(spark, root), "risk_category")
+    return reports.value_counts(scored_rows(spark, root), "risk_category")
 
 
 @query("action_counts")
 def q_action_counts(spark, root):
-    return reports.top_actions(risk_scores(spark, root), 10)
+    return reports.top_actions(scored_rows(spark, root), 10)
 
 
-def customer_scores(spark: SparkSession, root: str) -> DataFrame:
-    """Every feature column plus the score columns, scored in one pass."""
-    features = customer_features(spark, root)
-    return scoring.score_customers(
-        features, scoring.scorecard_probability(), sort=False, keep_features=True
+def scored_rows(spark: SparkSession, root: str) -> DataFrame:
+    """Every feature column plus the score columns but the priority rank."""
+    return scoring.score_rows(
+        customer_features(spark, root), scoring.scorecard_probability(), keep_features=True
     )
 
 
 @query("executive_tiles")
 def q_executive_tiles(spark, root):
-    return reports.executive_tiles(customer_scores(spark, root))
+    return reports.executive_tiles(scored_rows(spark, root))
 
 
 @query("top25_at_risk")
 def q_top25_at_risk(spark, root):
-    return reports.top_at_risk(customer_scores(spark, root), 25)
+    """The 25 rows first; the priority rank is joined to them alone."""
+    rows = scored_rows(spark, root)
+    return reports.top_at_risk(rows, 25, scoring.priorities(rows))
 
 
 @query("customer_detail")
 def q_customer_detail(spark, root):
-    """One customer's features, scores and drivers (J2 + J3 + L6)."""
-    features = customer_features(spark, root)
-    c360 = scoring.score_customers(
-        features, scoring.scorecard_probability(), sort=False, keep_features=True
-    )
-    # background means from the checkpointed scored rows: one feature pass in all
-    background = explain.linear_background(c360, scoring.SCORECARD)
-    with_drivers = explain.with_explanation_columns(
-        c360, explain.linear_impacts(c360, scoring.SCORECARD, background)
+    """One customer's page from the stored tables (J2 + J3 + L6)."""
+    stored = serving.stored_tables(spark, root, customer_features(spark, root))
+    c360 = reports.customer_scores(stored["features"], stored["scores"])
+    return reports.customer_detail(
+        reports.with_explanations(c360, stored["explanations"]), DETAIL_CUSTOMER_ID
     )
-    return reports.customer_detail(with_drivers, DETAIL_CUSTOMER_ID)
 
 
 @query("explanations_linear")
@@ -288,44 +294,34 @@ def quota_sample(scores: DataFrame, row_count: int = DEMO_ROW_COUNT) -> DataFram
 
 @query("quota_sample")
 def q_quota_sample(spark, root):
-    return quota_sample(risk_scores(spark, root)).select(
+    return quota_sample(scored_rows(spark, root)).select(
         "customer_id", "risk_category", "estimated_monthly_revenue_at_risk"
     )
 
 
 @query("quota_features")
 def q_quota_features(spark, root):
-    """The features of the quota-sampled customers, by id.  Scores carry the
-    feature columns, so the sample and its features come from one scored pass."""
-    features = customer_features(spark, root)
-    full = customer_scores_from(features)
-    picked = quota_sample(full).select("customer_id")
-    return (
-        full.join(picked, "customer_id", "left_semi")
-        .select(*features.columns)
-        .orderBy("customer_id")
-    )
+    """The features of the quota-sampled customers, by id.  The sample keeps
+    its rows' feature columns, so they come from one scored pass."""
+    columns = customer_features(spark, root).columns
+    return quota_sample(scored_rows(spark, root)).select(*columns).orderBy("customer_id")
 
 
 @query("demo_subset")
 def q_demo_subset(spark, root):
-    """The explanations of the quota-sampled customers, by id."""
-    features = customer_features(spark, root)
-    full = customer_scores_from(features)
-    background = explain.linear_background(full, scoring.SCORECARD)  # from the checkpoint
-    picked = quota_sample(full).select("customer_id")
+    """The explanations of the quota-sampled customers, by id."""
+    ensure_checkpoint_dir(spark)
+    narrow = ["customer_id", *SCORECARD_INPUTS, "churn_probability", "risk_category",
+              "estimated_monthly_revenue_at_risk"]
+    rows = scored_rows(spark, root).select(*narrow).checkpoint(eager=True)
+    background = explain.linear_background(rows, scoring.SCORECARD)
+    picked = quota_sample(rows).select("customer_id")
     explained = explain.explanation_table(
-        full, F.col("churn_probability"), explain.linear_impacts(full, scoring.SCORECARD, background)
+        rows, F.col("churn_probability"), explain.linear_impacts(rows, scoring.SCORECARD, background)
     )
     return explained.join(picked, "customer_id", "left_semi").orderBy("customer_id")
 
 
-def customer_scores_from(features: DataFrame) -> DataFrame:
-    return scoring.score_customers(
-        features, scoring.scorecard_probability(), sort=False, keep_features=True
-    )
-
-
 # --- quality and profiling ---------------------------------------------------
 
 
@@ -349,6 +345,18 @@ def q_null_audit(spark, root):
     return quality.null_audit(tables(spark, root))
 
 
+@query("domain_audit")
+def q_domain_audit(spark, root):
+    """Every order status and priority outside the domains below, with counts."""
+    return clean.domain_audit(roles.driver(spark, root, "orders"), ORDER_DOMAINS)
+
+
+ORDER_DOMAINS = {
+    "o_orderstatus": ("F", "O"),
+    "o_orderpriority": ("1-URGENT", "2-HIGH", "3-MEDIUM"),
+}
+
+
 @query("profile_columns")
 def q_profile_columns(spark, root):
     """Profile of the raw customer source table."""
@@ -504,10 +512,11 @@ def q_complaint_score_box(spark, root):
 
 @query("complaint_samples")
 def q_complaint_samples(spark, root):
+    """The first 100 tickets, then their classes: no other text is classified."""
+    first = roles.ticket_texts(spark, root).orderBy("ticket_id").limit(100)
     return (
-        classified_tickets(spark, root)
+        complaints.classify_support_tickets(first, complaints.COMMON_WORD_LEXICON)
         .orderBy("ticket_id")
-        .limit(100)
         .select(
             "ticket_id",
             "customer_id",
@@ -526,7 +535,7 @@ def q_complaint_samples(spark, root):
 @query("run_summary")
 def q_run_summary(spark, root):
     """The figures each batch step prints, as (metric, value) rows."""
-    scores = customer_scores(spark, root)  # features and scores, one pass
+    scores = scored_rows(spark, root)
     feature_stats = scores.agg(
         F.count(F.lit(1)).cast("double").alias("feature_rows"),
         reports.boolean_rate("churned").alias("churn_rate"),
@@ -568,8 +577,8 @@ def q_file_fingerprints(spark, root):
 # --- model training, scoring and tree explanations (rows-only checks) --------
 
 
-# Fitted models of this driver process, keyed by input folder and settings, so
-# the three model queries train once per session.  Holds model objects only.
+# The fitted models of each (application, root, settings), with the listing of
+# the driver tables they were fitted on.  Holds model objects only.
 _TRAINED: dict[tuple, tuple] = {}
 
 
@@ -581,11 +590,10 @@ def train_config() -> ml.TrainConfig:
 def trained_models(spark: SparkSession, root: str, config: ml.TrainConfig | None = None):
     config = config or train_config()
     key = (spark.sparkContext.applicationId, root, repr(config))
-    if key not in _TRAINED:
-        features = customer_features(spark, root).persist()
-        best, rows, models = ml.train_and_evaluate(features, config)
-        _TRAINED[key] = (best, rows, models, features)
-    return _TRAINED[key]
+    state = serving.state_of(spark, root)
+    if key not in _TRAINED or _TRAINED[key][0] != state:
+        _TRAINED[key] = (state, *ml.train_and_evaluate(customer_features(spark, root), config))
+    return (*_TRAINED[key][1:], customer_features(spark, root))
 
 
 @query("model_selection")

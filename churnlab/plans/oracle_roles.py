@@ -88,6 +88,7 @@ byod_devices AS (
   SELECT
     event_id AS device_id,
     user_id AS customer_id,
+    CASE WHEN event_id % 4 <> 0 THEN event_id END AS mobile_subscription_id,
     'byod' AS device_ownership,
     CASE WHEN event_id % 2 = 0 THEN 'ios' ELSE 'android' END AS device_os,
     CAST(1 + CAST(regexp_extract(props, '([0-9]+)', 1) AS INTEGER) % 48 AS INTEGER)
@@ -106,7 +107,7 @@ monthly_usage AS (
     CAST(l.l_partkey % 1500 AS INTEGER) AS voice_minutes,
     CAST(l.l_suppkey % 500 AS INTEGER) AS sms_count,
     true AS is_synthetic
-  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+  FROM lineitem l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
 ),
 billing_history AS (
   SELECT
@@ -141,6 +142,7 @@ support_tickets AS (
          WHEN 2 THEN 'slow_internet' WHEN 3 THEN 'device_problem'
          WHEN 4 THEN 'activation_issue' WHEN 5 THEN 'pricing_complaint'
          ELSE 'cancellation_request' END AS complaint_category_seed,
+    props AS ticket_text,
     CASE WHEN value >= 300 THEN 'high' WHEN value >= 100 THEN 'medium' ELSE 'low' END AS priority,
     CAST(value AS DECIMAL(10, 2)) AS resolution_hours,
     true AS is_synthetic
@@ -161,7 +163,7 @@ retention_campaigns AS (
 ticket_texts AS (
   SELECT
     d.doc_id AS ticket_id,
-    d.doc_id AS customer_id,
+    d.doc_id % 1500 AS customer_id,
     d.text AS ticket_text,
     CASE WHEN lb.toxic = 1 THEN 'cancellation_request'
          WHEN lb.quality = 0 THEN 'billing'

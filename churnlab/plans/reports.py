@@ -98,16 +98,14 @@ TOP_AT_RISK_COLUMNS = [
 ]
 
 
-def top_at_risk(c360: DataFrame, k: int = 25) -> DataFrame:
-    """The k customers with the most expected revenue at risk."""
-    return (
-        c360.orderBy(
-            F.col("estimated_monthly_revenue_at_risk").desc_nulls_last(),
-            F.col("customer_id").asc(),
-        )
-        .limit(k)
-        .select(*TOP_AT_RISK_COLUMNS)
-    )
+def top_at_risk(c360: DataFrame, k: int = 25, priorities: DataFrame | None = None) -> DataFrame:
+    """The k customers with the most expected revenue at risk.
+    ``priorities`` (customer_id, retention_priority) joins to those k rows."""
+    order = [F.col("estimated_monthly_revenue_at_risk").desc_nulls_last(), F.col("customer_id").asc()]
+    top = c360.orderBy(*order).limit(k)
+    if priorities is not None:
+        top = top.join(priorities, "customer_id", "left").orderBy(*order)
+    return top.select(*TOP_AT_RISK_COLUMNS)
 
 
 # Fields of the single-customer page.
@@ -134,7 +132,8 @@ DETAIL_COLUMNS = [
 
 
 def customer_detail(c360: DataFrame, customer_id) -> DataFrame:
-    """One customer's record (the filter reaches the Parquet scans)."""
+    """One customer's record.  Over stored tables the filter reaches
+    each Parquet scan."""
     cols = DETAIL_COLUMNS + [c for c in EXPLANATION_COLUMNS[1:] if c in c360.columns]
     return c360.filter(F.col("customer_id") == F.lit(customer_id)).select(*cols)
 

@@ -63,6 +63,8 @@ def read_raw_customers(spark: SparkSession, path: str) -> DataFrame:
     return (
         spark.read.option("header", True)
         .option("mode", "FAILFAST")
+        # columns by header name, file by file: another order is an error, not a swap
+        .option("enforceSchema", False)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .schema(schema)

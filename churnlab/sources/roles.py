@@ -12,7 +12,7 @@ use.  Types follow :mod:`churnlab.sources.schemas` (money as decimal).
 
 from __future__ import annotations
 
-import functools
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from churnlab.functions.constants import COMPLAINT_LABELS, MOBILE_PLAN_PRICES
 from churnlab.functions.scalar import normalize_label
-from churnlab.sources.io import read_table
+from churnlab.sources.io import read_table, table_path
 from churnlab.sources.schemas import BIG_MONEY, MONEY
 
 DRIVER_TABLES = (
@@ -29,42 +29,35 @@ DRIVER_TABLES = (
 ).split()
 
 
-# Driver tables read in this session: one file listing and footer read per
-# table, and one relation instance, so plans that use a table several times
-# are built quickly and can share exchanges.
-_READS: dict[tuple[str, str, str], DataFrame] = {}
+# The last reading of each driver table in this session, with the listing it was
+# made from: a table is listed on every use and read anew when files changed.
+_READS: dict[tuple[str, str, str], tuple[str, DataFrame]] = {}
 
 
-def driver(spark: SparkSession, root: str, name: str) -> DataFrame:
-    key = (spark.sparkContext.applicationId, root.rstrip("/"), name)
-    if key not in _READS:
-        _READS[key] = read_table(spark, root, name)
-    return _READS[key]
-
-
-_PLANS: dict[tuple, DataFrame] = {}
+def listing(spark: SparkSession, root: str, name: str) -> str:
+    """Files, lengths and times of a driver table, as one text."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(table_path(root, name))
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(path):
+        return ""
+    # one call for the whole listing, however many files it has
+    files = jvm.org.apache.commons.lang3.ArrayUtils.toString(system.listStatus(path))
+    return re.sub(r"access_time=\d+", "", files)
 
 
-def session_plan(build):
-    """Memoise a lazy DataFrame builder ``build(spark, root)`` per session and
-    root.  Only the plan object is kept (DataFrames are immutable); nothing is
-    computed or cached in memory by this."""
-
-    @functools.wraps(build)
-    def wrapper(spark: SparkSession, root: str) -> DataFrame:
-        key = (build.__module__, build.__qualname__, spark.sparkContext.applicationId, root.rstrip("/"))
-        if key not in _PLANS:
-            _PLANS[key] = build(spark, root)
-        return _PLANS[key]
-
-    return wrapper
+def driver(spark: SparkSession, root: str, name: str) -> DataFrame:
+    key = (spark.sparkContext.applicationId, root.rstrip("/"), name)
+    files = listing(spark, root, name)
+    if key not in _READS or _READS[key][0] != files:
+        _READS[key] = (files, read_table(spark, root, name))
+    return _READS[key][1]
 
 
 def _month(ts_col: str):
     return F.date_format(F.col(ts_col), "yyyy-MM")
 
 
-@session_plan
 def customers(spark: SparkSession, root: str) -> DataFrame:
     c = driver(spark, root, "customer")
     n = driver(spark, root, "nation").select("n_nationkey", "n_regionkey")
@@ -149,7 +142,6 @@ def customers(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-@session_plan
 def fixed_subscriptions(spark: SparkSession, root: str) -> DataFrame:
     from churnlab.operators.enrich import fixed_subscriptions_from_customers
 
@@ -198,24 +190,28 @@ def _billing_columns() -> dict[str, Column]:
 MOBILE_ORDER_STATUS = "P"
 
 
-@session_plan
 def mobile_subscriptions(spark: SparkSession, root: str) -> DataFrame:
     o = driver(spark, root, "orders").filter(F.col("o_orderstatus") == MOBILE_ORDER_STATUS)
     return o.select(*[c.alias(n) for n, c in _mobile_columns().items()])
 
 
-@session_plan
-def order_facts(spark: SparkSession, root: str) -> DataFrame:
-    """Mobile lines and invoices in one pass over ``orders``: every order is an
-    invoice; the mobile columns are null unless the order is pending."""
-    is_mobile = F.col("o_orderstatus") == MOBILE_ORDER_STATUS
-    cols = [F.col("o_custkey").alias("customer_id")]
+def _dated(month: Column, as_of_month: str | None) -> Column:
+    return F.lit(True) if as_of_month is None else month <= F.lit(as_of_month)
+
+
+def order_facts(spark: SparkSession, root: str, as_of_month: str | None = None) -> DataFrame:
+    """Mobile lines and invoices in one pass over ``orders``: every order (up to
+    ``as_of_month``) is an invoice; the mobile columns are null unless the order
+    is pending.  ``is_mobile`` and ``is_invoice`` mark the rows of each role."""
+    is_mobile = F.coalesce(F.col("o_orderstatus") == MOBILE_ORDER_STATUS, F.lit(False))
+    is_invoice = F.coalesce(_dated(_month("o_orderdate"), as_of_month), F.lit(False))
+    cols = [F.col("o_custkey").alias("customer_id"), is_mobile.alias("is_mobile"), is_invoice.alias("is_invoice")]
     for name, c in _mobile_columns().items():
         if name not in ("customer_id", "is_synthetic", "service_type", "subscription_status"):
             cols.append(F.when(is_mobile, c).alias(name))
     for name, c in _billing_columns().items():
         if name not in ("customer_id", "is_synthetic"):
-            cols.append(c.alias(name))
+            cols.append(F.when(is_invoice, c).alias(name))
     return driver(spark, root, "orders").select(*cols)
 
 
@@ -229,6 +225,7 @@ def _byod_columns() -> dict[str, Column]:
     return {
         "device_id": F.col("event_id"),
         "customer_id": F.col("user_id"),
+        "mobile_subscription_id": F.when(F.col("event_id") % 4 != 0, F.col("event_id")),
         "device_ownership": F.lit("byod"),
         "device_os": F.when(F.col("event_id") % 2 == 0, "ios").otherwise("android"),
         "device_age_months": (
@@ -260,6 +257,7 @@ def _support_columns() -> dict[str, Column]:
         "customer_id": F.col("user_id"),
         "ticket_month": _month("ts"),
         "complaint_category_seed": F.element_at(labels, (F.col("event_id") % 7 + 1).cast("int")),
+        "ticket_text": F.col("props"),
         "priority": F.when(F.col("value") >= 300, "high")
         .when(F.col("value") >= 100, "medium")
         .otherwise("low"),
@@ -297,31 +295,43 @@ def _event_role(spark: SparkSession, root: str, table: str) -> DataFrame:
     )
 
 
-@session_plan
 def byod_devices(spark: SparkSession, root: str) -> DataFrame:
     return _event_role(spark, root, "byod_devices")
 
 
-@session_plan
-def event_facts(spark: SparkSession, root: str) -> DataFrame:
+# The month column of each event role that has one.
+_EVENT_MONTHS = {
+    "network_incidents": "incident_month",
+    "support_tickets": "ticket_month",
+    "retention_campaigns": "campaign_month",
+}
+
+
+def event_facts(spark: SparkSession, root: str, as_of_month: str | None = None) -> DataFrame:
     """All four event roles in one pass over ``events``: one row per event with
-    every role column, null unless the event has that role's type."""
-    cols = [F.col("user_id").alias("customer_id")]
-    for event_type, builder in EVENT_ROLES.values():
-        is_type = F.col("event_type") == event_type
-        for name, c in builder().items():
+    every role column, null unless the event has that role's type (and, for the
+    dated roles, falls in ``as_of_month`` or before).  ``role`` names the role
+    the row belongs to, so rows can be counted whatever their ids hold."""
+    cols, role = [F.col("user_id").alias("customer_id")], F.lit(None).cast("string")
+    for table, (event_type, builder) in EVENT_ROLES.items():
+        columns = builder()
+        in_role = F.col("event_type") == event_type
+        if table in _EVENT_MONTHS:
+            in_role = in_role & _dated(columns[_EVENT_MONTHS[table]], as_of_month)
+        role = F.when(in_role, F.lit(table)).otherwise(role)
+        for name, c in columns.items():
             if name not in ("customer_id", "is_synthetic"):
-                cols.append(F.when(is_type, c).alias(name))
-    return driver(spark, root, "events").select(*cols)
+                cols.append(F.when(in_role, c).alias(name))
+    return driver(spark, root, "events").select(*cols, role.alias("role"))
 
 
-@session_plan
 def monthly_usage(spark: SparkSession, root: str) -> DataFrame:
     li = driver(spark, root, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate"
     )
     o = driver(spark, root, "orders").select("o_orderkey", "o_custkey")
-    return li.join(o, li.l_orderkey == o.o_orderkey, "inner").select(
+    # left: a line item without its order stays visible to the audits
+    return li.join(o, li.l_orderkey == o.o_orderkey, "left").select(
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("usage_id"),
         F.col("o_custkey").alias("customer_id"),
         F.col("l_orderkey").alias("subscription_id"),
@@ -334,8 +344,7 @@ def monthly_usage(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-@session_plan
-def usage_partials(spark: SparkSession, root: str) -> DataFrame:
+def usage_partials(spark: SparkSession, root: str, as_of_month: str | None = None) -> DataFrame:
     """Usage measures pre-aggregated per order before the join with orders.
 
     Every usage aggregate is a sum (or a sum / count), so line items are first
@@ -344,6 +353,8 @@ def usage_partials(spark: SparkSession, root: str) -> DataFrame:
     holding a third of all line items therefore costs one row per task.
     """
     li = driver(spark, root, "lineitem")
+    if as_of_month is not None:
+        li = li.filter(_month("l_shipdate") <= F.lit(as_of_month))
     per_order = li.groupBy(F.col("l_orderkey")).agg(
         F.sum(F.col("l_quantity").cast(MONEY)).alias("data_gb_sum"),
         F.count(F.col("l_quantity")).alias("data_gb_n"),
@@ -356,7 +367,9 @@ def usage_partials(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def summary_overrides(spark: SparkSession, root: str, track: str = "features") -> dict:
+def summary_overrides(
+    spark: SparkSession, root: str, track: str = "features", as_of_month: str | None = None
+) -> dict:
     """Summaries computed closer to the driver tables than the role rows allow:
     the fixed line as columns of the customer row (one per customer), mobile
     lines and invoices in one scan and one shuffle of ``orders``, line items
@@ -372,35 +385,30 @@ def summary_overrides(spark: SparkSession, root: str, track: str = "features") -
     return {
         "fixed_subscriptions": fixed_summary_columns,
         ("mobile_subscriptions", "billing_history"): summarize_order_facts(
-            order_facts(spark, root), track
+            order_facts(spark, root, as_of_month), track
         ),
-        "monthly_usage": summarize_usage_partials(usage_partials(spark, root), track),
-        tuple(EVENT_ROLES): summarize_event_facts(event_facts(spark, root), track),
+        "monthly_usage": summarize_usage_partials(usage_partials(spark, root, as_of_month), track),
+        tuple(EVENT_ROLES): summarize_event_facts(event_facts(spark, root, as_of_month), track),
     }
 
 
-@session_plan
 def billing_history(spark: SparkSession, root: str) -> DataFrame:
     o = driver(spark, root, "orders")
     return o.select(*[c.alias(n) for n, c in _billing_columns().items()])
 
 
-@session_plan
 def network_incidents(spark: SparkSession, root: str) -> DataFrame:
     return _event_role(spark, root, "network_incidents")
 
 
-@session_plan
 def support_tickets(spark: SparkSession, root: str) -> DataFrame:
     return _event_role(spark, root, "support_tickets")
 
 
-@session_plan
 def retention_campaigns(spark: SparkSession, root: str) -> DataFrame:
     return _event_role(spark, root, "retention_campaigns")
 
 
-@session_plan
 def ticket_texts(spark: SparkSession, root: str) -> DataFrame:
     """Complaint tickets with free text: documents, seeded from their labels."""
     d = driver(spark, root, "documents").select("doc_id", "text")
@@ -412,13 +420,12 @@ def ticket_texts(spark: SparkSession, root: str) -> DataFrame:
     )
     return d.join(lab, "doc_id", "left").select(
         F.col("doc_id").alias("ticket_id"),
-        F.col("doc_id").alias("customer_id"),
+        (F.col("doc_id") % 1500).alias("customer_id"),
         F.col("text").alias("ticket_text"),
         seed.alias("complaint_category_seed"),
     )
 
 
-@session_plan
 def conversation_turns(spark: SparkSession, root: str) -> DataFrame:
     """Customer-written chat turns as complaint texts (a second text source):
     one ticket per user turn, keyed conv_id * 1000 + turn, no seed label."""
@@ -469,9 +476,18 @@ def domain_tables(spark: SparkSession, root: str) -> DomainTables:
 
 
 def register_views(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """Register the role tables as temp views (S9) and return them."""
+    """Register the role tables and the two views of the schema, ``customer_360``
+    and ``kpi_summary``, as temp views (S9), and return them."""
+    from churnlab.operators.views import customer_360, kpi_summary
+
     tables = dict(domain_tables(spark, root))
     tables["ticket_texts"] = ticket_texts(spark, root)
+    overrides = summary_overrides(spark, root, "sql")
+    exact = customer_360(tables, exact=True, overrides=overrides)
+    tables["customer_360"] = customer_360(tables, overrides=overrides)
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
+    exact.createOrReplaceTempView("customer_360_exact")
+    tables["kpi_summary"] = kpi_summary(spark.table("customer_360_exact"))
+    tables["kpi_summary"].createOrReplaceTempView("kpi_summary")
     return tables

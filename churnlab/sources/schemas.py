@@ -72,6 +72,7 @@ MOBILE_SUBSCRIPTIONS = _fields(
 BYOD_DEVICES = _fields(
     ("device_id", T.LongType()),
     ("customer_id", T.LongType()),
+    ("mobile_subscription_id", T.LongType()),
     ("device_ownership", T.StringType()),
     ("device_os", T.StringType()),
     ("device_age_months", T.IntegerType()),
@@ -115,6 +116,7 @@ SUPPORT_TICKETS = _fields(
     ("customer_id", T.LongType()),
     ("ticket_month", T.StringType()),
     ("complaint_category_seed", T.StringType()),
+    ("ticket_text", T.StringType()),
     ("priority", T.StringType()),
     ("resolution_hours", MONEY),
     ("is_synthetic", T.BooleanType()),
@@ -160,6 +162,7 @@ FOREIGN_KEYS: list[tuple[str, str, str, str]] = [
     ("fixed_subscriptions", "customer_id", "customers", "customer_id"),
     ("mobile_subscriptions", "customer_id", "customers", "customer_id"),
     ("byod_devices", "customer_id", "customers", "customer_id"),
+    ("byod_devices", "mobile_subscription_id", "mobile_subscriptions", "mobile_subscription_id"),
     ("monthly_usage", "customer_id", "customers", "customer_id"),
     ("billing_history", "customer_id", "customers", "customer_id"),
     ("network_incidents", "customer_id", "customers", "customer_id"),

@@ -95,3 +95,15 @@ def test_whole_text_is_read(spark):
     tickets = spark.createDataFrame([("t", "c", long_text, None)], COLS)
     row = complaints.classify_support_tickets(tickets).first()
     assert row["complaint_category_predicted"] == "cancellation_request"
+
+
+def test_batch_classifier_gets_whole_batches(spark):
+    class Batch:
+        def classify_batch(self, texts, candidate_labels, multi_label=False):
+            return [{"labels": ["billing" if "fee" in t else "slow internet"], "scores": [len(texts) / 100]} for t in texts]
+
+    tickets = spark.createDataFrame([(str(i), "c", f"{'fee' if i % 2 else 'lag'} {i}", "billing") for i in range(20)], COLS)
+    rows = complaints.classify_with(tickets.coalesce(1), Batch).collect()
+    assert len(rows) == 20 and {r["complaint_category_predicted"] for r in rows} == {"billing", "slow_internet"}
+    assert all(r["complaint_category_matches_seed"] == (int(r["ticket_id"]) % 2 == 1) for r in rows)
+    assert max(r["complaint_category_score"] for r in rows) > 0.01  # more than one text a call

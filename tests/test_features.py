@@ -1,91 +1,141 @@
-"""nine tables, two customers -> features, customer_360 and KPI row
-(A1-A12, J1, P9-P17)."""
+"""nine tables -> features, customer_360 and KPI row.
+
+The facts are drawn by a seeded generator; the expected values come from plain
+Python over the same rows.
+"""
+
+import random
+from collections import defaultdict
 
 import pytest
 
+from churnlab.operators import summaries
 from churnlab.operators.features import build_customer_features
 from churnlab.operators.views import customer_360, kpi_summary
 
+CUSTOMER = (
+    "customer_id long, gender string, senior_citizen boolean, has_partner boolean, has_dependents boolean, "
+    "tenure_months bigint, phone_service boolean, multiple_lines string, internet_service string, "
+    "online_security string, online_backup string, device_protection string, tech_support string, "
+    "streaming_tv string, streaming_movies string, contract_type string, paperless_billing boolean, "
+    "payment_method string, monthly_charges double, total_charges double, churned boolean, "
+    "source_system string, is_synthetic boolean"
+)
+FACTS = {
+    "fixed_subscriptions": "fixed_subscription_id long, customer_id long, monthly_recurring_revenue double, download_speed_mbps int",
+    "mobile_subscriptions": "mobile_subscription_id long, customer_id long, line_count int, monthly_recurring_revenue double, is_5g_enabled boolean",
+    "byod_devices": "device_id long, customer_id long, device_age_months int",
+    "monthly_usage": "customer_id long, data_gb double, voice_minutes int, sms_count int, usage_month string",
+    "billing_history": "invoice_id long, customer_id long, invoice_amount double, payment_status string, days_late int",
+    "network_incidents": "incident_id long, customer_id long, duration_minutes int",
+    "support_tickets": "ticket_id long, customer_id long, complaint_category_seed string, resolution_hours double",
+    "retention_campaigns": "campaign_id long, customer_id long, accepted_offer boolean, offer_value double",
+}
+SEEDS = ["cancellation_request", "billing", "network_outage", "slow_internet", "device_problem", None]
+
+
+def fact_rows(seed: int = 11, customers: int = 9):
+    """Facts of customers 1..customers; the last one has none, ids may be null."""
+    rng, rows = random.Random(seed), {name: [] for name in FACTS}
+    quarter = lambda top: rng.randrange(4 * top) / 4  # noqa: E731  exact in binary
+    for c in range(1, customers):
+        for k in range(rng.randrange(5)):
+            i = rng.choice([None, 10 * c + k, 10 * c + k])
+            rows["fixed_subscriptions"].append((i, c, quarter(90), rng.choice([40, 250, 900])))
+            rows["mobile_subscriptions"].append((i, c, rng.randrange(1, 5), quarter(60), rng.random() < 0.3))
+            rows["byod_devices"].append((i, c, rng.choice([None, 3, 17, 30])))
+            rows["monthly_usage"].append((c, quarter(400), rng.randrange(900), rng.randrange(300), f"2023-{k + 2:02d}"))
+            rows["billing_history"].append((i, c, quarter(200), rng.choice(["late", "paid"]), rng.randrange(20)))
+            rows["network_incidents"].append((i, c, rng.randrange(200)))
+            rows["support_tickets"].append((i, c, rng.choice(SEEDS), quarter(70)))
+            rows["retention_campaigns"].append((i, c, rng.choice([True, False, None]), quarter(40)))
+    return rows
+
 
 @pytest.fixture(scope="module")
 def tables(spark):
-    cust_cols = (
-        "customer_id string, gender string, senior_citizen boolean, has_partner boolean, "
-        "has_dependents boolean, tenure_months bigint, phone_service boolean, "
-        "multiple_lines string, internet_service string, online_security string, "
-        "online_backup string, device_protection string, tech_support string, "
-        "streaming_tv string, streaming_movies string, contract_type string, "
-        "paperless_billing boolean, payment_method string, monthly_charges double, "
-        "total_charges double, churned boolean, source_system string, is_synthetic boolean"
-    )
-    base = ["female", False, True, False, 12, True, "no", "dsl", "no", "no", "no", "no", "no", "no"]
-    customers = spark.createDataFrame(
-        [
-            ["cust_1", *base, "month_to_month", True, "electronic_check", 80.0, 960.0, True, "src", False],
-            ["cust_2", *base, "one_year", False, "mailed_check", 50.0, 600.0, False, "src", False],
-        ],
-        cust_cols,
-    )
-    return {
-        "customers": customers,
-        "fixed_subscriptions": spark.createDataFrame(
-            [("fix_1", "cust_1", 80.0, 500), ("fix_2", "cust_2", 50.0, 100)],
-            "fixed_subscription_id string, customer_id string, monthly_recurring_revenue double, "
-            "download_speed_mbps int",
-        ),
-        "mobile_subscriptions": spark.createDataFrame(
-            [("mob_1", "cust_1", 2, 65.0, True)],
-            "mobile_subscription_id string, customer_id string, line_count int, "
-            "monthly_recurring_revenue double, is_5g_enabled boolean",
-        ),
-        "byod_devices": spark.createDataFrame(
-            [("dev_1", "cust_1", 10)], "device_id string, customer_id string, device_age_months int"
-        ),
-        "monthly_usage": spark.createDataFrame(
-            [("cust_1", 100.0, 200, 50), ("cust_1", 200.0, 300, 60), ("cust_2", 50.0, 100, 10)],
-            "customer_id string, data_gb double, voice_minutes int, sms_count int",
-        ),
-        "billing_history": spark.createDataFrame(
-            [("inv_1", "cust_1", 80.0, "late", 5), ("inv_2", "cust_1", 80.0, "paid", 0),
-             ("inv_3", "cust_2", 50.0, "paid", 0)],
-            "invoice_id string, customer_id string, invoice_amount double, payment_status string, "
-            "days_late int",
-        ),
-        "network_incidents": spark.createDataFrame(
-            [("net_1", "cust_1", 30)], "incident_id string, customer_id string, duration_minutes int"
-        ),
-        "support_tickets": spark.createDataFrame(
-            [("tic_1", "cust_1", "cancellation_request", 12.0),
-             ("tic_2", "cust_1", "network_outage", 24.0)],
-            "ticket_id string, customer_id string, complaint_category_seed string, "
-            "resolution_hours double",
-        ),
-        "retention_campaigns": spark.createDataFrame(
-            [("ret_1", "cust_1", True, 20.0)],
-            "campaign_id string, customer_id string, accepted_offer boolean, offer_value double",
-        ),
-    }
-
-
-def test_feature_values(tables):
+    add_ons = ["yes", "no"] * 3
+    people = [
+        [c, "female" if c % 2 else "male", c % 3 == 0, True, False, 4 * c, True, "yes", "dsl", *add_ons,
+         "one_year", True, "mailed_check", 31.25 * c, 125.0 * c * c, c % 4 == 1, "made_up", False]
+        for c in range(1, 10)
+    ]
+    out = {"customers": spark.createDataFrame(people, CUSTOMER)}
+    for name, rows in fact_rows().items():
+        out[name] = spark.createDataFrame(rows, FACTS[name])
+    return out
+
+
+def by_customer(name, column):
+    """Non-null values of a fact column per customer, and rows per customer."""
+    schema = [c.split()[0] for c in FACTS[name].split(", ")]
+    values, count = defaultdict(list), defaultdict(int)
+    for r in fact_rows()[name]:
+        c = r[schema.index("customer_id")]
+        count[c] += 1
+        if r[schema.index(column)] is not None:
+            values[c].append(r[schema.index(column)])
+    return values, count
+
+
+def mean(values):
+    return sum(values) / len(values) if values else None
+
+
+def test_features_follow_the_facts(tables):
     rows = {r["customer_id"]: r for r in build_customer_features(tables).collect()}
-    c1, c2 = rows["cust_1"], rows["cust_2"]
-    assert len(rows) == 2
-    assert c1["fixed_mrr"] == 80.0 and c1["mobile_mrr"] == 65.0 and c1["total_mrr"] == 145.0
-    assert c1["monthly_revenue_at_risk"] == 145.0
-    assert c1["has_mobile"] and c1["has_byod"] and c1["has_5g"]
-    assert c1["late_payment_count"] == 1 and c1["late_payment_rate"] == 0.5
-    assert c1["support_ticket_count"] == 2 and c1["cancellation_request_count"] == 1
-    assert c1["network_complaint_count"] == 1 and c1["billing_complaint_count"] == 0
-    assert c1["retention_acceptance_rate"] == 1.0
-    assert c1["total_data_gb"] == 300.0 and c1["avg_monthly_data_gb"] == 150.0
-    assert c1["mobile_line_count"] == 2 and c1["avg_days_late"] == 2.5
-    assert c2["mobile_mrr"] == 0.0 and c2["monthly_revenue_at_risk"] == 0.0
-    assert not c2["has_mobile"] and not c2["has_byod"] and c2["has_5g"] is False
-    assert c2["late_payment_rate"] == 0.0 and c2["retention_acceptance_rate"] == 0.0
-    # zero-fill policy of the feature track
-    assert c2["avg_byod_device_age_months"] == 0.0 and c2["avg_resolution_hours"] == 0.0
-    assert c2["byod_device_count"] == 0 and c2["support_ticket_count"] == 0
+    assert sorted(rows) == list(range(1, 10))
+    sums = {
+        "fixed_mrr": ("fixed_subscriptions", "monthly_recurring_revenue"),
+        "mobile_mrr": ("mobile_subscriptions", "monthly_recurring_revenue"),
+        "mobile_line_count": ("mobile_subscriptions", "line_count"),
+        "total_data_gb": ("monthly_usage", "data_gb"),
+        "total_voice_minutes": ("monthly_usage", "voice_minutes"),
+        "total_sms_count": ("monthly_usage", "sms_count"),
+        "total_invoice_amount": ("billing_history", "invoice_amount"),
+        "total_incident_minutes": ("network_incidents", "duration_minutes"),
+    }
+    means = {
+        "avg_byod_device_age_months": ("byod_devices", "device_age_months"),
+        "avg_monthly_data_gb": ("monthly_usage", "data_gb"),
+        "avg_invoice_amount": ("billing_history", "invoice_amount"),
+        "avg_days_late": ("billing_history", "days_late"),
+        "avg_incident_minutes": ("network_incidents", "duration_minutes"),
+        "avg_resolution_hours": ("support_tickets", "resolution_hours"),
+        "avg_offer_value": ("retention_campaigns", "offer_value"),
+    }
+    counts = {  # non-null ids
+        "fixed_subscription_count": ("fixed_subscriptions", "fixed_subscription_id"),
+        "mobile_subscription_count": ("mobile_subscriptions", "mobile_subscription_id"),
+        "byod_device_count": ("byod_devices", "device_id"),
+        "invoice_count": ("billing_history", "invoice_id"),
+        "network_incident_count": ("network_incidents", "incident_id"),
+        "support_ticket_count": ("support_tickets", "ticket_id"),
+        "retention_offer_count": ("retention_campaigns", "campaign_id"),
+    }
+    late, _ = by_customer("billing_history", "payment_status")
+    seeds, _ = by_customer("support_tickets", "complaint_category_seed")
+    accepted, _ = by_customer("retention_campaigns", "accepted_offer")
+    for c, r in rows.items():
+        for name, source in sums.items():
+            assert r[name] == sum(by_customer(*source)[0][c])
+        for name, source in means.items():  # nothing to average: 0 in the feature track
+            assert r[name] == pytest.approx(mean(by_customer(*source)[0][c]) or 0.0)
+        for name, source in counts.items():
+            assert r[name] == len(by_customer(*source)[0][c])
+        assert r["max_download_speed_mbps"] == max(by_customer("fixed_subscriptions", "download_speed_mbps")[0][c], default=0)
+        assert r["has_5g"] == any(by_customer("mobile_subscriptions", "is_5g_enabled")[0][c])
+        assert r["late_payment_count"] == late[c].count("late")
+        assert r["cancellation_request_count"] == seeds[c].count("cancellation_request")
+        assert r["billing_complaint_count"] == seeds[c].count("billing")
+        assert r["network_complaint_count"] == seeds[c].count("network_outage") + seeds[c].count("slow_internet")
+        assert r["accepted_offer_count"] == sum(accepted[c])
+        assert r["total_mrr"] == r["fixed_mrr"] + r["mobile_mrr"]
+        assert r["monthly_revenue_at_risk"] == (r["total_mrr"] if c % 4 == 1 else 0.0)
+        assert r["has_byod"] == (r["byod_device_count"] > 0) and r["has_mobile"] == (r["mobile_subscription_count"] > 0)
+        for rate, part, whole in (("late_payment_rate", "late_payment_count", "invoice_count"),
+                                  ("retention_acceptance_rate", "accepted_offer_count", "retention_offer_count")):
+            assert r[rate] == pytest.approx(r[part] / r[whole] if r[whole] else 0.0)
 
 
 def test_feature_columns(tables):
@@ -95,44 +145,62 @@ def test_feature_columns(tables):
     assert dict(df.dtypes)["total_voice_minutes"] == "double"
 
 
-def test_customer_360_null_rules(tables):
-    rows = {r["customer_id"]: r for r in customer_360(tables).collect()}
-    c2 = rows["cust_2"]
-    # the SQL view keeps NULL averages where the feature table fills 0.0
-    assert c2["avg_byod_device_age_months"] is None
-    assert c2["avg_resolution_hours"] is None
-    assert c2["avg_days_late"] == 0.0  # cust_2 has an invoice
-    assert c2["has_5g"] is False and c2["mobile_mrr"] == 0.0
-    assert len(customer_360(tables).columns) == 37
+def test_view_counts_rows_and_keeps_null_averages(tables):
+    view = customer_360(tables)
+    assert len(view.columns) == 37
+    for r in view.collect():
+        c = r["customer_id"]
+        for name, table in (("byod_device_count", "byod_devices"), ("support_ticket_count", "support_tickets"),
+                            ("invoice_count", "billing_history"), ("retention_offer_count", "retention_campaigns")):
+            assert r[name] == by_customer(table, "customer_id")[1][c]  # whatever the ids hold
+        ages = by_customer("byod_devices", "device_age_months")[0][c]
+        assert r["avg_byod_device_age_months"] == pytest.approx(mean(ages))
+        assert r["avg_days_late"] == pytest.approx(mean(by_customer("billing_history", "days_late")[0][c]))
+        assert r["mobile_mrr"] == sum(by_customer("mobile_subscriptions", "monthly_recurring_revenue")[0][c])
 
 
 def test_kpi_row(tables):
-    row = kpi_summary(customer_360(tables, exact=True)).collect()
-    assert len(row) == 1
-    k = row[0]
-    assert k["customer_count"] == 2 and k["churned_customer_count"] == 1
-    assert k["customer_churn_rate"] == 0.5
-    assert k["total_mrr"] == 195.0 and k["arpu"] == 97.5
-    assert k["monthly_revenue_at_risk"] == 145.0
-    assert k["byod_customer_count"] == 1 and k["byod_adoption_rate"] == 0.5
-    assert k["support_ticket_count"] == 2 and k["network_incident_count"] == 1
-    assert k["retention_offer_count"] == 1 and k["accepted_offer_count"] == 1
+    view = customer_360(tables).collect()
+    (k,) = kpi_summary(customer_360(tables, exact=True)).collect()
+    gone = sum(1 for r in view if r["churned"])
+    assert (k["customer_count"], k["churned_customer_count"]) == (9, gone)
+    assert k["customer_churn_rate"] == pytest.approx(gone / 9, abs=5e-5)
+    total = sum(r["total_mrr"] for r in view)
+    assert k["total_mrr"] == pytest.approx(total) and k["arpu"] == pytest.approx(total / 9)
+    assert k["monthly_revenue_at_risk"] == pytest.approx(sum(r["total_mrr"] for r in view if r["churned"]))
+    assert k["byod_customer_count"] == sum(1 for r in view if r["byod_device_count"] > 0)
+    for name in ("support_ticket_count", "network_incident_count", "retention_offer_count", "accepted_offer_count"):
+        assert k[name] == sum(r[name] for r in view)
 
 
 def test_kpi_empty_input_gives_one_row(tables):
     empty = {name: df.limit(0) for name, df in tables.items()}
-    rows = kpi_summary(customer_360(empty, exact=True)).collect()
-    assert len(rows) == 1
-    assert rows[0]["customer_count"] == 0
-    assert rows[0]["churned_customer_count"] is None  # SQL sum over no rows
-    assert rows[0]["customer_churn_rate"] is None
+    (k,) = kpi_summary(customer_360(empty, exact=True)).collect()
+    assert k["customer_count"] == 0 and k["customer_churn_rate"] is None
+    assert k["churned_customer_count"] is None  # SQL sum over no rows
 
 
-def test_as_of_month_filters_facts(spark, tables):
-    usage = spark.createDataFrame(
-        [("cust_1", 10.0, 1, 1, "2024-01"), ("cust_1", 20.0, 1, 1, "2024-06")],
-        "customer_id string, data_gb double, voice_minutes int, sms_count int, usage_month string",
+def test_as_of_month_filters_facts(tables):
+    rows = {r["customer_id"]: r for r in build_customer_features(tables, as_of_month="2023-03").collect()}
+    for c in rows:
+        kept = [r[1] for r in fact_rows()["monthly_usage"] if r[0] == c and r[4] <= "2023-03"]
+        assert rows[c]["total_data_gb"] == sum(kept)
+    with pytest.raises(ValueError, match="as_of_month"):
+        build_customer_features(tables, as_of_month="2023-03", overrides={"monthly_usage": tables["monthly_usage"]})
+
+
+def test_combined_summaries_count_rows_of_null_ids(spark):
+    columns = (
+        "customer_id long, role string, device_id long, device_age_months int, incident_id long, duration_minutes int, "
+        "ticket_id long, complaint_category_seed string, resolution_hours double, campaign_id long, "
+        "accepted_offer boolean, offer_value double"
+    )
+    nothing = [None] * 10
+    ticket = [None] * 4 + [None, "billing", 2.0] + [None] * 3  # a ticket whose id is null
+    facts = spark.createDataFrame(
+        [[5, "support_tickets", *ticket], [5, "byod_devices", 8, 6, *nothing[2:]], [5, None, *nothing]], columns
     )
-    t = dict(tables, monthly_usage=usage)
-    rows = {r["customer_id"]: r for r in build_customer_features(t, as_of_month="2024-03").collect()}
-    assert rows["cust_1"]["total_data_gb"] == 10.0
+    sql = summaries.summarize_event_facts(facts, "sql").first()
+    assert (sql["support_ticket_count"], sql["byod_device_count"], sql["network_incident_count"]) == (1, 1, 0)
+    feature = summaries.summarize_event_facts(facts, "features").first()
+    assert (feature["support_ticket_count"], feature["billing_complaint_count"]) == (0, 1)

@@ -14,23 +14,24 @@ FAST = ml.TrainConfig(logistic_max_iter=100, forest_trees=10, boosted_iters=10)
 
 @pytest.fixture(scope="module")
 def training(spark):
+    """120 drawn customers whose churn leans on tenure and tickets."""
+    rng = np.random.default_rng(29)
     rows = []
-    for i in range(1, 81):
-        mobile = 20.0 if i % 2 else 0.0
+    for c in range(120):
+        tenure, tickets, price = int(rng.integers(1, 70)), int(rng.poisson(1.5)), float(rng.integers(80, 480)) / 4
+        lines = float(rng.choice([0.0, 12.5, 40.0]))
+        churned = bool(rng.random() < 1 / (1 + np.exp(0.06 * tenure - 0.5 * tickets)))
         rows.append((
-            f"cust_{i:03d}", "month_to_month" if i % 2 else "one_year",
-            "dsl" if i % 3 == 0 else "fiber_optic",
-            "electronic_check" if i % 2 else "mailed_check",
-            i, 50.0 + i, (50.0 + i) * i, 50.0 + i, mobile, 50.0 + i + mobile,
-            9999.0 if i % 4 == 0 else 0.0, i % 3, i % 4, i % 5,
-            bool(i % 2), i % 3 == 1, i % 2 == 0, "src", True, i % 4 == 0,
+            c, str(rng.choice(["month_to_month", "one_year", "two_year"])), str(rng.choice(["dsl", "fiber_optic"])),
+            str(rng.choice(["mailed_check", "electronic_check"])), tenure, price, price * tenure, price, lines,
+            price + lines, price + lines if churned else 0.0, int(rng.integers(0, 6)), tickets, int(rng.poisson(0.7)),
+            lines > 0, bool(rng.random() < 0.4), lines > 20, "drawn", True, churned,
         ))
     cols = (
-        "customer_id string, contract_type string, internet_service string, payment_method string, "
-        "tenure_months long, monthly_charges double, total_charges double, fixed_mrr double, "
-        "mobile_mrr double, total_mrr double, monthly_revenue_at_risk double, "
-        "late_payment_count long, support_ticket_count long, network_incident_count long, "
-        "has_mobile boolean, has_byod boolean, has_5g boolean, source_system string, "
+        "customer_id long, contract_type string, internet_service string, payment_method string, "
+        "tenure_months long, monthly_charges double, total_charges double, fixed_mrr double, mobile_mrr double, "
+        "total_mrr double, monthly_revenue_at_risk double, late_payment_count long, support_ticket_count long, "
+        "network_incident_count long, has_mobile boolean, has_byod boolean, has_5g boolean, source_system string, "
         "is_synthetic boolean, churned boolean"
     )
     return spark.createDataFrame(rows, cols)
@@ -55,6 +56,12 @@ def test_three_models_six_metrics(training):
     assert best == max(rows, key=lambda r: r["roc_auc"])["model_name"]
 
 
+def test_fit_rows_are_bounded(training):
+    few = ml.TrainConfig(logistic_max_iter=5, candidates=["logistic_regression"], max_rows=60)
+    _, rows, _ = ml.train_and_evaluate(training, few)
+    assert len(rows) == 1
+
+
 def test_feature_names_and_unseen_level(spark, training):
     columns, _ = ml.split_features_target(training)
     stages, _, _ = ml.feature_stages(training, columns)
@@ -64,16 +71,18 @@ def test_feature_names_and_unseen_level(spark, training):
     names = ml.transformed_feature_names(prep, training)
     assert "categorical__contract_type_month_to_month" in names
     assert "numeric__tenure_months" in names
-    unseen = training.limit(1).withColumn("contract_type", F.lit("three_year"))
+    unseen = training.limit(1).withColumn("contract_type", F.lit("weekly"))
     vec = prep.transform(unseen).select("features").first()[0].toArray()
     slots = [i for i, n in enumerate(names) if n.startswith("categorical__contract_type_")]
-    assert len(slots) == 2 and all(vec[i] == 0.0 for i in slots)  # unseen -> all zeros
+    assert len(slots) == 3 and all(vec[i] == 0.0 for i in slots)  # unseen -> all zeros
 
 
 def test_population_standardisation(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (4.0,)], "x double")
     stats = ml.standardization_stats(df, ["x"]).first()
     assert stats["x__mean"] == 2.5 and abs(stats["x__std"] - np.sqrt(1.25)) < 1e-12
+    large = spark.createDataFrame([(1e9,), (1e9 + 1,)], "x double")
+    assert ml.standardization_stats(large, ["x"]).first()["x__std"] == 0.5
     const = spark.createDataFrame([(5.0,), (5.0,)], "x double")
     assert ml.standardization_stats(const, ["x"]).first()["x__std"] == 1.0
 
