@@ -4,12 +4,14 @@ Documents become sets of hashed shingles.  Equal sets are one set.  Then:
 
 1. Groups.  Min-hash bands propose, for each set, the few others it collides
    with most; those verified form groups of similar documents, each the
-   connected component of its verified links.
+   connected component of its verified links.  A few such turns put nearly all
+   of a large family of copies into one group.
 2. Matrix.  Only pairs of documents in different groups can still join groups.
-   The proposals among them go to blocks of a group's members.  A block stores
-   the union of its members' tokens; a query's overlap with the union bounds
-   its overlap with every member, so a block below the bound stays closed, and
-   the members of an open one are verified exactly.
+   Similar documents, those around one pivot, make blocks of bounded size, and
+   the proposals left are (query, block).  A block stores the union of its
+   members' tokens; a query's overlap with the union bounds its overlap with
+   every member, so a block below the bound stays closed, and the members of an
+   open one are verified exactly.
 
 All sets share all their bands, so no set is dropped: a pair at the threshold
 0.75 misses all 40 bands of 3 min-hashes with probability 3e-10, and the
@@ -91,93 +93,105 @@ def _sets(width: int):
     return run
 
 
-def overlap(a: np.ndarray, b: np.ndarray) -> int:
-    """Size of the intersection of two sorted sets."""
-    if len(a) > len(b):
-        a, b = b, a
-    if not len(a):
-        return 0
-    place = np.searchsorted(b, a)
-    place[place == len(b)] = len(b) - 1
-    return int((b[place] == a).sum())
+class Block:
+    """The token-group matrix of one block: its distinct tokens, and for each of
+    them the members that hold it."""
+
+    def __init__(self, members: list[np.ndarray]):
+        owner = np.repeat(np.arange(len(members)), [len(m) for m in members])
+        tokens = np.concatenate(members)
+        order = np.argsort(tokens, kind="stable")
+        self.union, self.starts = np.unique(tokens[order], return_index=True)
+        self.ends = np.append(self.starts[1:], len(tokens))
+        self.owner = owner[order]
+        self.sizes = np.array([len(m) for m in members])
+
+    def similar(self, query: np.ndarray, percent: int) -> np.ndarray:
+        """Members with a Jaccard similarity of ``percent`` % or more.  The
+        overlap with the union bounds the overlap with each member, so a block
+        below the bound is not opened."""
+        place = np.minimum(np.searchsorted(self.union, query), len(self.union) - 1)
+        hit = place[self.union[place] == query]
+        if 100 * len(hit) < percent * len(query):
+            return np.zeros(0, dtype=np.int64)
+        held = self.ends[hit] - self.starts[hit]
+        spots = np.repeat(self.starts[hit] - np.cumsum(held) + held, held) + np.arange(held.sum())
+        shared = np.bincount(self.owner[spots], minlength=len(self.sizes))
+        return np.flatnonzero(100 * shared >= percent * (len(query) + self.sizes - shared))
 
 
 def _open_blocks(percent: int):
-    """Rows sorted by (block, role): the members of a block, then its queries."""
+    """Rows sorted by (block, role): the members of a block, then its queries.
+    A query gets one link to each other group that the block holds members of."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        block, members, union = None, [], None
+        block, ids, groups, members, ready = None, [], [], [], None
         for batch in batches:
             a, b = [], []
             for r in batch.itertuples(index=False):
                 if r.block != block:
-                    block, members, union = r.block, [], None
+                    block, ids, groups, members, ready = r.block, [], [], [], None
                 tokens = np.frombuffer(r.tokens, dtype=np.uint64)
                 if r.role == 0:
-                    members.append((r.id, tokens))
+                    ids.append(r.id)
+                    groups.append(r.comp)
+                    members.append(tokens)
                     continue
-                if union is None:
-                    union = members[0][1] if len(members) == 1 else np.unique(np.concatenate([t for _, t in members]))
-                if 100 * overlap(tokens, union) < percent * len(tokens):
-                    continue  # no member can reach the threshold
-                for other, held in members:
-                    if 100 * min(len(held), len(tokens)) < percent * max(len(held), len(tokens)):
-                        continue
-                    shared = overlap(tokens, held)
-                    if 100 * shared >= percent * (len(tokens) + len(held) - shared):
-                        a.append(r.id)
-                        b.append(other)
+                if ready is None:
+                    ready = Block(members)
+                linked = {groups[k]: ids[k] for k in ready.similar(tokens, percent)}
+                linked.pop(r.comp, None)
+                a += [r.id] * len(linked)
+                b += linked.values()
             if a:
                 yield pd.DataFrame({"a": a, "b": b})
 
     return run
 
 
-def verify(proposed: DataFrame, sets: DataFrame, percent: int, members: int = 128, queries: int = 512) -> DataFrame:
-    """Links (a, b) among proposed (q, g, d): query q, a group g and a member d
-    of it.
+def verify(
+    proposed: DataFrame, members: DataFrame, groups: DataFrame, sets: DataFrame, percent: int, queries: int = 512
+) -> DataFrame:
+    """Links (a, b) between the queries and the members of proposed (q, g), where
+    ``members`` lists (g, d), a bounded number for each g.
 
-    A group is split into blocks of about ``members`` members and ``queries``
-    queries, so a hot group is many blocks and no task holds it.
+    The queries of a block are split into parts of about ``queries``, so a block
+    that very many documents are proposed to is many tasks.
     """
-    q, d = F.xxhash64("q"), F.xxhash64("d")
-    sizes = proposed.select("g", "d").distinct().groupBy("g").agg(F.count(F.lit(1)).alias("md"))
-    chunked = (
-        proposed.join(sizes.withColumnRenamed("g", "g1"), F.col("g") == F.col("g1"))
-        .withColumn("chunk", F.pmod(d, parts(F.col("md"), members)))
-        .select("q", "g", "d", "chunk")
+    asked = stage(proposed.distinct(), "asked")
+    sizes = asked.groupBy(F.col("g").alias("g1")).agg(F.count(F.lit(1)).alias("m"))
+    part = F.pmod(F.xxhash64("q"), parts(F.col("m"), queries))
+    wanted = stage(
+        asked.join(stage(sizes, "sizes"), F.col("g") == F.col("g1")).select("q", "g", part.alias("part")), "wanted"
     )
-    asked = chunked.select("g", "chunk", "q").distinct().groupBy("g", "chunk").agg(F.count(F.lit(1)).alias("mq"))
-    asked = asked.select(F.col("g").alias("g1"), F.col("chunk").alias("c1"), "mq")
-    blocks = stage(
-        chunked.join(asked, (F.col("g") == F.col("g1")) & (F.col("chunk") == F.col("c1")))
-        .withColumn("salt", F.pmod(q, parts(F.col("mq"), queries)))
-        .select("q", "d", F.concat_ws(":", "g", "chunk", "salt").alias("block")),
-        "blocks",
+    block = F.xxhash64("g", "part").alias("block")
+    held = (
+        wanted.select("g", "part").distinct().join(members.withColumnRenamed("g", "g1"), F.col("g") == F.col("g1"))
     )
-    wanted = blocks.select("block", F.lit(0).alias("role"), F.col("d").alias("id")).union(
-        blocks.select("block", F.lit(1).alias("role"), F.col("q").alias("id"))
+    rows = held.select(block, F.lit(0).alias("role"), F.col("d").alias("id")).union(
+        wanted.select(block, F.lit(1).alias("role"), F.col("q").alias("id"))
     )
+    known = sets.join(groups.withColumnRenamed("id", "j"), F.col("i") == F.col("j"))
     rows = (
-        wanted.distinct()
-        .join(sets.withColumnRenamed("id", "i"), F.col("id") == F.col("i"))
-        .select("block", "role", "id", "tokens")
+        rows.join(known, F.col("id") == F.col("i"))
+        .select("block", "role", "id", F.col("component").alias("comp"), "tokens")
         .repartition("block")
         .sortWithinPartitions("block", "role", "id")
     )
     return stage(rows.mapInPandas(_open_blocks(percent), "a long, b long"), "links")
 
 
-def _pairs_in_cells(least: int):
-    """Rows sorted by cell: pairs of a cell whose min-hashes agree in ``least``
-    places, whose groups differ, and whose first shared band is the cell's."""
+def _proposals_in_cells(least: int):
+    """Rows sorted by cell: (query, block) for pairs of a cell whose min-hashes
+    agree in ``least`` places, whose groups differ, and whose first shared band
+    is the cell's; each block once a query and cell."""
 
     def pairs(cell: pd.DataFrame) -> pd.DataFrame | None:
         sig = np.frombuffer(b"".join(cell["sig"]), dtype=np.uint16).reshape(len(cell), BANDS, ROWS)
-        ids, groups = cell["rep"].to_numpy(), cell["comp"].to_numpy()
+        ids, groups, blocks = (cell[c].to_numpy() for c in ("rep", "comp", "block"))
         chunk, band = cell["chunk"].to_numpy(), int(cell["band"].iloc[0])
         i, j = int(cell["i"].iloc[0]), int(cell["j"].iloc[0])
-        found = []
+        q, g = [], []
         for x in range(len(cell)):
             if chunk[x] != i:
                 continue
@@ -190,17 +204,74 @@ def _pairs_in_cells(least: int):
             same = sig[y] == sig[x]
             bands = same.all(axis=2)
             keep = (same.sum(axis=(1, 2)) >= least) & (bands.argmax(axis=1) == band) & bands[:, band]
-            y = y[keep]
-            found.append((np.full(len(y), ids[x]), ids[y], groups[y]))
-        if not found:
-            return None
-        q, d, g = (np.concatenate(f) for f in zip(*found))
-        return pd.DataFrame({"q": q, "g": g, "d": d})
+            near = np.unique(blocks[y[keep]])
+            q.append(np.full(len(near), ids[x]))
+            g.append(near)
+        return pd.DataFrame({"q": np.concatenate(q), "g": np.concatenate(g)}) if q else None
 
     return lambda batches: each_cell(batches, ["key", "i", "j"], pairs)
 
 
-def _reduced(docs: DataFrame, ids: DataFrame, slots: int = 1 << 18) -> DataFrame:
+def _in_groups(keyed: DataFrame, groups: DataFrame) -> DataFrame:
+    """Band rows with the present group (comp) of their set."""
+    return stage(
+        keyed.join(groups, F.col("rep") == F.col("id")).select(
+            "key", "band", "rep", "m", F.col("component").alias("comp")
+        ),
+        "grouped",
+    )
+
+
+def _star_proposals(grouped: DataFrame, pivots: int, turn: int) -> DataFrame:
+    """(q, g, place): each set against the pivots of other groups with which it
+    shares most bands, at most ``pivots`` of them.
+
+    Every band has one pivot, in the first turn its smallest id, later a
+    pseudo-random one, so a band that thousands of sets share gives a proposal
+    a set, and a large group of copies falls together within a few turns.
+    Nothing is lost: pairs not proposed here are compared between groups.
+    """
+    place = F.col("rep") if turn == 0 else F.xxhash64(F.lit(turn), F.col("rep"))
+    chosen = (
+        grouped.groupBy(F.col("key").alias("k"))
+        .agg(
+            F.min(F.struct(place.alias("place"), "rep", "comp")).alias("p"),
+            F.min("comp").alias("lo"),
+            F.max("comp").alias("hi"),
+        )
+        .where("lo < hi")
+        .select("k", F.col("p.rep").alias("pivot"), F.col("p.comp").alias("home"))
+    )
+    best = Window.partitionBy("rep").orderBy(F.desc("c"), "pivot")
+    return stage(
+        grouped.join(stage(chosen, "pivots"), F.col("key") == F.col("k"))
+        .where("comp <> home")
+        .groupBy("rep", "pivot")
+        .agg(F.count(F.lit(1)).alias("c"))
+        .withColumn("place", F.row_number().over(best))
+        .where((F.col("place") <= pivots) & (F.col("c") > 1))
+        .select(F.col("rep").alias("q"), F.col("pivot").alias("g"), "place"),
+        "proposed",
+    )
+
+
+def _merged(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """Groups (id, component) after the links (a, b): components of groups."""
+    ends = groups.select(F.col("id").alias("i"), F.col("component").alias("c"))
+    edges = links.join(ends, F.col("a") == F.col("i")).select(F.col("c").alias("a"), "b")
+    edges = edges.join(ends, F.col("b") == F.col("i")).select("a", F.col("c").alias("b"))
+    moved = connected_components(edges.where("a <> b")).select(
+        F.col("id").alias("old"), F.col("component").alias("new")
+    )
+    return stage(
+        groups.join(moved, F.col("component") == F.col("old"), "left").select(
+            "id", F.coalesce("new", "component").alias("component")
+        ),
+        "groups",
+    )
+
+
+def _reduced(docs: DataFrame, ids: DataFrame, slots: int = 1 << 21) -> DataFrame:
     """Rows of ``docs`` (doc_id, text) whose id is in ``ids`` (id).
 
     The occupied ones of a fixed number of hash slots are broadcast (at most
@@ -218,7 +289,7 @@ def _reduced(docs: DataFrame, ids: DataFrame, slots: int = 1 << 18) -> DataFrame
 
 
 def similarity_classes(
-    docs: DataFrame, width: int = 5, percent: int = 75, pivots: int = 3, cell: int = 256
+    docs: DataFrame, width: int = 5, percent: int = 75, pivots: int = 3, rounds: int = 2, cell: int = 256, members: int = 1024
 ) -> DataFrame:
     """Classes of documents linked by a Jaccard similarity of ``percent`` % or
     more of their shingle sets.
@@ -241,7 +312,8 @@ def similarity_classes(
     )
     unique = classes.where(F.col("rep").isNotNull()).select("rep", "sig")
 
-    # bands that more than one set shares, with the smallest id as pivot
+    # bands that more than one set shares, of the sets that share two or more:
+    # a pair at the threshold shares fewer than two with probability 1e-8
     band = F.sequence(F.lit(0), F.lit(BANDS - 1))
     key = lambda i: F.struct(
         i.alias("band"),
@@ -250,41 +322,41 @@ def similarity_classes(
     keys = unique.select("rep", F.inline(F.transform(band, key)))
     shared = stage(
         keys.groupBy("key")
-        .agg(F.count(F.lit(1)).alias("m"), F.min("rep").alias("pivot"))
+        .agg(F.count(F.lit(1)).alias("m"))
         .where("m > 1")
         .withColumnRenamed("key", "k"),
         "bands",
     )
-    keyed = stage(
-        keys.join(shared, F.col("key") == F.col("k")).select("key", "band", "rep", "m", "pivot"), "bands"
-    )
-
-    # round 1: each set against the pivots with which it shares most bands
-    best = Window.partitionBy("rep").orderBy(F.desc("c"), "pivot")
-    first = stage(
-        keyed.where("rep <> pivot")
-        .groupBy("rep", "pivot")
-        .agg(F.count(F.lit(1)).alias("c"))
-        .withColumn("place", F.row_number().over(best))
-        .where(F.col("place") <= pivots)
-        .select(F.col("rep").alias("q"), F.col("pivot").alias("g"), F.col("pivot").alias("d")),
-        "first",
+    keyed = stage(keys.join(shared, F.col("key") == F.col("k")).select("key", "band", "rep", "m"), "bands")
+    known = stage(
+        keyed.groupBy(F.col("rep").alias("id")).agg(F.count(F.lit(1)).alias("bands")).where("bands > 1").select("id"),
+        "known",
     )
-    sets = stage(
-        _reduced(docs, keyed.select(F.col("rep").alias("id")).distinct()).mapInPandas(
-            _sets(width), "id long, tokens binary"
+    sets = stage(_reduced(docs, known).mapInPandas(_sets(width), "id long, tokens binary"), "sets")
+    sets = sets.withColumnRenamed("id", "i")
+    groups = known.withColumn("component", F.col("id"))
+    home = None
+    for turn in range(rounds):
+        proposed = _star_proposals(_in_groups(keyed, groups), pivots, turn)
+        home = proposed if home is None else home
+        alone = proposed.select("g").distinct().withColumn("d", F.col("g"))
+        groups = _merged(groups, verify(proposed.select("q", "g"), alone, groups, sets, percent))
+
+    # the blocks: documents around one pivot of the first turn, split by a hash
+    home = known.join(
+        home.where("place = 1").select("q", "g"), F.col("id") == F.col("q"), "left"
+    ).select("id", F.coalesce("g", "id").alias("pivot"))
+    around = home.groupBy(F.col("pivot").alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    part = F.pmod(F.xxhash64("id"), parts(F.col("n"), members))
+    blocks = stage(
+        home.join(stage(around, "around"), F.col("pivot") == F.col("p")).select(
+            F.xxhash64("pivot", part).alias("g"), F.col("id").alias("d")
         ),
-        "sets",
+        "home",
     )
-    groups = stage(connected_components(verify(first, sets, percent)), "groups")
 
-    # round 2: proposals between groups only
-    grouped = stage(
-        keyed.join(groups, F.col("rep") == F.col("id"), "left").select(
-            "key", "band", "rep", "m", F.coalesce("component", "rep").alias("comp")
-        ),
-        "grouped",
-    )
+    # between groups: every pair that is left
+    grouped = _in_groups(keyed, groups)
     open_keys = (
         grouped.groupBy(F.col("key").alias("k"))
         .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
@@ -294,28 +366,17 @@ def similarity_classes(
     cells = in_cells(
         grouped.join(open_keys, F.col("key") == F.col("k"))
         .join(unique.withColumnRenamed("rep", "r"), F.col("rep") == F.col("r"))
-        .select("key", "band", "rep", "m", "comp", "sig"),
+        .join(blocks, F.col("rep") == F.col("d"))
+        .select("key", "band", "rep", "m", "comp", "sig", F.col("g").alias("block")),
         "m", "key", "rep", cell,
     )
-    second = stage(
-        cells.mapInPandas(_pairs_in_cells(BANDS * ROWS // 2), "q long, g long, d long"), "second"
-    )
-    links = verify(second, sets, percent)
-    member = groups.select(F.col("id").alias("i"), "component")
-
-    def group_of(end: str) -> Column:
-        return F.coalesce("component", end).alias(end)
-
-    joined = links.join(member, F.col("a") == F.col("i"), "left").select(group_of("a"), "b")
-    joined = joined.join(member, F.col("b") == F.col("i"), "left").select("a", group_of("b"))
-    merged = connected_components(joined).select(F.col("id").alias("old"), F.col("component").alias("new"))
+    left = stage(cells.mapInPandas(_proposals_in_cells(BANDS * ROWS // 2), "q long, g long"), "left")
+    groups = _merged(groups, verify(left, blocks, groups, sets, percent))
     final = (
         unique.select("rep")
         .distinct()
-        .join(member, F.col("rep") == F.col("i"), "left")
-        .select("rep", F.coalesce("component", "rep").alias("mid"))
-        .join(merged, F.col("mid") == F.col("old"), "left")
-        .select(F.col("rep").alias("final_rep"), F.coalesce("new", "mid").alias("component_id"))
+        .join(groups, F.col("rep") == F.col("id"), "left")
+        .select(F.col("rep").alias("final_rep"), F.coalesce("component", "rep").alias("component_id"))
     )
     named = classes.join(final, F.col("rep") == F.col("final_rep"), "left").select(
         F.col("n").alias("cn"), F.col("same").alias("csame"), "component_id"

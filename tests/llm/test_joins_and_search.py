@@ -43,7 +43,7 @@ def test_similarity_classes_match_brute_force(spark):
     rows += [(400, "", "s"), (401, None, "s"), (402, " \n\t", "s"), (403, "Two words", "s"), (404, "two WORDS", "s")]
     rows += [(405, words(30000, 7), "s"), (406, words(30000, 7) + " more", "s"), (407, "é È " * 9, "s")]
     rows += [(407, "é È " * 9, "s"), (408, "É È " * 9, "s"), (-3, words(40, 300), "s")]
-    got = jaccard.similarity_classes(documents(spark, rows), cell=16, pivots=1)
+    got = jaccard.similarity_classes(documents(spark, rows), cell=16, members=8, pivots=1, rounds=1)
     assert got.columns == ["doc_id", "n_shingles", "component_id"]
     assert sorted(map(tuple, got.collect())) == brute_classes(rows)
 
@@ -57,16 +57,24 @@ def test_similarity_of_empty_and_nameless(spark):
     )
 
 
-def test_block_bound_opens_only_qualifying_groups():
+def test_block_bound_opens_only_qualifying_blocks():
     import pandas as pd
 
-    sets = [jaccard.shingle_set(words(50, s)) for s in range(3)]
+    sets = [jaccard.shingle_set(words(50, s)) for s in (0, 1, 2, 0)]
     near = jaccard.shingle_set(words(50, 0) + " one more")
-    rows = [(7, 0, i, s.tobytes()) for i, s in enumerate(sets)] + [(7, 1, 9, near.tobytes())]
-    frame = pd.DataFrame(rows, columns=["block", "role", "id", "tokens"])
+    far = jaccard.shingle_set(words(50, 7))
+    block = jaccard.Block(sets)
+    assert block.similar(near, 75).tolist() == [0, 3] and block.similar(far, 75).tolist() == []
+    assert block.similar(near, 99).tolist() == []
+    for i, s in enumerate(sets):  # the counts are exact
+        share = len(set(s.tolist()) & set(near.tolist())) / len(set(s.tolist()) | set(near.tolist()))
+        assert (i in block.similar(near, 75)) == (share >= 0.75)
+    # one link a group, none to the own group
+    rows = [(7, 0, i, i % 3, s.tobytes()) for i, s in enumerate(sets)] + [(7, 1, 9, 9, near.tobytes())]
+    rows += [(7, 1, 10, 0, near.tobytes()), (8, 0, 5, 5, sets[0].tobytes()), (8, 1, 6, 6, far.tobytes())]
+    frame = pd.DataFrame(rows, columns=["block", "role", "id", "comp", "tokens"])
     out = list(jaccard._open_blocks(75)(iter([frame])))
-    assert [tuple(r) for r in out[0].itertuples(index=False)] == [(9, 0)]
-    assert jaccard.overlap(sets[0], near) == len(sets[0])
+    assert [tuple(r) for r in out[0].itertuples(index=False)] == [(9, 3)]
 
 
 def test_components(spark):
