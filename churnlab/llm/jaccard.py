@@ -289,7 +289,7 @@ def _reduced(docs: DataFrame, ids: DataFrame, slots: int = 1 << 21) -> DataFrame
 
 
 def similarity_classes(
-    docs: DataFrame, width: int = 5, percent: int = 75, pivots: int = 3, rounds: int = 2, cell: int = 256, members: int = 1024
+    docs: DataFrame, width: int = 5, percent: int = 75, pivots: int = 3, rounds: int = 1, cell: int = 256, members: int = 1024
 ) -> DataFrame:
     """Classes of documents linked by a Jaccard similarity of ``percent`` % or
     more of their shingle sets.

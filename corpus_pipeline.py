@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from churnlab.llm import jaccard, mixing, packing, quality, toxicity
@@ -28,37 +28,72 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below the threshold.  Null and empty
     texts are not toxic."""
     model = toxicity.fit(docs, _labels(spark, sf_dir))
-    score = toxicity.score_udf(model)("text")
-    return docs.withColumn("_score", score).where(F.col("_score") < THRESHOLD).select(docs.columns)
+    return docs.where(toxicity.score_udf(model)("text") < THRESHOLD)
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score reaches the threshold."""
-    model = quality.fit(docs, _labels(spark, sf_dir))
-    score = quality.score_udf(model)("text")
-    return docs.withColumn("_score", score).where(F.col("_score") >= THRESHOLD).select(docs.columns)
+    model = quality.fit(quality.measured(docs), _labels(spark, sf_dir))
+    return docs.where(quality.score_udf(model)(quality.statistics_udf()("text")) >= THRESHOLD)
+
+
+def _wrapped(docs: DataFrame) -> DataFrame:
+    """Each row as a struct (row) beside its id, source and text, so that no
+    column of the documents meets a name used here, and a hash of the row."""
+    return docs.select(
+        F.struct(*(docs[c] for c in docs.columns)).alias("row"),
+        "doc_id",
+        "source",
+        "text",
+        F.xxhash64(*(docs[c] for c in docs.columns)).alias("hash"),
+    )
 
 
 def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of each class of near-duplicates.
 
-    Documents without words are in classes of their own and stay.  Equal rows
-    of one doc_id stay as one row.  A row with a null doc_id stays if no other
-    row with an id has its text.
+    Documents without words are in classes of their own and stay.  A repeated
+    doc_id stays as one row.  A row with a null doc_id stays if no row with an
+    id has its shingles, once for equal rows.
     """
     classes = jaccard.similarity_classes(docs)
     first = classes.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = first.select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates()
+    kept = first.select(F.col("doc_id").alias("kept")).distinct()
+    # the shuffle of the texts by doc_id serves the join and the dropping
+    nameless = F.when(F.col("doc_id").isNull(), F.col("hash"))
+    return (
+        _wrapped(docs)
+        .drop("source", "text")
+        .join(kept, F.col("doc_id").eqNullSafe(F.col("kept")), "left_semi")
+        .withColumn("nameless", nameless)
+        .dropDuplicates(["doc_id", "nameless"])
+        .select("row.*")
+    )
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix of the sources takes it (0 to 3 times)."""
+    """Each document as often as the mix of the sources takes it (0 to 3 times).
+
+    The mix decides on narrow rows; its copies come back to the documents by
+    doc_id and row hash.  Equal rows share the copies of their group.
+    """
     prepare(spark)
-    others = [c for c in docs.columns if c not in ("doc_id", "source")]
-    taken = mixing.mix_sources(docs, mixing.ranked_weights(docs), carry=others)
-    copies = F.sequence(F.lit(1).cast("long"), F.col("copies"))
-    return taken.where("copies > 0").withColumn("_copy", F.explode(copies)).select(docs.columns)
+    rows = _wrapped(docs)
+    taken = mixing.mix_sources(rows, mixing.ranked_weights(rows), carry=["hash"])
+    totals = taken.groupBy(F.col("doc_id").alias("id"), F.col("hash").alias("h")).agg(
+        F.sum("copies").alias("total"), F.count(F.lit(1)).alias("equal")
+    )
+    within = Window.partitionBy("doc_id", "hash").orderBy("hash")
+    copies = F.expr("total div equal") + (F.col("place") <= F.col("total") % F.col("equal")).cast("long")
+    return (
+        rows.drop("source", "text")
+        .join(totals.where("total > 0"), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("hash") == F.col("h")))
+        .withColumn("place", F.row_number().over(within))
+        .withColumn("copies", copies)
+        .where("copies > 0")
+        .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+        .select("row.*")
+    )
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
