@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import hyperplanes, jaccard, mixing, packing, quality, sharding, template, topk, toxicity, warc
-from .common import prepare
+from .common import prepare, stage
 from .labels import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,9 +57,9 @@ def _scored(docs: DataFrame, score: Column, folds: int, held_out: int) -> DataFr
 
 
 def op7_quality_qda(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
-    model = quality.fit(docs, _table(spark, sf_dir, "labels"), folds=5, held_out=0)
-    return _scored(docs, quality.score_udf(model)("text"), 5, 0)
+    rows = stage(quality.measured(_table(spark, sf_dir, "documents")), "quality")
+    model = quality.fit(rows, _table(spark, sf_dir, "labels"), folds=5, held_out=0)
+    return _scored(rows, quality.score_udf(model)("_x"), 5, 0)
 
 
 def op8_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -120,8 +120,13 @@ def discriminant(
     return QualityModel(tuple(classes))
 
 
+def measured(docs: DataFrame) -> DataFrame:
+    """(doc_id, _x): the statistics of every whole text."""
+    return docs.select("doc_id", statistics_udf()("text").alias("_x"))
+
+
 def fit(
-    docs: DataFrame,
+    rows: DataFrame,
     labels: DataFrame,
     folds: int = 5,
     held_out: int = 0,
@@ -130,11 +135,11 @@ def fit(
 ) -> QualityModel:
     """Fit on all labelled rows outside the held-out fold.
 
-    Null labels, null ids and labels without a document don't count; a
+    ``rows`` are ``measured`` documents.  Null labels, null ids and labels without a document don't count; a
     repeated id counts once and is good only if all its labels are.  Only the
     class sums (2 x 91 values) come to the driver.
     """
-    rows = (
+    known = (
         labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
         .where(remainder(F.col("doc_id"), folds) != held_out)
         .groupBy(F.col("doc_id").alias("_id"))
@@ -145,9 +150,9 @@ def fit(
     seconds = [(i, j) for i in range(d) for j in range(i, d)]
     # the statistics are taken before the join, so texts are not shuffled
     sums = (
-        docs.where(remainder(F.col("doc_id"), folds) != held_out)
-        .select(F.col("doc_id").alias("_doc"), statistics_udf()("text").alias("_x"))
-        .join(rows, F.col("_doc") == F.col("_id"))
+        rows.where(remainder(F.col("doc_id"), folds) != held_out)
+        .select(F.col("doc_id").alias("_doc"), "_x")
+        .join(known, F.col("_doc") == F.col("_id"))
         .groupBy("_label")
         .agg(
             F.count(F.lit(1)).alias("n"),
@@ -166,13 +171,13 @@ def fit(
 
 
 def score_udf(model: QualityModel):
-    """Column function: text to probability of label 1.  Null and empty texts
-    have the statistics of an empty text and a score like any other."""
+    """Column function: statistics to probability of label 1.  Null and empty
+    texts have the statistics of an empty text and a score like any other."""
 
     @F.pandas_udf("double")
-    def quality_score(texts: pd.Series) -> pd.Series:
-        if not len(texts):
+    def quality_score(rows: pd.Series) -> pd.Series:
+        if not len(rows):
             return pd.Series([], dtype=float)
-        return pd.Series(model.scores(np.array([statistics(t) for t in texts])))
+        return pd.Series(model.scores(np.stack(rows.to_numpy())))
 
     return quality_score
