@@ -4,9 +4,10 @@ A page is a sequence of tokens: start tags (with class, id and role), end tags
 and text nodes.  Tokens whose occurrence vectors over the pages of one host are
 equal form an equivalence class.  A class that occurs on many pages, in one
 order, instance after instance, and whose instances lie within one slot of the
-class around it, belongs to the host's template.  What no template class holds
+class around it, belongs to the host's template if its tags also frame the
+page; a passage that many pages share does not.  What no template class holds
 is in the slots; the slots of the article, without boilerplate elements, are
-the main text.
+the main text.  Copies of a page count as one page.
 
 Vectors are never built: a token's vector is known by its number of pages and
 an order-free sum of hashes of (page, count), which Spark adds up map-side.
@@ -43,6 +44,7 @@ BOILERPLATE_WORDS = frozenset(
     "search popup modal complementary contentinfo toolbar".split()
 )
 MAIN = frozenset(("article", "main"))
+FRAME = frozenset(("html", "head", "body"))
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S
@@ -129,11 +131,50 @@ def template_codes(codes: list[int], classes: dict[int, list[int]]) -> set[int]:
     return {c for c, k in owner.items() if k in valid}
 
 
+def framing_classes(tokens: list[tuple[str, str, str]], codes: list[int], owner: dict[int, int]) -> set[int]:
+    """Classes that frame this page: one of their elements, not inside an
+    article or main element, is html, head or body or holds text of others."""
+    framing: set[int] = set()
+    stack: list[tuple[str, int | None, bool]] = []  # name, class if it may frame, main inside
+    opened: dict[int, int] = {}  # open elements of the classes not yet known to frame
+    for (kind, name, _), code in zip(tokens, codes):
+        if kind == "":
+            if opened:
+                found = opened.keys() - {owner.get(code)}
+                framing |= found
+                for k in found:
+                    del opened[k]
+        elif kind == "<" and name not in VOID:
+            main = bool(stack) and stack[-1][2]
+            k = None if main else owner.get(code)
+            if k is not None and k not in framing:
+                if name in FRAME:
+                    framing.add(k)
+                    opened.pop(k, None)
+                else:
+                    opened[k] = opened.get(k, 0) + 1
+            stack.append((name, k, main or name in MAIN))
+        elif kind == ">" and any(s[0] == name for s in stack):
+            while True:
+                last, k, _ = stack.pop()
+                if k in opened:
+                    opened[k] -= 1
+                    if not opened[k]:
+                        del opened[k]
+                if last == name:
+                    break
+    return framing
+
+
 def main_text(page: str | None, classes: dict[int, list[int]]) -> str:
     """Main text of one page: the blocks of the slots, one a line."""
     tokens = tokens_of(page)
     codes = [code_of(t) for t in tokens]
-    template = template_codes(codes, classes) if classes else set()
+    template: set[int] = set()
+    if classes:
+        owner = {c: k for k, members in classes.items() for c in members}
+        framing = framing_classes(tokens, codes, owner)
+        template = {c for c in template_codes(codes, classes) if owner[c] in framing}
     has_main = any(k == "<" and n in MAIN for k, n, _ in tokens)
     stack: list[tuple[str, bool, bool]] = []  # name, boilerplate inside, main inside
     blocks: list[list[str]] = [[]]
@@ -174,8 +215,8 @@ def _occurrences(batches):
             counts: dict[int, list[int]] = {}
             for at, t in enumerate(tokens_of(page)):
                 counts.setdefault(code_of(t), [0, at])[0] += 1
-            rows += [(host, c, n, at, mark) for c, (n, at) in counts.items()]
-        yield pd.DataFrame(rows, columns=["host", "code", "n", "at", "mark"])
+            rows.append((host, mark, list(counts), [n for n, _ in counts.values()], [at for _, at in counts.values()]))
+        yield pd.DataFrame(rows, columns=["host", "mark", "code", "n", "at"])
 
 
 def _extract(batches):
@@ -196,15 +237,20 @@ def host_of(url):
 
 def deduce_templates(pages: DataFrame, support: float = 0.5, least_pages: int = 8) -> DataFrame:
     """(host, classes): a host's equivalence classes with at least two tokens,
-    on ``support`` of its pages or more, in the order of their tokens.
+    on ``support`` of its different pages or more, in the order of their tokens.
 
     Needs ``least_pages`` different pages of the host; other hosts have no row.
+    Copies of a page count as one.
     """
-    counted = pages.mapInPandas(_occurrences, "host string, code long, n long, at long, mark long")
+    counted = (
+        pages.mapInPandas(_occurrences, "host string, mark long, code array<long>, n array<long>, at array<long>")
+        .dropDuplicates(["host", "mark"])
+        .select("host", "mark", F.inline(F.arrays_zip("code", "n", "at")))
+    )
     hosts = (
         pages.groupBy(F.col("host").alias("h"))
-        .agg(F.count(F.lit(1)).alias("pages"), F.count_distinct(F.xxhash64("html")).alias("different"))
-        .where(F.col("different") >= least_pages)
+        .agg(F.count_distinct(F.xxhash64(F.coalesce("html", F.lit("")))).alias("pages"))
+        .where(F.col("pages") >= least_pages)
     )
     vectors = counted.groupBy("host", "code").agg(
         F.count(F.lit(1)).alias("seen"),

@@ -50,6 +50,40 @@ def test_template_of_a_host(spark):
     assert got[100] == "Our Site\nText 0 of its own\nand 0 words\nAll rights reserved"
 
 
+def article_page(k: int, body: str) -> str:
+    return (
+        f"<html><head><title>Page {k}</title></head><body><nav>Menu</nav><article><h1>Title {k}</h1>{body}"
+        f"<div>Printed by the site</div></article><footer>End {k}</footer></body></html>"
+    )
+
+
+@pytest.mark.parametrize("make", [site_page, article_page])
+def test_copies_of_a_page_are_no_template(spark, make):
+    bodies = [f"<p>Text {k} of its own</p><p>and {k * k} words</p>" for k in range(9)]
+    long = "".join(f"<p>Paragraph {i} of a long article</p>" for i in range(60))
+    rows = [(k, f"http://hot.org/{k}", make(k, b)) for k, b in enumerate(bodies)]
+    rows += [(k, f"http://hot.org/{k}", make(99, long)) for k in range(100, 112)]
+    got = {r["page_id"]: r["text"] for r in template.extract_main_text(pages(spark, rows)).collect()}
+    title = ["Title 99"] if make is article_page else []
+    for k in range(100, 112):
+        assert got[k].split("\n") == title + [f"Paragraph {i} of a long article" for i in range(60)]
+    for k in range(9):
+        assert got[k].endswith(f"Text {k} of its own\nand {k * k} words")
+
+
+@pytest.mark.parametrize("make", [site_page, article_page])
+@pytest.mark.parametrize("head", ["", "<h2>A shared head</h2>"])
+def test_a_shared_passage_is_no_template(spark, make, head):
+    shared = head + "<p>A passage of one paragraph</p><p>and of one more</p>"
+    bodies = [f"<p>Text {k} of its own</p>" + shared * (k < 8) + f"<p>and {k * k} words</p>" for k in range(12)]
+    rows = [(k, f"http://passage.org/{k}", make(k, b)) for k, b in enumerate(bodies)]
+    got = {r["page_id"]: r["text"] for r in template.extract_main_text(pages(spark, rows)).collect()}
+    for k in range(12):
+        want = [f"Title {k}"] * (make is article_page) + [f"Text {k} of its own"]
+        want += (["A shared head"] * bool(head) + ["A passage of one paragraph", "and of one more"]) * (k < 8)
+        assert got[k].split("\n") == want + [f"and {k * k} words"]
+
+
 def test_classes_must_keep_their_order_and_slots():
     classes = {1: [10, 11, 12], 2: [20, 21]}
     assert template.template_codes([10, 20, 21, 20, 21, 11, 5, 12], classes) == {10, 11, 12, 20, 21}
