@@ -25,6 +25,7 @@ SIZES = (3, 4, 5, 6)  # n-gram lengths in bytes
 BUCKET_BITS = 17
 DIMENSIONS = 8
 CHUNK_BYTES = 1 << 20  # bytes of words scored in one array pass
+CHUNK_GRAMS = 1 << 18  # n-grams trained in one array pass
 
 # Bytes of words: ASCII letters and digits, and all bytes of longer characters.
 _CLEAN = bytes(b if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256))
@@ -103,6 +104,21 @@ class ToxicModel:
         return 1.0 / (1.0 + np.exp(-np.clip(z, -500, 500)))
 
 
+def _grams(words: list[bytes]) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+    """The words' n-grams in runs of whole words: (first word, past the last,
+    bucket of each n-gram in the order of its word, n-grams of each word)."""
+    runs, at = [], 0
+    most = np.cumsum([len(SIZES) * (len(w) + 2) for w in words])
+    while at < len(words):
+        before = most[at - 1] if at else 0
+        end = max(int(np.searchsorted(most, before + CHUNK_GRAMS, side="right")), at + 1)
+        buckets, owners = subwords(words[at:end])
+        order = np.argsort(owners, kind="stable")
+        runs.append((at, end, buckets[order].astype(np.int32), np.bincount(owners, minlength=end - at)))
+        at = end
+    return runs
+
+
 def train_subwords(
     words: list[bytes],
     toxic: np.ndarray,
@@ -110,26 +126,32 @@ def train_subwords(
     epochs: int = 25,
     decay: float = 3e-2,
     most: int = 1000,
+    prior: float = 2.0,
     seed: int = 17,
 ) -> tuple[np.ndarray, float]:
     """Train embeddings and softmax; return each bucket's margin and the bias.
 
     ``toxic`` and ``clean`` count the learning documents of each class that
-    hold the word; a word weighs at most ``most`` documents.  ``decay`` pulls
+    hold the word; a word weighs at most ``most`` documents.  Each word has
+    ``prior`` more documents in the classes' overall shares and ``decay`` pulls
     embeddings to zero, so words that a few toxic documents hold by chance
-    gain little.
+    gain little.  Every epoch sums the gradient of all words, in runs of words
+    of about ``CHUNK_GRAMS`` n-grams, so the arrays of a pass don't grow with
+    the number of words.
     """
     rng = np.random.default_rng(seed)
-    buckets, owners = subwords(words)
-    order = np.argsort(owners, kind="stable")
-    buckets, owners = buckets[order], owners[order]
-    used, cells = np.unique(buckets, return_inverse=True)
-    starts = np.searchsorted(owners, np.arange(len(words)))
-    lengths = np.diff(np.append(starts, len(owners)))[:, None].astype(np.float32)
+    runs = _grams(words)  # (first word, past the last, bucket of each n-gram, their number by word)
+    place = np.zeros(1 << BUCKET_BITS, dtype=bool)
+    for _, _, buckets, _ in runs:
+        place[buckets] = True
+    used = np.flatnonzero(place)
+    place = (np.cumsum(place) - 1).astype(np.int32)
     seen = toxic + clean
     weight = np.minimum(seen, most) / np.maximum(seen, 1)
     goal = np.stack([clean * weight, toxic * weight], axis=1).astype(np.float32)
+    goal += np.float32(prior) * (goal.sum(axis=0) / goal.sum())
     total = goal.sum(axis=1, keepdims=True)
+    mean = total.mean()
     params = [
         rng.normal(0, 0.1, (len(used), DIMENSIONS)).astype(np.float32),
         rng.normal(0, 0.1, (DIMENSIONS, 2)).astype(np.float32),
@@ -138,15 +160,19 @@ def train_subwords(
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     for t in range(1, epochs + 1):
         table, soft, bias = params
-        bag = np.add.reduceat(table[cells], starts, axis=0) / lengths
-        z = bag @ soft + bias
-        z = np.exp(z - z.max(axis=1, keepdims=True))
-        error = (z / z.sum(axis=1, keepdims=True) * total - goal) / total.mean()
-        back = ((error @ soft.T) / lengths)[owners]
-        grad = np.stack(
-            [np.bincount(cells, weights=back[:, d], minlength=len(used)) for d in range(DIMENSIONS)], axis=1
-        )
-        grads = [(grad + decay * table).astype(np.float32), decay * soft + bag.T @ error, error.sum(axis=0)]
+        grad = np.zeros((len(used), DIMENSIONS))
+        soft_grad, bias_grad = decay * soft, np.zeros(2, dtype=np.float32)
+        for start, end, buckets, counts in runs:
+            cells, lengths = place[buckets], counts[:, None].astype(np.float32)
+            bag = np.add.reduceat(table[cells], np.cumsum(counts) - counts, axis=0) / lengths
+            z = bag @ soft + bias
+            z = np.exp(z - z.max(axis=1, keepdims=True))
+            error = (z / z.sum(axis=1, keepdims=True) * total[start:end] - goal[start:end]) / mean
+            back = np.repeat((error @ soft.T) / lengths, counts, axis=0)
+            for d in range(DIMENSIONS):
+                grad[:, d] += np.bincount(cells, weights=back[:, d], minlength=len(used))
+            soft_grad, bias_grad = soft_grad + bag.T @ error, bias_grad + error.sum(axis=0)
+        grads = [(grad + decay * table).astype(np.float32), soft_grad, bias_grad]
         for k, g in enumerate(grads):  # Adam
             first[k] = 0.9 * first[k] + 0.1 * g
             second[k] = 0.99 * second[k] + 0.01 * g * g
@@ -179,13 +205,11 @@ def fit(
     folds: int = 4,
     held_out: int = 2,
     max_documents: int = 8_000,
-    max_words: int = 60_000,
 ) -> ToxicModel:
     """Fit on at most ``max_documents`` labelled rows outside the held-out fold.
 
-    Three quarters of them train the embeddings on their most frequent
-    ``max_words`` distinct words (only counts per word reach the driver), the
-    rest the logistic curve.  With one class or no labels, every score is the
+    Three quarters of them train the embeddings on all of their distinct words
+    (only counts per word reach the driver), the rest the logistic curve.  With one class or no labels, every score is the
     share of toxic labels (0 without labels).
     """
     rows = learning_rows(labels, "toxic", folds, held_out, max_documents)
@@ -212,12 +236,13 @@ def fit(
         .groupBy("word")
         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     )
-    common = counted.orderBy((F.col("toxic") + F.col("clean")).desc(), "word").limit(max_words).toPandas()
-    toxic, clean = (common[c].to_numpy(dtype=np.float64) for c in ("toxic", "clean"))
+    # bounded by max_documents texts; sorted, so that a rerun adds in the same order
+    found = counted.toPandas().sort_values("word", ignore_index=True)
+    toxic, clean = (found[c].to_numpy(dtype=np.float64) for c in ("toxic", "clean"))
     if toxic.sum() == 0 or clean.sum() == 0:
         share = rows.agg(F.avg("_label")).first()[0]
         return ToxicModel(np.zeros(1), 0.0, base=float(share or 0.0))
-    margins, bias = train_subwords([bytes(w) for w in common["word"]], toxic, clean)
+    margins, bias = train_subwords([bytes(w) for w in found["word"]], toxic, clean)
     model = ToxicModel(margins, bias)
     margin_of = _margin_udf(model)
     held = texts.where("_curve").select("_label", margin_of("_text").alias("m")).toPandas()

@@ -62,6 +62,39 @@ def test_toxicity_without_two_classes(spark):
         assert {r[0] for r in docs.select(toxicity.score_udf(model)("text")).collect()} == {score}
 
 
+def test_toxicity_learns_from_all_words(spark, monkeypatch):
+    # 70,000 clean words of two documents each come before the toxic ones, which one document holds each
+    plain = [f"a{i:x}q" for i in range(70_000)]
+    rows = [(i, " ".join(plain[(i // 2) * 700 : (i // 2 + 1) * 700]), "s") for i in range(200)]
+    rows += [(1000 + i, f"zvilegrub{'abcdefgh'[i % 8]}{i} zdirtlump{i}", "s") for i in range(100)]
+    marks = [(i, 1, int(i >= 1000)) for i, _, _ in rows]
+    seen, train = [], toxicity.train_subwords
+
+    def trained(words, *rest):
+        seen.extend(words)
+        return train(words, *rest)
+
+    monkeypatch.setattr(toxicity, "train_subwords", trained)
+    docs = documents(spark, rows)
+    model = toxicity.fit(docs, labels(spark, marks))
+    learnt = [t for i, t, _ in rows if zlib.crc32(str(i).encode()) % 4 != 2 and zlib.crc32(f"curve:{i}".encode()) % 4]
+    assert seen == sorted({w.encode() for t in learnt for w in t.split()})
+    p = model.scores(pd.Series([t for _, t, _ in rows]))
+    held = [(p[k] >= 0.3) == (i >= 1000) for k, (i, _, _) in enumerate(rows) if zlib.crc32(str(i).encode()) % 4 == 2]
+    assert len(held) > 50 and np.mean(held) > 0.97
+
+
+def test_training_in_runs_is_training_at_once(monkeypatch):
+    vocabulary = sorted({w.encode() for w in words(3000, 5).split()})
+    toxic = np.array([float(b"ab" in w) for w in vocabulary])
+    got = []
+    for size in (1 << 18, 200, 1):
+        monkeypatch.setattr(toxicity, "CHUNK_GRAMS", size)
+        got.append(toxicity.train_subwords(vocabulary, toxic, 2.0 - toxic))
+    for margins, bias in got[1:]:
+        assert np.allclose(margins, got[0][0], atol=0.05) and bias == pytest.approx(got[0][1], abs=0.05)
+
+
 def test_subwords_of_words():
     buckets, owners = toxicity.subwords([b"ab", b"a", b"hello"])
     # " ab " has 2 + 1 n-grams of 3 and 4 bytes, " a " one of 3
