@@ -45,6 +45,8 @@ BOILERPLATE_WORDS = frozenset(
 )
 MAIN = frozenset(("article", "main"))
 FRAME = frozenset(("html", "head", "body"))
+# What an outermost article may be besides the text: its class words count no more.
+ITEM_WORDS = frozenset("ad ads advert adverts advertisement comment comments disqus reply replies related recommended".split())
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S
@@ -94,10 +96,18 @@ def code_of(token: tuple[str, str, str]) -> int:
     return xxhash.xxh3_64_intdigest(f"{kind}\0{name}\0{detail}".encode("utf-8", "replace")) - 2**63
 
 
-def _is_boilerplate(name: str, detail: str) -> bool:
+def _is_boilerplate(name: str, detail: str, words: frozenset[str] = BOILERPLATE_WORDS) -> bool:
+    """Whether an element is boilerplate by its name, or by a whole word of its
+    class, id or role; of a compound (cookie-notice) every part must be one."""
     if name in BOILERPLATE:
         return True
-    return bool(detail) and not BOILERPLATE_WORDS.isdisjoint(_WORD.findall(detail.replace("=", " ")))
+    for value in detail.split():
+        if value.startswith(("class=", "id=", "role=")):
+            value = value.partition("=")[2]
+        found = _WORD.findall(value)
+        if found and words.issuperset(found):
+            return True
+    return False
 
 
 def template_codes(codes: list[int], classes: dict[int, list[int]]) -> set[int]:
@@ -175,36 +185,61 @@ def main_text(page: str | None, classes: dict[int, list[int]]) -> str:
         owner = {c: k for k, members in classes.items() for c in members}
         framing = framing_classes(tokens, codes, owner)
         template = {c for c in template_codes(codes, classes) if owner[c] in framing}
-    has_main = any(k == "<" and n in MAIN for k, n, _ in tokens)
-    stack: list[tuple[str, bool, bool]] = []  # name, boilerplate inside, main inside
+    found = _blocks(tokens, codes, template, ITEM_WORDS)
+    if not found and any(k == "<" and n == "article" for k, n, _ in tokens):
+        found = _blocks(tokens, codes, template, frozenset())  # the only text is in such articles
+    return "\n".join(found)
+
+
+def _blocks(
+    tokens: list[tuple[str, str, str]], codes: list[int], template: set[int], item_words: frozenset[str]
+) -> list[str]:
+    """Blocks of the main text.  Class words don't make html, body or main
+    boilerplate, and only ``item_words`` an outermost article.  The text is that
+    of the articles and main elements not inside boilerplate, if there are any."""
+    has_main = False
+    stack: list[tuple[str, bool, bool, bool]] = []  # name, and inside: boilerplate, main, article
+    outside: tuple[str, bool, bool, bool] = ("", False, False, False)
+    # blocks of the whole page, and of its articles and main elements
     blocks: list[list[str]] = [[]]
+    mains: list[list[str]] = [[]]
     for token, code in zip(tokens, codes):
         kind, name, detail = token
-        dull, main = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+        _, dull, main, article = stack[-1] if stack else outside
         if kind == "":
-            if not dull and (main or not has_main) and code not in template:
+            if not dull and code not in template:
                 blocks[-1].append(detail)
+                if main:
+                    mains[-1].append(detail)
             continue
         if kind == "raw":
             continue
         if name not in INLINE:
             blocks.append([])
+            mains.append([])
         elif name == "br":
             blocks[-1].append(" ")
+            mains[-1].append(" ")
         if kind == "<" and name not in VOID:
             if name == "p" and stack and stack[-1][0] == "p":
                 stack.pop()
-                dull, main = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-            inner = name in MAIN
-            # the header of an article holds its title, a page's header does not
-            outside = _is_boilerplate(name, detail) and not (name == "header" and main and not dull)
-            stack.append((name, dull or outside, main or inner))
+                _, dull, main, article = stack[-1] if stack else outside
+            if name in FRAME or name == "main":
+                out = name in BOILERPLATE
+            elif name == "article" and not article:
+                out = _is_boilerplate(name, detail, item_words)
+            else:
+                # the header of an article holds its title, a page's header does not
+                out = _is_boilerplate(name, detail) and not (name == "header" and main and not dull)
+            inner = name in MAIN and not (dull or out)
+            has_main = has_main or inner
+            stack.append((name, dull or out, main or inner, article or name == "article"))
         elif kind == ">" and any(s[0] == name for s in stack):
             # an end tag closes what was left open in its element
             while stack.pop()[0] != name:
                 pass
-    joined = (" ".join(html.unescape("".join(b)).split()) for b in blocks)
-    return "\n".join(b for b in joined if b)
+    joined = (" ".join(html.unescape("".join(b)).split()) for b in (mains if has_main else blocks))
+    return [b for b in joined if b]
 
 
 def _occurrences(batches):
@@ -257,7 +292,7 @@ def deduce_templates(pages: DataFrame, support: float = 0.5, least_pages: int =
         F.sum(F.xxhash64("mark", "n").cast("decimal(20,0)")).alias("vector"),
         F.avg("at").alias("place"),
     )
-    frequent = vectors.join(hosts, F.col("host") == F.col("h")).where(
+    frequent = vectors.where("seen >= 2").join(hosts, F.col("host") == F.col("h")).where(
         F.col("seen") >= F.greatest(F.lit(2), F.col("pages") * support)
     )
     ordered = F.sort_array(F.collect_list(F.struct("place", "code")))
@@ -277,8 +312,8 @@ def extract_main_text(pages: DataFrame, support: float = 0.5, least_pages: int =
     Returns page_id, url, ``text`` and ``n_chars`` (code points).  Blocks are
     in page order, one a line, white space joined, character references
     decoded; nothing else is cut.  A null or empty html, or one without main
-    text, has the empty text.  Without an article or main element, the whole
-    body counts.  A host with fewer than ``least_pages`` different pages, and
+    text, has the empty text.  Without an article or main element outside
+    boilerplate, the whole body counts.  A host with fewer than ``least_pages`` different pages, and
     pages with a null url (one host ''), have no template unless they reach
     that number; their boilerplate elements still go.  Repeated pages are
     extracted each; no rows give no rows.

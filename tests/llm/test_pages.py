@@ -50,6 +50,23 @@ def test_template_of_a_host(spark):
     assert got[100] == "Our Site\nText 0 of its own\nand 0 words\nAll rights reserved"
 
 
+@pytest.mark.parametrize("page", [
+    "<body class='has-sidebar'><p>Text</p></body>", "<body class='sidebar'><p>Text</p></body>",
+    "<html class='no-search' id=notice><body><p>Text</p>", "<main class='search-page'><p>Text</p></main>",
+    "<main class='search'><p>Text</p></main>", "<main role=search><article class='notice share'><p>Text</p></article></main>",
+    "<article id='share-prices'><p>Text</p></article>", "<div class='post no-comments'><p>Text</p></div>",
+    "<article class='comment'><p>Text</p></article>", "<div class='post has-sidebar'><p>Text</p></div>",
+    "<div class='content'><p>Text</p></div><article class='comment'>No</article><article class='comment odd'>No</article>",
+    "<div class='content'><p>Text</p></div><section class=related><article>No</article></section>",
+    "<div class='content'><p>Text</p></div><aside><article>No</article></aside>",
+    "<article><p>Text</p><article class='reply'>No</article></article><article class='comment'>No</article>",
+    "<div class='cookie-notice'>No</div><div class='site sidebar'>No</div><div id=nav_menu>No</div><p>Text</p>",
+    "<div role=main><p>Text</p></div><div class='ad'>No</div>",
+])
+def test_boilerplate_words(page):
+    assert template.main_text(page, {}) == "Text"
+
+
 def article_page(k: int, body: str) -> str:
     return (
         f"<html><head><title>Page {k}</title></head><body><nav>Menu</nav><article><h1>Title {k}</h1>{body}"
