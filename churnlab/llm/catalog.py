@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hyperplanes, jaccard, mixing, packing, quality, sharding, template, topk, toxicity, warc
+from . import (
+    hyperplanes,
+    jaccard,
+    lines,
+    mixing,
+    negatives,
+    packing,
+    phrases,
+    quality,
+    sharding,
+    template,
+    topk,
+    toxicity,
+    warc,
+)
 from .common import prepare, stage
 from .labels import remainder
 
@@ -76,6 +90,23 @@ def op10_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op11_reversible_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = lines.dedupe_lines(_table(spark, sf_dir, "documents"), least=10)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op12_annulus_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(
+        vectors.withColumn("label", shifted), anchors=F.col("vec_id") % 100 == 0, positives=5, negatives=5, low=80, high=100
+    )
+
+
+def op13_border_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"), support=100, top=2000, longest=5)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -89,5 +120,8 @@ QUERIES: dict[str, Query] = {
         op8_subword_toxicity,
         op9_hyperplane_dedup,
         op10_length_buckets,
+        op11_reversible_lines,
+        op12_annulus_negatives,
+        op13_border_phrases,
     )
 }

@@ -146,9 +146,103 @@ r AS (
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
+_LINES = r"""
+WITH l AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents
+),
+u AS (
+  SELECT doc_id, i, parts[i] AS line,
+         translate(trim(parts[i], ' ' || chr(9) || chr(11) || chr(12) || chr(13)),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS i FROM l)
+),
+h AS (SELECT k, min(doc_id) AS first FROM u WHERE length(k) >= 10 GROUP BY k),
+d AS (SELECT u.*, coalesce(first < doc_id, false) AS gone FROM u LEFT JOIN h ON u.k = h.k)
+SELECT doc_id, count(*) AS n_lines, CAST(sum(CAST(gone AS INTEGER)) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM d GROUP BY doc_id
+"""
+
+_NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS alike,
+         CAST(list_inner_product(a.x, c.x) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id AND len(a.x) = len(c.x)
+),
+p AS (
+  SELECT * FROM s WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+),
+n AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id,
+         CAST(row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank,
+         s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.alike
+   AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score
+)
+SELECT * FROM n WHERE rank <= 5
+"""
+
+_PHRASES = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w),
+f AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS a
+  FROM starts CROSS JOIN (VALUES (1), (2), (3), (4), (5)) AS t(k)
+  WHERE i + k - 1 <= len(w)
+  GROUP BY ALL HAVING count(*) >= 100
+),
+c AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+inner_parts AS (
+  SELECT c.lang, array_to_string(c.w[i:i + m - 1], ' ') AS phrase, max(c.a) AS a
+  FROM c CROSS JOIN (VALUES (1), (2), (3), (4)) AS s(i) CROSS JOIN (VALUES (2), (3), (4)) AS t(m)
+  WHERE m < c.k AND i + m - 1 <= c.k
+  GROUP BY ALL
+),
+alone AS (
+  SELECT c.* FROM c LEFT JOIN inner_parts p ON c.lang = p.lang AND c.phrase = p.phrase
+  WHERE p.a IS NULL OR p.a < c.a
+),
+cuts AS (
+  SELECT x.lang, x.phrase, x.a, t.cut, l.a AS l, r.a AS r, total.n,
+         CAST((1000::HUGEINT * x.a * total.n) // (l.a::HUGEINT * r.a) AS BIGINT) AS score
+  FROM alone x
+  JOIN (VALUES (1), (2), (3), (4)) AS t(cut) ON t.cut < x.k
+  JOIN f l ON l.lang = x.lang AND l.phrase = array_to_string(x.w[1:t.cut], ' ')
+  JOIN f r ON r.lang = x.lang AND r.phrase = array_to_string(x.w[t.cut + 1:x.k], ' ')
+  JOIN total ON total.lang = x.lang
+),
+best AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+         phrase, a, l, r, n, score
+  FROM best
+)
+SELECT * FROM ranked WHERE rank <= 2000
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_mix_sources": _MIX_START + "".join(_MIX_PASS.format(n=n, m=n - 1) for n in (1, 2, 3)) + _MIX_END,
     "op4_threshold_search": _TOP,
     "op6_warc_round_trip": _WARC,
     "op2_jump_shards": _SHARDS,
+    "op11_reversible_lines": _LINES,
+    "op12_annulus_negatives": _NEGATIVES,
+    "op13_border_phrases": _PHRASES,
 }
