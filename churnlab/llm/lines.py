@@ -99,7 +99,7 @@ def _filter_pass(bits: int):
             for start, end in zip(cuts, np.r_[cuts[1:], len(batch)]):
                 if of[start] != shard:
                     if held is not None or blobs:
-                        yield tables(shard, held or CuckooFilter(bits, blobs))
+                        yield tables(shard, CuckooFilter(bits, blobs) if held is None else held)
                     shard, blobs, held = of[start], [], None
                 part = batch.iloc[start:end]
                 if role[start] == 0:
@@ -117,7 +117,7 @@ def _filter_pass(bits: int):
                 else:
                     held.remove(h)
         if held is not None or blobs:
-            yield tables(shard, held or CuckooFilter(bits, blobs))
+            yield tables(shard, CuckooFilter(bits, blobs) if held is None else held)
 
     return run
 
