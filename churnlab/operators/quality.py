@@ -10,6 +10,7 @@ Per-column statistics are computed by unpivoting the columns into
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,82 +49,143 @@ def require_columns(df: DataFrame, required: Iterable[str], what: str = "Table")
 # --- V3-V5, V13: keys --------------------------------------------------------
 
 
-def key_stats(df: DataFrame, key: str) -> DataFrame:
-    """One row: row_count, null_key_count, duplicate_key_count (every occurrence
-    after the first; nulls equal) and duplicate_trimmed_key_count (the same
-    after trimming string keys; trimming can create clashes).
+@dataclass(frozen=True)
+class Key:
+    """A key column of ``table``; only rows with ``when`` belong to the table."""
+
+    table: str
+    name: str
+    value: Column
+    when: Column | None = None
+
 
-    Two aggregation levels and no join: rows per raw key (partial aggregate),
-    then raw keys per trimmed key, then one global sum.
+def key_audit_of(sources: Sequence[tuple[DataFrame, Sequence[Key]]]) -> DataFrame:
+    """V3 + V4 + V5: primary-key report, one row per table: row_count,
+    null_key_count, duplicate_key_count (every occurrence after the first; nulls
+    equal) and duplicate_trimmed_key_count (the same after trimming string keys;
+    trimming can create clashes).
+
+    The keys of all tables are one stream of (table, key), each source scanned
+    once.  It is counted by raw key, first in each map task, then by trimmed key;
+    no join, and no shuffle for each table.  An empty table has a row of zeros.
     """
-    k = F.col(key)
-    is_string = isinstance(df.schema[key].dataType, T.StringType)
-    per_key = df.groupBy(k.alias("_k")).agg(F.count(F.lit(1)).alias("_c"))
-    trimmed = strip_whitespace(F.col("_k")) if is_string else F.col("_k")
-    per_trimmed = per_key.groupBy(trimmed.alias("_t")).agg(
-        F.sum("_c").alias("_c"), F.count(F.lit(1)).alias("_raw")
-    )
-    out = per_trimmed.agg(
-        F.sum("_c").alias("row_count"),
-        F.sum(F.when(F.col("_t").isNull(), F.col("_c")).otherwise(0)).alias("null_key_count"),
-        F.sum(F.col("_c") - F.col("_raw")).alias("duplicate_key_count"),
-        F.sum(F.col("_c") - 1).alias("duplicate_trimmed_key_count"),
-    )
-    zero = F.lit(0).cast("bigint")
-    return out.select(
-        *[
-            F.coalesce(F.col(c).cast("bigint"), zero).alias(c)
-            for c in ("row_count", "null_key_count", "duplicate_key_count", "duplicate_trimmed_key_count")
-        ]
+    stream, names = None, {}
+    for df, keys in sources:
+        said = []
+        for k in keys:
+            names[k.table] = k.name
+            text = isinstance(df.select(k.value.alias("k")).schema["k"].dataType, T.StringType)
+            said.append(
+                F.struct(
+                    F.lit(k.table).alias("table_name"),
+                    k.value.cast("string").alias("key"),
+                    F.lit(text).alias("is_text"),
+                    (F.lit(True) if k.when is None else F.coalesce(k.when, F.lit(False))).alias("belongs"),
+                )
+            )
+        rows = df.select(F.explode(F.array(*said)).alias("s")).select("s.*").where("belongs").drop("belongs")
+        stream = rows if stream is None else stream.unionByName(rows)
+    per_key = stream.groupBy("table_name", "is_text", "key").agg(F.count(F.lit(1)).alias("c"))
+    trimmed = F.when(F.col("is_text"), strip_whitespace(F.col("key"))).otherwise(F.col("key"))
+    per_trimmed = per_key.groupBy("table_name", trimmed.alias("t")).agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("raw"))
+    counted = per_trimmed.select(
+        "table_name",
+        F.col("c").alias("row_count"),
+        F.when(F.col("t").isNull(), F.col("c")).otherwise(0).alias("null_key_count"),
+        (F.col("c") - F.col("raw")).alias("duplicate_key_count"),
+        (F.col("c") - 1).alias("duplicate_trimmed_key_count"),
     )
+    counts = counted.columns[1:]
+    # every table is in the report, also an empty one
+    tables = F.explode(F.array(*map(F.lit, names))).alias("table_name")
+    seed = stream.sparkSession.range(1).select(tables).select("table_name", *(F.lit(0).cast("long").alias(c) for c in counts))
+    key_column = F.element_at(F.create_map(*(F.lit(x) for item in names.items() for x in item)), F.col("table_name"))
+    total = counted.union(seed).groupBy("table_name").agg(*(F.sum(c).cast("bigint").alias(c) for c in counts))
+    return total.select("table_name", key_column.alias("key_column"), *counts)
+
+
+def key_stats(df: DataFrame, key: str) -> DataFrame:
+    """One row: the four counts of :func:`key_audit_of` for one table."""
+    return key_audit_of([(df, [Key("table", key, F.col(key))])]).drop("table_name", "key_column")
 
 
 def key_audit(tables: dict[str, DataFrame], keys: dict[str, str]) -> DataFrame:
-    """V3 + V4 + V5: primary-key report, one row per table."""
-    parts = [
-        key_stats(tables[table], key).select(
-            F.lit(table).alias("table_name"), F.lit(key).alias("key_column"), "*"
-        )
-        for table, key in keys.items()
-    ]
-    return _union(parts)
+    """:func:`key_audit_of` of plain tables; each is one source."""
+    return key_audit_of([(tables[table], [Key(table, key, F.col(key))]) for table, key in keys.items()])
 
 
 # --- V6: foreign keys ---------------------------------------------------------
 
 
-def fk_orphans(
-    tables: dict[str, DataFrame], relations: Sequence[tuple[str, str, str, str]]
+@dataclass(frozen=True)
+class Reference:
+    """What the rows of a table say about keys of a parent table: that they are
+    there (``child`` is None), or ``n`` references from ``child`` = (table,
+    column).  Rows whose ``key`` is null say nothing."""
+
+    parent: str
+    key: Column
+    child: tuple[str, str] | None = None
+    n: Column | None = None
+
+
+def reference_orphans(
+    sources: Sequence[tuple[DataFrame, Sequence[Reference]]],
+    relations: Sequence[tuple[str, str, str, str]],
 ) -> DataFrame:
     """V6 + J8: rows whose non-null reference has no parent row, per relation.
 
-    Child rows are first counted per reference (map-side), so a parent that a
-    third of the rows name is one row per task.  ``left_anti`` against the
-    parent's key; Spark broadcasts the parent only when its measured size is
-    under the broadcast threshold.  Relations that share a parent read the same
-    parent plan, so its exchange is built once and reused by the others
-    (``ReusedExchange``).
+    All tables make one stream of (parent table, key, is it a parent row,
+    references by relation).  It is added up by (parent table, key), first in
+    each map task - so a key that a third of the rows name is one row a task -
+    and shuffled once; a key without a parent row gives its references to the
+    orphans.  A source is scanned once, whatever the number of its references.
     """
-    parts = []
-    for child, child_col, parent, parent_col in relations:
-        c = (
-            tables[child]
-            .select(F.col(child_col).alias("_fk"))
-            .filter(F.col("_fk").isNotNull())
-            .groupBy("_fk")
-            .agg(F.count(F.lit(1)).alias("_n"))
-        )
-        p = tables[parent].select(F.col(parent_col).alias("_fk"))
-        orphans = c.join(p, "_fk", "left_anti")
-        parts.append(
-            orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("orphan_count")).select(
-                F.lit(child).alias("child_table"),
-                F.lit(child_col).alias("child_column"),
-                F.lit(parent).alias("parent_table"),
-                F.col("orphan_count").cast("bigint").alias("orphan_count"),
+    place = {(child, column, parent): i for i, (child, column, parent, _) in enumerate(relations)}
+    integral = all(
+        isinstance(df.select(r.key.alias("k")).schema["k"].dataType, T.IntegralType) for df, rs in sources for r in rs
+    )
+    stream = None
+    for df, references in sources:
+        said = [
+            F.struct(
+                F.lit(r.parent).alias("parent"),
+                r.key.cast("bigint" if integral else "string").alias("key"),
+                F.lit(r.child is None).alias("is_parent"),
+                F.lit(-1 if r.child is None else place[*r.child, r.parent]).alias("relation"),
+                (F.lit(1) if r.n is None else r.n).cast("bigint").alias("n"),
             )
+            for r in references
+        ]
+        rows = df.select(F.explode(F.array(*said)).alias("s")).select("s.*").where("key IS NOT NULL")
+        stream = rows if stream is None else stream.unionByName(rows)
+    counts = [F.sum(F.when(F.col("relation") == i, F.col("n")).otherwise(0)).alias(f"n_{i}") for i in range(len(relations))]
+    keys = stream.groupBy("parent", "key").agg(F.max("is_parent").alias("has_parent"), *counts)
+    orphans = keys.where(~F.col("has_parent")).agg(
+        *(F.coalesce(F.sum(f"n_{i}"), F.lit(0)).cast("bigint").alias(f"n_{i}") for i in range(len(relations)))
+    )
+    rows = [
+        F.struct(
+            F.lit(child).alias("child_table"),
+            F.lit(column).alias("child_column"),
+            F.lit(parent).alias("parent_table"),
+            F.col(f"n_{i}").alias("orphan_count"),
         )
-    return _union(parts)
+        for i, (child, column, parent, _) in enumerate(relations)
+    ]
+    return orphans.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
+def fk_orphans(
+    tables: dict[str, DataFrame], relations: Sequence[tuple[str, str, str, str]]
+) -> DataFrame:
+    """:func:`reference_orphans` of plain tables; each is one source."""
+    said: dict[str, list[Reference]] = {}
+    for child, column, parent, _ in relations:
+        said.setdefault(child, []).append(Reference(parent, F.col(column), (child, column)))
+    for parent, column in dict.fromkeys((parent, column) for _, _, parent, column in relations):
+        said.setdefault(parent, []).append(Reference(parent, F.col(column)))
+    return reference_orphans([(tables[t], refs) for t, refs in said.items()], relations)
 
 
 # --- V7, V8: rules and not-null -----------------------------------------------

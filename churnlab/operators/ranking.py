@@ -20,6 +20,9 @@ partition.  Here a total order is computed in parallel instead:
 Per-group ranks work the same way with the group key leading the order; the
 offset table then has at most partitions + groups rows.
 
+Quartiles need three rows of the order only; they are selected without a sort
+(:func:`quartile_cuts`).
+
 Samples and splits only need positions in a hash order.  They are counted per
 cell of the hash range, with one shuffle and neither sort bounds nor checkpoint
 (:func:`hash_positions`).
@@ -31,8 +34,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from churnlab.functions.scalar import col_, quartile_label
+from churnlab.functions.scalar import col_
 from churnlab.session import ensure_checkpoint_dir
 
 PID, MID = "_pid", "_mid"
@@ -143,7 +147,86 @@ def prefix_sums(
     return out
 
 
-# --- W2 -------------------------------------------------------------------
+# --- W1, W2: quartiles by selection ------------------------------------------
+
+# Parts of the key range in which rows of one score are counted.
+KEY_PARTS = 1 << 20
+
+
+def _coarse(score: Column) -> Column:
+    """A bin that never falls as the score rises: 2^14 to a doubling of 1 + |x|."""
+    size = F.floor(F.log2(F.abs(score) + 1) * (1 << 14))
+    ends = F.when(F.isnan(score), F.lit(1 << 50)).when(F.abs(score) == float("inf"), F.lit(1 << 49))
+    return F.when(score < 0, -F.coalesce(ends, size)).otherwise(F.coalesce(ends, size)).cast("long")
+
+
+def _holding(bins: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Of each cut's ``bins`` (``_c`` rows each) the one that holds its rank
+    ``left``, which becomes the rank inside that bin."""
+    upto = Window.partitionBy("cut").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    inside = F.col("left") - F.sum("_c").over(upto) + F.col("_c")
+    return bins.withColumn("left", inside).where((F.col("left") >= 1) & (F.col("left") <= F.col("_c"))).drop("_c")
+
+
+def quartile_cuts(df: DataFrame, score: str | Column, key: str = "customer_id") -> DataFrame:
+    """One row: the rows at the three quartile cuts in the order (score, key), as
+    structs ``cut_1`` to ``cut_3``; of nulls where no row has a score.
+
+    Exact selection without a sort.  The pairs (score, key) are shuffled once.
+    Rows are counted per coarse bin of the score; in the bins that hold a cut,
+    per score and part of the key range; and the rows of the one part that holds
+    the cut are ordered.  So neither a score nor a bin that many rows share comes
+    to one task - unless the key is no integer, when a score has one part.
+    Nothing runs while this is built.
+    """
+    pairs = df.select(F.struct(col_(score).cast("double").alias("s"), F.col(key).alias("k")).alias("r"))
+    pairs = pairs.where("r.s IS NOT NULL").repartition("r")
+    s, k = F.col("r.s"), F.col("r.k")
+
+    everywhere = Window.partitionBy(F.lit(1))
+    counted = (
+        pairs.withColumn("_cell", _coarse(s))
+        .groupBy("_cell")
+        .agg(F.count(F.lit(1)).alias("_c"), F.min(k).alias("k_lo"), F.max(k).alias("k_hi"))
+        .select(
+            "_cell", "_c", F.sum("_c").over(everywhere).alias("_n"),
+            F.min("k_lo").over(everywhere).alias("k_lo"), F.max("k_hi").over(everywhere).alias("k_hi"),
+        )
+    )
+    # quartile j + 1 starts behind rank 1 + floor(j * (n - 1) / 4)
+    first = counted.withColumn("cut", F.explode(F.array(*map(F.lit, (1, 2, 3)))))
+    first = _holding(first.withColumn("left", 1 + F.expr("(cut * (_n - 1)) div 4")).drop("_n"), ["_cell"])
+
+    part = F.lit(0).cast("long")
+    if isinstance(df.schema[key].dataType, T.IntegralType):
+        along = [(x.cast("decimal(20,0)") - F.col("k_lo").cast("decimal(20,0)")).cast("double") for x in (k, F.col("k_hi"))]
+        part = F.when(along[1] > 0, F.floor(along[0] / along[1] * (KEY_PARTS - 1))).otherwise(0).cast("long")
+    met = pairs.join(F.broadcast(first), _coarse(s) == F.col("_cell"))  # three rows
+    parts = met.groupBy("cut", "left", "k_lo", "k_hi", s.alias("at"), part.alias("_p")).agg(F.count(F.lit(1)).alias("_c"))
+    second = _holding(parts, ["at", "_p"])
+
+    met = pairs.join(F.broadcast(second), (s == F.col("at")) & (part == F.col("_p")))
+    nth = met.withColumn("_rn", F.row_number().over(Window.partitionBy("cut").orderBy(k)))
+    nth = nth.where(F.col("_rn") == F.col("left"))
+    ends = [F.max(F.when(F.col("cut") == j, x)).alias(f"{n}_{j}") for j in (1, 2, 3) for n, x in (("s", s), ("k", k))]
+    return nth.agg(*ends).select(
+        *(F.struct(F.col(f"s_{j}").alias("s"), F.col(f"k_{j}").alias("k")).alias(f"cut_{j}") for j in (1, 2, 3))
+    )
+
+
+def with_quartiles(
+    df: DataFrame, cuts: DataFrame, score: str | Column, key: str = "customer_id", out_col: str = "retention_priority"
+) -> DataFrame:
+    """Add the quartile label of each row by comparing it with the one row of
+    ``cuts``; 'nan' for a null score."""
+    s, k = col_(score).cast("double"), F.col(key)
+
+    def behind(j: int) -> Column:
+        at = F.col(f"cut_{j}")
+        return (s > at["s"]) | ((s == at["s"]) & (k > at["k"]))
+
+    label = F.when(s.isNull(), "nan").when(behind(3), "critical").when(behind(2), "high").when(behind(1), "medium").otherwise("low")
+    return df.crossJoin(F.broadcast(cuts)).withColumn(out_col, label).drop("cut_1", "cut_2", "cut_3")
 
 
 def priority_quartiles(
@@ -154,22 +237,9 @@ def priority_quartiles(
 ) -> DataFrame:
     """W1 + W2: quartile label of each row's rank by ``score`` (ties by ``key``).
 
-    Rows with a null score get 'nan' and do not count in n: they form their own
-    rank group, so valid and null rows come from the same single ranked pass
-    (no second read of the input).
+    Rows with a null score get 'nan' and do not count.
     """
-    scored = df.withColumn("_score", col_(score).cast("double")).withColumn(
-        "_no_score", F.col("_score").isNull()
-    )
-    ranked = global_rank(
-        scored,
-        [F.col("_score").asc(), F.col(key).asc()],
-        rank_col="_rank",
-        total_col="_n",
-        group_cols=["_no_score"],
-    )
-    label = F.when(F.col("_no_score"), F.lit("nan")).otherwise(quartile_label("_rank", "_n"))
-    return ranked.withColumn(out_col, label).drop("_rank", "_n", "_score", "_no_score")
+    return with_quartiles(df, quartile_cuts(df, score, key), score, key, out_col)
 
 
 # --- W3 -------------------------------------------------------------------
@@ -180,11 +250,12 @@ def quota_top_k(
     group_col: str,
     quotas: dict[str, int],
     order: Sequence[Column],
+    key: str | None = None,
 ) -> DataFrame:
     """Per group, the first ``quotas[g]`` rows in ``order``; no back-fill.
 
     Two levels: the best rows of each (group, salt), with the group's rows
-    spread over ``QUOTA_SALTS`` salts by a hash, then the best of those.  One
+    spread over ``QUOTA_SALTS`` salts by a hash of ``key`` (or of the row), then the best of those.  One
     final task gets at most salts x quota rows of a group, however many
     partitions the table has.
     """
@@ -192,7 +263,7 @@ def quota_top_k(
         return df.limit(0)
     quota = F.create_map(*[x for g, k in quotas.items() for x in (F.lit(g), F.lit(k))])
     wanted = F.element_at(quota, F.col(group_col))
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(QUOTA_SALTS))
+    salt = F.pmod(F.xxhash64(*([key] if key else df.columns)), F.lit(QUOTA_SALTS))
     top = F.lit(max(quotas.values()))
     parts = Window.partitionBy(group_col, "_salt").orderBy(*order)
     whole = Window.partitionBy(group_col).orderBy(*order)

@@ -18,7 +18,7 @@ from churnlab.functions.scalar import (
     risk_category,
     round_half_up,
 )
-from churnlab.operators.ranking import priority_quartiles
+from churnlab.operators.ranking import quartile_cuts, with_quartiles
 
 # The columns the score table carries from the feature row.
 SCORE_COLUMNS = [
@@ -105,11 +105,15 @@ def score_rows(
     ).withColumn("recommended_action", retention_action())
 
 
-def priorities(scored: DataFrame) -> DataFrame:
-    """Retention priority quartile (P21 + W1 + W2) of every scored row, as
-    (customer_id, retention_priority): only id and score are ranked."""
+def priority_cuts(scored: DataFrame) -> DataFrame:
+    """The quartile cuts (W1) of the priority score (P21), one row."""
     narrow = scored.select("customer_id", priority_score().alias("_priority"))
-    return priority_quartiles(narrow, "_priority").select("customer_id", "retention_priority")
+    return quartile_cuts(narrow, "_priority")
+
+
+def with_priorities(rows: DataFrame, cuts: DataFrame) -> DataFrame:
+    """Retention priority (W2) of every row from the cuts of all of them."""
+    return with_quartiles(rows, cuts, priority_score())
 
 
 def score_customers(
@@ -118,11 +122,11 @@ def score_customers(
     sort: bool = True,
     keep_features: bool = False,
 ) -> DataFrame:
-    """The risk score table, with the priority quartile joined to the rows;
-    sorted by priority text ascending then money at risk descending (T1)."""
+    """The risk score table, with the priority quartile as a column of the
+    row; sorted by priority text ascending then money at risk descending (T1)."""
     scored = score_rows(features, probability, keep_features)
     columns = [c for c in scored.columns if c != "recommended_action"]
-    out = scored.join(priorities(scored), "customer_id", "left").select(
+    out = with_priorities(scored, priority_cuts(scored)).select(
         *columns, "retention_priority", "recommended_action"
     )
     if sort:

@@ -179,9 +179,9 @@ def q_executive_tiles(spark, root):
 
 @query("top25_at_risk")
 def q_top25_at_risk(spark, root):
-    """The 25 rows first; the priority rank is joined to them alone."""
+    """The 25 rows first; they alone are compared with the quartile cuts."""
     rows = scored_rows(spark, root)
-    return reports.top_at_risk(rows, 25, scoring.priorities(rows))
+    return reports.top_at_risk(rows, 25, scoring.priority_cuts(rows))
 
 
 @query("customer_detail")
@@ -289,22 +289,26 @@ def quota_sample(scores: DataFrame, row_count: int = DEMO_ROW_COUNT) -> DataFram
         "risk_category",
         demo_quotas(row_count),
         [F.col("estimated_monthly_revenue_at_risk").desc(), F.col("customer_id").asc()],
+        key="customer_id",
     )
 
 
+QUOTA_COLUMNS = ["customer_id", "risk_category", "estimated_monthly_revenue_at_risk"]
+
+
 @query("quota_sample")
 def q_quota_sample(spark, root):
-    return quota_sample(scored_rows(spark, root)).select(
-        "customer_id", "risk_category", "estimated_monthly_revenue_at_risk"
-    )
+    """W3 over three columns: the tables behind the other features are not read."""
+    return quota_sample(scored_rows(spark, root).select(*QUOTA_COLUMNS))
 
 
 @query("quota_features")
 def q_quota_features(spark, root):
-    """The features of the quota-sampled customers, by id.  The sample keeps
-    its rows' feature columns, so they come from one scored pass."""
-    columns = customer_features(spark, root).columns
-    return quota_sample(scored_rows(spark, root)).select(*columns).orderBy("customer_id")
+    """The features of the quota-sampled customers, by id.  The sample is
+    taken on three columns; the wide rows meet its ids only."""
+    features = customer_features(spark, root)
+    picked = quota_sample(scored_rows(spark, root).select(*QUOTA_COLUMNS)).select("customer_id")
+    return features.join(picked, "customer_id", "left_semi").orderBy("customer_id")
 
 
 @query("demo_subset")
@@ -327,12 +331,14 @@ def q_demo_subset(spark, root):
 
 @query("key_audit")
 def q_key_audit(spark, root):
-    return quality.key_audit(tables(spark, root), schemas.PRIMARY_KEYS)
+    """V3 - V5: every key of a driver table comes from one scan of it."""
+    return quality.key_audit_of(roles.key_sources(spark, root))
 
 
 @query("fk_orphans")
 def q_fk_orphans(spark, root):
-    return quality.fk_orphans(tables(spark, root), schemas.FOREIGN_KEYS)
+    """V6: every reference of a driver table comes from one scan of it."""
+    return quality.reference_orphans(roles.reference_sources(spark, root), schemas.FOREIGN_KEYS)
 
 
 @query("range_audit")
@@ -535,35 +541,7 @@ def q_complaint_samples(spark, root):
 @query("run_summary")
 def q_run_summary(spark, root):
     """The figures each batch step prints, as (metric, value) rows."""
-    scores = scored_rows(spark, root)
-    feature_stats = scores.agg(
-        F.count(F.lit(1)).cast("double").alias("feature_rows"),
-        reports.boolean_rate("churned").alias("churn_rate"),
-        reports.money_sum("monthly_revenue_at_risk").alias("monthly_revenue_at_risk"),
-    )
-    metrics_long = feature_stats.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("metric"), F.col(c).alias("value"))
-                    for c in feature_stats.columns
-                ]
-            )
-        ).alias("_m")
-    ).select("_m.metric", "_m.value")
-    band_counts = scores.groupBy("risk_category").agg(F.count(F.lit(1)).cast("double").alias("value"))
-    action_counts = scores.groupBy("recommended_action").agg(
-        F.count(F.lit(1)).cast("double").alias("value")
-    )
-    return (
-        metrics_long.unionByName(
-            band_counts.select(F.concat(F.lit("risk_category:"), "risk_category").alias("metric"), "value")
-        ).unionByName(
-            action_counts.select(
-                F.concat(F.lit("recommended_action:"), "recommended_action").alias("metric"), "value"
-            )
-        )
-    )
+    return reports.run_summary(scored_rows(spark, root))
 
 
 @query("file_fingerprints")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnlab.functions.scalar import round_half_up
+from churnlab.operators import scoring
 
 # The score columns the dashboards join to the features.
 SCORE_JOIN_COLUMNS = [
@@ -98,13 +99,13 @@ TOP_AT_RISK_COLUMNS = [
 ]
 
 
-def top_at_risk(c360: DataFrame, k: int = 25, priorities: DataFrame | None = None) -> DataFrame:
-    """The k customers with the most expected revenue at risk.
-    ``priorities`` (customer_id, retention_priority) joins to those k rows."""
+def top_at_risk(c360: DataFrame, k: int = 25, cuts: DataFrame | None = None) -> DataFrame:
+    """The k customers with the most expected revenue at risk.  With the
+    quartile ``cuts`` of all customers, those k rows get their priority."""
     order = [F.col("estimated_monthly_revenue_at_risk").desc_nulls_last(), F.col("customer_id").asc()]
     top = c360.orderBy(*order).limit(k)
-    if priorities is not None:
-        top = top.join(priorities, "customer_id", "left").orderBy(*order)
+    if cuts is not None:
+        top = scoring.with_priorities(top, cuts).orderBy(*order)
     return top.select(*TOP_AT_RISK_COLUMNS)
 
 
@@ -165,6 +166,49 @@ def score_distribution(df: DataFrame, group_col: str, score_col: str) -> DataFra
     )
 
 
+def run_summary(scores: DataFrame) -> DataFrame:
+    """Rows, churn rate and revenue at risk of all customers, and the number
+    of customers of each risk category and action, as (metric, value) rows.
+
+    One pass over ``scores``: its rows shrink to one for each pair of category
+    and action (map-side), and each such row counts for all, for its category
+    and for its action.  Without customers, the figures of all remain: 0 rows.
+    """
+    none = F.lit(None).cast("string")
+    sums = {
+        "rows": F.count(F.lit(1)),
+        "churned": F.count_if("churned"),
+        "known": F.count("churned"),
+        "revenue": F.sum(F.col("monthly_revenue_at_risk").cast(T.DecimalType(38, 2))),
+    }
+    pairs = scores.groupBy("risk_category", "recommended_action").agg(*(c.alias(n) for n, c in sums.items()))
+    kinds = F.array(
+        F.struct(F.lit("all").alias("kind"), none.alias("name")),
+        F.struct(F.lit("risk_category:").alias("kind"), F.col("risk_category").alias("name")),
+        F.struct(F.lit("recommended_action:").alias("kind"), F.col("recommended_action").alias("name")),
+    )
+    counted = pairs.select(F.explode(kinds).alias("k"), *sums).select("k.kind", "k.name", *sums)
+    # all customers are there even if there are none
+    seed = scores.sparkSession.range(1).select(
+        F.lit("all").alias("kind"), none.alias("name"), *(F.lit(0).cast("long").alias(n) for n in list(sums)[:3]),
+        F.lit(None).cast(T.DecimalType(38, 2)).alias("revenue"),
+    )
+    total = counted.union(seed).groupBy("kind", "name").agg(*(F.sum(n).alias(n) for n in sums))
+    rate = F.when(F.col("known") > 0, F.col("churned").cast("double") / F.col("known").cast("double"))
+
+    def figure(name, value: Column) -> Column:
+        return F.struct(name.alias("metric"), value.cast("double").alias("value"))
+
+    of_all = F.array(
+        figure(F.lit("feature_rows"), F.col("rows")),
+        figure(F.lit("churn_rate"), rate),
+        figure(F.lit("monthly_revenue_at_risk"), F.col("revenue")),
+    )
+    of_group = F.array(figure(F.concat("kind", "name"), F.col("rows")))
+    figures = F.explode(F.when(F.col("kind") == "all", of_all).otherwise(of_group)).alias("f")
+    return total.select(figures).select("f.*")
+
+
 # --- P32: display text (report layer only) -----------------------------------
 
 

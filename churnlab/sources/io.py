@@ -6,8 +6,10 @@ the error messages and in the dataset resolver the dashboards need.
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections.abc import Iterable, Sequence
+from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -140,17 +142,47 @@ def resolve_dataset(
     )
 
 
+# Schemes that the workers open themselves, with the name Arrow has for them.
+_ARROW_SCHEMES = {"file": "file", "hdfs": "hdfs", "s3": "s3", "s3a": "s3", "gs": "gs"}
+_CHUNK = 8 << 20
+
+
+def _sha256_of(uri: str) -> str:
+    """SHA-256 of a file, read in chunks of fixed size."""
+    from pyarrow import fs
+
+    scheme, rest = uri.split(":", 1)
+    place = quote(rest.removeprefix("//"), safe="/:@")
+    system, path = fs.FileSystem.from_uri(f"{_ARROW_SCHEMES[scheme]}://{place}")
+    digest = hashlib.sha256()
+    with system.open_input_stream(path) as stream:
+        while chunk := stream.read(_CHUNK):
+            digest.update(chunk)
+    return digest.hexdigest()
+
+
 def file_fingerprints(spark: SparkSession, path_glob: str) -> DataFrame:
     """One row per file: path, length, SHA-256 of the content.
 
-    Each file is hashed inside one task; files are spread over the cluster.
+    Spark lists the files (their content is not read for that) and deals them
+    over the tasks; a task streams each of its files through the digest, so its
+    memory does not depend on a file's size.  Empty files have no row, as Spark's
+    readers leave them out.  In a store that only Spark's
+    readers open, a file is one value of at most 2 GB.
     """
-    return (
-        spark.read.format("binaryFile")
-        .load(path_glob)
-        .select(
-            F.col("path"),
-            F.col("length").cast("bigint").alias("length"),
-            F.sha2(F.col("content"), 256).alias("sha256"),
-        )
-    )
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path_glob)
+    scheme = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getScheme()
+    files = spark.read.format("binaryFile").load(path_glob)
+    length = F.col("length").cast("bigint").alias("length")
+    if scheme not in _ARROW_SCHEMES:
+        return files.select("path", length, F.sha2(F.col("content"), 256).alias("sha256"))
+
+    def digests(batches):
+        for batch in batches:
+            yield batch.assign(sha256=[_sha256_of(p) for p in batch["path"]])
+
+    # a count of partitions: small as the rows are, they must not be put together
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    listed = files.select("path", length).repartition(tasks, "path")
+    return listed.mapInPandas(digests, "path string, length long, sha256 string")

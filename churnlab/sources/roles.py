@@ -325,6 +325,10 @@ def event_facts(spark: SparkSession, root: str, as_of_month: str | None = None)
     return driver(spark, root, "events").select(*cols, role.alias("role"))
 
 
+def _usage_id() -> Column:
+    return F.col("l_orderkey") * 8 + F.col("l_linenumber")
+
+
 def monthly_usage(spark: SparkSession, root: str) -> DataFrame:
     li = driver(spark, root, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate"
@@ -332,7 +336,7 @@ def monthly_usage(spark: SparkSession, root: str) -> DataFrame:
     o = driver(spark, root, "orders").select("o_orderkey", "o_custkey")
     # left: a line item without its order stays visible to the audits
     return li.join(o, li.l_orderkey == o.o_orderkey, "left").select(
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("usage_id"),
+        _usage_id().alias("usage_id"),
         F.col("o_custkey").alias("customer_id"),
         F.col("l_orderkey").alias("subscription_id"),
         F.lit("fixed_broadband").alias("service_type"),
@@ -491,3 +495,57 @@ def register_views(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     tables["kpi_summary"] = kpi_summary(spark.table("customer_360_exact"))
     tables["kpi_summary"].createOrReplaceTempView("kpi_summary")
     return tables
+
+
+# --- the audits' view of the driver tables: keys only, one scan of each ---------
+
+
+def key_sources(spark: SparkSession, root: str) -> list:
+    """Primary keys of the nine tables.  Usage needs line items alone."""
+    from churnlab.operators.enrich import fixed_subscriptions_from_customers
+    from churnlab.operators.quality import Key
+    from churnlab.sources.schemas import PRIMARY_KEYS
+
+    spine = customers(spark, root)
+    fixed = fixed_subscriptions_from_customers(spine)
+    both = fixed.select("customer_id", "fixed_subscription_id")
+    usage = driver(spark, root, "lineitem").select(_usage_id().alias("usage_id"))
+
+    def key(table: str, when: Column | None = None):
+        return Key(table, PRIMARY_KEYS[table], F.col(PRIMARY_KEYS[table]), when)
+
+    return [
+        (both, [key("customers"), key("fixed_subscriptions")]),
+        (order_facts(spark, root), [key("mobile_subscriptions", F.col("is_mobile")), key("billing_history", F.lit(True))]),
+        (event_facts(spark, root), [key(table, F.col("role") == table) for table in EVENT_ROLES]),
+        (usage, [key("monthly_usage")]),
+    ]
+
+
+def reference_sources(spark: SparkSession, root: str) -> list:
+    """References between the nine tables.  Line items are counted per order
+    before they meet their customer."""
+    from churnlab.operators.quality import Reference
+
+    def to_customer(table: str, when: Column | None = None, n: Column | None = None):
+        key = F.col("customer_id") if when is None else F.when(when, F.col("customer_id"))
+        return Reference("customers", key, (table, "customer_id"), n)
+
+    spine = driver(spark, root, "customer").select(F.col("c_custkey").alias("customer_id"))
+    lines = F.col("mobile_subscription_id")
+    orders = [
+        to_customer("billing_history"),
+        to_customer("mobile_subscriptions", F.col("is_mobile")),
+        Reference("mobile_subscriptions", F.when(F.col("is_mobile"), lines)),
+    ]
+    events = [to_customer(table, F.col("role") == table) for table in EVENT_ROLES]
+    events.append(Reference("mobile_subscriptions", lines, ("byod_devices", "mobile_subscription_id")))
+    per_order = driver(spark, root, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
+    o = driver(spark, root, "orders").select("o_orderkey", F.col("o_custkey").alias("customer_id"))
+    usage = per_order.join(o, per_order.l_orderkey == o.o_orderkey).select("customer_id", "n")
+    return [
+        (spine, [Reference("customers", F.col("customer_id")), to_customer("fixed_subscriptions")]),
+        (order_facts(spark, root), orders),
+        (event_facts(spark, root), events),
+        (usage, [to_customer("monthly_usage", n=F.col("n"))]),
+    ]

@@ -40,3 +40,19 @@ def test_json_report(spark, tmp_path):
     assert [r["key"] for r in frame.collect()] == ["a", "b"]
     io.write_json_report(frame, str(tmp_path / "report"))
     assert spark.read.json(str(tmp_path / "report")).count() == 2
+
+
+def test_fingerprints_stream_files_in_chunks(spark, tmp_path, monkeypatch):
+    """Files longer than a chunk, empty files, names with blanks."""
+    contents = {"empty.bin": b"", "two words.bin": bytes(range(256)) * 9000, "one.bin": b"x" * (9 << 20)}
+    for name, data in contents.items():
+        (tmp_path / name).write_bytes(data)
+    found = io.file_fingerprints(spark, str(tmp_path / "*.bin"))
+    got = {r["path"].rsplit("/", 1)[-1].replace("%20", " "): (r["length"], r["sha256"]) for r in found.collect()}
+    assert got == {n: (len(d), hashlib.sha256(d).hexdigest()) for n, d in contents.items() if d}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan and "MapInPandas" in plan
+    # a store that Arrow does not know goes through Spark's reader
+    monkeypatch.setattr(io, "_ARROW_SCHEMES", {})
+    again = {r["sha256"] for r in io.file_fingerprints(spark, str(tmp_path / "*.bin")).collect()}
+    assert again == {sha for _, sha in got.values()}

@@ -56,3 +56,33 @@ def test_blank_counts_any_whitespace(spark):
     df = spark.createDataFrame([("\t",), (" \n ",), ("x",), (None,)], "s string")
     row = quality.profile_columns(df).first()
     assert row["blank_count"] == 2 and row["null_count"] == 1
+
+
+def test_references_of_several_relations_and_types(spark):
+    parents = spark.createDataFrame([("a",), ("b",), (None,), ("a",)], "id string")
+    lines = spark.createDataFrame([(1, "a"), (2, "z"), (3, None), (3, "z")], "line int, owner string")
+    devices = spark.createDataFrame([("a", 1), ("q", 9), ("q", None), (None, 2), ("b", 9)], "owner string, line long")
+    relations = [
+        ("lines", "owner", "parents", "id"),
+        ("devices", "owner", "parents", "id"),
+        ("devices", "line", "lines", "line"),
+    ]
+    got = quality.fk_orphans({"parents": parents, "lines": lines, "devices": devices}, relations).collect()
+    assert [(r["child_table"], r["child_column"], r["orphan_count"]) for r in got] == [
+        ("lines", "owner", 2), ("devices", "owner", 2), ("devices", "line", 2)
+    ]
+    none = parents.limit(0)
+    got = quality.fk_orphans({"parents": none, "lines": lines.limit(0)}, relations[:1]).collect()
+    assert [r["orphan_count"] for r in got] == [0]
+
+
+def test_key_audit_of_empty_and_hot_keys(spark):
+    from pyspark.sql import functions as F
+
+    hot = spark.range(3000).select(F.when(F.col("id") % 3 == 0, " k").otherwise(F.col("id").cast("string")).alias("key"))
+    rows = {r["table_name"]: r for r in quality.key_audit({"hot": hot, "none": hot.limit(0)}, {"hot": "key", "none": "key"}).collect()}
+    assert rows["hot"]["row_count"] == 3000 and rows["hot"]["duplicate_key_count"] == 999
+    assert rows["none"].asDict() == {
+        "table_name": "none", "key_column": "key", "row_count": 0, "null_key_count": 0,
+        "duplicate_key_count": 0, "duplicate_trimmed_key_count": 0,
+    }

@@ -76,3 +76,43 @@ def test_group_rank_keeps_null_group(spark):
     assert got.count() == 30
     nulls = sorted((r["k"], r["r"], r["n"]) for r in got.filter("g IS NULL").collect())
     assert nulls == [(k, i + 1, 10) for i, k in enumerate(range(0, 30, 3))]
+
+
+def _labels(n, rank):
+    return ["low", "medium", "high", "critical"][max(1, -(-4 * (rank - 1) // max(n - 1, 1))) - 1]
+
+
+@given(
+    st.lists(st.one_of(st.none(), st.sampled_from([0.0, -1.5, 7.0, 1e-9, 1e12]), st.floats(-1e6, 1e6)), max_size=60),
+    st.booleans(),
+)
+@settings(max_examples=12, deadline=None)
+def test_quartiles_by_selection(spark, scores, text_keys):
+    rows = [(str(i).zfill(3) if text_keys else (i * 7919) % 1000 - 300, s) for i, s in enumerate(scores)]
+    df = spark.createDataFrame(rows, f"customer_id {'string' if text_keys else 'long'}, s double")
+    got = {r["customer_id"]: r["retention_priority"] for r in ranking.priority_quartiles(df, "s").collect()}
+    valid = sorted((s, k) for k, s in rows if s is not None)
+    want = {k: _labels(len(valid), i) for i, (_, k) in enumerate(valid, 1)}
+    assert got == {k: want.get(k, "nan") for k, _ in rows}
+
+
+def test_quartiles_with_a_hot_score(spark):
+    """A score that half of the rows share holds two cuts; it is counted in parts."""
+    df = spark.range(0, 6000).select(
+        ((F.col("id") * 7919) % 6007 * 1000003).alias("customer_id"),
+        F.when(F.col("id") % 2 == 0, 3.5).otherwise(F.sqrt("id")).alias("s"),
+    )
+    got = ranking.priority_quartiles(df, "s")
+    ref = df.withColumn("rank", F.row_number().over(Window.orderBy("s", "customer_id")))
+    from churnlab.functions.scalar import quartile_label
+
+    ref = ref.select(F.col("customer_id").alias("k"), quartile_label("rank", F.lit(6000)).alias("want"))
+    assert got.join(ref, got.customer_id == ref.k).where("want <> retention_priority").count() == 0
+    assert got.count() == 6000
+
+
+def test_quartiles_of_odd_scores(spark):
+    rows = [(i, s) for i, s in enumerate([float("inf"), float("-inf"), float("nan"), 1.0, 2.0, -3.0, None, 0.5])]
+    got = {r[0]: r[2] for r in ranking.priority_quartiles(spark.createDataFrame(rows, "customer_id long, s double"), "s").collect()}
+    order = [1, 5, 7, 3, 4, 0, 2]  # NaN is the largest
+    assert got == {6: "nan"} | {k: _labels(7, i) for i, k in enumerate(order, 1)}

@@ -134,3 +134,66 @@ def test_feature_plan_shuffle_count(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert plan.count("Exchange hashpartitioning") <= 8, plan
+
+
+def _plan(spark, name):
+    import __spark_entry__ as entry
+    from tests.conftest import SF_SMALL
+
+    return entry.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_audits_and_reports_scan_each_table_once(spark):
+    for name, scans, exchanges in [("fk_orphans", 5, 5), ("key_audit", 5, 4), ("run_summary", 4, 5), ("quota_sample", 4, 5)]:
+        plan = _plan(spark, name)
+        assert plan.count("FileScan") == scans, name
+        assert plan.count("Exchange hashpartitioning") <= exchanges, name
+    assert "l_orderkey" not in _plan(spark, "quota_sample")
+    # the usage key needs line items alone
+    assert "SortMergeJoin" not in _plan(spark, "key_audit")
+
+
+def test_quartiles_are_selected_without_a_sort_of_the_rows(spark):
+    import __spark_entry__ as entry
+    from tests.conftest import SF_SMALL
+
+    for name in ("priority_quartiles", "top25_at_risk", "risk_scores"):
+        query = entry.queries()[name]
+        query(spark, SF_SMALL)  # reads the schemas
+        spark.sparkContext.setJobGroup(f"select-{name}", name)
+        query(spark, SF_SMALL)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert spark.sparkContext.statusTracker().getJobIdsForGroup(f"select-{name}") == [], name
+        plan = _plan(spark, name)
+        assert "Scan ExistingRDD" not in plan  # no checkpoint
+        assert plan.count("rangepartitioning") <= 1, name  # the order of the result
+
+
+def test_stored_pages_outlive_an_application(spark, monkeypatch, tmp_path):
+    """A fitting version is read again; a half-written one is not; a new state
+    of the inputs gets a new version and the one before stays."""
+    import shutil
+
+    from churnlab.plans import catalog, serving
+    from tests.conftest import SF_SMALL
+
+    root = tmp_path / "tables"
+    shutil.copytree(SF_SMALL, root)
+    features = catalog.customer_features(spark, str(root))
+    first = serving.stored_tables(spark, str(root), features)
+    store = serving.Store(spark, str(root))
+    (folder, state), = store.versions()
+    with monkeypatch.context() as m:  # as a second application: nothing in memory, nothing written
+        m.setattr(serving.Store, "add", lambda *a: (_ for _ in ()).throw(AssertionError("written again")))
+        again = serving.stored_tables(spark, str(root), features)
+    assert again["scores"].count() == first["scores"].count() == features.count()
+    # newer, but without a manifest
+    half = f"{store.folder}/v-99999999999999999999-half"
+    first["scores"].limit(1).write.parquet(f"{half}/scores")
+    assert store.find(state) == folder
+    (root / "customer.parquet").touch()
+    serving.stored_tables(spark, str(root), features)
+    assert len(store.versions()) == 2 and store.versions()[0][0] == folder
+    (root / "customer.parquet").touch()
+    serving.stored_tables(spark, str(root), features)
+    assert len(store.versions()) == 2 and store.find(state) is None
