@@ -69,51 +69,6 @@ def word_pattern(words: Sequence[str]) -> str:
     return f"(?i)(?<![A-Za-z0-9])(?:{alternatives})(?![A-Za-z0-9])"
 
 
-def lexicon_counts(text: str | Column, lexicon: Sequence[Sequence[str]] = DOMAIN_LEXICON) -> list[Column]:
-    """Hits per label: one ``regexp_count`` per label over the whole text (a
-    JVM regex scan, no per-token arrays)."""
-    t = F.col(text) if isinstance(text, str) else text
-    return [F.regexp_count(t, F.lit(word_pattern(words))) for words in lexicon]
-
-
-def pick_label(
-    counts: Sequence[Column], labels: Sequence[str] = COMPLAINT_LABELS, present: Column | None = None
-) -> Column:
-    """struct<label, score>: best label (ties by label order) and its share of
-    all hits; no hit gives the first label with score 0.  Null when
-    ``present`` is false (a null text).
-
-    The counts are folded in one ``aggregate`` over an array, so every count
-    expression appears exactly once: if the optimizer inlines this column into
-    a pushed-down filter, the regex scans are not multiplied.
-    """
-    names = F.array(*[normalize_label(F.lit(label)) for label in labels])
-    start = F.struct(
-        F.lit(-1).alias("best"), F.lit(0).alias("idx"), F.lit(0).alias("total"), F.lit(0).alias("i")
-    )
-
-    def step(acc, x):
-        better = x > acc["best"]
-        return F.struct(
-            F.when(better, x).otherwise(acc["best"]).alias("best"),
-            F.when(better, acc["i"]).otherwise(acc["idx"]).alias("idx"),
-            (acc["total"] + x).alias("total"),
-            (acc["i"] + 1).alias("i"),
-        )
-
-    def finish(acc):
-        score = F.when(
-            acc["total"] > 0, acc["best"].cast("double") / acc["total"].cast("double")
-        ).otherwise(F.lit(0.0))
-        return F.struct(
-            F.element_at(names, acc["idx"] + 1).alias("label"),
-            round_half_up(score, 6).alias("score"),
-        )
-
-    result = F.aggregate(F.array(*counts), start, step, finish)
-    return result if present is None else F.when(present, result)
-
-
 def lexicon_classify(
     text: str | Column,
     lexicon: Sequence[Sequence[str]] = DOMAIN_LEXICON,

@@ -58,9 +58,10 @@ def standardization_stats(
 ) -> DataFrame:
     """One row: ``<c>__mean`` and ``<c>__std`` (population) per column.
 
-    With ``exact_scale`` the sums run in decimal(38, scale) (values must have at
-    most that many decimals), so the statistics do not depend on the order in
-    which partitions are added; otherwise ``avg`` and ``stddev_pop``, which
+    With ``exact_scale`` count, sum and sum of squares are integers of that many
+    decimals (which values must not exceed) and combine exactly, so the
+    statistics depend neither on the order in which partitions are added nor on
+    the size of the mean; otherwise ``avg`` and ``stddev_pop``, which
     keep centred sums and stay accurate for large means.  A zero deviation
     becomes 1 (the column then standardises to 0).
     """
@@ -71,17 +72,20 @@ def standardization_stats(
             std = F.stddev_pop(x)
             out += [F.avg(x).alias(f"{c}__mean"), F.when(std > 0, std).otherwise(F.lit(1.0)).alias(f"{c}__std")]
         return df.agg(*out)
-    aggs = [F.count(F.lit(1)).alias("_n")]
+    whole = T.DecimalType(38, 0)
+    aggs = []
     for c in columns:
-        x = F.col(c).cast(T.DecimalType(38, exact_scale))
-        sq = (x * x).cast(T.DecimalType(38, 2 * exact_scale))
-        aggs += [F.sum(x).alias(f"_s_{c}"), F.sum(sq).alias(f"_q_{c}")]
+        x = (F.col(c).cast(T.DecimalType(28, exact_scale)) * F.lit(10**exact_scale)).cast(whole)
+        aggs += [F.count(x).alias(f"_n_{c}"), F.sum(x).alias(f"_s_{c}"), F.sum((x * x).cast(whole)).alias(f"_q_{c}")]
     sums = df.agg(*aggs)
     out = []
     for c in columns:
-        mean = F.col(f"_s_{c}").cast("double") / F.col("_n").cast("double")
-        var = F.col(f"_q_{c}").cast("double") / F.col("_n").cast("double") - mean * mean
-        std = F.sqrt(F.greatest(var, F.lit(0.0)))
+        n, s, q = (F.col(f"_{k}_{c}") for k in "nsq")
+        count = n.cast("double")
+        mean = s.cast("double") / F.lit(float(10**exact_scale)) / count
+        # n * q - s * s is exact: no digits of a large mean cancel in doubles
+        spread = (n.cast(whole) * q - s * s).cast("double")
+        std = F.sqrt(spread / (count * count)) / F.lit(float(10**exact_scale))
         out += [
             mean.alias(f"{c}__mean"),
             F.when(std > 0, std).otherwise(F.lit(1.0)).alias(f"{c}__std"),

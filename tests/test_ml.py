@@ -185,3 +185,9 @@ def test_linear_model_attributions_add_up(spark, training, tmp_path):
         total = r["base_value"] + sum(i["impact"] for i in r["impacts"])
         assert abs(total - r["model_output"]) < 1e-9
         assert abs(1 / (1 + np.exp(-r["model_output"])) - r["p"]) < 1e-9
+
+
+def test_exact_standardisation_at_a_large_mean(spark):
+    df = spark.createDataFrame([(1e9,), (1e9 + 1,), (None,)], "x double")
+    stats = ml.standardization_stats(df, ["x"], exact_scale=2).first()
+    assert stats["x__mean"] == 1e9 + 0.5 and stats["x__std"] == 0.5
