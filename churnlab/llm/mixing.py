@@ -55,33 +55,27 @@ def water_fill(sources: DataFrame, epochs: int = 3, budget: int | None = None) -
     )
 
 
-def _fill(rows: DataFrame, cells: int) -> DataFrame:
-    """One pass: mark further documents while they fit their source's room.
+def _pass(rows: DataFrame, rooms: DataFrame) -> DataFrame:
+    """One pass: ``_kind`` of each row is ``big`` (larger than its source's room),
+    ``now`` (it and the fitting ones before it fit the room together) or ``rest``.
 
-    ``rows`` has _left, the words still wanted.  Documents not yet marked and
-    no larger than that are summed up in seeded order; those within _left are
-    marked.  Sums per (source, cell) become offsets, so a hot source is spread
-    over ``cells`` windows.
+    ``rooms`` has ``_left`` for each (source, cell), so the rows of a hot source
+    meet it in all of their cells; sums per cell become offsets.
     """
-    open_size = F.when(F.col("_extra") | (F.col("size") > F.col("_left")), 0).otherwise(F.col("size"))
-    rows = rows.withColumn("_open", open_size)
-    before = Window.partitionBy("_src").orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
+    fits = rows.join(rooms, ["_s", "_cell"])
+    fits = fits.withColumn("_open", F.when(F.col("size") <= F.col("_left"), F.col("size")).otherwise(0))
+    before = Window.partitionBy("_s").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        rows.groupBy(F.col("source").alias("_src"), F.col("_cell").alias("_c"))
+        fits.groupBy("_s", "_cell")
         .agg(F.sum("_open").alias("_sum"))
-        .select("_src", "_c", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
+        .select("_s", "_cell", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
     )
-    upto = Window.partitionBy("source", "_cell").orderBy("_key", "doc_id", "size")
+    upto = Window.partitionBy("_s", "_cell").orderBy("_key", "doc_id", "size")
     upto = upto.rowsBetween(Window.unboundedPreceding, 0)
-    marked = (
-        rows.withColumn("_upto", F.sum("_open").over(upto))
-        .join(offsets, F.col("source").eqNullSafe(F.col("_src")) & (F.col("_cell") == F.col("_c")))
-        .withColumn(
-            "_now", (F.col("_open") > 0) & (F.col("_before") + F.col("_upto") <= F.col("_left"))
-        )
-        .drop("_src", "_c", "_before", "_upto", "_open")
-    )
-    return stage(marked, "mix")
+    within = F.col("_before") + F.col("_upto") <= F.col("_left")
+    kind = F.when(F.col("_open") == 0, "big").when(within, "now").otherwise("rest")
+    marked = fits.withColumn("_upto", F.sum("_open").over(upto)).join(offsets, ["_s", "_cell"])
+    return stage(marked.withColumn("_kind", kind).drop("_before", "_upto", "_open", "_left"), "mix")
 
 
 def _nearest(rows: DataFrame) -> DataFrame:
@@ -90,10 +84,11 @@ def _nearest(rows: DataFrame) -> DataFrame:
     gap = F.abs(F.col("size") - F.col("_left"))
     best = (
         rows.where(~F.col("_extra") & (F.col("size") > 0) & (gap < F.col("_left")))
-        .groupBy(F.col("source").alias("_src"))
-        .agg(F.min(F.struct(gap.alias("gap"), "_key", "doc_id", "size")).alias("_best"))
+        .groupBy("_s")
+        .agg(F.min(F.struct(gap.alias("gap"), "_key", "doc_id", "size", "_cell")).alias("_best"))
+        .select("_s", F.col("_best._cell").alias("_cell"), "_best")
     )
-    equal = Window.partitionBy("source", "_cell", "_key", "doc_id", "size").orderBy("_extra")
+    equal = Window.partitionBy("_s", "_cell", "_key", "doc_id", "size").orderBy("_extra")
     this = (
         (F.row_number().over(equal) == 1)
         & ~F.col("_extra")
@@ -101,7 +96,7 @@ def _nearest(rows: DataFrame) -> DataFrame:
         & F.col("doc_id").eqNullSafe(F.col("_best.doc_id"))
         & (F.col("size") == F.col("_best.size"))
     )
-    return rows.join(best, F.col("source").eqNullSafe(F.col("_src")), "left").withColumn(
+    return rows.join(best, ["_s", "_cell"], "left").withColumn(
         "_extra", F.col("_extra") | F.coalesce(this, F.lit(False))
     )
 
@@ -112,7 +107,6 @@ def mix_sources(
     epochs: int = 3,
     budget: int | None = None,
     seed: int = 17,
-    passes: int = 3,
     cells: int = 4096,
     carry: list[str] | None = None,
 ) -> DataFrame:
@@ -123,48 +117,58 @@ def mix_sources(
     ``source_size``, ``target`` (words wanted of its source), ``copies`` (at
     most ``epochs``) and ``taken`` (copies x size), and the columns in
     ``carry``.  The order of the fractional sample is an MD5 of seed and
-    doc_id.  A first pass takes documents in that order until one is too large;
-    each further pass fills what is left with smaller ones; at last one document
-    may go beyond the target if that is nearer to it.
+    doc_id: a source takes every document in that order that still fits what it
+    wants; at last one document may go beyond that if it comes nearer to it.
+
+    Passes over the documents that still fit find the sample: each takes them up
+    to the first that is too large, which leaves it and all as large behind.
+    They end when nothing fits any source (one check of a pass's rest a pass).
 
     A null or empty text has size 0 and, as a source without weight does, adds
     nothing (copies are the whole repetitions, taken is 0).  A null source is
     a source.  Repeated rows count and are taken singly.  No rows give no rows.
     """
     seeded = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    named = F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("n"))
     sized = docs.select(
-        "doc_id", "source", word_count(F.col("text")).alias("size"), *(carry or [])
+        "doc_id", "source", word_count(F.col("text")).alias("size"), *(carry or []), named.alias("_s")
     ).withColumn("_key", F.md5(seeded))
     # 12 bits of the key choose a cell; more cells for more rows in a source
     bits = F.conv(F.substring("_key", 1, 8), 16, 10).cast("long")
     sized = stage(
         sized.withColumn("_cell", F.floor(bits * cells / F.lit(2**32)).cast("int")), "mix"
     )
-    sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    named = weights.select(F.col("source").alias("_src"), F.col("weight").cast("long"))
-    sources = sources.join(named, F.col("source").eqNullSafe(F.col("_src")), "left").select(
-        F.col("source").alias("_src"), "source_size", F.coalesce("weight", F.lit(0)).alias("weight")
+    met = stage(sized.groupBy("_s", "_cell").agg(F.sum("size").alias("size"), F.min("source").alias("source")), "mix")
+    sources = met.groupBy("_s").agg(F.sum("size").alias("source_size"), F.min("source").alias("source"))
+    given = weights.select(F.col("source").alias("_src"), F.col("weight").cast("long"))
+    sources = sources.join(given, F.col("source").eqNullSafe(F.col("_src")), "left").select(
+        "_s", "source_size", F.coalesce("weight", F.lit(0)).alias("weight")
     )
     targets = water_fill(stage(sources, "mix"), epochs, budget)
     size = F.col("source_size")
     whole = F.when(size > 0, F.floor(F.col("target") / size)).otherwise(0).cast("long")
-    rows = (
-        sized.join(targets, F.col("source").eqNullSafe(F.col("_src")))
-        .withColumn("_whole", whole)
-        .withColumn("_left", F.col("target") - F.col("_whole") * size)
-        .withColumn("_extra", F.lit(False))
-        .drop("_src")
+    wanted = stage(
+        targets.select("_s", "source_size", "target", whole.alias("_whole"), (F.col("target") - whole * size).alias("_left")),
+        "mix",
     )
-    for _ in range(passes):
-        rows = _fill(rows, cells)
-        now = F.when(F.col("_now"), F.col("size")).otherwise(0)
-        taken = rows.groupBy(F.col("source").alias("_src")).agg(F.sum(now).alias("_took"))
-        rows = (
-            rows.join(taken, F.col("source").eqNullSafe(F.col("_src")))
-            .withColumn("_left", F.col("_left") - F.col("_took"))
-            .withColumn("_extra", F.col("_extra") | F.col("_now"))
-            .drop("_src", "_took", "_now")
+
+    def in_cells(of_source: DataFrame) -> DataFrame:
+        return met.select("_s", "_cell").join(of_source, "_s")
+
+    rooms, rest = wanted.select("_s", "_left"), sized.where("size > 0")
+    parts = [sized.where("size = 0").withColumn("_extra", F.lit(False))]
+    while not rest.isEmpty():
+        now = _pass(rest, in_cells(rooms))
+        took = now.where("_kind = 'now'").groupBy("_s").agg(F.sum("size").alias("_took"))
+        rooms = stage(
+            rooms.join(took, "_s", "left").select("_s", (F.col("_left") - F.coalesce("_took", F.lit(0))).alias("_left")), "mix"
         )
+        parts.append(now.where("_kind <> 'rest'").withColumn("_extra", F.col("_kind") == "now").drop("_kind"))
+        rest = now.where("_kind = 'rest'").drop("_kind")
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    rows = rows.join(in_cells(wanted.drop("_left").join(rooms, "_s")), ["_s", "_cell"])
     rows = _nearest(rows)
     copies = F.col("_whole") + F.col("_extra").cast("long")
     return rows.select(

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-_MIX_START = r"""
-WITH sized AS (
+_MIX = r"""
+WITH RECURSIVE sized AS (
   SELECT doc_id, source,
          CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
          md5('17:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS k
@@ -40,29 +40,31 @@ pass0 AS (
          t.target - CASE WHEN t.words > 0 THEN floor(t.target / t.words) ELSE 0 END * t.words AS room,
          false AS extra
   FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
-)"""
-
-_MIX_PASS = """,
-sum{n} AS (
-  SELECT *, CASE WHEN extra OR size > room THEN 0 ELSE size END AS fits,
-         sum(CASE WHEN extra OR size > room THEN 0 ELSE size END) OVER
-           (PARTITION BY source ORDER BY k, doc_id, size ROWS UNBOUNDED PRECEDING) AS upto
-  FROM pass{m}
-),
-pass{n} AS (
-  SELECT doc_id, source, size, k, words, target, whole,
-         room - sum(CASE WHEN fits > 0 AND upto <= room THEN size ELSE 0 END) OVER (PARTITION BY source) AS room,
-         extra OR (fits > 0 AND upto <= room) AS extra
-  FROM sum{n}
-)"""
-
-_MIX_END = """,
+),
+ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY k, doc_id, size) AS pos FROM pass0
+),
+-- a source walks its documents in order and takes each that fits what is left
+walk(source, pos, room, took) AS (
+  SELECT DISTINCT source, CAST(0 AS BIGINT), room, false FROM pass0
+  UNION ALL
+  SELECT o.source, o.pos, w.room - CASE WHEN o.size <= w.room THEN o.size ELSE 0 END,
+         o.size > 0 AND o.size <= w.room
+  FROM walk w JOIN ordered o ON o.source IS NOT DISTINCT FROM w.source AND o.pos = w.pos + 1
+),
+ends AS (SELECT source, arg_max(room, pos) AS room FROM walk GROUP BY source),
+taken AS (
+  SELECT o.* EXCLUDE (room, extra), e.room, w.took AS extra
+  FROM ordered o
+  JOIN walk w ON o.source IS NOT DISTINCT FROM w.source AND o.pos = w.pos
+  JOIN ends e ON o.source IS NOT DISTINCT FROM e.source
+),
 last AS (
   SELECT * EXCLUDE (extra),
          extra OR (size > 0 AND abs(size - room) < room AND
            row_number() OVER (PARTITION BY source ORDER BY extra, size = 0, abs(size - room), k, doc_id, size) = 1
          ) AS extra
-  FROM pass3
+  FROM taken
 )
 SELECT doc_id, source, size, words AS source_size, target,
        whole + CAST(extra AS BIGINT) AS copies, (whole + CAST(extra AS BIGINT)) * size AS taken
@@ -238,7 +240,7 @@ SELECT * FROM ranked WHERE rank <= 2000
 """
 
 ORACLE_SQL: dict[str, str] = {
-    "op1_mix_sources": _MIX_START + "".join(_MIX_PASS.format(n=n, m=n - 1) for n in (1, 2, 3)) + _MIX_END,
+    "op1_mix_sources": _MIX,
     "op4_threshold_search": _TOP,
     "op6_warc_round_trip": _WARC,
     "op2_jump_shards": _SHARDS,

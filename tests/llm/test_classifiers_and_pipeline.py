@@ -194,6 +194,15 @@ def test_pipeline_stages(spark, tmp_path):
     assert sorted(map(str, whole.itertuples(index=False))) == sorted(map(str, packed.itertuples(index=False)))
 
 
+def test_near_duplicates_keep_unrelated_rows_of_an_id(spark):
+    one, two = words(60, 1), words(60, 2)
+    rows = [(1, one, "a"), (1, two, "a"), (1, one, "a"), (2, two + " end", "b"), (None, one, "c"), (None, words(60, 3), "c")]
+    rows += [(5, "", "a"), (6, None, "a"), (None, None, "a")]
+    kept = corpus_pipeline.one_of_each_class(spark, documents(spark, rows), "").collect()
+    got = sorted(str((r["doc_id"], r["text"])) for r in kept)
+    assert got == sorted(map(str, [(1, one), (1, two), (None, words(60, 3)), (5, ""), (6, None), (None, None)]))
+
+
 def test_pipeline_of_no_documents(spark, tmp_path):
     now = documents(spark, [])
     labels(spark, []).write.parquet(f"{tmp_path}/labels.parquet")

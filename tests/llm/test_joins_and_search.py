@@ -111,18 +111,32 @@ def test_top_k_matches_brute_force(spark):
     rows = plain + ODD + [(50, plain[50][1])]
     frame = vectors(spark, rows)
     got = topk.top_k(frame, frame.where("vec_id % 50 = 0"), 5, block=64, query_block=3).collect()
-    known = {i: [int(np.floor(np.float64(np.float32(x)) * 256)) for x in v] for i, v in rows if i is not None and usable(v)}
+    known = [(i, [int(np.floor(np.float64(np.float32(x)) * 256)) for x in v]) for i, v in rows if i is not None and usable(v)]
     want = []
-    for q in sorted(known):
-        if q % 50 == 0:
-            scores = [(-sum(a * b for a, b in zip(known[q], v)), i) for i, v in known.items() if i != q and len(v) == len(known[q])]
+    for n, (q, u) in enumerate(known):
+        if q % 50 == 0:  # every row but its own is a candidate, also one of the same id
+            scores = [(-sum(a * b for a, b in zip(u, v)), i) for m, (i, v) in enumerate(known) if m != n and len(v) == len(u)]
             want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(sorted(scores)[:5])]
+    want.sort()
     assert sorted(map(tuple, got)) == want
     few = frame.where("vec_id < 3")
     assert topk.top_k(few, few.where("vec_id = 0"), 5).count() == 2
     assert topk.top_k(frame.limit(0), frame.limit(0)).count() == 0
 
 
+def test_top_k_keeps_the_rows_of_a_repeated_id(spark):
+    rows = [(7, [0.5, 0.5]), (7, [0.9, 0.9]), (7, [0.9, 0.9]), (1, [1.0, 1.0]), (2, [0.1, 0.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = topk.top_k(frame, frame.where("vec_id in (1, 7)"), k=3)
+    whole = [(i, [int(np.floor(256 * np.float64(np.float32(x)))) for x in v]) for i, v in rows]
+    want = []
+    for n, (i, v) in enumerate(whole):
+        if i in (1, 7):
+            best = sorted((-(v[0] * w[0] + v[1] * w[1]), j) for m, (j, w) in enumerate(whole) if m != n)[:3]
+            want += [(i, r, j, -s) for r, (s, j) in enumerate(best, 1)]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
 def test_threshold_algorithm_stops_early_and_stays_exact():
     rng = np.random.default_rng(2)
     block = rng.integers(0, 4, (5000, 6)).astype(np.int64)
