@@ -52,21 +52,25 @@ def _wrapped(docs: DataFrame) -> DataFrame:
 def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of each class of near-duplicates.
 
-    Documents without words are in classes of their own and stay.  A repeated
-    doc_id stays as one row.  A row with a null doc_id stays if no row with an
-    id has its shingles, once for equal rows.
+    Rows are told apart by all of their columns (a 64-bit hash): unrelated texts
+    under one doc_id stay, rows without a doc_id are compared as others are and
+    come last in their class, and equal rows stay as one.  Documents without words
+    are in classes of their own and stay.
     """
-    classes = jaccard.similarity_classes(docs)
-    first = classes.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = first.select(F.col("doc_id").alias("kept")).distinct()
-    # the shuffle of the texts by doc_id serves the join and the dropping
-    nameless = F.when(F.col("doc_id").isNull(), F.col("hash"))
+    rows = _wrapped(docs)
+    classes = jaccard.similarity_classes(rows.select(F.col("hash").alias("doc_id"), "text"))
+    names = rows.groupBy("hash").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id")).alias("name"))
+    first = (
+        classes.join(names, F.col("doc_id") == F.col("hash"))
+        .groupBy("component_id")
+        .agg(F.min(F.struct("name", "hash")).alias("first"))
+        .select(F.col("first.hash").alias("kept"))
+    )
+    # the shuffle of the rows by hash serves the join and the dropping
     return (
-        _wrapped(docs)
-        .drop("source", "text")
-        .join(kept, F.col("doc_id").eqNullSafe(F.col("kept")), "left_semi")
-        .withColumn("nameless", nameless)
-        .dropDuplicates(["doc_id", "nameless"])
+        rows.drop("source", "text", "doc_id")
+        .join(first, F.col("hash") == F.col("kept"), "left_semi")
+        .dropDuplicates(["hash"])
         .select("row.*")
     )
 
