@@ -1,15 +1,16 @@
 """Exact per-row attributions for Spark tree ensembles (M11, trees).
 
-Path-dependent TreeSHAP (Lundberg, Erion, Lee: "Consistent Individualized
-Feature Attribution for Tree Ensembles", 2018, Algorithm 2), run per partition
-with ``mapInPandas``:
+Path-dependent Shapley values (Lundberg, Erion, Lee: "Consistent Individualized
+Feature Attribution for Tree Ensembles", 2018), run per partition with
+``mapInPandas``:
 
 * the fitted ensemble is saved to the checkpoint folder and its node table read
   back with Spark (children, split feature / threshold or left categories, leaf
   value, training cover per node), then shipped to the workers as a broadcast
   of plain arrays.  The node count is checked against ``MAX_NODES`` first;
-* each worker walks every tree once per row (cost ~ trees x leaves x depth^2),
-  so the work is spread over all partitions of the scored table.
+* a worker turns each tree into a leaf-path table once (:func:`leaf_table`); the
+  attributions of a batch are sums over its leaves (:func:`leaf_attributions`),
+  without walking the tree.
 
 Units: gradient-boosted trees are explained in log-odds (Spark's GBT margin is
 half the log-odds, so attributions are doubled); random forests in class-1
@@ -19,13 +20,16 @@ probability.  In both, attributions + base value = model output (additivity).
 from __future__ import annotations
 
 import uuid
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Nodes of an ensemble that are collected and shipped: about 100 bytes each.
-MAX_NODES = 4_000_000
+MAX_NODES = 1_000_000
+# Numbers in one array of an attribution pass (32 MB).
+CELLS = 1 << 22
 
 
 class TreeArrays:
@@ -38,14 +42,6 @@ class TreeArrays:
         self.threshold, self.categories = threshold, categories
         self.value, self.cover = value, cover
 
-    def as_lists(self) -> TreeArrays:
-        """The same tree with plain Python lists: scalar access in the per-row
-        recursion is several times faster than indexing numpy arrays."""
-        return TreeArrays(
-            self.left.tolist(), self.right.tolist(), self.feature.tolist(),
-            self.threshold.tolist(), self.categories, self.value.tolist(), self.cover.tolist(),
-        )
-
 
 def ensemble_arrays(model, work_dir: str) -> tuple[list[TreeArrays], list[float], str]:
     """Read the node table of a fitted RandomForest / GBT classification model.
@@ -113,88 +109,56 @@ def ensemble_arrays(model, work_dir: str) -> tuple[list[TreeArrays], list[float]
     return trees, weights, kind
 
 
-def _goes_left(tree: TreeArrays, node: int, x: np.ndarray) -> bool:
-    value = x[tree.feature[node]]
-    cats = tree.categories.get(node)
-    if cats is not None:
-        return float(value) in cats
-    return value <= tree.threshold[node]
+@dataclass(frozen=True)
+class LeafTable:
+    """The leaves of a tree as arrays, one row a leaf and one slot for each
+    different input on its path (unused slots change nothing)."""
 
+    value: np.ndarray  # leaf
+    feature: np.ndarray  # leaf x slot, -1 where unused
+    fraction: np.ndarray  # leaf x slot: share of the cover that the input's splits let through
+    node: np.ndarray  # leaf x step: the split met at that step, -1 past the end
+    side: np.ndarray  # leaf x step: whether the path goes left there
+    slot: np.ndarray  # leaf x step: the slot of the split's input
 
-def tree_shap(tree: TreeArrays, x: np.ndarray, phi: np.ndarray) -> None:
-    """Add the path-dependent Shapley values of one tree for row ``x`` to ``phi``.
 
-    A path element is [feature, zero_fraction, one_fraction, weight]; each
-    recursion level works on its own copy of the path.
-    """
+def leaf_table(tree: TreeArrays) -> LeafTable:
+    """Walk every path from the root to a leaf once.
 
-    def extend(path, zero_fraction, one_fraction, feature):
-        depth = len(path)
-        path.append([feature, zero_fraction, one_fraction, 1.0 if depth == 0 else 0.0])
-        for i in range(depth - 1, -1, -1):
-            path[i + 1][3] += one_fraction * path[i][3] * (i + 1) / (depth + 1)
-            path[i][3] = zero_fraction * path[i][3] * (depth - i) / (depth + 1)
-
-    def unwind(path, index):
-        depth = len(path) - 1
-        one_fraction, zero_fraction = path[index][2], path[index][1]
-        nxt = path[depth][3]
-        for i in range(depth - 1, -1, -1):
-            if one_fraction != 0:
-                tmp = path[i][3]
-                path[i][3] = nxt * (depth + 1) / ((i + 1) * one_fraction)
-                nxt = tmp - path[i][3] * zero_fraction * (depth - i) / (depth + 1)
-            else:
-                path[i][3] = path[i][3] * (depth + 1) / (zero_fraction * (depth - i))
-        for i in range(index, depth):
-            path[i][0], path[i][1], path[i][2] = path[i + 1][0], path[i + 1][1], path[i + 1][2]
-        path.pop()
-
-    def unwound_sum(path, index):
-        depth = len(path) - 1
-        one_fraction, zero_fraction = path[index][2], path[index][1]
-        nxt = path[depth][3]
-        total = 0.0
-        if one_fraction != 0:
-            for i in range(depth - 1, -1, -1):
-                tmp = nxt / ((i + 1) * one_fraction)
-                total += tmp
-                nxt = path[i][3] - tmp * zero_fraction * (depth - i)
-        else:
-            for i in range(depth - 1, -1, -1):
-                total += path[i][3] / (zero_fraction * (depth - i))
-        return total * (depth + 1)
-
-    def recurse(node, parent, zero_fraction, one_fraction, feature):
-        path = [element[:] for element in parent]
-        extend(path, zero_fraction, one_fraction, feature)
+    A child without cover lets through nothing; a node without cover sends
+    nothing either way."""
+    found = []
+    todo = [(0, {}, [])]  # node, input -> share let through, steps (split, goes left, input)
+    while todo:
+        node, shares, steps = todo.pop()
         if tree.left[node] < 0:
-            leaf_value = tree.value[node]
-            for i in range(1, len(path)):
-                w = unwound_sum(path, i)
-                phi[path[i][0]] += w * (path[i][2] - path[i][1]) * leaf_value
-            return
-        if _goes_left(tree, node, x):
-            hot, cold = tree.left[node], tree.right[node]
-        else:
-            hot, cold = tree.right[node], tree.left[node]
-        cover = tree.cover[node]
-        hot_zero = tree.cover[hot] / cover if cover > 0 else 0.0
-        cold_zero = tree.cover[cold] / cover if cover > 0 else 0.0
-        incoming_zero, incoming_one = 1.0, 1.0
+            found.append((float(tree.value[node]), shares, steps))
+            continue
         split = int(tree.feature[node])
-        for k in range(1, len(path)):
-            if path[k][0] == split:
-                incoming_zero, incoming_one = path[k][1], path[k][2]
-                unwind(path, k)
-                break
-        recurse(hot, path, hot_zero * incoming_zero, incoming_one, split)
-        recurse(cold, path, cold_zero * incoming_zero, 0.0, split)
-
-    recurse(0, [], 1.0, 1.0, -1)
-
-
-def _goes_left_batch(tree: TreeArrays, node: int, X: np.ndarray) -> np.ndarray:
+        for child, goes_left in ((tree.right[node], False), (tree.left[node], True)):
+            share = tree.cover[child] / tree.cover[node] if tree.cover[node] > 0 else 0.0
+            grown = {**shares, split: shares.get(split, 1.0) * float(share)}
+            todo.append((int(child), grown, [*steps, (node, goes_left, split)]))
+    slots = max(1, max(len(shares) for _, shares, _ in found))
+    length = max(len(steps) for _, _, steps in found)
+    n = len(found)
+    table = LeafTable(
+        np.array([value for value, _, _ in found]),
+        np.full((n, slots), -1), np.ones((n, slots)),
+        np.full((n, length), -1), np.zeros((n, length), dtype=bool), np.zeros((n, length), dtype=np.int64),
+    )
+    for leaf, (_, shares, steps) in enumerate(found):
+        inputs = list(shares)
+        table.feature[leaf, : len(inputs)] = inputs
+        table.fraction[leaf, : len(inputs)] = [shares[f] for f in inputs]
+        for k, (node, goes_left, split) in enumerate(steps):
+            table.node[leaf, k], table.side[leaf, k] = node, goes_left
+            table.slot[leaf, k] = inputs.index(split)
+    return table
+
+
+def goes_left(tree: TreeArrays, node: int, X: np.ndarray) -> np.ndarray:
+    """Whether each row goes left at a split; a missing value goes right."""
     values = X[:, tree.feature[node]]
     cats = tree.categories.get(node)
     if cats is not None:
@@ -202,84 +166,49 @@ def _goes_left_batch(tree: TreeArrays, node: int, X: np.ndarray) -> np.ndarray:
     return values <= tree.threshold[node]
 
 
-def tree_shap_batch(tree: TreeArrays, X: np.ndarray, phi: np.ndarray) -> None:
-    """:func:`tree_shap` for a whole batch of rows at once (``X``: rows x inputs).
+def leaf_attributions(tree: TreeArrays, table: LeafTable, X: np.ndarray, phi: np.ndarray) -> None:
+    """Add the path-dependent Shapley values of one tree for the rows ``X`` to ``phi``.
 
-    The recursion walks each root-to-leaf path once for the batch.  Rows differ
-    only in which child is "hot" at a split, so a path element's one-fraction
-    becomes a 0/1 vector over rows and every weight a vector; the zero-fractions
-    (cover ratios) are shared.  Cost per tree: leaves x depth^2 vector operations
-    instead of that many Python steps per row.
-    """
-    n_rows = X.shape[0]
-
-    def extend(path, zero_fraction, one_fraction, feature):
-        depth = len(path)
-        path.append(
-            [feature, zero_fraction, one_fraction, np.ones(n_rows) if depth == 0 else np.zeros(n_rows)]
-        )
-        for i in range(depth - 1, -1, -1):
-            path[i + 1][3] = path[i + 1][3] + one_fraction * path[i][3] * (i + 1) / (depth + 1)
-            path[i][3] = zero_fraction * path[i][3] * (depth - i) / (depth + 1)
-
-    def unwind(path, index):
-        depth = len(path) - 1
-        one_fraction, zero_fraction = path[index][2], path[index][1]
-        hot = one_fraction != 0
-        safe_one = np.where(hot, one_fraction, 1.0)
-        nxt = path[depth][3]
-        for i in range(depth - 1, -1, -1):
-            tmp = path[i][3]
-            from_one = nxt * (depth + 1) / ((i + 1) * safe_one)
-            from_zero = tmp * (depth + 1) / (zero_fraction * (depth - i)) if zero_fraction else tmp
-            new_w = np.where(hot, from_one, from_zero)
-            nxt = np.where(hot, tmp - new_w * zero_fraction * (depth - i) / (depth + 1), nxt)
-            path[i][3] = new_w
-        for i in range(index, depth):
-            path[i][0], path[i][1], path[i][2] = path[i + 1][0], path[i + 1][1], path[i + 1][2]
-        path.pop()
-
-    def unwound_sum(path, index):
-        depth = len(path) - 1
-        one_fraction, zero_fraction = path[index][2], path[index][1]
-        hot = one_fraction != 0
-        safe_one = np.where(hot, one_fraction, 1.0)
-        nxt = path[depth][3]
-        total_hot = np.zeros(n_rows)
-        total_cold = np.zeros(n_rows)
-        for i in range(depth - 1, -1, -1):
-            tmp = nxt / ((i + 1) * safe_one)
-            total_hot = total_hot + tmp
-            nxt = path[i][3] - tmp * zero_fraction * (depth - i)
-            if zero_fraction:
-                total_cold = total_cold + path[i][3] / (zero_fraction * (depth - i))
-        return np.where(hot, total_hot, total_cold) * (depth + 1)
-
-    def recurse(node, parent, zero_fraction, one_fraction, feature):
-        path = [[e[0], e[1], e[2], e[3].copy()] for e in parent]
-        extend(path, zero_fraction, one_fraction, feature)
-        if tree.left[node] < 0:
-            leaf_value = tree.value[node]
-            for i in range(1, len(path)):
-                w = unwound_sum(path, i)
-                phi[:, path[i][0]] += w * (path[i][2] - path[i][1]) * leaf_value
-            return
-        left, right = tree.left[node], tree.right[node]
-        cover = tree.cover[node]
-        left_zero = tree.cover[left] / cover if cover > 0 else 0.0
-        right_zero = tree.cover[right] / cover if cover > 0 else 0.0
-        goes_left = _goes_left_batch(tree, node, X).astype(float)
-        incoming_zero, incoming_one = 1.0, np.ones(n_rows)
-        split = int(tree.feature[node])
-        for k in range(1, len(path)):
-            if path[k][0] == split:
-                incoming_zero, incoming_one = path[k][1], path[k][2]
-                unwind(path, k)
-                break
-        recurse(left, path, left_zero * incoming_zero, incoming_one * goes_left, split)
-        recurse(right, path, right_zero * incoming_zero, incoming_one * (1.0 - goes_left), split)
+    With a set S of known inputs a leaf counts ``value`` times the product, over
+    the inputs of its path, of *passed* (0 or 1, inputs in S) or *fraction* (the
+    others).  Averaging the gain of input j over all orders gives
 
-    recurse(0, [], 1.0, np.ones(n_rows), -1)
+        value * (passed_j - fraction_j) * integral over t in [0, 1] of
+            product over i != j of (fraction_i * (1 - t) + passed_i * t)
+
+    since k! (m - 1 - k)! / m! is the integral of t^k (1 - t)^(m - 1 - k).  The
+    integrand is a polynomial of degree ``slots - 1``, so Gauss-Legendre nodes
+    give it exactly.  All leaves are done at once; rows go in runs, so that the
+    arrays of a pass stay below ``CELLS`` numbers.
+    """
+    leaves, slots = table.feature.shape
+    inner = np.flatnonzero(tree.left >= 0)
+    if not len(inner):
+        return
+    points, weights = np.polynomial.legendre.leggauss((slots + 1) // 2)
+    points, weights = (points + 1) / 2, weights / 2
+    used = table.feature.ravel() >= 0
+    order = np.flatnonzero(used)[np.argsort(table.feature.ravel()[used], kind="stable")]
+    inputs, starts = np.unique(table.feature.ravel()[order], return_index=True)
+    run = max(1, CELLS // (leaves * slots * len(points)))
+    for at in range(0, len(X), run):
+        rows = X[at : at + run]
+        left = np.zeros((len(rows), len(tree.left)), dtype=bool)
+        for node in inner:
+            left[:, node] = goes_left(tree, node, rows)
+        passed = np.ones((len(rows), leaves, slots))
+        for k in range(table.node.shape[1]):
+            on = np.flatnonzero(table.node[:, k] >= 0)
+            passed[:, on, table.slot[on, k]] *= left[:, table.node[on, k]] == table.side[on, k]
+        mean = np.zeros_like(passed)
+        for t, w in zip(points, weights):
+            factor = table.fraction * (1 - t) + passed * t
+            before, after = np.ones_like(factor), np.ones_like(factor)
+            before[..., 1:] = np.cumprod(factor[..., :-1], axis=-1)
+            after[..., :-1] = np.cumprod(factor[..., :0:-1], axis=-1)[..., ::-1]
+            mean += w * before * after
+        gains = (table.value[:, None] * (passed - table.fraction) * mean).reshape(len(rows), -1)
+        phi[at : at + run, inputs] += np.add.reduceat(gains[:, order], starts, axis=1)
 
 
 def predict_batch(tree: TreeArrays, X: np.ndarray) -> np.ndarray:
@@ -289,7 +218,7 @@ def predict_batch(tree: TreeArrays, X: np.ndarray) -> np.ndarray:
     while active.any():
         for n in np.unique(node[active]):
             rows = np.where(active & (node == n))[0]
-            go_left = _goes_left_batch(tree, n, X[rows])
+            go_left = goes_left(tree, n, X[rows])
             node[rows] = np.where(go_left, tree.left[n], tree.right[n])
         active = tree.left[node] >= 0
     return tree.value[node]
@@ -301,26 +230,22 @@ def expected_value(tree: TreeArrays) -> float:
     return float(np.sum(tree.value[leaves] * tree.cover[leaves]) / tree.cover[0])
 
 
-def explain_trees(
-    scored: DataFrame,
-    model,
+def ensemble_impacts(
+    rows: DataFrame,
+    trees: list[TreeArrays],
+    factors: list[float],
     feature_names: list[str],
-    work_dir: str,
     key: str = "customer_id",
-    features_col: str = "features",
-    partitions: int | None = None,
+    inputs_col: str = "inputs",
 ) -> DataFrame:
-    """Rows of (key, base_value, model_output, impacts array<struct<name, impact>>).
+    """Attributions of ``sum(factor * tree)`` for rows of (key, array of inputs).
 
-    ``scored`` must hold ``features_col`` (the assembled vector the model saw).
+    Rows of (key, base_value, model_output, impacts array<struct<name, impact>>);
+    impacts + base value = model output.  A null input goes right at every
+    split; a null array counts as all null.  No rows give none.
     """
-    from pyspark.ml.functions import vector_to_array
-
-    trees, weights, kind = ensemble_arrays(model, work_dir)
-    scale = 2.0 if kind == "gbt" else 1.0 / len(trees)
-    factors = [scale * (w if kind == "gbt" else 1.0) for w in weights]
     base = float(sum(f * expected_value(t) for f, t in zip(factors, trees)))
-    shipped = scored.sparkSession.sparkContext.broadcast((trees, factors))
+    shipped = rows.sparkSession.sparkContext.broadcast((trees, factors))
     names = list(feature_names)
     n_features = len(names)
 
@@ -328,23 +253,25 @@ def explain_trees(
         import pandas as pd
 
         ensemble, tree_factors = shipped.value
+        tables = [leaf_table(tree) for tree in ensemble]
         for pdf in batches:
-            X = np.array([np.asarray(v, dtype=float) for v in pdf["_x"]]).reshape(len(pdf), n_features)
+            missing = np.full(n_features, np.nan)
+            X = np.array(
+                [missing if v is None else np.asarray(v, dtype=float) for v in pdf["_x"]]
+            ).reshape(len(pdf), n_features)
             phi = np.zeros((len(pdf), n_features))
             output = np.zeros(len(pdf))
-            for tree, factor in zip(ensemble, tree_factors):
+            for tree, table, factor in zip(ensemble, tables, tree_factors):
                 part = np.zeros_like(phi)
-                tree_shap_batch(tree, X, part)
+                leaf_attributions(tree, table, X, part)
                 phi += factor * part
                 output += factor * predict_batch(tree, X)
             yield pd.DataFrame(
                 {key: pdf[key], "model_output": output, "_phi": [row.tolist() for row in phi]}
             )
 
-    # CPU-heavy per-row work: the caller may name the partitions of the narrow rows
-    arrays = scored.select(key, vector_to_array(F.col(features_col)).alias("_x"))
-    arrays = arrays.repartition(partitions) if partitions else arrays
-    key_type = scored.schema[key].dataType.simpleString()
+    arrays = rows.select(key, F.col(inputs_col).alias("_x"))
+    key_type = rows.schema[key].dataType.simpleString()
     raw = arrays.mapInPandas(run, f"{key} {key_type}, model_output double, _phi array<double>")
     names_col = F.array(*[F.lit(n) for n in names])
     return raw.select(
@@ -355,6 +282,33 @@ def explain_trees(
     )
 
 
+def ensemble_factors(weights: list[float], kind: str) -> list[float]:
+    """What each tree counts: log-odds for boosted trees, class-1 probability for a forest."""
+    return [2.0 * w for w in weights] if kind == "gbt" else [1.0 / len(weights)] * len(weights)
+
+
+def explain_trees(
+    scored: DataFrame,
+    model,
+    feature_names: list[str],
+    work_dir: str,
+    key: str = "customer_id",
+    features_col: str = "features",
+    partitions: int | None = None,
+) -> DataFrame:
+    """:func:`ensemble_impacts` of a fitted model.
+
+    ``scored`` must hold ``features_col`` (the assembled vector the model saw).
+    """
+    from pyspark.ml.functions import vector_to_array
+
+    trees, weights, kind = ensemble_arrays(model, work_dir)
+    # CPU-heavy per-row work: the caller may name the partitions of the narrow rows
+    arrays = scored.select(key, vector_to_array(F.col(features_col)).alias("inputs"))
+    arrays = arrays.repartition(partitions) if partitions else arrays
+    return ensemble_impacts(arrays, trees, ensemble_factors(weights, kind), feature_names, key)
+
+
 def explain_linear_model(
     transformed: DataFrame,
     model,
@@ -398,7 +352,7 @@ def explain_model(
     key: str = "customer_id",
 ) -> tuple[DataFrame, str]:
     """Attributions for a fitted churn pipeline, dispatched on its final model:
-    linear (exact, log-odds) for logistic regression, TreeSHAP for forests
+    linear (exact, log-odds) for logistic regression, leaf-path tables for forests
     (probability) and boosted trees (log-odds).  Returns (frame, unit)."""
     from pyspark.ml.classification import LogisticRegressionModel
 

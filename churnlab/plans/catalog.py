@@ -14,11 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnlab.functions.constants import QUOTA_REST_BAND, QUOTA_SHARES
-from churnlab.functions.scalar import snake_case
+from churnlab.functions.scalar import round_half_up, snake_case
 from churnlab.operators import (
     clean,
     complaints,
     enrich,
+    ensemble,
     explain,
     metrics,
     ml,
@@ -596,6 +597,29 @@ def q_model_scores(spark, root):
     return scoring.score_customers(scored, "churn_probability", sort=True)
 
 
+@query("ensemble_scores")
+def q_ensemble_scores(spark, root):
+    """M9 and M10 with a tree ensemble compiled to column expressions."""
+    return scoring.score_customers(
+        customer_features(spark, root), ensemble.fixed_probability(), sort=True
+    )
+
+
+@query("ensemble_impacts")
+def q_ensemble_impacts(spark, root):
+    """M11 for trees: every input's attribution, one column each."""
+    found = ensemble.fixed_impacts(customer_features(spark, root))
+    return found.select(
+        "customer_id",
+        round_half_up("base_value", 6).alias("base_value"),
+        round_half_up("model_output", 6).alias("model_output"),
+        *[
+            round_half_up(F.col("impacts")[i]["impact"], 6).alias(f"impact_{name}")
+            for i, (name, _expr) in enumerate(ensemble.INPUTS)
+        ],
+    )
+
+
 @query("explanations_tree")
 def q_explanations_tree(spark, root):
     _best, _rows, models, features = trained_models(spark, root)
@@ -612,7 +636,7 @@ def q_explanations_tree(spark, root):
 @query("explanations_model")
 def q_explanations_model(spark, root):
     """M11 dispatched on the selected model: exact linear attributions when
-    logistic regression wins, TreeSHAP for a forest or boosted trees."""
+    logistic regression wins, leaf-path tables for a forest or boosted trees."""
     best, _rows, models, features = trained_models(spark, root)
     attributions, unit = tree_explain.explain_model(models[best], features, ensure_checkpoint_dir(spark))
     output = F.col("model_output")
