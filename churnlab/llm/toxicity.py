@@ -78,7 +78,7 @@ class ToxicModel:
         return total / np.maximum(np.bincount(owners, minlength=len(words)), 1) + self.bias
 
     def document_margins(self, texts: pd.Series) -> np.ndarray:
-        """Largest word margin of each text; -inf without words."""
+        """Largest word margin of each text; without words the empty bag's, the bias."""
         out = np.full(len(texts), -np.inf)
         words, owner, held = [], [], 0
 
@@ -95,7 +95,7 @@ class ToxicModel:
                 flush()
                 words, owner, held = [], [], 0
         flush()
-        return out
+        return np.where(np.isfinite(out), out, self.bias)
 
     def scores(self, texts: pd.Series) -> np.ndarray:
         if self.base is not None:
@@ -126,7 +126,7 @@ def train_subwords(
     epochs: int = 25,
     decay: float = 3e-2,
     most: int = 1000,
-    prior: float = 2.0,
+    prior: float = 8.0,
     seed: int = 17,
 ) -> tuple[np.ndarray, float]:
     """Train embeddings and softmax; return each bucket's margin and the bias.
@@ -135,7 +135,7 @@ def train_subwords(
     hold the word; a word weighs at most ``most`` documents.  Each word has
     ``prior`` more documents in the classes' overall shares and ``decay`` pulls
     embeddings to zero, so words that a few toxic documents hold by chance
-    gain little.  Every epoch sums the gradient of all words, in runs of words
+    gain little; both were chosen by :func:`inner_losses` and invented misspellings.  Every epoch sums the gradient of all words, in runs of words
     of about ``CHUNK_GRAMS`` n-grams, so the arrays of a pass don't grow with
     the number of words.
     """
@@ -186,7 +186,9 @@ def train_subwords(
 
 def logistic_curve(margin: np.ndarray, label: np.ndarray) -> tuple[float, float]:
     """Slope and offset of a logistic regression on one variable (Newton steps
-    with a small ridge, so separable data stay finite)."""
+    with a small ridge, so separable data stay finite).  Where a higher margin
+    would make a label less likely, the slope is 0 and the offset gives the
+    labels' share: such margins tell nothing."""
     x = np.stack([margin, np.ones_like(margin)], axis=1)
     beta = np.zeros(2)
     for _ in range(50):
@@ -196,63 +198,123 @@ def logistic_curve(margin: np.ndarray, label: np.ndarray) -> tuple[float, float]
         beta = beta + np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-8:
             break
+    if not np.isfinite(beta).all() or beta[0] <= 0:
+        share = (label.sum() + 0.5) / (len(label) + 1)
+        return 0.0, float(np.log(share / (1 - share)))
     return float(beta[0]), float(beta[1])
 
 
-def fit(
-    docs: DataFrame,
-    labels: DataFrame,
-    folds: int = 4,
-    held_out: int = 2,
-    max_documents: int = 8_000,
-) -> ToxicModel:
-    """Fit on at most ``max_documents`` labelled rows outside the held-out fold.
+PARTS = 4  # of the learning rows: one for the logistic curve, the others for the embeddings
+
+
+def _learning_texts(
+    docs: DataFrame, labels: DataFrame, folds: int, held_out: int, max_documents: int
+) -> tuple[DataFrame, DataFrame]:
+    """The learning rows (_id, _label, _part) and their texts beside them;
+    both are bounded by ``max_documents``."""
+    part = F.pmod(F.crc32(F.concat(F.lit("curve:"), F.col("_id").cast("string"))), F.lit(PARTS))
+    rows = learning_rows(labels, "toxic", folds, held_out, max_documents).withColumn("_part", part)
+    texts = docs.select(F.col("doc_id").alias("_doc"), F.col("text").alias("_text"))
+    return rows, texts.join(F.broadcast(rows), F.col("_doc") == F.col("_id"))
 
-    Three quarters of them train the embeddings on all of their distinct words
-    (only counts per word reach the driver), the rest the logistic curve.  With one class or no labels, every score is the
-    share of toxic labels (0 without labels).
-    """
-    rows = learning_rows(labels, "toxic", folds, held_out, max_documents)
-    curve = F.pmod(F.crc32(F.concat(F.lit("curve:"), F.col("_id").cast("string"))), F.lit(4)) == 0
-    rows = rows.withColumn("_curve", curve)
-    # bounded by max_documents narrow rows
-    texts = docs.select(F.col("doc_id").alias("_doc"), F.col("text").alias("_text")).join(
-        F.broadcast(rows), F.col("_doc") == F.col("_id")
-    )
+
+def _word_counts(texts: DataFrame) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """All distinct words, sorted, so that a rerun adds in the same order, and
+    the toxic and clean documents that hold each.  Only these counts, of at
+    most ``max_documents`` texts, reach the driver, as Arrow columns."""
 
     def spell(batches):
         for batch in batches:
             found = [words_of(t) for t in batch["_text"]]
-            sizes = [len(f) for f in found]
-            label = np.repeat(batch["_label"].to_numpy(), sizes)
-            yield pd.DataFrame(
-                {"word": [w for f in found for w in f], "toxic": label, "clean": 1 - label}
-            )
+            label = np.repeat(batch["_label"].to_numpy(), [len(f) for f in found])
+            yield pd.DataFrame({"word": [w for f in found for w in f], "toxic": label, "clean": 1 - label})
 
     counted = (
-        texts.where(~F.col("_curve"))
-        .select("_text", "_label")
+        texts.select("_text", "_label")
         .mapInPandas(spell, "word binary, toxic long, clean long")
         .groupBy("word")
         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     )
-    # bounded by max_documents texts; sorted, so that a rerun adds in the same order
-    found = counted.toPandas().sort_values("word", ignore_index=True)
-    toxic, clean = (found[c].to_numpy(dtype=np.float64) for c in ("toxic", "clean"))
+    found = counted.toArrow().sort_by("word")
+    toxic, clean = (found[c].to_numpy().astype(np.float64) for c in ("toxic", "clean"))
+    return found["word"].to_pylist(), toxic, clean
+
+
+def _margins_of(model: ToxicModel, texts: DataFrame) -> pd.DataFrame:
+    """_id, _label and margin of at most ``max_documents`` learning texts."""
+    return texts.select("_id", "_label", _margin_udf(model)("_text").alias("m")).toPandas()
+
+
+def fit(
+    docs: DataFrame,
+    labels: DataFrame,
+    folds: int = 4,
+    held_out: int = 2,
+    max_documents: int = 8_000,
+) -> ToxicModel:
+    """Fit on at most ``max_documents`` labelled rows outside the held-out fold.
+
+    Three quarters of them train the embeddings on all of their distinct words
+    (only counts per word reach the driver), the rest the logistic curve.  With
+    one class or no labels, every score is the share of toxic labels (0 without
+    labels).
+    """
+    rows, texts = _learning_texts(docs, labels, folds, held_out, max_documents)
+    words, toxic, clean = _word_counts(texts.where("_part != 0"))
     if toxic.sum() == 0 or clean.sum() == 0:
         share = rows.agg(F.avg("_label")).first()[0]
         return ToxicModel(np.zeros(1), 0.0, base=float(share or 0.0))
-    margins, bias = train_subwords([bytes(w) for w in found["word"]], toxic, clean)
+    margins, bias = train_subwords(words, toxic, clean)
     model = ToxicModel(margins, bias)
-    margin_of = _margin_udf(model)
-    held = texts.where("_curve").select("_label", margin_of("_text").alias("m")).toPandas()
-    held = held[np.isfinite(held["m"])]
+    held = _margins_of(model, texts.where("_part = 0"))
     if held["_label"].nunique() < 2:
         return model
     slope, offset = logistic_curve(held["m"].to_numpy(), held["_label"].to_numpy(dtype=float))
     return ToxicModel(margins, bias, slope, offset)
 
 
+def half_losses(margin: np.ndarray, label: np.ndarray) -> list[float]:
+    """Log-loss of each half of the rows under the curve fitted on the other
+    half; a half without both classes fits none."""
+    losses, half = [], np.arange(len(label)) % 2 == 0
+    for fitted in (half, ~half):
+        if len(set(label[fitted])) == 2 and (~fitted).any():
+            slope, offset = logistic_curve(margin[fitted], label[fitted])
+            z = np.where(label[~fitted] > 0, 1, -1) * (slope * margin[~fitted] + offset)
+            losses.append(float(np.logaddexp(0, -z).mean()))
+    return losses
+
+
+def inner_losses(
+    docs: DataFrame,
+    labels: DataFrame,
+    grid: list[dict],
+    folds: int = 4,
+    held_out: int = 2,
+    max_documents: int = 8_000,
+    rounds: int = PARTS,
+) -> list[float]:
+    """Mean log-loss of each set of :func:`train_subwords` parameters on inner
+    folds of the learning rows; labels of the held-out fold are not read.
+
+    In each of ``rounds`` rounds one part of the learning rows is left out of
+    the training; half of it fits the logistic curve and the other half is
+    scored, and the other way round.  Rounds whose halves or training rows lack
+    a class don't count; without any, the losses are NaN.
+    """
+    _, texts = _learning_texts(docs, labels, folds, held_out, max_documents)
+    losses: list[list[float]] = [[] for _ in grid]
+    for part in range(rounds):
+        words, toxic, clean = _word_counts(texts.where(F.col("_part") != part))
+        if toxic.sum() == 0 or clean.sum() == 0:
+            continue
+        for at, params in enumerate(grid):
+            model = ToxicModel(*train_subwords(words, toxic, clean, **params))
+            left = _margins_of(model, texts.where(F.col("_part") == part)).sort_values("_id")
+            losses[at] += half_losses(left["m"].to_numpy(), left["_label"].to_numpy(dtype=float))
+    return [float(np.mean(found)) if found else float("nan") for found in losses]
+
+
 def _margin_udf(model: ToxicModel):
     @F.pandas_udf("double")
     def margin(texts: pd.Series) -> pd.Series:
@@ -263,7 +325,7 @@ def _margin_udf(model: ToxicModel):
 
 def score_udf(model: ToxicModel):
     """Column function: text to probability of being toxic.  A null or empty
-    text, or one without words, scores what no toxic evidence leaves: about 0."""
+    text, or one without words, scores as an empty bag, which has the softmax's bias."""
 
     @F.pandas_udf("double")
     def toxic_score(texts: pd.Series) -> pd.Series:

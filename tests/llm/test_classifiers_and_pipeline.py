@@ -84,6 +84,52 @@ def test_toxicity_learns_from_all_words(spark, monkeypatch):
     assert len(held) > 50 and np.mean(held) > 0.97
 
 
+def test_toxicity_scores_by_brute_force(spark):
+    # byte by byte: n-grams of each padded word, their margins averaged, the largest word, the curve
+    rng = np.random.default_rng(4)
+    model = toxicity.ToxicModel(rng.normal(size=1 << toxicity.BUCKET_BITS), -0.7, 1.3, -0.2)
+
+    def bucket(gram):
+        code = 0
+        for n, byte in enumerate(gram, 1):
+            code = (code * 0x01000193 + byte + n) % 2**32
+        return ((code ^ (code >> 15)) * 0x9E3779B1) % 2**32 >> (32 - toxicity.BUCKET_BITS)
+
+    def score(text):
+        clean = "".join(c if ord(c) > 127 or c.isalnum() else " " for c in (text or "").lower())
+        found = []
+        for w in {w.encode() for w in clean.split(" ") if w}:
+            line = b" " + w + b" "
+            grams = [line[i : i + n] for n in toxicity.SIZES for i in range(len(line) - n + 1)]
+            found.append(np.mean([model.margins[bucket(g)] for g in grams]) + model.bias)
+        z = model.slope * max(found, default=model.bias) + model.offset
+        return 1 / (1 + np.exp(-z))
+
+    texts = [None, "", "!? ...", "a", "Ünï-codé wörds", "one Two, three", "x" * 5000, words(400, 3), "a a\tb\nc", "a"]
+    docs = documents(spark, [(i, t, "s") for i, t in enumerate(texts)])
+    got = docs.select("doc_id", toxicity.score_udf(model)("text").alias("p")).collect()
+    assert {r["doc_id"]: pytest.approx(r["p"], abs=1e-9) for r in got} == {i: score(t) for i, t in enumerate(texts)}
+
+
+def test_toxicity_margins_that_tell_nothing():
+    # equal or reversed margins: the share of toxic labels, for wordless texts too
+    label = np.array([1.0, 0, 0, 0])
+    for margin in (np.zeros(4), np.array([-1.0, 0, 1, 2])):
+        slope, offset = toxicity.logistic_curve(margin, label)
+        model = toxicity.ToxicModel(np.ones(1 << toxicity.BUCKET_BITS), 0.4, slope, offset)
+        p = model.scores(pd.Series([None, "", "!!", "some words"]))
+        assert np.isfinite(p).all() and ((0 < p) & (p < 0.5)).all()
+
+
+def test_inner_losses_read_no_held_out_label(spark):
+    rows, marks = corpus(240)
+    docs, grid = documents(spark, rows), [{"epochs": 8}, {"epochs": 8, "prior": 500.0}]
+    flipped = [(i, q, 1 - t if zlib.crc32(str(i).encode()) % 4 == 2 else t) for i, q, t in marks]
+    found = [toxicity.inner_losses(docs, labels(spark, m), grid, rounds=1) for m in (marks, flipped)]
+    assert found[0] == pytest.approx(found[1]) and found[0][0] < found[0][1] < 1
+    assert np.isnan(toxicity.inner_losses(docs, labels(spark, []), grid[:1], rounds=1)).all()
+
+
 def test_training_in_runs_is_training_at_once(monkeypatch):
     vocabulary = sorted({w.encode() for w in words(3000, 5).split()})
     toxic = np.array([float(b"ab" in w) for w in vocabulary])
