@@ -6,8 +6,11 @@ equal form an equivalence class.  A class that occurs on many pages, in one
 order, instance after instance, and whose instances lie within one slot of the
 class around it, belongs to the host's template if its tags also frame the
 page; a passage that many pages share does not.  What no template class holds
-is in the slots; the slots of the article, without boilerplate elements, are
-the main text.  Copies of a page count as one page.
+is in the slots.  The slots of which template element hold a host's text is
+counted over its pages: the innermost element of the template that holds nearly
+all text of the slots is the host's region, and its slots, without boilerplate
+elements, are the main text.  Where such elements nest, an article or main
+element is taken before one inside it.  Copies of a page count as one page.
 
 Vectors are never built: a token's vector is known by its number of pages and
 an order-free sum of hashes of (page, count), which Spark adds up map-side.
@@ -17,6 +20,8 @@ from __future__ import annotations
 
 import html
 import re
+from collections.abc import Iterator
+from typing import NamedTuple
 
 import pandas as pd
 import xxhash
@@ -45,6 +50,8 @@ BOILERPLATE_WORDS = frozenset(
 )
 MAIN = frozenset(("article", "main"))
 FRAME = frozenset(("html", "head", "body"))
+# Elements of one block: none of them is the region of a host.
+BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd tr td th pre blockquote figure figcaption caption option".split())
 # What an outermost article may be besides the text: its class words count no more.
 ITEM_WORDS = frozenset("ad ads advert adverts advertisement comment comments disqus reply replies related recommended".split())
 
@@ -176,69 +183,156 @@ def framing_classes(tokens: list[tuple[str, str, str]], codes: list[int], owner:
     return framing
 
 
-def main_text(page: str | None, classes: dict[int, list[int]]) -> str:
-    """Main text of one page: the blocks of the slots, one a line."""
+class Open(NamedTuple):
+    """An open element, and what holds inside it."""
+
+    name: str
+    code: int
+    dull: bool  # boilerplate
+    main: bool  # an article or main element outside boilerplate
+    article: bool
+    inside: bool  # the region, if there is one
+
+
+def _walk(
+    tokens: list[tuple[str, str, str]], codes: list[int], item_words: frozenset[str], region: int | None = None
+) -> Iterator[tuple[tuple[str, str, str], int, list[Open]]]:
+    """Tokens with their codes and the elements open after them, the page first.
+
+    Class words don't make html, body or main boilerplate, and only
+    ``item_words`` an outermost article.
+    """
+    stack = [Open("", 0, False, False, False, region is None)]
+    for token, code in zip(tokens, codes):
+        kind, name, detail = token
+        if kind == "<" and name not in VOID:
+            if name == "p" and stack[-1].name == "p":
+                stack.pop()
+            _, _, dull, main, article, inside = stack[-1]
+            if name in FRAME or name == "main":
+                out = name in BOILERPLATE
+            elif name == "article" and not article:
+                out = _is_boilerplate(name, detail, item_words)
+            else:
+                # the header of an article holds its title, a page's header does not
+                out = _is_boilerplate(name, detail) and not (name == "header" and main and not dull)
+            inner = name in MAIN and not (dull or out)
+            stack.append(Open(name, code, dull or out, main or inner, article or name == "article", inside or code == region))
+        elif kind == ">" and any(s.name == name for s in stack):
+            # an end tag closes what was left open in its element
+            while stack.pop().name != name:
+                pass
+        yield token, code, stack
+
+
+def _template_of(tokens: list[tuple[str, str, str]], codes: list[int], classes: dict[int, list[int]]) -> set[int]:
+    """Codes of the valid classes that frame the page."""
+    if not classes:
+        return set()
+    owner = {c: k for k, members in classes.items() for c in members}
+    framing = framing_classes(tokens, codes, owner)
+    return {c for c in template_codes(codes, classes) if owner[c] in framing}
+
+
+def slot_masses(
+    page: str | None, classes: dict[int, list[int]], rare: frozenset[int] | set[int] = frozenset()
+) -> dict[int, list[int]]:
+    """Text of the slots by template element: code to [characters, place, named].
+
+    Counted are the characters outside links, boilerplate elements and the
+    template, but for its ``rare`` texts; an element has those of all slots
+    within it, code 0 those of the page.  Elements are known by a start tag that the template holds once on
+    the page; ``named`` is 1 for article and main.
+    """
     tokens = tokens_of(page)
     codes = [code_of(t) for t in tokens]
-    template: set[int] = set()
-    if classes:
-        owner = {c: k for k, members in classes.items() for c in members}
-        framing = framing_classes(tokens, codes, owner)
-        template = {c for c in template_codes(codes, classes) if owner[c] in framing}
-    found = _blocks(tokens, codes, template, ITEM_WORDS)
+    template = _template_of(tokens, codes, classes)
+    if not template:
+        return {}
+    times: dict[int, int] = {}
+    for c in codes:
+        times[c] = times.get(c, 0) + 1
+    found = {0: [0, 0, 0]}
+    for place, ((kind, name, detail), code, stack) in enumerate(_walk(tokens, codes, ITEM_WORDS)):
+        if kind == "<" and not any(name in names for names in (VOID, INLINE, BLOCKS, FRAME)):
+            if code in template and times[code] == 1 and not stack[-1].dull:
+                found[code] = [0, place, int(name in MAIN)]
+        elif kind == "" and (code in rare or code not in template) and not stack[-1].dull and all(s.name != "a" for s in stack):
+            size = len("".join(detail.split()))
+            found[0][0] += size
+            for s in stack[1:]:
+                if s.code in found:
+                    found[s.code][0] += size
+    return found
+
+
+def main_text(
+    page: str | None,
+    classes: dict[int, list[int]],
+    region: int | None = None,
+    rare: frozenset[int] | set[int] = frozenset(),
+) -> str:
+    """Main text of one page: the blocks of the slots of the region (the code of
+    its start tag), one a line.  Of a page without the region, or with no text
+    in it, all slots count.  Texts of the template that are ``rare`` stay where
+    they are inside the region, an article or a main element."""
+    tokens = tokens_of(page)
+    codes = [code_of(t) for t in tokens]
+    template = _template_of(tokens, codes, classes)
+    found: list[str] = []
+    if region in template and codes.count(region) == 1:
+        found = _blocks(tokens, codes, template, ITEM_WORDS, region, rare)
+    if not found:
+        found = _blocks(tokens, codes, template, ITEM_WORDS, None, rare)
     if not found and any(k == "<" and n == "article" for k, n, _ in tokens):
-        found = _blocks(tokens, codes, template, frozenset())  # the only text is in such articles
+        found = _blocks(tokens, codes, template, frozenset(), None, rare)  # the only text is in such articles
     return "\n".join(found)
 
 
 def _blocks(
-    tokens: list[tuple[str, str, str]], codes: list[int], template: set[int], item_words: frozenset[str]
+    tokens: list[tuple[str, str, str]],
+    codes: list[int],
+    template: set[int],
+    item_words: frozenset[str],
+    region: int | None,
+    rare: frozenset[int] | set[int],
 ) -> list[str]:
-    """Blocks of the main text.  Class words don't make html, body or main
-    boilerplate, and only ``item_words`` an outermost article.  The text is that
-    of the articles and main elements not inside boilerplate, if there are any."""
-    has_main = False
-    stack: list[tuple[str, bool, bool, bool]] = []  # name, and inside: boilerplate, main, article
-    outside: tuple[str, bool, bool, bool] = ("", False, False, False)
-    # blocks of the whole page, and of its articles and main elements
+    """Blocks of the main text: those of the region, or of the page without one;
+    of its articles and main elements not inside boilerplate, if there are any.
+    A title (h1) before a region that has none goes with it."""
+    has_main = has_title = False
+    # blocks of the whole scope, of its articles and main elements, and titles before the region
     blocks: list[list[str]] = [[]]
     mains: list[list[str]] = [[]]
-    for token, code in zip(tokens, codes):
-        kind, name, detail = token
-        _, dull, main, article = stack[-1] if stack else outside
+    titles: list[list[str]] = [[]]
+    begun = region is None
+    for (kind, name, detail), code, stack in _walk(tokens, codes, item_words, region):
+        _, _, dull, main, _, inside = stack[-1]
         if kind == "":
-            if not dull and code not in template:
+            kept = code not in template or (code in rare and (main or (inside and region is not None)))
+            if dull or not kept:
+                continue
+            if inside:
                 blocks[-1].append(detail)
                 if main:
                     mains[-1].append(detail)
+            elif not begun and any(s.name == "h1" for s in stack):
+                titles[-1].append(detail)
             continue
         if kind == "raw":
             continue
         if name not in INLINE:
-            blocks.append([])
-            mains.append([])
+            for found in (blocks, mains, titles):
+                found.append([])
         elif name == "br":
-            blocks[-1].append(" ")
-            mains[-1].append(" ")
-        if kind == "<" and name not in VOID:
-            if name == "p" and stack and stack[-1][0] == "p":
-                stack.pop()
-                _, dull, main, article = stack[-1] if stack else outside
-            if name in FRAME or name == "main":
-                out = name in BOILERPLATE
-            elif name == "article" and not article:
-                out = _is_boilerplate(name, detail, item_words)
-            else:
-                # the header of an article holds its title, a page's header does not
-                out = _is_boilerplate(name, detail) and not (name == "header" and main and not dull)
-            inner = name in MAIN and not (dull or out)
-            has_main = has_main or inner
-            stack.append((name, dull or out, main or inner, article or name == "article"))
-        elif kind == ">" and any(s[0] == name for s in stack):
-            # an end tag closes what was left open in its element
-            while stack.pop()[0] != name:
-                pass
-    joined = (" ".join(html.unescape("".join(b)).split()) for b in (mains if has_main else blocks))
+            for found in (blocks, mains, titles):
+                found[-1].append(" ")
+        if kind == "<" and name not in VOID and inside:
+            begun = True
+            has_main = has_main or main
+            has_title = has_title or name == "h1"
+    chosen = mains if has_main else blocks
+    joined = (" ".join(html.unescape("".join(b)).split()) for b in (chosen if has_title else titles + chosen))
     return [b for b in joined if b]
 
 
@@ -254,15 +348,41 @@ def _occurrences(batches):
         yield pd.DataFrame(rows, columns=["host", "mark", "code", "n", "at"])
 
 
-def _extract(batches):
-    for batch in batches:
-        texts = []
-        for page, found in zip(batch["html"], batch["classes"]):
-            classes: dict[int, list[int]] = {}
-            for r in found if found is not None else ():
-                classes.setdefault(r["cls"], []).append(r["code"])
-            texts.append(main_text(page, classes))
-        yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "text": texts})
+def _classes(found, least_pages: int) -> tuple[dict[int, list[int]], set[int]]:
+    """Classes of a host's row, and the codes on fewer than ``least_pages`` pages."""
+    classes: dict[int, list[int]] = {}
+    rare: set[int] = set()
+    for r in found if found is not None else ():
+        classes.setdefault(r["cls"], []).append(r["code"])
+        if r["seen"] < least_pages:
+            rare.add(r["code"])
+    return classes, rare
+
+
+def _masses(least_pages: int):
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for host, page, row in zip(batch["host"], batch["html"], batch["classes"]):
+                found = slot_masses(page, *_classes(row, least_pages))
+                mark = xxhash.xxh3_64_intdigest((page or "").encode("utf-8", "replace")) - 2**63
+                columns = zip(*found.values()) if found else ([], [], [])
+                rows.append((host, mark, list(found), *map(list, columns)))
+            yield pd.DataFrame(rows, columns=["host", "mark", "code", "mass", "at", "named"])
+
+    return run
+
+
+def _extract(least_pages: int):
+    def run(batches):
+        for batch in batches:
+            texts = []
+            for page, row, region in zip(batch["html"], batch["classes"], batch["region"]):
+                classes, rare = _classes(row, least_pages)
+                texts.append(main_text(page, classes, region or None, rare))
+            yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "text": texts})
+
+    return run
 
 
 def host_of(url):
@@ -270,12 +390,13 @@ def host_of(url):
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
 
 
-def deduce_templates(pages: DataFrame, support: float = 0.5, least_pages: int = 8) -> DataFrame:
+def deduce_templates(pages: DataFrame, support: float = 0.5) -> DataFrame:
     """(host, classes): a host's equivalence classes with at least two tokens,
-    on ``support`` of its different pages or more, in the order of their tokens.
+    in the order of their tokens, each with its number of pages (seen).
 
-    Needs ``least_pages`` different pages of the host; other hosts have no row.
-    Copies of a page count as one.
+    A class must be on one page more than a share of ``support`` of the host's
+    different pages: on both of two, on five of eight, on 51 of 100.  Copies of
+    a page count as one; a host with a single page has no row.
     """
     counted = (
         pages.mapInPandas(_occurrences, "host string, mark long, code array<long>, n array<long>, at array<long>")
@@ -285,7 +406,7 @@ def deduce_templates(pages: DataFrame, support: float = 0.5, least_pages: int =
     hosts = (
         pages.groupBy(F.col("host").alias("h"))
         .agg(F.count_distinct(F.xxhash64(F.coalesce("html", F.lit("")))).alias("pages"))
-        .where(F.col("pages") >= least_pages)
+        .where("pages > 1")
     )
     vectors = counted.groupBy("host", "code").agg(
         F.count(F.lit(1)).alias("seen"),
@@ -293,37 +414,75 @@ def deduce_templates(pages: DataFrame, support: float = 0.5, least_pages: int =
         F.avg("at").alias("place"),
     )
     frequent = vectors.where("seen >= 2").join(hosts, F.col("host") == F.col("h")).where(
-        F.col("seen") >= F.greatest(F.lit(2), F.col("pages") * support)
+        F.col("seen") >= F.col("pages") * support + 1
     )
     ordered = F.sort_array(F.collect_list(F.struct("place", "code")))
     return (
         frequent.groupBy("host", "seen", "vector")
         .agg(ordered.alias("members"))
         .where(F.size("members") > 1)
-        .select("host", F.xxhash64("seen", "vector").alias("cls"), F.explode("members").alias("m"))
+        .select("host", "seen", F.xxhash64("seen", "vector").alias("cls"), F.explode("members").alias("m"))
         .groupBy(F.col("host").alias("h"))
-        .agg(F.sort_array(F.collect_list(F.struct("cls", "m.place", "m.code"))).alias("classes"))
+        .agg(F.sort_array(F.collect_list(F.struct("cls", "m.place", "m.code", "seen"))).alias("classes"))
+    )
+
+
+def choose_regions(pages: DataFrame, templates: DataFrame, least_pages: int = 8, percent: int = 80) -> DataFrame:
+    """(host, region): the start tag of a host's region.
+
+    It is the innermost template element that holds ``percent`` % or more of
+    the text of the host's slots (``slot_masses``); elements that do so nest,
+    and an article or main element goes before the others.  Every different
+    page counts once.  A host without text in its slots has no row.
+    """
+    masses = (
+        pages.join(templates, F.col("host") == F.col("h"))
+        .select("host", "html", "classes")
+        .mapInPandas(
+            _masses(least_pages), "host string, mark long, code array<long>, mass array<long>, at array<long>, named array<long>"
+        )
+        .dropDuplicates(["host", "mark"])
+        .select("host", F.inline(F.arrays_zip("code", "mass", "at", "named")))
+    )
+    sums = stage(
+        masses.groupBy("host", "code").agg(
+            F.sum("mass").alias("mass"), F.avg("at").alias("place"), F.max("named").alias("named")
+        ),
+        "masses",
+    )
+    totals = sums.where("code = 0 and mass > 0").select(F.col("host").alias("th"), F.col("mass").alias("total"))
+    return (
+        sums.where("code <> 0")
+        .join(totals, F.col("host") == F.col("th"))
+        .where(F.col("mass") * 100 >= F.col("total") * percent)
+        .groupBy(F.col("host").alias("rh"))
+        .agg(F.max(F.struct("named", "place", "code"))["code"].alias("region"))
     )
 
 
-def extract_main_text(pages: DataFrame, support: float = 0.5, least_pages: int = 8) -> DataFrame:
+def extract_main_text(pages: DataFrame, support: float = 0.5, least_pages: int = 8, percent: int = 80) -> DataFrame:
     """Main text of every page (page_id, url, html; other columns are ignored).
 
     Returns page_id, url, ``text`` and ``n_chars`` (code points).  Blocks are
     in page order, one a line, white space joined, character references
     decoded; nothing else is cut.  A null or empty html, or one without main
-    text, has the empty text.  Without an article or main element outside
-    boilerplate, the whole body counts.  A host with fewer than ``least_pages`` different pages, and
-    pages with a null url (one host ''), have no template unless they reach
-    that number; their boilerplate elements still go.  Repeated pages are
+    text, has the empty text.  A page without its host's region has the text of
+    its articles and main elements outside boilerplate, without those that of
+    the whole body.  Two different pages of a host make a template; a text
+    inside the region, an article or a main element belongs to it only if
+    ``least_pages`` different pages have it, as two articles may share a
+    passage.  A host with one page has no template, its boilerplate elements
+    still go.  Pages with a null url are one host ''.  Repeated pages are
     extracted each; no rows give no rows.
     """
     prepare(pages.sparkSession)
     known = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
-    templates = stage(deduce_templates(known, support, least_pages), "templates")
-    joined = known.join(templates, F.col("host") == F.col("h"), "left")
+    templates = stage(deduce_templates(known, support), "templates")
+    regions = stage(choose_regions(known, templates, least_pages, percent), "regions")
+    hosts = templates.join(regions, F.col("h") == F.col("rh"), "left").select("h", "classes", "region")
+    joined = known.join(hosts, F.col("host") == F.col("h"), "left")
     return (
-        joined.select("page_id", "url", "html", "classes")
-        .mapInPandas(_extract, "page_id long, url string, text string")
+        joined.select("page_id", "url", "html", "classes", F.coalesce("region", F.lit(0)).alias("region"))
+        .mapInPandas(_extract(least_pages), "page_id long, url string, text string")
         .withColumn("n_chars", F.length("text").cast("long"))
     )

@@ -101,6 +101,81 @@ def test_a_shared_passage_is_no_template(spark, make, head):
         assert got[k].split("\n") == want + [f"and {k * k} words"]
 
 
+def nameless_page(k: int, body: str) -> str:
+    """A page whose tags tell nothing: teasers and adverts differ from page to page."""
+    return (
+        f"<html><body><div><div>Our Site</div><div><a href=/{k}>Read {k} next</a><a href=/x>Home</a></div><div>Buy {k} now"
+        f"</div><h1>Title {k}</h1><section>{body}</section><div>Seen by {k * 7}</div><div>All rights reserved</div></div></body></html>"
+    )
+
+
+def body_of(k: int) -> str:
+    return "".join(f"<p>Paragraph {i} of text {k} in its own words</p>" for i in range(9 + k % 5))
+
+
+@pytest.mark.parametrize("count", [2, 3, 12])
+def test_region_of_a_host_without_names(spark, count):
+    rows = [(k, f"http://nameless.org/{k}", nameless_page(k, body_of(k))) for k in range(count)]
+    rows += [(100 + k, f"http://nameless.org/again/{k}", nameless_page(0, body_of(0))) for k in range(count)]  # copies
+    rows += [(200, "http://nameless.org/other", "<html><body><p>A page of another make</p></body></html>")] * (count > 3)
+    rows += [(300, "http://single.org/", nameless_page(0, body_of(0)))]
+    got = {r["page_id"]: r["text"] for r in template.extract_main_text(pages(spark, rows)).collect()}
+    for k in range(count):
+        want = [f"Title {k}"] + [f"Paragraph {i} of text {k} in its own words" for i in range(9 + k % 5)]
+        assert got[k].split("\n") == want
+        assert got[100 + k] == got[0]
+    if count > 3:
+        assert got[200] == "A page of another make"
+    # a host of one page has no template: all that its tags don't rule out stays
+    assert got[300].startswith("Our Site") and got[300].endswith("All rights reserved")
+
+
+@pytest.mark.parametrize("make", [nameless_page, article_page])
+def test_articles_of_few_pages_keep_what_they_share(spark, make):
+    shared = "".join(f"<p>Shared paragraph {i}</p>" for i in range(20))
+    rows = [(k, f"http://two.org/{k}", make(k, f"<p>Own text {k} of this page</p>" + shared)) for k in (1, 2)]
+    got = {r["page_id"]: r["text"] for r in template.extract_main_text(pages(spark, rows)).collect()}
+    for k in (1, 2):
+        want = [f"Title {k}", f"Own text {k} of this page"] + [f"Shared paragraph {i}" for i in range(20)]
+        assert got[k].split("\n") == want + ["Printed by the site"] * (make is article_page)
+
+
+def test_labelled_parts_are_no_region(spark):
+    """Comments longer than the article don't draw the region to them."""
+    rows = [
+        (k, f"http://talk.org/{k}", f"<html><body><div>Site</div><div><div>{body_of(k)}</div></div>"
+         f"<div class=comments><p>{f'Comment {k} ' * 200}</p></div><div>End</div></body></html>")
+        for k in range(6)
+    ]
+    got = {r["page_id"]: r["text"] for r in template.extract_main_text(pages(spark, rows)).collect()}
+    for k in range(6):
+        assert got[k].split("\n") == [f"Paragraph {i} of text {k} in its own words" for i in range(9 + k % 5)]
+
+
+def test_classes_match_brute_force(spark):
+    """Classes by whole occurrence vectors over the different pages of a host."""
+    sites = {"a.org": [site_page(k, body_of(k)) for k in range(9)], "b.org": [article_page(k, body_of(k)) for k in range(2)],
+             "c.org": [nameless_page(k, body_of(k)) for k in range(5)] + [site_page(9, body_of(9))], "d.org": [article_page(1, "")]}
+    rows = [(f"http://{h}/", p) for h, found in sites.items() for p in found + found[:2]]
+    frame = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(rows)], "page_id long, url string, html string")
+    got = {
+        (r["h"], frozenset(c["code"] for c in r["classes"] if c["cls"] == k))
+        for r in template.deduce_templates(frame.withColumn("host", template.host_of(frame.url))).collect()
+        for k in {c["cls"] for c in r["classes"]}
+    }
+    want = set()
+    for host, found in sites.items():
+        counted = [[template.code_of(t) for t in template.tokens_of(p)] for p in found]
+        by_vector = {}
+        for code in {c for p in counted for c in p}:
+            by_vector.setdefault(tuple(p.count(code) for p in counted), set()).add(code)
+        for vector, members in by_vector.items():
+            seen = sum(n > 0 for n in vector)
+            if len(members) > 1 and seen >= 2 and 2 * seen >= len(found) + 2:
+                want.add((host, frozenset(members)))
+    assert got == want and {h for h, _ in want} == {"a.org", "b.org", "c.org"}
+
+
 def test_classes_must_keep_their_order_and_slots():
     classes = {1: [10, 11, 12], 2: [20, 21]}
     assert template.template_codes([10, 20, 21, 20, 21, 11, 5, 12], classes) == {10, 11, 12, 20, 21}
