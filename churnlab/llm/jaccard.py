@@ -7,11 +7,13 @@ Documents become sets of hashed shingles.  Equal sets are one set.  Then:
    connected component of its verified links.  A few such turns put nearly all
    of a large family of copies into one group.
 2. Matrix.  Only pairs of documents in different groups can still join groups.
-   Similar documents, those around one pivot, make blocks of bounded size, and
-   the proposals left are (query, block).  A block stores the union of its
+   Similar documents, those around one pivot, make blocks of bounded size.  The
+   members of a block of many groups are compared with each other first; the
+   proposals left are (query, block).  A block stores the union of its
    members' tokens; a query's overlap with the union bounds its overlap with
    every member, so a block below the bound stays closed, and the members of an
-   open one are verified exactly.
+   open one are verified exactly.  Of the pairs found only those that join
+   groups become links.
 
 All sets share all their bands, so no set is dropped: a pair at the threshold
 0.75 misses all 40 bands of 3 min-hashes with probability 3e-10, and the
@@ -122,15 +124,25 @@ class Block:
 
 def _open_blocks(percent: int):
     """Rows sorted by (block, role): the members of a block, then its queries.
-    A query gets one link to each other group that the block holds members of."""
+    A query gets a link to another group that the block holds members of, unless
+    earlier links of the block connect the two groups already: the links of a
+    block are a forest over the groups in it, fewer than its members and queries."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         block, ids, groups, members, ready = None, [], [], [], None
+        up: dict[int, int] = {}
+
+        def root(group: int) -> int:
+            while up.setdefault(group, group) != group:
+                up[group] = group = up[up[group]]
+            return group
+
         for batch in batches:
             a, b = [], []
             for r in batch.itertuples(index=False):
                 if r.block != block:
                     block, ids, groups, members, ready = r.block, [], [], [], None
+                    up.clear()
                 tokens = np.frombuffer(r.tokens, dtype=np.uint64)
                 if r.role == 0:
                     ids.append(r.id)
@@ -140,9 +152,11 @@ def _open_blocks(percent: int):
                 if ready is None:
                     ready = Block(members)
                 linked = {groups[k]: ids[k] for k in ready.similar(tokens, percent)}
-                linked.pop(r.comp, None)
-                a += [r.id] * len(linked)
-                b += linked.values()
+                for group, member in linked.items():
+                    if (own := root(r.comp)) != (other := root(group)):
+                        up[own] = other
+                        a.append(r.id)
+                        b.append(member)
             if a:
                 yield pd.DataFrame({"a": a, "b": b})
 
@@ -355,6 +369,20 @@ def similarity_classes(
         "home",
     )
 
+    # a family whose pivots are far from most of it is still many groups: they
+    # meet within their blocks before the pairs between blocks are proposed
+    crowded = (
+        blocks.join(groups, F.col("d") == F.col("id"))
+        .groupBy(F.col("g").alias("crowd"))
+        .agg(F.count_distinct("component").alias("c"))
+        .where(F.col("c") > max(members // 16, 1))
+    )
+    inside = stage(
+        blocks.join(crowded, F.col("g") == F.col("crowd")).select(F.col("d").alias("q"), "g"), "inside"
+    )
+    if not inside.isEmpty():
+        groups = _merged(groups, verify(inside, blocks, groups, sets, percent))
+
     # between groups: every pair that is left
     grouped = _in_groups(keyed, groups)
     open_keys = (

@@ -78,6 +78,30 @@ def test_block_bound_opens_only_qualifying_blocks():
     assert [tuple(r) for r in out[0].itertuples(index=False)] == [(9, 3)]
 
 
+def test_links_of_a_family_do_not_grow_with_its_square(spark, monkeypatch):
+    import pandas as pd
+
+    # a block whose members and queries are all alike: a forest over the groups
+    near = [jaccard.shingle_set(words(100, 0) + " w%d" % i).tobytes() for i in range(60)]
+    rows = [(7, 0, i, i, s) for i, s in enumerate(near)] + [(7, 1, i, i, s) for i, s in enumerate(near)]
+    rows += [(8, 0, 100, 1, near[0]), (8, 1, 101, 2, near[1])]  # the next block starts anew
+    frame = pd.DataFrame(rows, columns=["block", "role", "id", "comp", "tokens"])
+    links = pd.concat(jaccard._open_blocks(75)(iter([frame.iloc[:70], frame.iloc[70:]])))
+    assert len(links) == 60 and tuple(links.iloc[-1]) == (101, 100)
+    union = Union()
+    for a, b in links.itertuples(index=False):
+        union.join(a, b)
+    assert {union.root(i) for i in range(60)} == {0}
+
+    # variants of one text, whose pivots are within reach of few of them
+    base, counts, whole = words(150, 1), [], jaccard.connected_components
+    monkeypatch.setattr(jaccard, "connected_components", lambda e: counts.append(e.count()) or whole(e))
+    rows = [(i, edited(base, 0.022, i), "s") for i in range(150)]
+    got = jaccard.similarity_classes(documents(spark, rows), pivots=1)
+    assert sorted(map(tuple, got.collect())) == brute_classes(rows)
+    assert sum(counts) <= 4 * len(rows)
+
+
 def test_components(spark):
     rng, union = random.Random(5), Union()
     edges = [(rng.randint(0, 400), rng.randint(0, 400)) for _ in range(180)]
