@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import each_cell, in_cells, parts, prepare, stage
+from .common import each_cell, parts, prepare, stage
 from .components import connected_components
 
 BANDS, ROWS = 40, 3
@@ -226,6 +226,44 @@ def _proposals_in_cells(least: int):
     return lambda batches: each_cell(batches, ["key", "i", "j"], pairs)
 
 
+def _cells_between_groups(rows: DataFrame, size: int) -> DataFrame:
+    """Deal the rows of each key into cells of at most about twice ``size`` rows,
+    so that any two of different groups (comp) meet in one cell.
+
+    The largest group of a key is cut into chunks of its own, which meet the
+    chunks of the other rows but not each other: a key held by one family and
+    a few others costs a copy a row.  Keys of one group are left out.  Adds
+    ``chunk``, ``i`` and ``j``; sorted by cell.
+    """
+    counts = rows.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
+    keys = (
+        counts.groupBy(F.col("key").alias("k"))
+        .agg(F.max(F.struct("c", "comp")).alias("top"), F.sum("c").alias("m"), F.count(F.lit(1)).alias("found"))
+        .where("found > 1")
+        .select(
+            "k",
+            F.col("top.comp").alias("largest"),
+            parts(F.col("m") - F.col("top.c"), size).alias("others"),
+            parts(F.col("top.c"), size).alias("inside"),
+        )
+    )
+    top = F.col("comp") == F.col("largest")
+    chunk = F.when(top, F.col("others") + F.pmod(F.xxhash64("rep"), "inside")).otherwise(
+        F.pmod(F.xxhash64("rep"), "others")
+    )
+    meets = F.when(top, F.col("others")).otherwise(F.col("others") + F.col("inside"))
+    return (
+        rows.join(stage(keys, "keys"), F.col("key") == F.col("k"))
+        .withColumn("chunk", chunk)
+        .withColumn("_x", F.explode(F.sequence(F.lit(0).cast("long"), meets - 1)))
+        .withColumn("i", F.least("chunk", "_x"))
+        .withColumn("j", F.greatest("chunk", "_x"))
+        .drop("_x", "k", "largest", "others", "inside")
+        .repartition("key", "i", "j")
+        .sortWithinPartitions("key", "i", "j", "rep")
+    )
+
+
 def _in_groups(keyed: DataFrame, groups: DataFrame) -> DataFrame:
     """Band rows with the present group (comp) of their set."""
     return stage(
@@ -384,20 +422,13 @@ def similarity_classes(
         groups = _merged(groups, verify(inside, blocks, groups, sets, percent))
 
     # between groups: every pair that is left
-    grouped = _in_groups(keyed, groups)
-    open_keys = (
-        grouped.groupBy(F.col("key").alias("k"))
-        .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-        .where("lo < hi")
-        .select("k")
-    )
-    cells = in_cells(
-        grouped.join(open_keys, F.col("key") == F.col("k"))
+    cells = _cells_between_groups(
+        _in_groups(keyed, groups)
         .join(unique.withColumnRenamed("rep", "r"), F.col("rep") == F.col("r"))
         .join(blocks, F.col("rep") == F.col("d"))
-        .select("key", "band", "rep", "m", "comp", "sig", F.col("g").alias("block")),
-        "m", "key", "rep", cell,
-    )
+        .select("key", "band", "rep", "comp", "sig", F.col("g").alias("block")),
+        cell,
+    )
     left = stage(cells.mapInPandas(_proposals_in_cells(BANDS * ROWS // 2), "q long, g long"), "left")
     groups = _merged(groups, verify(left, blocks, groups, sets, percent))
     final = (

@@ -102,6 +102,28 @@ def test_links_of_a_family_do_not_grow_with_its_square(spark, monkeypatch):
     assert sum(counts) <= 4 * len(rows)
 
 
+def test_cells_compare_groups_not_a_family_with_itself(spark):
+    rows = [(1, i, 5) for i in range(400)] + [(1, 400 + i, 400 + i) for i in range(12)]  # a family, 12 others
+    rows += [(2, i, i // 3) for i in range(60)] + [(3, i, 8) for i in range(90)] + [(4, 1, 1), (4, 2, 1), (4, 3, 3)]
+    frame = spark.createDataFrame(rows, "key long, rep long, comp long")
+    got = [r.asDict() for r in jaccard._cells_between_groups(frame, 16).collect()]
+    cells = {}
+    for r in got:
+        cells.setdefault((r["key"], r["i"], r["j"]), []).append(r)
+    met = {}
+    for (key, i, j), held in cells.items():
+        assert len({r["rep"] for r in held}) == len(held) <= 4 * 16
+        for x, a in enumerate(held):
+            for b in held[x + 1 :]:
+                if {a["chunk"], b["chunk"]} == {i, j} and a["comp"] != b["comp"]:
+                    pair = (key, *sorted((a["rep"], b["rep"])))
+                    met[pair] = met.get(pair, 0) + 1
+    wanted = {(k, *sorted((a, b))) for k, a, c in rows for k2, b, d in rows if k == k2 and c != d}
+    assert met == dict.fromkeys(wanted, 1)
+    assert not [r for r in got if r["key"] == 3]  # one group: nothing to compare
+    assert len([r for r in got if r["key"] == 1]) <= 400 + 12 * 27
+
+
 def test_components(spark):
     rng, union = random.Random(5), Union()
     edges = [(rng.randint(0, 400), rng.randint(0, 400)) for _ in range(180)]
