@@ -23,6 +23,10 @@ from pyspark.sql import types as T
 
 from churnlab.functions.constants import EXCLUDED_COLUMNS, ID_COLUMNS, TARGET_COLUMN
 
+# Rows that one task of a fit reads.  A fit is hundreds of short jobs over the
+# same rows, and each task of a forest's job sends statistics of all open nodes.
+FIT_ROWS = 8_192
+
 NUMERIC_TYPES = (
     T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
     T.DecimalType, T.BooleanType,
@@ -248,6 +252,12 @@ def prepare_training_frame(features: DataFrame) -> DataFrame:
     return class_weights(labelled, label="label")
 
 
+def in_fit_tasks(rows: DataFrame) -> DataFrame:
+    """``rows`` (persisted) in one partition for about ``FIT_ROWS`` of them, at
+    most as many as they have: no shuffle, every row kept."""
+    return rows.coalesce(max(1, -(-rows.count() // FIT_ROWS)))
+
+
 def train_and_evaluate(
     features: DataFrame,
     config: TrainConfig | None = None,
@@ -270,8 +280,9 @@ def train_and_evaluate(
         features = place.filter(F.col("_r") <= config.max_rows).drop("_r", "_n")
     split = stratified_split(features, "customer_id", TARGET_COLUMN, 0.2, config.seed)
     split = prepare_training_frame(split).persist()
-    train = split.filter(F.col("split") == "train")
-    test = split.filter(F.col("split") == "test")
+    rows = in_fit_tasks(split)
+    train = rows.filter(F.col("split") == "train")
+    test = rows.filter(F.col("split") == "test")
     stages, _, _ = feature_stages(train, columns)
     n_rows = train.count()
 

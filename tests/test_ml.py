@@ -62,6 +62,19 @@ def test_fit_rows_are_bounded(training):
     assert len(rows) == 1
 
 
+def test_fit_tasks_follow_the_rows(training, monkeypatch):
+    seen, stages = [], ml.feature_stages
+    monkeypatch.setattr(ml, "feature_stages", lambda t, c: seen.append(t.rdd.getNumPartitions()) or stages(t, c))
+    one = ml.TrainConfig(logistic_max_iter=5, candidates=["logistic_regression"])
+    ml.train_and_evaluate(training.repartition(4), one)
+    monkeypatch.setattr(ml, "FIT_ROWS", 50)
+    ml.train_and_evaluate(training.repartition(4), one)
+    assert seen == [1, 3]
+    wide = training.repartition(8).persist()
+    assert sorted(map(tuple, ml.in_fit_tasks(wide).collect())) == sorted(map(tuple, training.collect()))
+    wide.unpersist()
+
+
 def test_feature_names_and_unseen_level(spark, training):
     columns, _ = ml.split_features_target(training)
     stages, _, _ = ml.feature_stages(training, columns)
