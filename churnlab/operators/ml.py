@@ -165,7 +165,7 @@ class TrainConfig:
     boosted_step: float = 0.05
     boosted_subsample: float = 0.9
     seed: int = 42
-    max_rows: int | None = 2_000_000  # labelled rows of a fit and its hold-out; None: all
+    max_rows: int | None = None  # None: every labelled row; a caller's own trial may name fewer
     candidates: list[str] = field(
         default_factory=lambda: ["logistic_regression", "random_forest", "gradient_boosted_trees"]
     )
@@ -275,7 +275,7 @@ def train_and_evaluate(
     config = config or TrainConfig()
     columns, _ = split_features_target(features)
     if config.max_rows is not None:
-        # trees grow with the rows they see, so a fit takes a bounded, seeded sample
+        # only where the caller asks for a trial on fewer rows: a seeded sample
         place = hash_positions(features, "customer_id", config.seed)
         features = place.filter(F.col("_r") <= config.max_rows).drop("_r", "_n")
     split = stratified_split(features, "customer_id", TARGET_COLUMN, 0.2, config.seed)

@@ -62,6 +62,17 @@ def test_fit_rows_are_bounded(training):
     assert len(rows) == 1
 
 
+def test_registered_fits_take_every_row(training, monkeypatch):
+    from churnlab.plans import catalog
+
+    seen, stages = [], ml.feature_stages
+    monkeypatch.setattr(ml, "feature_stages", lambda t, c: seen.append(t.count()) or stages(t, c))
+    assert catalog.train_config().max_rows is None
+    ml.train_and_evaluate(training, ml.TrainConfig(logistic_max_iter=5, candidates=["logistic_regression"]))
+    churned = training.filter("churned").count()
+    assert seen == [120 + -churned // 5 + (churned - 120) // 5]  # less a fifth of each class, rounded up
+
+
 def test_fit_tasks_follow_the_rows(training, monkeypatch):
     seen, stages = [], ml.feature_stages
     monkeypatch.setattr(ml, "feature_stages", lambda t, c: seen.append(t.rdd.getNumPartitions()) or stages(t, c))
