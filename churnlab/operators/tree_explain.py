@@ -28,8 +28,10 @@ from pyspark.sql import functions as F
 
 # Nodes of an ensemble that are collected and shipped: about 100 bytes each.
 MAX_NODES = 1_000_000
-# Numbers in one array of an attribution pass (32 MB).
-CELLS = 1 << 22
+# Numbers in one array of an attribution pass (4 MB, near a core's cache).
+CELLS = 1 << 19
+# Inputs of a path up to which all ways to pass it are listed.
+PATTERN_SLOTS = 8
 
 
 class TreeArrays:
@@ -44,7 +46,8 @@ class TreeArrays:
 
 
 def ensemble_arrays(model, work_dir: str) -> tuple[list[TreeArrays], list[float], str]:
-    """Read the node table of a fitted RandomForest / GBT classification model.
+    """The trees of a fitted forest or of boosted trees; those of a Spark model
+    are read from its node table.
 
     Returns (trees, tree weights, kind) with kind 'gbt' or 'forest'.
     """
@@ -52,9 +55,17 @@ def ensemble_arrays(model, work_dir: str) -> tuple[list[TreeArrays], list[float]
 
     from pyspark.sql import SparkSession
 
+    from churnlab.operators.trees import GrownTrees
+
     spark = SparkSession.getActiveSession()
     if model.totalNumNodes > MAX_NODES:
         raise ValueError(f"the ensemble has {model.totalNumNodes} nodes; {MAX_NODES} can be shipped")
+    if isinstance(model, GrownTrees):
+        trees = [
+            TreeArrays(left, np.where(left < 0, -1, left + 1), feature, threshold, {}, value, cover)
+            for left, feature, threshold, value, cover in model.with_thresholds()
+        ]
+        return trees, [float(w) for w in model.treeWeights], model.kind
     path = f"{work_dir.rstrip('/')}/tree-model-{uuid.uuid4().hex}"
     model.write().overwrite().save(path)
     nodes = spark.read.parquet(f"{path}/data").select(
@@ -185,30 +196,48 @@ def leaf_attributions(tree: TreeArrays, table: LeafTable, X: np.ndarray, phi: np
     inner = np.flatnonzero(tree.left >= 0)
     if not len(inner):
         return
-    points, weights = np.polynomial.legendre.leggauss((slots + 1) // 2)
-    points, weights = (points + 1) / 2, weights / 2
+    points = (slots + 1) // 2
     used = table.feature.ravel() >= 0
     order = np.flatnonzero(used)[np.argsort(table.feature.ravel()[used], kind="stable")]
     inputs, starts = np.unique(table.feature.ravel()[order], return_index=True)
-    run = max(1, CELLS // (leaves * slots * len(points)))
+    known = None
+    if slots <= PATTERN_SLOTS and leaves * slots * 2**slots <= CELLS:
+        # few ways to pass a path: the gains of each are worked out once
+        ways = (np.arange(2**slots)[:, None] >> np.arange(slots)) & 1
+        known = leaf_gains(table, np.repeat(ways[:, None, :].astype(float), leaves, axis=1))
+    run = max(1, CELLS // (leaves * slots * (1 if known is not None else points)))
     for at in range(0, len(X), run):
         rows = X[at : at + run]
         left = np.zeros((len(rows), len(tree.left)), dtype=bool)
         for node in inner:
             left[:, node] = goes_left(tree, node, rows)
-        passed = np.ones((len(rows), leaves, slots))
-        for k in range(table.node.shape[1]):
-            on = np.flatnonzero(table.node[:, k] >= 0)
-            passed[:, on, table.slot[on, k]] *= left[:, table.node[on, k]] == table.side[on, k]
-        mean = np.zeros_like(passed)
-        for t, w in zip(points, weights):
-            factor = table.fraction * (1 - t) + passed * t
-            before, after = np.ones_like(factor), np.ones_like(factor)
-            before[..., 1:] = np.cumprod(factor[..., :-1], axis=-1)
-            after[..., :-1] = np.cumprod(factor[..., :0:-1], axis=-1)[..., ::-1]
-            mean += w * before * after
-        gains = (table.value[:, None] * (passed - table.fraction) * mean).reshape(len(rows), -1)
-        phi[at : at + run, inputs] += np.add.reduceat(gains[:, order], starts, axis=1)
+        if known is not None:
+            way = np.full((len(rows), leaves), 2**slots - 1)
+            for k in range(table.node.shape[1]):
+                on = np.flatnonzero(table.node[:, k] >= 0)
+                missed = left[:, table.node[on, k]] != table.side[on, k]
+                way[:, on] &= ~(missed.astype(way.dtype) << table.slot[on, k])
+            gains = known[way, np.arange(leaves)]
+        else:
+            passed = np.ones((len(rows), leaves, slots))
+            for k in range(table.node.shape[1]):
+                on = np.flatnonzero(table.node[:, k] >= 0)
+                passed[:, on, table.slot[on, k]] *= left[:, table.node[on, k]] == table.side[on, k]
+            gains = leaf_gains(table, passed)
+        phi[at : at + run, inputs] += np.add.reduceat(gains.reshape(len(rows), -1)[:, order], starts, axis=1)
+
+
+def leaf_gains(table: LeafTable, passed: np.ndarray) -> np.ndarray:
+    """What each leaf adds to the input of each slot, for rows of ``passed``."""
+    points, weights = np.polynomial.legendre.leggauss((table.feature.shape[1] + 1) // 2)
+    mean = np.zeros_like(passed)
+    for t, w in zip((points + 1) / 2, weights / 2):
+        factor = table.fraction * (1 - t) + passed * t
+        before, after = np.ones_like(factor), np.ones_like(factor)
+        before[..., 1:] = np.cumprod(factor[..., :-1], axis=-1)
+        after[..., :-1] = np.cumprod(factor[..., :0:-1], axis=-1)[..., ::-1]
+        mean += w * before * after
+    return table.value[:, None] * (passed - table.fraction) * mean
 
 
 def predict_batch(tree: TreeArrays, X: np.ndarray) -> np.ndarray:
@@ -303,9 +332,11 @@ def explain_trees(
     from pyspark.ml.functions import vector_to_array
 
     trees, weights, kind = ensemble_arrays(model, work_dir)
-    # CPU-heavy per-row work: the caller may name the partitions of the narrow rows
-    arrays = scored.select(key, vector_to_array(F.col(features_col)).alias("inputs"))
-    arrays = arrays.repartition(partitions) if partitions else arrays
+    # CPU-heavy work on narrow rows: they are dealt anew, as the partitions that
+    # they come in follow their bytes
+    rows = scored.select(key, features_col)
+    rows = rows.repartition(partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    arrays = rows.select(key, vector_to_array(F.col(features_col)).alias("inputs"))
     return ensemble_impacts(arrays, trees, ensemble_factors(weights, kind), feature_names, key)
 
 
