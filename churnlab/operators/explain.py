@@ -95,26 +95,37 @@ def top_drivers(impacts: Column, n: int = TOP_FACTOR_COUNT) -> Column:
             s["impact"].alias("impact"),
         ),
     )
-    positive = F.filter(keyed, lambda s: s["impact"] > 0)
-    by_value = F.array_sort(
-        positive, lambda a, b: _compare(a["k1"], b["k1"], a["pos"], b["pos"])
-    )
-    by_abs = F.array_sort(keyed, lambda a, b: _compare(a["k2"], b["k2"], a["pos"], b["pos"]))
-    chosen = F.when(F.size(positive) > 0, by_value).otherwise(by_abs)
-    picked = F.slice(chosen, 1, n)
+
+    def chosen(keyed: Column) -> Column:
+        positive = F.filter(keyed, lambda s: s["impact"] > 0)
+        by_value = F.array_sort(
+            positive, lambda a, b: _compare(a["k1"], b["k1"], a["pos"], b["pos"])
+        )
+        by_abs = F.array_sort(keyed, lambda a, b: _compare(a["k2"], b["k2"], a["pos"], b["pos"]))
+        return F.slice(F.when(F.size(positive) > 0, by_value).otherwise(by_abs), 1, n)
+
     pad = F.struct(F.lit(NO_DRIVER_LABEL).alias("name"), F.lit(0.0).alias("impact"))
-    return F.array(
-        *[
-            F.when(
-                F.size(picked) > i,
-                F.struct(
-                    clean_feature_name(F.element_at(picked, i + 1)["name"]).alias("name"),
-                    round_half_up(F.element_at(picked, i + 1)["impact"], 4).alias("impact"),
-                ),
-            ).otherwise(pad)
-            for i in range(n)
-        ]
-    )
+
+    def labelled(picked: Column) -> Column:
+        return F.array(
+            *[
+                F.when(
+                    F.size(picked) > i,
+                    F.struct(
+                        clean_feature_name(F.element_at(picked, i + 1)["name"]).alias("name"),
+                        round_half_up(F.element_at(picked, i + 1)["impact"], 4).alias("impact"),
+                    ),
+                ).otherwise(pad)
+                for i in range(n)
+            ]
+        )
+
+    return _once(_once(keyed, chosen), labelled)
+
+
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` worked out once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def _compare(ka, kb, pa, pb) -> Column:
