@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnlab.functions.constants import EXCLUDED_COLUMNS, ID_COLUMNS, TARGET_COLUMN
+from churnlab.session import ensure_checkpoint_dir
 
 # Rows that one task of a fit reads.  A fit of several tasks is hundreds of short
 # jobs over the same rows, and a job costs more than its arithmetic on few rows.
@@ -276,7 +277,10 @@ def train_and_evaluate(
         features = place.filter(F.col("_r") <= config.max_rows).drop("_r", "_n")
     split = stratified_split(features, "customer_id", TARGET_COLUMN, 0.2, config.seed)
     split = prepare_training_frame(split).persist()
-    rows = in_fit_tasks(split)
+    # checkpointed: the plans of hundreds of jobs would each hold the plan of the features
+    ensure_checkpoint_dir(features.sparkSession)
+    rows = in_fit_tasks(split).checkpoint(eager=True)
+    split.unpersist()
     train = rows.filter(F.col("split") == "train")
     test = rows.filter(F.col("split") == "test")
     stages, _, _ = feature_stages(train, columns)
@@ -313,7 +317,7 @@ def train_and_evaluate(
     for row in collected:
         if best is None or row["roc_auc"] > best["roc_auc"]:
             best = row
-    for kept in (split, vectors, *([binned] if binned else [])):
+    for kept in (vectors, *([binned] if binned else [])):
         kept.unpersist()
     return best["model_name"], collected, fitted
 

@@ -521,10 +521,8 @@ class GrownTrees(Model, MLWritable, MLReadable):
     def _transform(self, dataset: DataFrame) -> DataFrame:
         from pyspark.ml.functions import array_to_vector, vector_to_array
 
-        context = dataset.sparkSession.sparkContext
-        if not hasattr(self, "_shipped"):
-            self._shipped = context.broadcast((self.trees, self.points, list(self.treeWeights)))
-        shipped = self._shipped
+        # not kept with the model: it goes when the rows it scores are done with
+        shipped = dataset.sparkSession.sparkContext.broadcast((self.trees, self.points, list(self.treeWeights)))
 
         def total(x: pd.Series) -> pd.Series:
             trees, points, weights = shipped.value
