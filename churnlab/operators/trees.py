@@ -120,6 +120,8 @@ class Binned:
                 weights.append(batch.column("class_weight").to_numpy(zero_copy_only=False))
             if not parts:
                 return
+            if any(np.isnan(a).any() for a in (*labels, *weights)):
+                raise ValueError("Labels MUST NOT be Null or NaN")
             block = TaskContext.get().partitionId()
             yield _block(block, np.concatenate(parts), np.concatenate(labels), np.concatenate(weights))
 

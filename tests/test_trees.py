@@ -112,6 +112,26 @@ def test_boosting_follows_its_definition(spark):
         assert r["prediction"] == float(p > 0.5)
 
 
+def test_boosting_equals_sparks_where_nothing_is_drawn(spark):
+    from pyspark.ml.classification import GBTClassifier
+
+    x, y = _drawn(500)
+    x[:, 0], x[:, 3] = np.round(2 * x[:, 0]).clip(-5, 5), np.round(9 * x[:, 3])  # few values: the same split points
+    frame = _frame(spark, x, y)
+    settings = {"maxIter": 12, "maxDepth": 4, "stepSize": 0.1, "subsamplingRate": 1.0, "featureSubsetStrategy": "all"}
+    theirs = GBTClassifier(**settings).fit(frame).transform(frame).select("customer_id", F.col("probability").alias("p"))
+    model = trees.BoostedTrees(**{**BOOST, "rounds": 12, "depth": 4, "rate": 0.1}).fit(frame)
+    for r in model.transform(frame).join(theirs, "customer_id").collect():
+        assert r["probability"][1] == pytest.approx(r["p"][1], abs=1e-6)
+
+
+def test_labels_must_not_be_null(spark):
+    x, y = _drawn(20)
+    frame = _frame(spark, x, y).withColumn("label", F.when(F.col("customer_id") > 0, F.col("label")))
+    with pytest.raises(Exception, match="MUST NOT be Null"):
+        trees.BoostedTrees(**BOOST).fit(frame)
+
+
 def test_several_blocks_give_the_same_trees(spark, monkeypatch):
     """Boosting over blocks that send sums, also added up on the executors, and a
     forest grown from joined blocks."""
